@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import mixing
 from .common import documents
 from .token_records import token_records
 
@@ -14,12 +16,20 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decided = mixing.decide(documents(spark, sf_dir), mixing.word_count(F.col("text")))
+    return decided.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), (F.col("size") * F.col("copies")).alias("taken"))
+
+
 def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records(documents(spark, sf_dir), tokenizer_path(), end_id=2).select("doc_id", "start", "n_tokens", "ids_crc32", "file_no", "offset", "length")
 
 
 QUERIES = {
+    "op4_mixing": op4_mixing,
     "op6_token_records": op6_token_records,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_mixing": mixing.SQL,
+}
