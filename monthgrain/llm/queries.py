@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing
+from . import mixing, winnowing
 from .common import documents
 from .token_records import token_records
 
@@ -16,6 +16,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.edited_fingerprints(documents(spark, sf_dir))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     decided = mixing.decide(documents(spark, sf_dir), mixing.word_count(F.col("text")))
     return decided.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), (F.col("size") * F.col("copies")).alias("taken"))
@@ -26,6 +30,7 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_winnowing": op1_winnowing,
     "op4_mixing": op4_mixing,
     "op6_token_records": op6_token_records,
 }
