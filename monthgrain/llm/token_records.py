@@ -37,8 +37,8 @@ from .common import arrow_map, n_tasks, scratch_path
 MASK_DELTA = 0xA282EAD8
 #: Text in characters that one file should hold at most.
 FILE_CHARS = 24_000_000
-#: Entries that a worker's word cache may hold before it starts anew.
-CACHE_ENTRIES = 600_000
+#: Words that one generation of a worker's cache may hold.
+CACHE_ENTRIES = 250_000
 INDEX_SCHEMA = "file_no long, file string, offset long, length long, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 
 
@@ -68,15 +68,24 @@ def parse_frame(data: bytes, at: int = 0) -> tuple[int | None, np.ndarray, int]:
 class WordEncoder:
     """A library tokenizer that encodes each distinct word once.
 
-    Only for tokenizers that drop white space and split at it, with word-end marks (as word_bpe
-    does): there the ids of a text are the ids of its white-space pieces, one after the other. A
-    piece of plain letters is a single pre-token, whose ids end with a word-end token, so missing
-    words are encoded by the library in one joined text and split at those ends. Any other piece is
-    encoded by the library by itself.
+    Only for tokenizers that lower-case, drop white space and split at it, with word-end marks (as
+    word_bpe does): there the ids of a text are those of its pieces between white space, one after
+    the other, and a piece may also be cut where letters meet other signs. A piece of plain letters
+    is one pre-token, whose ids end with a word-end token, so new ones are encoded by the library in
+    one joined text that is split at those ends. Any other piece is encoded by itself.
+
+    Words met lately are kept in two generations of CACHE_ENTRIES at most.
     """
 
-    PLAIN = re.compile(r"[a-zA-ZÀ-ÖØ-öø-į]+")
-    RUNS = re.compile(r"[a-zA-ZÀ-ÖØ-öø-į]+|[.,!?;:]+")
+    LETTERS = "a-zß-öø-ÿ"
+    PLAIN = re.compile(f"[{LETTERS}]+")
+    RUNS = re.compile(rf"[{LETTERS}]+|[!#-&(-/:-@\[-`{{-~]+")  # letters; ASCII signs but the apostrophe
+    #: Characters whose lower case or composition may depend on more than themselves.
+    UNSAFE = re.compile(r"[^\t\n\r\x20-\xff]")
+    #: Characters that Python's split takes for white space and the library may not.
+    SEPARATORS = re.compile("[\x1c-\x1f]")
+    #: A full stop or comma that isn't a run of signs by itself.
+    CLUSTER = re.compile(r"(?:[^\w\s]|_)[.,]")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -88,50 +97,66 @@ class WordEncoder:
         self.dtype = "<u2" if self.width == 2 else "<u4"
         self.ends = np.zeros(size, bool)
         self.ends[[i for w, i in self.library.get_vocab().items() if w.endswith("</w>")]] = True
+        self.special = {t.content[:2] for t in self.library.get_added_tokens_decoder().values()}
         self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _encode_alone(self, pieces: list[str]) -> None:
+        for at in range(0, len(pieces), 4096):
+            some = pieces[at : at + 4096]
+            for piece, got in zip(some, self.library.encode_batch(some, add_special_tokens=False), strict=True):
+                self.pieces[piece] = np.array(got.ids, self.dtype).tobytes()
 
-    def _encode_words(self, words: list[str]) -> None:
+    def _encode_plain(self, words: list[str]) -> None:
+        w = self.width
         for at in range(0, len(words), 256):
             some = words[at : at + 256]
             ids = np.array(self.library.encode(" ".join(some), add_special_tokens=False).ids, self.dtype)
-            ends = np.flatnonzero(self.ends[ids]) + 1
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * w
             if len(ends) != len(some):  # a word isn't one pre-token after all
-                for w in some:
-                    self.words[w] = np.array(self.library.encode(w, add_special_tokens=False).ids, self.dtype).tobytes()
+                self._encode_alone(some)
                 continue
-            raw, w = ids.tobytes(), self.width
-            starts = [0, *(ends[:-1] * w).tolist()]
-            self.words.update((word, raw[a:b]) for word, a, b in zip(some, starts, (ends * w).tolist(), strict=True))
+            raw, last = ids.tobytes(), 0
+            for word, end in zip(some, ends.tolist(), strict=True):
+                self.pieces[word] = raw[last:end]
+                last = end
 
     def _learn(self, missing: set[str]) -> None:
-        parts, other = {}, []
-        for piece in missing:
-            runs = self.RUNS.findall(piece)
-            if sum(map(len, runs)) == len(piece):
-                parts[piece] = [r.lower() for r in runs]
+        for piece in missing.intersection(self.older):
+            self.pieces[piece] = self.older[piece]
+        plain, mixed, alone = set(), {}, []
+        for piece in missing.difference(self.older):
+            if self.PLAIN.fullmatch(piece):
+                plain.add(piece)
+            elif sum(map(len, runs := self.RUNS.findall(piece))) == len(piece) and len(runs) > 1 and not any(s in piece for s in self.special):
+                mixed[piece] = runs
+                plain.update(r for r in runs if self.PLAIN.match(r) and r not in self.pieces)
+                alone += [r for r in runs if r not in self.pieces and not self.PLAIN.match(r)]
             else:
-                other.append(piece)
-        known = self.words
-        new = {r for runs in parts.values() for r in runs if r not in known}
-        self._encode_words([r for r in new if self.PLAIN.fullmatch(r)])
-        other += [r for r in new if r not in known]
-        for at in range(0, len(other), 4096):
-            some = other[at : at + 4096]
-            for piece, got in zip(some, self.library.encode_batch(some, add_special_tokens=False), strict=True):
-                self.pieces[piece] = np.array(got.ids, self.dtype).tobytes()
-                if piece in new:
-                    known[piece] = self.pieces[piece]
-        self.pieces.update((piece, b"".join([known[r] for r in runs])) for piece, runs in parts.items())
+                alone.append(piece)
+        self._encode_plain(list(plain))
+        self._encode_alone(list(set(alone)))
+        for piece, runs in mixed.items():
+            self.pieces[piece] = b"".join([self.pieces[r] for r in runs])
+
+    def _split(self, text: str | None) -> list[str]:
+        if not text:
+            return []
+        if any(s in text for s in self.special):
+            return [text]
+        if self.UNSAFE.search(text):
+            return [text] if self.SEPARATORS.search(text) else text.split()
+        text = text.lower()
+        if not self.CLUSTER.search(text):
+            text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " . ")
+        return text.split()
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text as packed bytes."""
         for at in range(0, len(texts), 512):
-            split = [(t or "").split() for t in texts[at : at + 512]]
+            split = [self._split(t) for t in texts[at : at + 512]]
             if len(self.pieces) > CACHE_ENTRIES:
-                self.pieces.clear()
-            if len(self.words) > CACHE_ENTRIES:
-                self.words.clear()
+                self.older, self.pieces = self.pieces, {}
             missing = set().union(*split).difference(self.pieces)
             if missing:
                 self._learn(missing)
