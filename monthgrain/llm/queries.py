@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, winnowing
+from . import mixing, simhash, winnowing
 from .common import documents
 from .token_records import token_records
 
@@ -20,6 +20,11 @@ def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.edited_fingerprints(documents(spark, sf_dir))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     decided = mixing.decide(documents(spark, sf_dir), mixing.word_count(F.col("text")))
     return decided.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), (F.col("size") * F.col("copies")).alias("taken"))
@@ -31,6 +36,7 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_winnowing": op1_winnowing,
+    "op2_simhash": op2_simhash,
     "op4_mixing": op4_mixing,
     "op6_token_records": op6_token_records,
 }
