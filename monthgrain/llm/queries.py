@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, simhash, winnowing
-from .common import documents
+from . import mixing, simhash, toxicity, winnowing
+from .common import documents, remainder
 from .token_records import token_records
 
 
@@ -25,6 +25,21 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def scored(scores: DataFrame, modulus: int, held: int, threshold: float) -> DataFrame:
+    """doc_id and score, with what is held out and what is predicted."""
+    held_out = F.coalesce(remainder("doc_id", modulus) == held, F.lit(False))
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return scored(toxicity.scores(docs, toxicity.fit(docs, labels(spark, sf_dir))), 3, 1, toxicity.THRESHOLD)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     decided = mixing.decide(documents(spark, sf_dir), mixing.word_count(F.col("text")))
     return decided.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), (F.col("size") * F.col("copies")).alias("taken"))
@@ -37,6 +52,7 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_winnowing": op1_winnowing,
     "op2_simhash": op2_simhash,
+    "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
     "op6_token_records": op6_token_records,
 }
