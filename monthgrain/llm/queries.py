@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, simhash, toxicity, winnowing
+from . import mixing, quality, simhash, toxicity, winnowing
 from .common import documents, remainder
 from .token_records import token_records
 
@@ -45,6 +45,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return scored(quality.scores(docs, quality.fit(docs, labels(spark, sf_dir))), 5, 0, quality.THRESHOLD)
+
+
 def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records(documents(spark, sf_dir), tokenizer_path(), end_id=2).select("doc_id", "start", "n_tokens", "ids_crc32", "file_no", "offset", "length")
 
@@ -54,6 +59,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
+    "op5_quality": op5_quality,
     "op6_token_records": op6_token_records,
 }
 
