@@ -38,7 +38,7 @@ MASK_DELTA = 0xA282EAD8
 #: Text in characters that one file should hold at most.
 FILE_CHARS = 24_000_000
 #: Words that one generation of a worker's cache may hold.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 300_000
 INDEX_SCHEMA = "file_no long, file string, offset long, length long, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 
 
@@ -77,15 +77,15 @@ class WordEncoder:
     Words met lately are kept in two generations of CACHE_ENTRIES at most.
     """
 
-    LETTERS = "a-zß-öø-ÿ"
-    PLAIN = re.compile(f"[{LETTERS}]+")
-    RUNS = re.compile(rf"[{LETTERS}]+|[!#-&(-/:-@\[-`{{-~]+")  # letters; ASCII signs but the apostrophe
-    #: Characters whose lower case or composition may depend on more than themselves.
-    UNSAFE = re.compile(r"[^\t\n\r\x20-\xff]")
+    LETTERS = b"a-z\xdf-\xf6\xf8-\xff"
+    PLAIN = re.compile(b"[" + LETTERS + b"]+")
+    RUNS = re.compile(b"[" + LETTERS + rb"]+|[!#-&(-/:-@\[-`{-~]+")  # letters; ASCII signs but the apostrophe
     #: Characters that Python's split takes for white space and the library may not.
     SEPARATORS = re.compile("[\x1c-\x1f]")
-    #: A full stop or comma that isn't a run of signs by itself.
-    CLUSTER = re.compile(r"(?:[^\w\s]|_)[.,]")
+    #: Lower case and one kind of white space for texts in Latin-1, of one byte a character.
+    LOWER = bytes(ord(chr(i).lower()) for i in range(256)).translate(bytes.maketrans(b"\t\n\r\x0b\x0c\x85\xa0", b"       "))
+    #: Their kinds: s a stop or comma, + any other sign, x what Python may split at and the library not.
+    KINDS = bytes(ord("s") if chr(i) in ".," else ord("x") if 0x1C <= i < 0x20 else ord(" ") if chr(i).isspace() else ord("a") if chr(i).isalnum() else ord("+") for i in range(256))
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -98,20 +98,21 @@ class WordEncoder:
         self.ends = np.zeros(size, bool)
         self.ends[[i for w, i in self.library.get_vocab().items() if w.endswith("</w>")]] = True
         self.special = {t.content[:2] for t in self.library.get_added_tokens_decoder().values()}
-        self.pieces: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.pieces: dict[bytes | str, bytes] = {}  # by piece: bytes of Latin-1, else str
+        self.older: dict[bytes | str, bytes] = {}
 
-    def _encode_alone(self, pieces: list[str]) -> None:
+    def _encode_alone(self, pieces: list[bytes | str]) -> None:
         for at in range(0, len(pieces), 4096):
             some = pieces[at : at + 4096]
-            for piece, got in zip(some, self.library.encode_batch(some, add_special_tokens=False), strict=True):
+            texts = [p if isinstance(p, str) else p.decode("latin-1") for p in some]
+            for piece, got in zip(some, self.library.encode_batch(texts, add_special_tokens=False), strict=True):
                 self.pieces[piece] = np.array(got.ids, self.dtype).tobytes()
 
-    def _encode_plain(self, words: list[str]) -> None:
+    def _encode_plain(self, words: list[bytes]) -> None:
         w = self.width
         for at in range(0, len(words), 256):
             some = words[at : at + 256]
-            ids = np.array(self.library.encode(" ".join(some), add_special_tokens=False).ids, self.dtype)
+            ids = np.array(self.library.encode(b" ".join(some).decode("latin-1"), add_special_tokens=False).ids, self.dtype)
             ends = (np.flatnonzero(self.ends[ids]) + 1) * w
             if len(ends) != len(some):  # a word isn't one pre-token after all
                 self._encode_alone(some)
@@ -121,35 +122,46 @@ class WordEncoder:
                 self.pieces[word] = raw[last:end]
                 last = end
 
-    def _learn(self, missing: set[str]) -> None:
-        for piece in missing.intersection(self.older):
-            self.pieces[piece] = self.older[piece]
-        plain, mixed, alone = set(), {}, []
-        for piece in missing.difference(self.older):
-            if self.PLAIN.fullmatch(piece):
+    def _learn(self, missing: set[bytes | str]) -> None:
+        older, pieces = self.older, self.pieces
+        if older:
+            for piece in missing.intersection(older):
+                pieces[piece] = older[piece]
+            missing = missing.difference(older)
+        plain, mixed, alone = set(), {}, set()
+        for piece in missing:
+            if isinstance(piece, str):
+                alone.add(piece)
+            elif self.PLAIN.fullmatch(piece):
                 plain.add(piece)
-            elif sum(map(len, runs := self.RUNS.findall(piece))) == len(piece) and len(runs) > 1 and not any(s in piece for s in self.special):
+            elif len(runs := self.RUNS.findall(piece)) > 1 and sum(map(len, runs)) == len(piece):
                 mixed[piece] = runs
-                plain.update(r for r in runs if self.PLAIN.match(r) and r not in self.pieces)
-                alone += [r for r in runs if r not in self.pieces and not self.PLAIN.match(r)]
+                for r in runs:
+                    if r not in pieces:
+                        (plain if self.PLAIN.match(r) else alone).add(r)
             else:
-                alone.append(piece)
+                alone.add(piece)
         self._encode_plain(list(plain))
-        self._encode_alone(list(set(alone)))
+        self._encode_alone(list(alone))
         for piece, runs in mixed.items():
-            self.pieces[piece] = b"".join([self.pieces[r] for r in runs])
+            pieces[piece] = b"".join([pieces[r] for r in runs])
 
-    def _split(self, text: str | None) -> list[str]:
+    def _split(self, text: str | None) -> list[bytes] | list[str]:
         if not text:
             return []
         if any(s in text for s in self.special):
             return [text]
-        if self.UNSAFE.search(text):
+        try:
+            raw = text.encode("latin-1")
+        except UnicodeEncodeError:
             return [text] if self.SEPARATORS.search(text) else text.split()
-        text = text.lower()
-        if not self.CLUSTER.search(text):
-            text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " . ")
-        return text.split()
+        kinds = raw.translate(self.KINDS)
+        if b"x" in kinds:
+            return [text]
+        raw = raw.translate(self.LOWER)
+        if b"+s" not in kinds and b"ss" not in kinds:  # each stop and comma is a run of signs by itself
+            raw = raw.replace(b". ", b" . ").replace(b", ", b" , ")
+        return raw.split()
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text as packed bytes."""
@@ -160,9 +172,9 @@ class WordEncoder:
             missing = set().union(*split).difference(self.pieces)
             if missing:
                 self._learn(missing)
-            pieces = self.pieces
+            get = self.pieces.__getitem__
             for words in split:
-                yield b"".join([pieces[w] for w in words])
+                yield b"".join(map(get, words))
 
 
 _encoders: dict[str, WordEncoder] = {}
