@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, simhash, toxicity, winnowing
+from . import language, mixing, quality, simhash, toxicity, winnowing
 from .common import documents, remainder
 from .token_records import token_records
 
@@ -54,6 +54,12 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records(documents(spark, sf_dir), tokenizer_path(), end_id=2).select("doc_id", "start", "n_tokens", "ids_crc32", "file_no", "offset", "length")
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
+    return language.predictions(docs, language.fit(docs)).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 QUERIES = {
     "op1_winnowing": op1_winnowing,
     "op2_simhash": op2_simhash,
@@ -61,6 +67,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_quality": op5_quality,
     "op6_token_records": op6_token_records,
+    "op8_language": op8_language,
 }
 
 ORACLES: dict[str, str] = {
