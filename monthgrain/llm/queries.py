@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, quality, simhash, toxicity, winnowing
+from . import language, mixing, pseudonyms, quality, simhash, toxicity, winnowing
 from .common import documents, remainder
 from .token_records import token_records
 
@@ -60,6 +60,16 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predictions(docs, language.fit(docs)).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+#: Stands in for the key of an installation, which belongs in its secret store.
+EXAMPLE_KEY = b"an example key, not a secret one"
+
+
+def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = pseudonyms.pseudonyms(documents(spark, sf_dir), EXAMPLE_KEY)
+    counts = [F.col(f"pii.{k}").cast("long").alias(f"n_{k}") for k in pseudonyms.KINDS]
+    return done.select("doc_id", "text", *counts)
+
+
 QUERIES = {
     "op1_winnowing": op1_winnowing,
     "op2_simhash": op2_simhash,
@@ -68,6 +78,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op6_token_records": op6_token_records,
     "op8_language": op8_language,
+    "op9_pseudonyms": op9_pseudonyms,
 }
 
 ORACLES: dict[str, str] = {
