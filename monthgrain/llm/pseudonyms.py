@@ -167,9 +167,9 @@ def ipv4(text: str, key: bytes) -> str | None:
         return 0 < n >> 24 < 224 and n >> 24 not in (10, 127)
 
     value = int.from_bytes(bytes(parts), "big")
-    walk = valid(value)  # an address outside these ranges isn't walked on, so that both stay permutations
+    public = valid(value)  # public addresses stay public, and others others
     value = permute(value, [256] * 4, key, "ipv4")
-    while walk and not valid(value):
+    while valid(value) != public:
         value = permute(value, [256] * 4, key, "ipv4")
     return ".".join(map(str, value.to_bytes(4, "big")))
 
@@ -219,7 +219,7 @@ def secret(text: str, key: bytes) -> str | None:
 
 
 MAKERS = {"email": email, "iban": iban, "card": card, "phone": phone, "ssn": ssn, "ipv4": ipv4, "date": a_date, "secret": secret}
-_HINT = re.compile("[0-9@]")
+_HINT = re.compile("[0-9@]|AKIA|(?i:passw|token|secret|api.?key)")
 
 
 def pseudonymise(text: str, key: bytes) -> tuple[str, dict[str, int]]:
