@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, pseudonyms, quality, simhash, toxicity, winnowing
+from . import decontamination, language, mixing, pseudonyms, quality, simhash, toxicity, winnowing
 from .common import documents, remainder
 from .token_records import token_records
 
@@ -54,6 +54,14 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records(documents(spark, sf_dir), tokenizer_path(), end_id=2).select("doc_id", "start", "n_tokens", "ids_crc32", "file_no", "offset", "length")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
@@ -77,6 +85,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_quality": op5_quality,
     "op6_token_records": op6_token_records,
+    "op7_decontamination": op7_decontamination,
     "op8_language": op8_language,
     "op9_pseudonyms": op9_pseudonyms,
 }
