@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, mixing, pseudonyms, quality, simhash, toxicity, winnowing
+from . import decontamination, language, line_chunks, mixing, pseudonyms, quality, simhash, toxicity, winnowing
 from .common import documents, remainder
 from .token_records import token_records
 
@@ -78,6 +78,10 @@ def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "text", *counts)
 
 
+def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_chunks.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_winnowing": op1_winnowing,
     "op2_simhash": op2_simhash,
@@ -88,8 +92,10 @@ QUERIES = {
     "op7_decontamination": op7_decontamination,
     "op8_language": op8_language,
     "op9_pseudonyms": op9_pseudonyms,
+    "op10_line_chunks": op10_line_chunks,
 }
 
 ORACLES: dict[str, str] = {
     "op4_mixing": mixing.SQL,
+    "op10_line_chunks": line_chunks.SQL,
 }
