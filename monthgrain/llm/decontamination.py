@@ -233,14 +233,17 @@ def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -
 
 def keep_clean(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of docs that hold no item, all columns."""
-    for ids, texts in item_slices(items):
+    def clean_of(ids: list, texts: list):
         made: list[Index] = []
 
         @F.arrow_udf("boolean")
-        def clean(column: pa.Array, ids=ids, texts=texts, made=made) -> pa.Array:
+        def clean(column: pa.Array) -> pa.Array:
             if not made:
                 made.append(Index(ids, texts, similarity))
             return pa.array([not found for found in made[0].matches(column.to_pylist())], pa.bool_())
 
-        docs = docs.filter(clean(F.col("text").cast("string")))
+        return clean
+
+    for ids, texts in item_slices(items):
+        docs = docs.filter(clean_of(ids, texts)(F.col("text").cast("string")))
     return docs
