@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +14,10 @@ from ..sources import literals, panel
 BREAK_DATE = "1995-01-01"
 
 
+_stores: dict[tuple[str, str, str], Store] = {}
+_registered: tuple | None = None
+
+
 @dataclass
 class Store:
     """Lazily built tables over the test tables in sf_dir. grain: the area is a nation or a region."""
@@ -21,6 +25,15 @@ class Store:
     spark: SparkSession
     sf_dir: str
     grain: str = "nation"
+    _literals: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str, grain: str = "nation") -> Store:
+        """One store per application, folder and grain: plans over its views are analysed once."""
+        key = (spark.sparkContext.applicationId, sf_dir, grain)
+        if key not in _stores:
+            _stores[key] = cls(spark, sf_dir, grain)
+        return _stores[key]
 
     @cached_property
     def observations_5y(self) -> DataFrame:
@@ -35,7 +48,9 @@ class Store:
         return panel.areas(self.spark, self.sf_dir, self.grain)
 
     def literal(self, table: str) -> DataFrame:
-        return literals.frame(self.spark, table)
+        if table not in self._literals:
+            self._literals[table] = literals.frame(self.spark, table)
+        return self._literals[table]
 
     @cached_property
     def views(self) -> dict[str, DataFrame]:
@@ -46,8 +61,13 @@ class Store:
         return season.all_views(self.views, BREAK_DATE)
 
     def register(self) -> None:
-        """Every table and view as a temporary view, for SQL over them."""
+        """Every table and view as a temporary view, for SQL over them; nothing to do if they are already."""
+        global _registered
+        key = (self.spark.sparkContext.applicationId, id(self.spark), self.sf_dir, self.grain)
+        if key == _registered:
+            return
         for name, df in {"observations_5y": self.observations_5y, "observations_1y": self.observations_1y, "areas": self.areas, **self.views, **self.seasonal_views}.items():
             df.createOrReplaceTempView(name)
         for name in literals.ROWS:
             self.literal(name).createOrReplaceTempView(name)
+        _registered = key

@@ -82,7 +82,7 @@ _SEASON = ",".join([
 def query(sql: str | None = None, needs: str = _PANEL):
     """Registers a function of a Store as a query, with its SQL over the CTEs in needs."""
     def register(f: Callable[[Store], DataFrame]):
-        QUERIES[f.__name__] = lambda spark, sf_dir: f(Store(spark, sf_dir))
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(Store.of(spark, sf_dir))
         if sql is not None:
             ORACLES[f.__name__] = f"WITH {needs} {sql}"
         return f
@@ -102,10 +102,10 @@ def _registered(s: Store) -> SparkSession:
 # --- views -----------------------------------------------------------------------------------------
 
 for _name in ("v_population_5y", "v_population_1y", "v_households_5y", "v_foreign_population_5y", "v_published_totals_5y", "v_nl_population", "v_nl_population_by_sex", "v_nl_population_by_age", "v_nl_foreign_population", "v_nl_households", "v_nl_areas", "v_nl_gaps"):
-    QUERIES[_name.replace("v_", "view_", 1)] = lambda spark, sf_dir, n=_name: Store(spark, sf_dir).views[n]
+    QUERIES[_name.replace("v_", "view_", 1)] = lambda spark, sf_dir, n=_name: Store.of(spark, sf_dir).views[n]
     ORACLES[_name.replace("v_", "view_", 1)] = f"WITH {_PANEL} SELECT * FROM {_name}"
 for _name in ("v_nl_seasonality", "v_nl_seasonality_strength", "v_nl_seasonality_age", "v_nl_seasonality_hh", "v_nl_seasonality_hh_strength"):
-    QUERIES[_name.replace("v_", "view_", 1)] = lambda spark, sf_dir, n=_name: Store(spark, sf_dir).seasonal_views[n]
+    QUERIES[_name.replace("v_", "view_", 1)] = lambda spark, sf_dir, n=_name: Store.of(spark, sf_dir).seasonal_views[n]
     ORACLES[_name.replace("v_", "view_", 1)] = f"WITH {_PANEL},{_SEASON} SELECT * FROM {_name}"
 
 
@@ -271,7 +271,7 @@ _REGION = _season_sql("regional", "(SELECT lpad(CAST(CAST(muni_code AS BIGINT) A
 @query("SELECT * FROM regional", f"{_PANEL},{_REGION}")
 def season_index_region(s: Store) -> DataFrame:
     """The flagship: the index at region grain."""
-    return Store(s.spark, s.sf_dir, "region").seasonal_views["v_nl_seasonality"]
+    return Store.of(s.spark, s.sf_dir, "region").seasonal_views["v_nl_seasonality"]
 
 
 @query("SELECT * FROM strict", f"{_PANEL},{_season_sql('strict', 'v_nl_population_by_age', 'population', 'key_code, area_name, age_class, age_order', 'trend >= 100', 'TRUE')}")
