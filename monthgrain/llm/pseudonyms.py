@@ -9,7 +9,8 @@ is as long and as valid as the value, equal values get equal pseudonyms in all d
 they are punctuated, and only who has the key can go back.
 
 Defined cases: null texts stay null and count nothing; empty texts stay empty; values that don't
-validate are left alone; repeated ids and rows are rows like others; other columns pass through.
+validate are left alone; repeated ids and rows are rows like others; other columns pass
+through, but for one named pii, which is replaced.
 """
 
 from __future__ import annotations
@@ -255,4 +256,4 @@ def pseudonyms(docs: DataFrame, key: bytes) -> DataFrame:
         return pa.StructArray.from_arrays([pa.array(new, pa.string()), *(pa.array(counts[k], pa.int32()) for k in KINDS)], names=["text", *KINDS])
 
     done = docs.withColumn("_put", put(F.col("text").cast("string")))
-    return done.select(*(F.col("_put.text").alias("text") if c == "text" else F.col(c) for c in docs.columns), F.struct(*(F.col(f"_put.{k}").alias(k) for k in KINDS)).alias("pii"))
+    return done.select(*(F.col("_put.text").alias("text") if c == "text" else F.col(c) for c in docs.columns if c != "pii"), F.struct(*(F.col(f"_put.{k}").alias(k) for k in KINDS)).alias("pii"))

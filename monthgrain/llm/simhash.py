@@ -263,11 +263,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, tau: int = TAU, keep: l
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS, tau: int = TAU) -> DataFrame:
     """One row of each group of docs, all columns: that of the least id; of several, one of the least
     hash of its columns."""
-    hashed = docs.withColumn("_row", F.xxhash64(*docs.columns))
-    grouped = near_duplicates(hashed, words, tau, keep=["_row"])
-    first = grouped.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_row")).alias("first"))
+    hashed = docs.withColumn("_simhash_row", F.xxhash64(*docs.columns))
+    grouped = near_duplicates(hashed, words, tau, keep=["_simhash_row"])
+    first = grouped.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_simhash_row")).alias("first"))
     # groups of null ids alone have a null component; each row in them is told apart by its fingerprint
-    nameless = grouped.filter("component_id IS NULL").groupBy("fp").agg(F.min("_row").alias("r")).select(F.lit(None).cast("long").alias("k_id"), F.col("r").alias("k_row"))
-    keys = first.filter("component_id IS NOT NULL").select(F.col("first.doc_id").alias("k_id"), F.col("first._row").alias("k_row")).unionByName(nameless)
-    kept = hashed.join(keys, F.col("doc_id").cast("long").eqNullSafe(F.col("k_id")) & (F.col("_row") == F.col("k_row")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_row"]).drop("_row")
+    nameless = grouped.filter("component_id IS NULL").groupBy("fp").agg(F.min("_simhash_row").alias("r")).select(F.lit(None).cast("long").alias("k_id"), F.col("r").alias("k_row"))
+    keys = first.filter("component_id IS NOT NULL").select(F.col("first.doc_id").alias("k_id"), F.col("first._simhash_row").alias("k_row")).unionByName(nameless)
+    kept = hashed.join(keys, F.col("doc_id").cast("long").eqNullSafe(F.col("k_id")) & (F.col("_simhash_row") == F.col("k_row")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_simhash_row"]).drop("_simhash_row")
