@@ -246,7 +246,8 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, tau: int = TAU, keep: list[str] | None = None) -> DataFrame:
-    """doc_id, fp and component_id (the least id of the group) of every row; with the columns in keep."""
+    """doc_id, fp, root (a fingerprint that stands for the group) and component_id (the least id of the
+    group) of every row; with the columns in keep. Where ids repeat, groups may share their least id."""
     fps = cut(fingerprints(docs, words, keep))
     nodes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
     found = cut(links(nodes.select("fp"), tau))
@@ -254,20 +255,18 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, tau: int = TAU, keep: l
         stars = components(found)
         rooted = nodes.join(stars, F.col("fp") == F.col("node"), "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
         lowest = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-        nodes = rooted.join(lowest, "root").select("fp", "component_id")
+        nodes = rooted.join(lowest, "root").select("fp", "root", "component_id")
     else:
-        nodes = nodes.select("fp", F.col("least_id").alias("component_id"))
+        nodes = nodes.select("fp", F.col("fp").alias("root"), F.col("least_id").alias("component_id"))
     return fps.join(nodes, "fp")
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS, tau: int = TAU) -> DataFrame:
-    """One row of each group of docs, all columns: that of the least id; of several, one of the least
-    hash of its columns."""
+    """One row of each group of docs, all columns: that of the least id (null ids last); of several, one
+    of the least hash of its columns."""
     hashed = docs.withColumn("_simhash_row", F.xxhash64(*docs.columns))
     grouped = near_duplicates(hashed, words, tau, keep=["_simhash_row"])
-    first = grouped.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_simhash_row")).alias("first"))
-    # groups of null ids alone have a null component; each row in them is told apart by its fingerprint
-    nameless = grouped.filter("component_id IS NULL").groupBy("fp").agg(F.min("_simhash_row").alias("r")).select(F.lit(None).cast("long").alias("k_id"), F.col("r").alias("k_row"))
-    keys = first.filter("component_id IS NOT NULL").select(F.col("first.doc_id").alias("k_id"), F.col("first._simhash_row").alias("k_row")).unionByName(nameless)
+    first = grouped.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_simhash_row")).alias("first"))
+    keys = first.select(F.col("first.doc_id").alias("k_id"), F.col("first._simhash_row").alias("k_row"))
     kept = hashed.join(keys, F.col("doc_id").cast("long").eqNullSafe(F.col("k_id")) & (F.col("_simhash_row") == F.col("k_row")), "left_semi")
     return kept.dropDuplicates(["doc_id", "_simhash_row"]).drop("_simhash_row")
