@@ -213,9 +213,12 @@ class Restorer:
             ends = np.cumsum([len(t) + 1 for t in texts])
             for k, i, j in zip(np.searchsorted(ends, a, "right").tolist(), a.tolist(), b.tolist(), strict=True):
                 raw = whole[i:j]
-                read = self.decode(raw)
-                if read != raw:
-                    out[k].append(read)
+                chain = len(raw) > 6 and raw[1] in GAPS
+                # spaced letters may begin or end with a word of one letter
+                for part in (raw, raw[2:], raw[:-2]) if chain else (raw,):
+                    read = self.decode(part)
+                    if read != part:
+                        out[k].append(read)
         return out
 
 
