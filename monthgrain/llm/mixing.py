@@ -9,7 +9,8 @@ are ranked by Pareto's ratio
     (u / (1 - u)) / (pi / (1 - pi)),    u uniform, from a hash of the id
 
 and the first ones are taken up to the size that the source still lacks: a sample of fixed size, with
-unequal probabilities between and (given weights) within sources. The document at the edge is taken
+unequal probabilities between and (given weights) within sources. What a document of great weight can't take
+for the cap isn't passed on to others, so with weights a source near its cap may stay under its target. The document at the edge is taken
 if more than half of it fits, so a source ends within half a document of its target.
 
 A hot source isn't ordered in one task: ratios fall in some sqrt(n) bins, sizes are summed by bin,

@@ -153,10 +153,13 @@ def phone(text: str, key: bytes) -> str | None:
     own = digits[len(code) :]
     american = code in ("", "1") and len(own) == 10
 
-    def valid(x: str) -> bool:
+    def assigned(x: str) -> bool:
         return not american or (x[0] in "23456789" and x[3] in "23456789")
 
-    return refill(text, code + permute_text(own, key, "phone:" + (code or "1"), valid)) if valid(own) else None
+    if not assigned(own) and not text.startswith(("+", "(")):
+        return None  # nothing but three groups of digits
+    was = assigned(own)  # numbers that can be assigned stay so, and others others
+    return refill(text, code + permute_text(own, key, "phone:" + (code or "1"), lambda x: assigned(x) == was))
 
 
 def ipv4(text: str, key: bytes) -> str | None:
