@@ -32,6 +32,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that scratch_path named, wherever Spark keeps it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialises df in the shared folder, so that later jobs and lost executors don't redo it."""
     spark = df.sparkSession
