@@ -210,9 +210,9 @@ def pyramid_totals(s: Store) -> DataFrame:
     return rows.agg(F.sum("male").alias("male"), F.sum("female").alias("female"), (F.sum("male") + F.sum("female")).alias("total"), F.max(F.greatest("male", "female")).alias("widest"))
 
 
-_RANKED = f"""SELECT *, v_to - v_from AS diff, (v_to - v_from) / CAST(v_from AS DOUBLE) * 100 AS rate FROM (
-  SELECT key_code, max(area_name) AS area_name, CAST(sum(CASE WHEN reference_date = '{FROM}' THEN value ELSE 0 END) AS BIGINT) AS v_from, CAST(sum(CASE WHEN reference_date = '{LATE}' THEN value ELSE 0 END) AS BIGINT) AS v_to
-  FROM {{}} WHERE muni_code = '000001' AND reference_date IN ('{FROM}', '{LATE}') GROUP BY key_code) WHERE v_from > 0 AND v_to > 0"""
+_RANKED = f"""SELECT a.key_code, a.area_name, a.value AS v_from, b.value AS v_to, b.value - a.value AS diff, (b.value - a.value) / CAST(a.value AS DOUBLE) * 100 AS rate
+  FROM (SELECT key_code, area_name, CAST(sum(value) AS BIGINT) AS value FROM {{0}} WHERE muni_code = '000001' AND reference_date = '{FROM}' GROUP BY ALL) a
+  JOIN (SELECT key_code, CAST(sum(value) AS BIGINT) AS value FROM {{0}} WHERE muni_code = '000001' AND reference_date = '{LATE}' GROUP BY ALL) b USING (key_code) WHERE a.value > 0 AND b.value > 0"""
 
 
 def _rounded(df: DataFrame) -> DataFrame:
