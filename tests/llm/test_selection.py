@@ -104,9 +104,9 @@ def _dedup(docs):
         for j, x in enumerate(lines):
             held.append(j)
             last = j + 1 == len(lines)
-            if last or words[j] >= 40 or words[j + 1] >= 40 or (j > 0 and md5(md5(lines[j - 1]) + md5(x))[0] < "8"):
+            if last or words[j] >= line_chunks.LONG_WORDS or words[j + 1] >= line_chunks.LONG_WORDS or (j > 0 and md5(md5(lines[j - 1]) + md5(x))[0] < "8"):
                 w = sum(words[h] for h in held)
-                chunks.append((n, i, md5(text), k, "\n".join(lines[h] for h in held), (len(held) > 1 and w >= 10) or w >= 40))
+                chunks.append((n, i, md5(text), k, "\n".join(lines[h] for h in held), (len(held) > 1 and w >= 10) or w >= line_chunks.LONG_WORDS))
                 k, held = k + 1, []
     first = {}
     for n, i, h, k, c, counts in chunks:
