@@ -14,6 +14,16 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of an Arrow batch that are Python objects at one time.
+ROWS_AT_ONCE = 1024
+
+
+def sliced(column: pa.Array) -> Iterator[list]:
+    """A column's values as lists of at most ROWS_AT_ONCE."""
+    for at in range(0, len(column), ROWS_AT_ONCE):
+        yield column.slice(at, ROWS_AT_ONCE).to_pylist()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see. Only where the cluster names none, as in
     tests on one machine, a temporary folder is made and used for the session."""
@@ -71,10 +81,12 @@ def arrow_map(df: DataFrame, make: Callable[[], Callable[..., Iterable[tuple]]],
         for batch in batches:
             if step is None:
                 step = make()
-            columns = step(*(batch.column(i) for i in range(batch.num_columns)))
             types = types or arrow_schema(schema)
-            if columns is not None:
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=t.type) if not isinstance(c, pa.Array) else c for c, t in zip(columns, types, strict=True)], schema=types)
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                columns = step(*(part.column(i) for i in range(part.num_columns)))
+                if columns is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, type=t.type) if not isinstance(c, pa.Array) else c for c, t in zip(columns, types, strict=True)], schema=types)
 
     return df.select(*names).mapInArrow(run, schema)
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map
+from .common import arrow_map, sliced
 
 SIMILARITY = 0.8
 MIN_WORDS = 5
@@ -240,7 +240,7 @@ def keep_clean(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY
         def clean(column: pa.Array) -> pa.Array:
             if not made:
                 made.append(Index(ids, texts, similarity))
-            return pa.array([not found for found in made[0].matches(column.to_pylist())], pa.bool_())
+            return pa.array([not found for part in sliced(column) for found in made[0].matches(part)], pa.bool_())
 
         return clean
 

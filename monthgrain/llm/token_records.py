@@ -38,7 +38,7 @@ MASK_DELTA = 0xA282EAD8
 #: Text in characters that one file should hold at most.
 FILE_CHARS = 24_000_000
 #: Words that one generation of a worker's cache may hold.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 120_000
 INDEX_SCHEMA = "file_no long, file string, offset long, length long, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, remainder
+from .common import arrow_map, cut, remainder, sliced
 
 MAX_LABELLED = 10_000
 #: Candidate features, the most frequent in toxic rows, that are held against clean rows.
@@ -89,11 +89,11 @@ def trigram_counts(texts: DataFrame) -> np.ndarray:
     def run(batches):
         total = np.zeros(cells, np.int64)
         for batch in batches:
-            rows = batch.column(0).to_pylist()
-            for at in range(0, len(rows), 256):
-                c = classes_of(codes_of(" " + " ".join([t for t in rows[at : at + 256] if t]).lower() + " ")).astype(np.int32)
-                if len(c) > 2:
-                    total += np.bincount((c[:-2] * LETTER_CLASSES + c[1:-1]) * LETTER_CLASSES + c[2:], minlength=cells)
+            for rows in sliced(batch.column(0)):
+                for at in range(0, len(rows), 128):
+                    c = classes_of(codes_of(" " + " ".join([t for t in rows[at : at + 128] if t]).lower() + " ")).astype(np.int32)
+                    if len(c) > 2:
+                        total += np.bincount((c[:-2] * LETTER_CLASSES + c[1:-1]) * LETTER_CLASSES + c[2:], minlength=cells)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
 
@@ -331,7 +331,7 @@ class Scorer:
 
     def scores(self, texts: list[str | None]) -> list[float]:
         out = []
-        for at in range(0, len(texts), 256):
+        for at in range(0, len(texts), 128):
             lower = [(t or "").lower() for t in texts[at : at + 256]]
             out += [self.score(t + " " + " ".join(r) if r else t) for t, r in zip(lower, self.restorer.restored(lower), strict=True)]
         return out
@@ -356,6 +356,6 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
     def score(texts: pa.Array) -> pa.Array:
         if not scorers:
             scorers.append(Scorer(model))
-        return pa.array(scorers[0].scores(texts.to_pylist()), pa.float64())
+        return pa.array([x for part in sliced(texts) for x in scorers[0].scores(part)], pa.float64())
 
     return docs.filter(score(F.col("text").cast("string")) < threshold)
