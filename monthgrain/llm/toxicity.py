@@ -332,7 +332,7 @@ class Scorer:
     def scores(self, texts: list[str | None]) -> list[float]:
         out = []
         for at in range(0, len(texts), 128):
-            lower = [(t or "").lower() for t in texts[at : at + 256]]
+            lower = [(t or "").lower() for t in texts[at : at + 128]]
             out += [self.score(t + " " + " ".join(r) if r else t) for t, r in zip(lower, self.restorer.restored(lower), strict=True)]
         return out
 
