@@ -1,0 +1,187 @@
+"""Groups of texts that share most of their word shingles.
+
+Two texts are near copies if the Jaccard similarity of their sets of WORDS-word shingles is
+SIMILARITY or more; texts reachable over near copies are a group.
+
+Candidates agree on one of BANDS bands of ROWS minima of hashed shingles (MinHash): at a similarity
+of exactly 0.8 all but 0.0002 of the pairs do, at 0.85 all but 0.000001. All candidates are held
+against each other by their whole shingle sets, so no text below the similarity is linked. First each
+text is compared with the least of its band; then the members of bands that are still in several
+groups are compared all with all, in blocks of a task, of which only a spanning forest leaves it.
+Members of over RUN are dealt out as all pairs of chunks of them.
+
+Defined cases: as in simhash (null and empty texts and those without words are near copies of each
+other, texts of fewer than WORDS words are one shingle, null ids come last).
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import arrow_map, cut
+from .simhash import _hook, components
+
+WORDS = 5
+#: As a fraction, so that the comparison is exact: 0.8.
+SIMILARITY = (4, 5)
+BANDS, ROWS = 28, 6
+#: Members of a band that are compared in one block; also the size of a chunk of larger ones.
+RUN = 1024
+
+_RNG = np.random.default_rng(42)
+_XOR = _RNG.integers(0, 2**64, BANDS * ROWS, np.uint64)
+_TIMES = _RNG.integers(0, 2**64, BANDS * ROWS, np.uint64) | np.uint64(1)
+_JOIN = _RNG.integers(0, 2**64, (BANDS, ROWS), np.uint64) | np.uint64(1)
+_PLACE = _RNG.integers(0, 2**64, 64, np.uint64) | np.uint64(1)
+
+
+def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
+    """The sorted hashes of the distinct shingles; only A-Z are lower-cased, only ASCII space splits."""
+    from xxhash import xxh64_intdigest
+
+    parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if len(parts) <= words:
+        return np.array([xxh64_intdigest(b" ".join(parts), 42)], np.uint64)
+    each = np.fromiter(map(xxh64_intdigest, parts), np.uint64, len(parts))
+    n = len(parts) - words + 1
+    total = np.zeros(n, np.uint64)
+    for k in range(words):
+        total += (each[k : k + n] ^ (each[k : k + n] >> np.uint64(31))) * _PLACE[k]
+    total = (total ^ (total >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return np.unique(total ^ (total >> np.uint64(32)))
+
+
+def bands(hashes: np.ndarray) -> np.ndarray:
+    """A key per band, as signed 64-bit numbers."""
+    least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
+    for at in range(0, len(hashes), 1024):
+        np.minimum(least, ((hashes[at : at + 1024, None] ^ _XOR) * _TIMES).min(0), out=least)
+    mixed = (least ^ (least >> np.uint64(29))).reshape(BANDS, ROWS) * _JOIN
+    return (mixed.sum(1, dtype=np.uint64) ^ np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+
+
+def alike(shared: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether sets of a and b members that share so many reach the similarity."""
+    return SIMILARITY[1] * shared >= SIMILARITY[0] * (a + b - shared)
+
+
+def forest(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (member, least member of its component) between near copies among sets, all against all."""
+    sizes = np.array([len(s) for s in sets])
+    column = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    mark = np.zeros(column.max() + 1, bool)
+    left, right = [], []
+    for i in range(len(sets) - 1):
+        own = column[starts[i] : starts[i + 1]]
+        mark[own] = True
+        shared = np.add.reduceat(mark[column[starts[i + 1] :]], starts[i + 1 : -1] - starts[i + 1], dtype=np.int64)
+        mark[own] = False
+        j = np.flatnonzero(alike(shared, sizes[i], sizes[i + 1 :])) + i + 1
+        left.append(np.full(len(j), i))
+        right.append(j)
+    label = np.arange(len(sets))
+    if left:
+        label = _hook(label, np.concatenate(left), np.concatenate(right))
+    moved = np.flatnonzero(label != np.arange(len(sets)))
+    return moved, label[moved]
+
+
+def _sets(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node and set, its shingles as bytes, of each of nodes (column node); texts has node and text."""
+
+    def make():
+        def step(ids: pa.Array, some: pa.Array):
+            return [ids, [shingles(t).tobytes() for t in some.to_pylist()]]
+
+        return step
+
+    once = texts.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    return cut(arrow_map(once, make, "node long, set binary", ["node", "text"]))
+
+
+def _near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of pairs (a > b) that are near copies."""
+    sets = _sets(texts, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+
+    def make():
+        def step(a: pa.Array, b: pa.Array, x: pa.Array, y: pa.Array):
+            sides = [[np.frombuffer(s, np.uint64) for s in side.to_pylist()] for side in (x, y)]
+            shared = np.array([len(np.intersect1d(s, t, assume_unique=True)) for s, t in zip(*sides, strict=True)])
+            keep = pa.array(alike(shared, *(np.array([len(s) for s in side]) for side in sides)))
+            return [a.filter(keep), b.filter(keep)]
+
+        return step
+
+    left, right = sets.select(F.col("node").alias("a"), F.col("set").alias("x")), sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
+    return arrow_map(pairs.join(right, "b").join(left, "a"), make, "a long, b long", ["a", "b", "x", "y"])
+
+
+def _within(members: DataFrame, texts: DataFrame, run: int) -> DataFrame:
+    """Edges between near copies that share a key; members has key, node and n, the members of the key."""
+    chunks, own = F.ceil(F.col("n") / run), F.pmod(F.xxhash64("node", F.lit("chunk")), F.ceil(F.col("n") / run))
+    pairs = F.transform(F.sequence(F.lit(0).cast("long"), chunks - 1), lambda c: F.struct(F.least(c, own).alias("i"), F.greatest(c, own).alias("j")))
+    dealt = members.select("node", "key", F.explode(pairs).alias("pair")).select("node", F.xxhash64("key", "pair.i", "pair.j").alias("key"))
+    sets = _sets(texts, members.select("node").distinct())
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def edges(nodes: list[int], sets: list[np.ndarray]):
+        i, j = forest(sets)
+        if len(i):
+            a, b = np.array(nodes)[i], np.array(nodes)[j]
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], schema=schema)
+
+    def linked(batches):
+        last, nodes, held = None, [], []
+        for batch in batches:
+            for key, node, s in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != last and nodes:
+                    yield from edges(nodes, held)
+                    nodes, held = [], []
+                last = key
+                nodes.append(node)
+                held.append(np.frombuffer(s, np.uint64))
+        if nodes:
+            yield from edges(nodes, held)
+
+    runs = dealt.join(sets, "node").repartition("key").sortWithinPartitions("key")
+    return runs.select("key", "node", "set").mapInArrow(linked, "a long, b long")
+
+
+def links(texts: DataFrame, run: int = RUN) -> DataFrame:
+    """Edges a > b between nodes that connect all near copies; texts has node, one per different text, and text."""
+
+    def make():
+        def step(ids: pa.Array, some: pa.Array):
+            return [ids, [bands(shingles(t)).tolist() for t in some.to_pylist()]]
+
+        return step
+
+    rows = arrow_map(texts, make, "node long, bands array<long>", ["node", "text"])
+    signed = cut(rows.select("node", F.explode("bands").alias("key")).distinct())
+    shared = signed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).filter("n > 1")
+    members = cut(signed.join(shared, "key"))
+    pairs = cut(members.filter("node > least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct())
+    found = cut(_near(pairs, texts))
+    stars = components(found)
+    rooted = members.join(stars.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_keys = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
+    # of two members, the one not least has been compared with it
+    rest = cut(members.filter("n > 2").join(open_keys, "key", "left_semi").select("key", "node", "n"))
+    return found if rest.isEmpty() else cut(found.union(_within(rest, texts, run)).distinct())
+
+
+def drop_near_copies(docs: DataFrame) -> DataFrame:
+    """One row of each group of docs, all columns: that of the least id (null ids last); of several, one
+    of the least hash of its columns."""
+    rows = docs.withColumn("_copies_row", F.xxhash64(*docs.columns)).withColumn("_copies_node", F.xxhash64(F.coalesce("text", F.lit(""))))
+    stars = components(links(rows.select(F.col("_copies_node").alias("node"), "text")))
+    rooted = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "_copies_row", "_copies_node").join(stars, F.col("_copies_node") == F.col("node"), "left")
+    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_copies_row")
+    first = rooted.groupBy(F.coalesce("root", "_copies_node").alias("root")).agg(F.min(place).alias("first"))
+    keys = first.select(F.col("first.doc_id").alias("k_id"), F.col("first._copies_row").alias("k_row"))
+    kept = rows.join(keys, F.col("doc_id").cast("long").eqNullSafe(F.col("k_id")) & (F.col("_copies_row") == F.col("k_row")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_copies_row"]).drop("_copies_row", "_copies_node")
