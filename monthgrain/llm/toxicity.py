@@ -6,6 +6,10 @@ a lattice of readings (a sign may stand for letters or for itself, a repeated le
 a gap between single letters for a gap or nothing); Viterbi decoding under a character trigram model
 of the corpus picks the likeliest one. All other text has a single reading, itself.
 
+Learned words are also looked for in every reading, whatever the model thinks of it: of any word with a
+sign or a letter twice in a row, and of any run of pieces of one to three letters with gaps of any
+length between. A writing that the labelled rows show to be an ordinary one ("looser") is left out.
+
 What is scored is the text with its restored stretches. Evidence are words and word beginnings that
 labelled rows show to go with the label: in how many toxic texts one occurs, where texts in which it
 first occurs between the same two words count once (so copies do), against how many clean texts have
@@ -28,6 +32,7 @@ import math
 import re
 import zlib
 from collections import defaultdict
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -52,6 +57,10 @@ SIGN_AS_LETTER, SIGN_AS_SIGN, SKIP, KEEP = 0.7, 3.0, 0.1, 1.0
 LETTER_CLASSES = 64
 WORDS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
+_MARK = f"(?:[^\\W\\d_]|[{re.escape(''.join(LEET))}])"
+TOKENS = re.compile(_MARK + "+")
+ODD = re.compile(rf"[{re.escape(''.join(LEET))}]|(.)\1")
+PIECES = re.compile(rf"(?<!{_MARK}){_MARK}{{1,3}}(?!{_MARK})(?:[^\w{re.escape(''.join(LEET))}]*[\W_]{_MARK}{{1,3}}(?!{_MARK}))+")
 
 
 def _class_table() -> np.ndarray:
@@ -222,6 +231,70 @@ class Restorer:
         return out
 
 
+class Hidden:
+    """Finds words of a list in all readings of lower-cased text."""
+
+    def __init__(self, words: Iterable[str], ordinary: frozenset[str] = frozenset()):
+        self.top: dict = {}
+        for word in words:
+            node = self.top
+            for c in word:
+                node = node.setdefault(c, {})
+            node[""] = word
+        self.ordinary, self.known = ordinary, {}
+
+    def _step(self, states: list[tuple[dict, str]], c: str, repeats: bool) -> list[tuple[dict, str]]:
+        """Where the words can be after one more character: nodes with the last letter read."""
+        after = {}
+        for node, last in states:
+            for x in LEET.get(c, c):
+                if x in node:
+                    after[id(node[x]), x] = (node[x], x)
+                if repeats and x == last:
+                    after[id(node), x] = (node, x)
+        return list(after.values())
+
+    def of_token(self, token: str) -> tuple[str, ...]:
+        """Words in the readings of letters and signs without a gap; a sign may also end or begin a word."""
+        if token in self.known:
+            return self.known[token]
+        found, states = set(), [(self.top, "")]
+        if ODD.search(token):
+            for c in token:
+                if c in LEET:
+                    found.update(node[""] for node, _ in states if "" in node)
+                states = self._step(states, c, True)
+                if c in LEET:
+                    states.append((self.top, ""))
+            found.update(node[""] for node, _ in states if "" in node)
+        if len(self.known) > 100_000:
+            self.known.clear()
+        self.known[token] = out = tuple(found)
+        return out
+
+    def of_pieces(self, run: str) -> list[tuple[str, str]]:
+        """Words that two or more pieces of a run give together, with the pieces."""
+        pieces, found = TOKENS.findall(run), []
+        for i in range(len(pieces) - 1):
+            states, alone = [(self.top, "")], True
+            for j in range(i, len(pieces)):
+                alone = alone and len(pieces[j]) == 1
+                for c in pieces[j]:
+                    states = self._step(states, c, alone)
+                if not states:
+                    break
+                if j > i and (alone or sum(map(len, pieces[i : j + 1])) > 3):
+                    found += [(node[""], " ".join(pieces[i : j + 1])) for node, _ in states if "" in node]
+        return found
+
+    def found(self, text: str) -> set[tuple[str, str]]:
+        """Words and how they are written, but for ordinary writings."""
+        out = {(word, t) for t in set(TOKENS.findall(text)) for word in self.of_token(t)}
+        for run in PIECES.finditer(text):
+            out.update(self.of_pieces(run[0]))
+        return {x for x in out if x[0] != x[1] and x[1] not in self.ordinary}
+
+
 def features_of(text: str) -> dict[str, int]:
     """`=word` and `beginning*` of the words of a text, with the surroundings each first occurs in."""
     words = ["", *WORDS.findall(text), ""]
@@ -248,6 +321,11 @@ class Model:
     logp: np.ndarray
     weights: dict[str, float]
     base: float
+    ordinary: frozenset[str] = frozenset()
+
+
+def _words_of(weights: dict[str, float]) -> list[str]:
+    return [f[1:] for f in weights if f[0] == "="]
 
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1, most: int = MAX_LABELLED) -> Model:
@@ -295,7 +373,19 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1, mos
         ratio = k * math.log(max(p, 1e-9) / share) + (n - k) * math.log(max(1 - p, 1e-9) / (1 - share)) if p > share else 0.0
         if p > MIN_PRECISION and ratio > math.log(MARGIN * len(hits)):
             weights[f] = p
-    return Model(logp, weights, 0.5 * share / (1 + n_toxic))
+
+    def make_written():
+        hidden = Hidden(_words_of(weights))
+
+        def step(texts: pa.Array, labels: pa.Array):
+            rows = [(w, y) for t, y in zip(texts.to_pylist(), labels.to_pylist(), strict=True) for w in {w for _, w in hidden.found((t or "").lower())}]
+            return [[w for w, _ in rows], [y for _, y in rows]]
+
+        return step
+
+    written = arrow_map(sample, make_written, "written string, label int", ["text", "label"]).groupBy("written").agg(F.sum("label").alias("k"), F.count("*").alias("n")).filter("n > k").collect()
+    ordinary = frozenset(r["written"] for r in written if (r["k"] + 0.5) / (r["n"] + 1) <= MIN_PRECISION)
+    return Model(logp, weights, 0.5 * share / (1 + n_toxic), ordinary)
 
 
 class Scorer:
@@ -305,6 +395,7 @@ class Scorer:
         import ahocorasick
 
         self.model, self.restorer = model, Restorer(model.logp)
+        self.hidden = Hidden(_words_of(model.weights), model.ordinary)
         found: dict[str, list[tuple[bool, float]]] = defaultdict(list)
         for f, p in model.weights.items():
             found[f.strip("=*")].append((f[0] == "=", p))
@@ -314,7 +405,7 @@ class Scorer:
         if found:
             self.automaton.make_automaton()
 
-    def score(self, text: str) -> float:
+    def score(self, text: str, hidden: Iterable[str] = ()) -> float:
         if not self.model.weights:
             return self.model.base
         clean, seen = 1.0 - self.model.base, set()
@@ -327,13 +418,19 @@ class Scorer:
                 if exact <= whole and (text[start : end + 1], exact) not in seen:
                     seen.add((text[start : end + 1], exact))
                     clean *= 1.0 - p
+        for word in hidden:
+            for f in features_of(word):
+                if f in self.model.weights and (key := (f.strip("=*"), f[0] == "=")) not in seen:
+                    seen.add(key)
+                    clean *= 1.0 - self.model.weights[f]
         return 1.0 - clean
 
     def scores(self, texts: list[str | None]) -> list[float]:
         out = []
         for at in range(0, len(texts), 128):
             lower = [(t or "").lower() for t in texts[at : at + 128]]
-            out += [self.score(t + " " + " ".join(r) if r else t) for t, r in zip(lower, self.restorer.restored(lower), strict=True)]
+            hidden = [sorted({word for word, _ in self.hidden.found(t)}) for t in lower]
+            out += [self.score(t + " " + " ".join(r) if r else t, h) for t, r, h in zip(lower, self.restorer.restored(lower), hidden, strict=True)]
         return out
 
 
