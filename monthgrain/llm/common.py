@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -25,17 +24,9 @@ def sliced(column: pa.Array) -> Iterator[list]:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see. Only where the cluster names none, as in
-    tests on one machine, a temporary folder is made and used for the session."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    known = spark.sparkContext.getCheckpointDir()
-    if known:
-        return known
-    made = tempfile.mkdtemp(prefix="monthgrain-")
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+    """The folder that the driver and all executors see: the one the cluster names, else one in the
+    warehouse, which they share too."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -56,6 +47,37 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def own_name(df: DataFrame, name: str) -> str:
+    """name, or with underscores before it, so that no column of df is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns of a row. Maps have no hash of their own; their text does."""
+    return F.xxhash64(*(F.col(f"`{f.name}`").cast("string") if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in df.schema))
+
+
+#: Keys that may be looked up by broadcast: those with over 1 / HOT_KEYS of all rows, so no more than this.
+HOT_KEYS = 1000
+
+
+def look_up(rows: DataFrame, key: str, table: DataFrame, count: str, total: int, spread: list[str]) -> DataFrame:
+    """rows with the columns of table (a row per key; null where it has none), but for its count.
+
+    count says how many rows have the key, of total. Keys with over 1 / HOT_KEYS of the rows, which are
+    HOT_KEYS at most, are broadcast, and their rows dealt out by a hash of the columns in spread; all
+    others are joined by shuffle."""
+    names = [c for c in table.columns if c not in (key, count)]
+    hot = F.col(count) * HOT_KEYS > total
+    found, rest = (table.filter(which).select(F.col(key).alias(f"_{side}_key"), F.struct(*names).alias(f"_{side}")) for side, which in (("hot", hot), ("rest", ~hot)))
+    salted = rows.join(F.broadcast(found), F.col(key) == F.col("_hot_key"), "left").withColumn("_salt", F.when(F.col("_hot_key").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64(*spread), F.lit(1 << 16))))
+    joined = salted.join(rest.withColumn("_rest_salt", F.lit(0).cast("long")), (F.col(key) == F.col("_rest_key")) & (F.col("_salt") == F.col("_rest_salt")), "left")
+    return joined.select(*rows.columns, *(F.coalesce(F.col(f"_hot.{n}"), F.col(f"_rest.{n}")).alias(n) for n in names))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

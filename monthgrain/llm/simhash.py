@@ -16,14 +16,22 @@ together in sorted runs; links are verified in blocks of a run, of which only a
 leaves the task. A signature that more than RUN fingerprints share is dealt out as all pairs of
 chunks of them, so that no task holds more than two chunks at once, and no pair is left out.
 
+`drop_near_copies` puts the same search to texts of which most word shingles are the same (Jaccard): two
+fingerprints of a text's set of shingles, from independent hashes, are searched in turn, and what is
+found by one and not refuted by the other is held against the whole sets. A third of all texts may be
+copies of one: keys of many rows are looked up by broadcast (`look_up`) or dealt out in chunks.
+
 Defined cases: null text is the empty text; a text of fewer than `words` words is one shingle, one
-without words has the fingerprint 0, linked like any other; repeated ids and rows are rows like
-others; null ids belong to groups but don't name them unless there is nothing else; an empty table
-gives an empty result; other columns are ignored.
+without words has the fingerprint 0, linked like any other; very long texts are read whole, and leave
+a fingerprint or a set of hashes, of 8 bytes a shingle; repeated ids and rows are rows like others;
+of equal least ids the row of the least hash stands for its group; null ids belong to groups but don't
+name them unless there is nothing else; an empty table gives an empty result; other columns pass
+through `drop_near_duplicates` and `drop_near_copies`, whatever their names and types.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
 from math import comb
 
@@ -32,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut
+from .common import arrow_map, cut, look_up, own_name, row_hash
 
 WORDS = 4
 TAU = 4
@@ -41,8 +49,16 @@ BITS = 64
 RUN = 2048
 #: Relative costs of moving a signature and of comparing two fingerprints, in microseconds.
 SIGNATURE_COST, COMPARE_COST = 1.0, 0.002
-#: Signatures of a fingerprint that a plan may use at most.
+#: Signatures of a fingerprint that a group's threshold may ask for; there is always a plan with one a group.
 MAX_SIGNATURES = 3000
+#: Of texts that share most of their sets of shingles: words of a shingle, the Jaccard similarity as a fraction,
+#: so that the comparison is exact, and the bits by which one fingerprint and the other may differ.
+SET_WORDS, SIMILARITY = 5, (4, 5)
+SET_TAU, OTHER_TAU = 13, 22
+#: Sets of shingles that are compared in one block.
+SET_RUN = 1024
+#: Members of a component over which its hub counts as hot.
+HUB = 100_000
 
 
 def fingerprint(text: str | None, words: int = WORDS) -> int:
@@ -129,6 +145,9 @@ def plan(n: int, both: np.ndarray, tau: int = TAU) -> list[tuple[list[int], int]
             row = [0.0]
             for e in range(tau + 1):
                 signatures = comb(len(bits), e)
+                if e >= len(bits):  # no bit would have to agree
+                    row.append(float("inf"))
+                    continue
                 # pairs that agree on all but e bits of the group: the average over which bits those are
                 odds = np.exp(np.log(agree[bits]).mean() * (len(bits) - e))
                 row.append(float("inf") if signatures > MAX_SIGNATURES else n * signatures * SIGNATURE_COST + n * n / 2 * odds * signatures * COMPARE_COST)
@@ -151,30 +170,31 @@ def signature_masks(groups: list[tuple[list[int], int]]) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def forest(fps: np.ndarray, ends: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (member, least member of its component) in each run of fps; ends: where runs end."""
-    n = len(fps)
+def forest(near: Callable[[np.ndarray, np.ndarray], np.ndarray], ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (member, least member of its component) in each run of rows; ends: where runs end. near
+    says of two arrays of row numbers (of shapes that go together) which rows are linked."""
     starts = np.concatenate([[0], ends[:-1]])
     sizes = ends - starts
+    n = int(ends[-1])
     left, right = [], []
     end_of = np.repeat(ends, sizes)
     short = end_of - np.repeat(starts, sizes) <= 128
     for k in range(1, int(sizes[sizes <= 128].max(initial=1))):
         i = np.flatnonzero(short[: n - k] & (np.arange(k, n) < end_of[: n - k]))
-        i = i[np.bitwise_count(fps[i] ^ fps[i + k]) <= tau]
+        i = i[near(i, i + k)]
         left.append(i)
         right.append(i + k)
     label = np.arange(n)
     if left:
         label = _hook(label, np.concatenate(left), np.concatenate(right))
     for a, b in zip(starts[sizes > 128].tolist(), ends[sizes > 128].tolist(), strict=True):
-        run, own = fps[a:b], np.arange(b - a)
-        for at in range(0, len(run), 512):
-            i, j = np.nonzero(np.bitwise_count(run[at : at + 512, None] ^ run[None, :]) <= tau)
-            own = _hook(own, i + at, j)
+        own = np.arange(b - a)
+        for at in range(a, b, 512):
+            i, j = np.nonzero(near(np.arange(at, min(at + 512, b))[:, None], np.arange(at, b)[None, :]))
+            own = _hook(own, i + at - a, j + at - a)
         label[a:b] = own + a
     moved = np.flatnonzero(label != np.arange(n))
-    return fps[moved], fps[label[moved]]
+    return moved, label[moved]
 
 
 def _hook(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -190,83 +210,272 @@ def _hook(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             label = label[label]
 
 
-def links(nodes: DataFrame, tau: int = TAU, run: int = RUN) -> DataFrame:
-    """Edges a > b between distinct fingerprints (column fp of nodes) that connect all that are linked."""
+def links(nodes: DataFrame, tau: int = TAU, run: int = RUN, other_tau: int | None = None) -> DataFrame:
+    """Edges a > b that connect all linked nodes. nodes has fp, distinct; with other_tau it has node, fp
+    and other, and links also need the others to be within other_tau bits."""
     n, both = bit_counts(nodes)
     masks = signature_masks(plan(n, both, tau))
+    carried = ["fp"] if other_tau is None else ["node", "fp", "other"]
     key = F.xxhash64(F.col("mask"), F.col("fp").bitwiseAND(F.col("mask")))
-    signed = nodes.select("fp", F.explode(F.array(*(F.lit(m).cast("long") for m in masks))).alias("mask")).select("fp", key.alias("key"))
-    hot = cut(signed.groupBy("key").count().filter(F.col("count") > run).select(F.col("key").alias("hot"), F.ceil(F.col("count") / run).cast("int").alias("chunks")))
+    signed = nodes.select(*carried, F.explode(F.array(*(F.lit(m).cast("long") for m in masks))).alias("mask")).select(*carried, key.alias("key"))
+    hot = cut(signed.groupBy("key").count().filter(F.col("count") > run).select("key", "count", F.ceil(F.col("count") / run).cast("int").alias("chunks")))
     if not hot.isEmpty():
         own = F.pmod(F.xxhash64("fp", F.lit("chunk")), F.col("chunks"))
         pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(F.least(c, own).alias("i"), F.greatest(c, own).alias("j")))
-        dealt = signed.join(hot, signed["key"] == hot["hot"], "left").select("fp", "key", F.explode(F.when(F.col("hot").isNotNull(), pairs).otherwise(F.array(F.struct(F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j"))))).alias("pair"))
-        signed = dealt.select("fp", F.xxhash64("key", "pair.i", "pair.j").alias("key"))
+        dealt = look_up(signed, "key", hot, "count", n * len(masks), ["fp"]).select(*carried, "key", F.explode(F.when(F.col("chunks").isNotNull(), pairs).otherwise(F.array(F.struct(F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j"))))).alias("pair"))
+        signed = dealt.select(*carried, F.xxhash64("key", "pair.i", "pair.j").alias("key"))
     runs = signed.repartition("key").sortWithinPartitions("key")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def linked(batches):
-        keys, fps = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        held = np.zeros((len(carried) + 1, 0), np.int64)
         for batch in batches:
-            keys = np.concatenate([keys, batch.column(0).to_numpy()])
-            fps = np.concatenate([fps, batch.column(1).to_numpy().view(np.uint64)])
-            ends = np.flatnonzero(keys[1:] != keys[:-1]) + 1  # the last run may go on in the next batch
+            held = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns])], axis=1)
+            ends = np.flatnonzero(held[0, 1:] != held[0, :-1]) + 1  # the last run may go on in the next batch
             if len(ends):
-                yield from edges(fps[: ends[-1]], ends)
-                keys, fps = keys[ends[-1] :], fps[ends[-1] :]
-        if len(keys):
-            yield from edges(fps, np.array([len(keys)]))
-
-    def edges(fps, ends):
-        a, b = (x.view(np.int64) for x in forest(fps, ends, tau))
+                yield from edges(held[1:, : ends[-1]], ends)
+                held = held[:, ends[-1] :]
+        if held.shape[1]:
+            yield from edges(held[1:], np.array([held.shape[1]]))
+
+    def edges(rows, ends):
+        if other_tau is None:
+            fps = rows[0].view(np.uint64)
+            near = lambda i, j: np.bitwise_count(fps[i] ^ fps[j]) <= tau
+        else:
+            fps, others = rows[1].view(np.uint64), rows[2].view(np.uint64)
+
+            def near(i, j):
+                close = np.bitwise_count(fps[i] ^ fps[j]) <= tau
+                at = np.nonzero(close)
+                i, j = (np.broadcast_to(x, close.shape)[at] for x in (i, j))
+                close[at] = np.bitwise_count(others[i] ^ others[j]) <= other_tau
+                return close
+
+        a, b = (rows[0][x] for x in forest(near, ends))
         if len(a):
             yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], schema=schema)
 
-    return runs.select("key", "fp").mapInArrow(linked, "a long, b long").distinct()
+    return runs.select("key", *carried).mapInArrow(linked, "a long, b long").filter("a <> b").distinct()
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """node and root, the least node of its component, for each node in edges (a > b).
 
     Large-star and small-star rounds in turn: every node's neighbours are hung on the least of them,
-    until all hang on the least node. Each round is cut off in the shared folder."""
+    until all hang on the least node. Each round is cut off in the shared folder. Where a node has over
+    HUB neighbours, those look up the least of them by `look_up` rather than by a join on the node."""
     e, before = cut(edges), None
+    n, busiest = e.count(), 0
     for _ in range(rounds):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m")
-        small = large.join(least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
+        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"), "n")
+        large = _least_of(both.filter("b > a"), least, 2 * n, busiest).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
+        if busiest > HUB:
+            large = cut(large)
+        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select(F.col("a").alias("u"), "m", "n")
+        small = _least_of(large, least, n, busiest).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
         e = cut(small.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct())
-        state = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
+        n, state, busiest = e.select(F.col("b").alias("u"), F.xxhash64("a", "b").cast("decimal(38,0)").alias("h")).groupBy("u").agg(F.count("*").alias("n"), F.sum("h").alias("h")).agg(F.sum("n"), F.sum("h"), F.max("n")).first()
+        if (n, state) == before:
             return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = state
+        before, n, busiest = (n, state), n or 0, busiest or 0
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
+def _least_of(edges: DataFrame, least: DataFrame, n: int, busiest: int) -> DataFrame:
+    """edges with m, the least neighbour of a."""
+    if busiest <= HUB:
+        return edges.join(least, F.col("a") == F.col("u"))
+    return look_up(edges, "a", cut(least).withColumnRenamed("u", "a"), "n", n, ["b"])
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, tau: int = TAU, keep: list[str] | None = None) -> DataFrame:
     """doc_id, fp, root (a fingerprint that stands for the group) and component_id (the least id of the
     group) of every row; with the columns in keep. Where ids repeat, groups may share their least id."""
     fps = cut(fingerprints(docs, words, keep))
-    nodes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
-    found = cut(links(nodes.select("fp"), tau))
+    nodes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n")))
+    found, total = cut(links(nodes.select("fp"), tau)), fps.count()
     if not found.isEmpty():
         stars = components(found)
-        rooted = nodes.join(stars, F.col("fp") == F.col("node"), "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-        lowest = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-        nodes = rooted.join(lowest, "root").select("fp", "root", "component_id")
+        rooted = cut(nodes.join(stars, F.col("fp") == F.col("node"), "left").select("fp", "least_id", "n", F.coalesce("root", "fp").alias("root")))
+        lowest = cut(rooted.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count("*").alias("size")))
+        nodes = cut(look_up(rooted, "root", lowest, "size", nodes.count(), ["fp"]).select("fp", "root", "component_id", "n"))
     else:
-        nodes = nodes.select("fp", F.col("fp").alias("root"), F.col("least_id").alias("component_id"))
-    return fps.join(nodes, "fp")
+        nodes = nodes.select("fp", F.col("fp").alias("root"), F.col("least_id").alias("component_id"), "n")
+    return look_up(fps, "fp", nodes, "n", total, ["doc_id", *(keep or [])])
+
+
+def _first_of_each(rows: DataFrame, group: str, row: str) -> DataFrame:
+    """The ids and row hashes that stand for the groups of rows (doc_id, group, row): the least id, null
+    ids last, and of several the least hash."""
+    first = rows.groupBy(group).agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", F.col(row).alias("r"))).alias("first"))
+    return first.select(F.col("first.doc_id").alias("i"), F.col("first.r").alias("r"))
+
+
+def _rows_of(docs: DataFrame, row: str, chosen: DataFrame) -> DataFrame:
+    """The rows of docs (with the column row) that are chosen (i, r), each once."""
+    i, r = own_name(docs, "chosen_id"), own_name(docs, "chosen_row")
+    keys = chosen.select(F.col("i").alias(i), F.col("r").alias(r))
+    kept = docs.join(keys, F.col("doc_id").cast("long").eqNullSafe(F.col(i)) & (F.col(row) == F.col(r)), "left_semi")
+    return kept.dropDuplicates(["doc_id", row]).drop(row)
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS, tau: int = TAU) -> DataFrame:
     """One row of each group of docs, all columns: that of the least id (null ids last); of several, one
     of the least hash of its columns."""
-    hashed = docs.withColumn("_simhash_row", F.xxhash64(*docs.columns))
-    grouped = near_duplicates(hashed, words, tau, keep=["_simhash_row"])
-    first = grouped.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_simhash_row")).alias("first"))
-    keys = first.select(F.col("first.doc_id").alias("k_id"), F.col("first._simhash_row").alias("k_row"))
-    kept = hashed.join(keys, F.col("doc_id").cast("long").eqNullSafe(F.col("k_id")) & (F.col("_simhash_row") == F.col("k_row")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_simhash_row"]).drop("_simhash_row")
+    row = own_name(docs, "row_hash")
+    hashed = docs.withColumn(row, row_hash(docs))
+    grouped = near_duplicates(hashed.select("doc_id", "text", F.col(row).alias("r")), words, tau, keep=["r"])
+    return _rows_of(hashed, row, _first_of_each(grouped, "root", "r"))
+
+
+# --- texts that share most of their shingles ------------------------------------------------------------------
+
+_PLACE = np.random.default_rng(42).integers(0, 2**64, 64, np.uint64) | np.uint64(1)
+
+
+def shingle_set(text: str | None, words: int = SET_WORDS) -> np.ndarray:
+    """The sorted hashes of the distinct shingles, each rolled from those of its words."""
+    from xxhash import xxh64_intdigest
+
+    parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if len(parts) <= words:
+        return np.array([xxh64_intdigest(b" ".join(parts), 42)], np.uint64)
+    each = np.fromiter(map(xxh64_intdigest, parts), np.uint64, len(parts))
+    n = len(parts) - words + 1
+    total = np.zeros(n, np.uint64)
+    for k in range(words):
+        total += (each[k : k + n] ^ (each[k : k + n] >> np.uint64(31))) * _PLACE[k]
+    return np.unique(_mixed(total))
+
+
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    hashes = (hashes ^ (hashes >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return hashes ^ (hashes >> np.uint64(32))
+
+
+def set_fingerprint(hashes: np.ndarray) -> int:
+    """The fingerprint of a set of hashes, as a signed number."""
+    set_bits = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), 255):
+        some = hashes[at : at + 255]
+        set_bits += np.add.reduce(np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"), axis=0, dtype=np.uint8)
+    return int(np.packbits(set_bits * 2 > len(hashes), bitorder="little").view(np.int64)[0])
+
+
+def alike(shared: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether sets of a and b members that share so many reach SIMILARITY."""
+    return SIMILARITY[1] * shared >= SIMILARITY[0] * (a + b - shared)
+
+
+def _sets(texts: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """node and set, its shingles as bytes, of each of nodes (column node). Equal texts are one before they
+    are shuffled to meet the nodes."""
+
+    def make():
+        return lambda ids, some: [ids, [shingle_set(t, words).tobytes() for t in some.to_pylist()]]
+
+    once = texts.groupBy("node").agg(F.first("text").alias("text"))
+    return cut(arrow_map(once.join(nodes, "node", "left_semi"), make, "node long, set binary", ["node", "text"]))
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """Those of pairs (a > b) whose sets are alike."""
+    sets = _sets(texts, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), words)
+
+    def make():
+        def step(a: pa.Array, b: pa.Array, x: pa.Array, y: pa.Array):
+            sides = [[np.frombuffer(s, np.uint64) for s in side.to_pylist()] for side in (x, y)]
+            shared = np.array([len(np.intersect1d(s, t, assume_unique=True)) for s, t in zip(*sides, strict=True)])
+            keep = pa.array(alike(shared, *(np.array([len(s) for s in side]) for side in sides)))
+            return [a.filter(keep), b.filter(keep)]
+
+        return step
+
+    left, right = sets.select(F.col("node").alias("a"), F.col("set").alias("x")), sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
+    return arrow_map(pairs.join(left, "a").join(right, "b"), make, "a long, b long", ["a", "b", "x", "y"])
+
+
+def _all_within(members: DataFrame, texts: DataFrame, words: int, run: int) -> DataFrame:
+    """Edges that connect all alike sets of a group; members has node, group and n, the members of the group.
+    A group is dealt out as all pairs of chunks of run members."""
+    chunks, own = F.ceil(F.col("n") / run), F.pmod(F.xxhash64("node", F.lit("chunk")), F.ceil(F.col("n") / run))
+    pairs = F.transform(F.sequence(F.lit(0).cast("long"), chunks - 1), lambda c: F.struct(F.least(c, own).alias("i"), F.greatest(c, own).alias("j")))
+    dealt = members.select("node", "group", F.explode(pairs).alias("pair")).select("node", F.xxhash64("group", "pair.i", "pair.j").alias("key"))
+    sets = _sets(texts, members.select("node").distinct(), words)
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def edges(nodes: list[int], sets: list[np.ndarray]):
+        sizes = np.array([len(s) for s in sets])
+        column = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        mark, label = np.zeros(column.max() + 1, bool), np.arange(len(sets))
+        for i in range(len(sets) - 1):
+            own = column[starts[i] : starts[i + 1]]
+            mark[own] = True
+            shared = np.add.reduceat(mark[column[starts[i + 1] :]], starts[i + 1 : -1] - starts[i + 1], dtype=np.int64)
+            mark[own] = False
+            j = np.flatnonzero(alike(shared, sizes[i], sizes[i + 1 :])) + i + 1
+            label = _hook(label, np.full(len(j), i), j)
+        moved = np.flatnonzero(label != np.arange(len(sets)))
+        if len(moved):
+            a, b = np.array(nodes)[moved], np.array(nodes)[label[moved]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], schema=schema)
+
+    def linked(batches):
+        last, nodes, held = None, [], []
+        for batch in batches:
+            for key, node, s in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != last and nodes:
+                    yield from edges(nodes, held)
+                    nodes, held = [], []
+                last = key
+                nodes.append(node)
+                held.append(np.frombuffer(s, np.uint64))
+        if nodes:
+            yield from edges(nodes, held)
+
+    runs = dealt.join(sets, "node").repartition("key").sortWithinPartitions("key")
+    return runs.select("key", "node", "set").mapInArrow(linked, "a long, b long")
+
+
+def set_links(texts: DataFrame, words: int = SET_WORDS, tau: int = SET_TAU, other_tau: int = OTHER_TAU, run: int = SET_RUN) -> DataFrame:
+    """Edges a > b that connect the nodes of texts (node, a hash of the text, and text) whose sets are alike.
+
+    First a forest of what the fingerprints find is held against the sets. Where a group that the
+    fingerprints connect falls apart by that, all its members are held against each other."""
+
+    def make():
+        def step(ids: pa.Array, some: pa.Array):
+            sets = [shingle_set(t, words) for t in some.to_pylist()]
+            return [ids, [set_fingerprint(s) for s in sets], [set_fingerprint(_mixed(s)) for s in sets]]
+
+        return step
+
+    prints = cut(arrow_map(texts, make, "node long, fp long, other long", ["node", "text"]).dropDuplicates(["node"]))
+    swapped = prints.select("node", F.col("other").alias("fp"), F.col("fp").alias("other"))
+    found = cut(links(prints, tau, other_tau=other_tau).union(links(swapped, tau, other_tau=other_tau)).distinct())
+    true = cut(_verified(found, texts, words))
+    stars = components(found).select("node", F.col("root").alias("group"))
+    rooted = stars.join(components(true), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    parted = rooted.groupBy("group").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    # the group's least node is not in its own stars, and of two members the one has been held against the other
+    parted = cut(parted.filter((F.col("n") > 1) & ((F.col("low") < F.col("high")) | (F.col("low") != F.col("group")))).select("group", F.col("n") + 1))
+    if parted.isEmpty():
+        return true
+    parted = parted.toDF("group", "n")
+    members = stars.join(parted, "group").select("node", "group", "n").union(parted.select("group", "group", "n"))
+    return cut(true.union(_all_within(cut(members), texts, words, run)).distinct())
+
+
+def drop_near_copies(docs: DataFrame, words: int = SET_WORDS, tau: int = SET_TAU, other_tau: int = OTHER_TAU) -> DataFrame:
+    """One row of each group of docs whose sets of shingles are alike (SIMILARITY), all columns, chosen as
+    by `drop_near_duplicates`. Texts are told apart by a 64-bit hash."""
+    row, node = own_name(docs, "row_hash"), own_name(docs, "text_hash")
+    hashed = docs.withColumn(row, row_hash(docs)).withColumn(node, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    rows = cut(hashed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(row).alias("r"), F.col(node).alias("node")))
+    stars = components(set_links(hashed.select(F.col(node).alias("node"), "text"), words, tau, other_tau))
+    sized = cut(rows.groupBy("node").agg(F.count("*").alias("n")).join(stars, "node", "left").select("node", "n", F.coalesce("root", "node").alias("root")))
+    rooted = look_up(rows, "node", sized, "n", rows.count(), ["doc_id", "r"])
+    return _rows_of(hashed, row, _first_of_each(rooted, "root", "r"))

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from monthgrain.llm import near_copies
+from monthgrain.llm import simhash
 
 
 def _firsts(docs):
@@ -36,12 +36,12 @@ def _edited(rng, words, n):
     return words
 
 
-@pytest.mark.parametrize("run", [4, near_copies.RUN])
+@pytest.mark.parametrize("run", [4, simhash.SET_RUN])
 def test_pipeline_stage_by_brute_force(spark, run, monkeypatch):
     """Copies about as alike as the limit, chains of them and groups with many members that aren't alike."""
     import corpus_pipeline
 
-    monkeypatch.setattr(near_copies.links, "__defaults__", (run,))
+    monkeypatch.setattr(simhash.set_links, "__defaults__", (*simhash.set_links.__defaults__[:-1], run))
     rng = random.Random(2)
     docs = []
     for g in range(30):
