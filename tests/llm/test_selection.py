@@ -89,55 +89,100 @@ def test_mixing_edges(spark, odd, none):
     assert mixing.decide(none, size).isEmpty() and mixing.mix(none, size).isEmpty()
 
 
+def _lines(text):
+    """Lines by a walk over the words: a line ends after a line break, a sentence, or so many words."""
+    out, line, words = [], "", 0
+    for word in re.findall(r"[^ \n]*[ \n]?", text):
+        line, words = line + word, words + 1
+        if not word:
+            break
+        if word[-1] == "\n" or words == line_chunks.LINE_WORDS or (word[-1] == " " and len(word) > 1 and word[-2] in ".!?"):
+            out.append(line)
+            line, words = "", 0
+    return out + [line] * (line != "")
+
+
 def _dedup(docs):
-    """Line dedup by definition."""
+    """Line dedup by definition: (id, text, lines removed) of each row."""
     import hashlib
+    from collections import Counter
 
     md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    split = [None if t is None else _lines(t) for _, t in docs]
+    times = Counter(x for lines in split if lines for x in lines)
     chunks = []
-    for n, (i, text) in enumerate(docs):
-        if text is None:
-            continue
-        lines = text.split("\n")
-        words = [len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in lines]
-        k, held = 0, []
-        for j, x in enumerate(lines):
-            held.append(j)
-            last = j + 1 == len(lines)
-            if last or words[j] >= line_chunks.LONG_WORDS or words[j + 1] >= line_chunks.LONG_WORDS or (j > 0 and md5(md5(lines[j - 1]) + md5(x))[0] < "8"):
-                w = sum(words[h] for h in held)
-                chunks.append((n, i, md5(text), k, "\n".join(lines[h] for h in held), (len(held) > 1 and w >= 10) or w >= line_chunks.LONG_WORDS))
-                k, held = k + 1, []
+    for row, lines in enumerate(split):
+        n = [times[x] for x in lines or []]
+        stretch = []
+        for i, x in enumerate(lines or []):
+            if n[i] < 2:
+                stretch = []
+                continue
+            changes = i > 1 and i + 1 < len(n) and n[i - 2] == n[i - 1] != n[i] == n[i + 1] and n[i - 1] > 1
+            if not stretch or changes:
+                stretch = []
+                chunks.append((row, stretch))
+            stretch.append(i)
+    pieces = []
+    for row, stretch in chunks:
+        h = [int(md5(split[row][i])[:15], 16) % line_chunks.MODULUS for i in stretch]
+        r = [sum(h[p - k] * (line_chunks.BASE**k % line_chunks.MODULUS) for k in range(line_chunks.WINDOW) if p >= k) % line_chunks.MODULUS for p in range(len(h))]
+        cut = [p + 1 for p in range(1, len(r) - 2) if r[p - 1] > r[p] < r[p + 1]]
+        for a, b in zip([0, *cut], [*cut, len(stretch)]):
+            if b - a > 1:
+                pieces.append((row, stretch[a:b], "".join(split[row][i] for i in stretch[a:b])))
+    place = lambda row, own: (docs[row][0] is None, docs[row][0] or 0, md5(docs[row][1]), own[0])
     first = {}
-    for n, i, h, k, c, counts in chunks:
-        if counts:
-            place = (i is None, i or 0, h, k)
-            first[c] = min(first.get(c, place), place)
-    kept = {}
-    for n, i, h, k, c, counts in chunks:
-        if not counts or first[c] == (i is None, i or 0, h, k):
-            kept.setdefault(n, []).append(c)
-    return [(i, None if t is None else "\n".join(kept.get(n, []))) for n, (i, t) in enumerate(docs)]
+    for row, own, content in pieces:
+        first[content] = min(first.get(content, place(row, own)), place(row, own))
+    gone = {(row, i) for row, own, content in pieces if place(row, own) != first[content] for i in own}
+    return [(i, t if t is None else "".join(x for k, x in enumerate(split[row]) if (row, k) not in gone), sum(r == row for r, _ in gone)) for row, (i, t) in enumerate(docs)]
 
 
 def test_line_dedup_by_definition(spark, odd, none):
     rng = random.Random(4)
-    pool = [" ".join(rng.choice("abcdefgh") * rng.randrange(1, 5) for _ in range(rng.choice([2, 6, 9, 45]))) for _ in range(30)]
-    passage = [pool[i] for i in (1, 2, 3, 4, 5, 6)]
+    pool = [" ".join(rng.choice("abcdefgh") * rng.randrange(1, 5) for _ in range(rng.choice([2, 6, 9, 45]))) + rng.choice(["", ".", "!", ". "]) for _ in range(30)]
+    passage = [pool[i] for i in range(1, 13)]
     docs = []
     for i in range(200):
         lines = [" ".join(rng.choice(pool).split()[:1]) + str(rng.random()) for _ in range(rng.randrange(6))]
         at = rng.randrange(len(lines) + 1)
-        lines[at:at] = passage if i % 3 == 0 else [rng.choice(pool)] if i % 3 == 1 else []
-        docs.append((i // 2 if i % 10 == 0 else i, "\n".join(lines)))
-    docs += [(None, docs[0][1]), (900, None), (901, ""), (7, docs[7][1]), (902, "\n\n")]
+        lines[at:at] = passage[rng.randrange(4) :] if i % 3 == 0 else [rng.choice(pool) for _ in range(rng.randrange(4))] if i % 3 == 1 else []
+        docs.append((i // 2 if i % 10 == 0 else i, rng.choice("\n  ").join(lines)))
+    docs += [(None, docs[0][1]), (900, None), (901, ""), (7, docs[7][1]), (902, "\n\n"), (903, "\t. ? \n.\n\r\n ."), (904, "same. " * 50 + "x" * 5000), (905, "same. " * 50)]
     got = line_chunks.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"))
     key = lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or "")
-    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=key) == sorted(_dedup(docs), key=key)
+    assert sorted(((r.doc_id, r.text, r.removed_lines) for r in got.collect()), key=key) == sorted(_dedup(docs), key=key)
     assert got.agg(F.sum("removed_lines")).first()[0] > 100
     assert line_chunks.dedup_lines(odd).count() == odd.count() and line_chunks.dedup_lines(none).isEmpty()
 
 
+def test_hash_of_several_chunk_texts(spark, monkeypatch):
+    """Where a hash stands for several texts, chunks are still matched byte by byte."""
+    monkeypatch.setattr(line_chunks, "_md5", lambda text: F.when(text.isNotNull(), F.lit("0" * 15) if "chunk" in str(text) else F.md5(text.cast("binary"))))
+    docs = [(i, f"begin{i} here.\n" + ("one line\ntwo lines\n" if i % 2 else "other line\nlast line\n") + f"end {i}") for i in range(6)]
+    got = line_chunks.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text, r.removed_lines) for r in got) == sorted(_dedup(docs))
+
+
+def test_repeated_passages_go(spark):
+    """0.9 or more of the words of passages of over 50 words go from all but their first document, in every form
+    of several lines or sentences, next to other text and to other repeated passages."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 8)))
+    for lines, words, mark in ((25, 8, "\n"), (12, 5, "\n"), (8, 8, "\n"), (6, 12, ". "), (5, 15, "\n"), (4, 19, ". "), (3, 22, "\n"), (1, 90, "\n")):
+        docs, inside = [], 0
+        for p in range(40):
+            passage = "".join(" ".join(word() for _ in range(words)) + mark for _ in range(lines))
+            for copy in range(3):
+                before, after = ("".join(" ".join(word() for _ in range(9)) + "\n" for _ in range(rng.randrange(1, 5))) for _ in range(2))
+                docs.append((len(docs), before + passage + after))
+                inside += copy > 0
+        got = line_chunks.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"))
+        removed = sum(len(t.split()) for _, t in docs) - sum(len(r.text.split()) for r in got.collect())
+        assert removed >= 0.9 * inside * lines * words, (lines, words, removed / (inside * lines * words))
+
+
 def test_distance_by_definition():
     def plain(p, t):
         row = [0] * (len(t) + 1)
