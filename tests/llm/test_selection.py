@@ -237,10 +237,36 @@ def test_op7_finds_every_verbatim_item(spark, small):
 def test_decontamination_edges(spark, odd, none):
     items = spark.createDataFrame([(1, "quick brown fox jumps over the lazy dog"), (2, None), (3, ""), (4, "too short"), (None, "quick brown fox jumps over the lazy dog"), (6, "word " * 500)], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontamination.matches(odd, items).collect()}
-    assert got == {(1, 1), (1, None), (5, 6)}
+    assert got == {(1, 1), (1, None), (5, 6)}  # (4, "too short") is in no text
     kept = decontamination.keep_clean(odd, items)
     assert kept.columns == odd.columns and kept.count() == odd.count() - 3
     assert decontamination.matches(none, items).isEmpty() and decontamination.matches(odd, items.limit(0)).isEmpty()
     assert decontamination.keep_clean(odd, items.limit(0)).count() == odd.count()
-    slices = decontamination.item_slices(items, 100)
+    slices = list(decontamination.item_slices(items, 10))
     assert len(slices) > 1 and sum(len(i) for i, _ in slices) == 6
+    several = {(r.doc_id, r.item_id) for r in decontamination.matches(odd, items, most=10).collect()}
+    assert several == got and sorted(map(str, decontamination.keep_clean(odd, items, most=10).collect())) == sorted(map(str, kept.collect()))
+
+
+def test_short_items_are_found_word_for_word(spark):
+    rng = random.Random(11)
+    items = [(n, " ".join(rng.choice("abc") for _ in range(n % 4 + 1))) for n in range(12)] + [(20, "Left, right!"), (21, "?!")]
+    docs = [(i, " ".join(rng.choice("abcde") for _ in range(rng.randrange(12)))) for i in range(60)] + [(60, "to the left right"), (61, None)]
+    got = {(r.doc_id, r.item_id, r.distance, r.item_words) for r in decontamination.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    clean = {i: f" {re.sub('[^a-z]+', ' ', t.lower()).strip()} " for i, t in items}
+    assert got == {(d, i, 0, len(x.split())) for d, t in docs for i, x in clean.items() if x.strip() and x in f" {t} "}
+
+
+def test_very_long_items():
+    """An item of 20,000 words with 5,000 different ones needs little memory, and is found with edits all over."""
+    import tracemalloc
+
+    rng = random.Random(12)
+    long = [f"w{rng.randrange(5000)}" for _ in range(20_000)]
+    tracemalloc.start()
+    index = decontamination.Index([1, 2], [" ".join(long), " ".join(long[:300])])
+    assert tracemalloc.get_traced_memory()[1] < 40_000_000
+    tracemalloc.stop()
+    copy = [f"new{i}" if rng.random() < 0.1 else w for i, w in enumerate(long)]
+    found = index.matches([" ".join(["x"] * 50 + copy + ["y"] * 50), " ".join(long[5000:9000])])
+    assert set(found[0]) == {0, 1} and not found[1] and found[0][0][0] == sum(w[0] == "n" for w in copy)
