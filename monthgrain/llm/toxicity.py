@@ -14,16 +14,19 @@ What is scored is the text with its restored stretches. Evidence are words and w
 labelled rows show to go with the label: in how many toxic texts one occurs, where texts in which it
 first occurs between the same two words count once (so copies do), against how many clean texts have
 it. A feature is kept if that is far from chance (a likelihood ratio beyond what as many random
-features would reach) and nearly all of its occurrences are toxic. A text's score is the chance that
+features would reach, counting those that are frequent enough to reach it at all) and nearly all of its
+occurrences are toxic. Features are counted, joined and tested as a table; only kept ones are collected. A text's score is the chance that
 at least one of the features found in it is right, on top of the rate among texts without any.
 
 Labels are read from at most MAX_LABELLED rows, those of the least hash of doc_id; the character
 model counts all texts.
 
-Defined cases: null and empty texts get the base rate; labels of null rows are not used; a doc_id
-labelled more than once is toxic if one label says so; if there are no labelled rows, or none is
-toxic, the base rate is 0 and all scores are; repeated ids and rows are scored each; other columns
-pass through `keep_clean` and are ignored by `scores`.
+Defined cases: null and empty texts get the base rate; very long texts are read whole; labels of null
+rows are not used; a doc_id labelled more than once is toxic if one label says so, and of several rows
+with a labelled id the one of the least hash teaches; equally likely readings give the one found first;
+if there are no labelled rows (an empty table, say), or none is toxic, the base rate is 0 and all scores
+are; repeated ids and rows are scored each; other columns pass through `keep_clean` and are ignored by
+`scores`.
 """
 
 from __future__ import annotations
@@ -43,8 +46,6 @@ from pyspark.sql import functions as F
 from .common import arrow_map, cut, remainder, sliced
 
 MAX_LABELLED = 10_000
-#: Candidate features, the most frequent in toxic rows, that are held against clean rows.
-MAX_CANDIDATES = 100_000
 THRESHOLD = 0.7
 #: A feature is kept if chance would give less than 1 / MARGIN features like it.
 MARGIN = 1.0
@@ -60,7 +61,6 @@ PREFIXES = (4, 5, 6)
 _MARK = f"(?:[^\\W\\d_]|[{re.escape(''.join(LEET))}])"
 TOKENS = re.compile(_MARK + "+")
 ODD = re.compile(rf"[{re.escape(''.join(LEET))}]|(.)\1")
-PIECES = re.compile(rf"(?<!{_MARK}){_MARK}{{1,3}}(?!{_MARK})(?:[^\w{re.escape(''.join(LEET))}]*[\W_]{_MARK}{{1,3}}(?!{_MARK}))+")
 
 
 def _class_table() -> np.ndarray:
@@ -83,6 +83,27 @@ _SIGN[[ord(c) for c in LEET if ord(c) < 256]] = True
 _GAP[[ord(c) for c in GAPS]] = True
 
 
+def _mark_table() -> np.ndarray:
+    """Which characters can be part of a word: letters and look-alikes."""
+    table = np.zeros(0x110000, bool)
+    table[[ord(c) for c in re.findall(_MARK, "".join(map(chr, range(0x110000))))]] = True
+    return table
+
+
+def _alike_table() -> np.ndarray:
+    """Each character as one of those that it may be read as, or be confused with by way of a sign."""
+    table = np.arange(0x110000, dtype=np.uint32)
+    for sign, letters in LEET.items():
+        for c in letters:
+            low, high = sorted((table[ord(letters[0])], table[ord(c)]))
+            table[table == high] = low
+        table[ord(sign)] = table[ord(letters[0])]
+    return table
+
+
+MARKS, ALIKE = _mark_table(), _alike_table()
+
+
 def codes_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
@@ -232,15 +253,26 @@ class Restorer:
 
 
 class Hidden:
-    """Finds words of a list in all readings of lower-cased text."""
+    """Finds words of a list in all readings of lower-cased text.
+
+    What may hold one is found by its letters, look-alikes taken for one and repeats left out; only there
+    are readings followed."""
 
     def __init__(self, words: Iterable[str], ordinary: frozenset[str] = frozenset()):
+        import ahocorasick
+
         self.top: dict = {}
+        self.shapes = ahocorasick.Automaton()
         for word in words:
             node = self.top
             for c in word:
                 node = node.setdefault(c, {})
             node[""] = word
+            shape = ALIKE[codes_of(word)]
+            shape = shape[np.concatenate([[True], shape[1:] != shape[:-1]])].tobytes().decode("utf-32-le", "surrogatepass")
+            self.shapes.add_word(shape, len(shape))
+        if self.top:
+            self.shapes.make_automaton()
         self.ordinary, self.known = ordinary, {}
 
     def _step(self, states: list[tuple[dict, str]], c: str, repeats: bool) -> list[tuple[dict, str]]:
@@ -287,12 +319,50 @@ class Hidden:
                     found += [(node[""], " ".join(pieces[i : j + 1])) for node, _ in states if "" in node]
         return found
 
-    def found(self, text: str) -> set[tuple[str, str]]:
-        """Words and how they are written, but for ordinary writings."""
-        out = {(word, t) for t in set(TOKENS.findall(text)) for word in self.of_token(t)}
-        for run in PIECES.finditer(text):
-            out.update(self.of_pieces(run[0]))
-        return {x for x in out if x[0] != x[1] and x[1] not in self.ordinary}
+    def _may_hold(self, codes: np.ndarray, marks: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[int]:
+        """Which of the spans from a to b (one after the other) hold the shape of a word."""
+        if not len(a):
+            return []
+        inside = np.zeros(len(codes) + 1, np.int8)
+        inside[a] += 1
+        inside[b] -= 1
+        at = np.flatnonzero(marks & (np.cumsum(inside[:-1]) > 0))
+        span, shape = np.searchsorted(b, at, "right"), ALIKE[codes[at]]
+        new = np.concatenate([[True], span[1:] != span[:-1]])
+        keep = new | np.concatenate([[True], shape[1:] != shape[:-1]])
+        span, shape, new = span[keep], shape[keep], new[keep]
+        starts = np.flatnonzero(new)
+        text = np.insert(shape, starts, 10).tobytes().decode("utf-32-le", "surrogatepass")
+        ends = np.array([end for end, _ in self.shapes.iter(text)], np.int64)
+        if not len(ends):
+            return []
+        return sorted(set(span[starts[np.searchsorted(starts + np.arange(len(starts)), ends, "right") - 1]].tolist()))
+
+    def found(self, texts: list[str]) -> list[set[tuple[str, str]]]:
+        """Of each text the words and how they are written, but for ordinary writings."""
+        out: list[set[tuple[str, str]]] = [set() for _ in texts]
+        if not self.top or not texts:
+            return out
+        whole = "\n".join(texts)
+        codes = codes_of(whole)
+        marks = MARKS[codes]
+        edge = np.diff(np.concatenate([[0], marks.astype(np.int8), [0]]))
+        a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        text = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), a, "right")
+        twice = np.concatenate([[0], np.cumsum(np.concatenate([[False], codes[1:] == codes[:-1]])[: len(codes)])])
+        signs = np.concatenate([[0], np.cumsum(_SIGN[np.minimum(codes, 255)] & (codes < 256) | (codes == ord("€")))])
+        odd = np.flatnonzero((signs[b] > signs[a]) | (twice[b] > twice[np.minimum(a + 1, b)]))
+        for k in self._may_hold(codes, marks, a[odd], b[odd]):
+            token = whole[a[odd[k]] : b[odd[k]]]
+            out[text[odd[k]]].update((word, token) for word in self.of_token(token))
+        short = b - a <= 3
+        goes_on = np.zeros(len(a), bool)  # with the piece before
+        goes_on[1:] = short[1:] & short[:-1] & (text[1:] == text[:-1])
+        first = np.flatnonzero(~goes_on & np.concatenate([goes_on[1:], [False]]))
+        last = np.flatnonzero(goes_on & ~np.concatenate([goes_on[1:], [False]]))
+        for k in self._may_hold(codes, marks, a[first], b[last]):
+            out[text[first[k]]].update(self.of_pieces(whole[a[first[k]] : b[last[k]]]))
+        return [{x for x in found if x[0] != x[1] and x[1] not in self.ordinary} for found in out]
 
 
 def features_of(text: str) -> dict[str, int]:
@@ -310,10 +380,12 @@ def features_of(text: str) -> dict[str, int]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, most: int) -> DataFrame:
-    """text and label (0 or 1) of at most `most` labelled documents outside the held-out ones."""
+    """text and label (0 or 1) of at most `most` labelled documents outside the held-out ones, a row an id."""
     by_id = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col(label).cast("int").alias("label")).filter("_id IS NOT NULL AND label IS NOT NULL").groupBy("_id").agg(F.max("label").alias("label"))
     chosen = cut(by_id.filter(remainder("_id", modulus) != held).orderBy(F.xxhash64("_id"), "_id").limit(most))  # 16 bytes a row
-    return docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(F.broadcast(chosen), "_id").select("text", "label")
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "_id")
+    one = rows.groupBy("_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "label")).alias("one"))
+    return one.select("one.text", "one.label")
 
 
 @dataclass
@@ -324,6 +396,20 @@ class Model:
     ordinary: frozenset[str] = frozenset()
 
 
+def frequent_enough(counts: dict[int, int], share: float) -> tuple[int, int]:
+    """The least frequency at which a feature could pass the test, and how many features have it or a
+    greater one; counts says how many features have each frequency. Rarer ones could not pass if they were
+    in toxic texts alone, and don't count among those that chance might let pass."""
+    at_least = 0
+    best = (max(counts, default=0) + 1, 0)
+    for k in sorted(counts, reverse=True):
+        at_least += counts[k]
+        if k * math.log((k + 0.5) / (k + 1) / share) <= math.log(MARGIN * at_least):
+            break
+        best = (k, at_least)
+    return best
+
+
 def _words_of(weights: dict[str, float]) -> list[str]:
     return [f[1:] for f in weights if f[0] == "="]
 
@@ -349,36 +435,34 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1, mos
 
         return step
 
-    seen = arrow_map(sample.filter("label = 1"), make_toxic, "feature string, around long", ["text"])
-    top = seen.distinct().groupBy("feature").count().filter("count >= 3").orderBy(F.desc("count"), "feature").limit(MAX_CANDIDATES)
-    hits = {r["feature"]: r["count"] for r in top.collect()}
-
     def make_clean():
         def step(texts: pa.Array):
             out: dict[str, int] = defaultdict(int)
             for text in full(texts.to_pylist()):
-                for f in features_of(text).keys() & hits.keys():
+                for f in features_of(text):
                     out[f] += 1
             return [list(out), list(out.values())]
 
         return step
 
+    seen = arrow_map(sample.filter("label = 1"), make_toxic, "feature string, around long", ["text"])
+    toxic = cut(seen.distinct().groupBy("feature").agg(F.count("*").alias("k")))
     clean = arrow_map(sample.filter("label = 0"), make_clean, "feature string, n long", ["text"]).groupBy("feature").agg(F.sum("n").alias("n"))
-    misses = {r["feature"]: r["n"] for r in clean.collect()}
     share = n_toxic / (n_toxic + n_clean)
-    weights = {}
-    for f, k in hits.items():
-        n = k + misses.get(f, 0)
-        p = (k + 0.5) / (n + 1)
-        ratio = k * math.log(max(p, 1e-9) / share) + (n - k) * math.log(max(1 - p, 1e-9) / (1 - share)) if p > share else 0.0
-        if p > MIN_PRECISION and ratio > math.log(MARGIN * len(hits)):
-            weights[f] = p
+    least, tested = frequent_enough({r["k"]: r["n"] for r in toxic.groupBy("k").agg(F.count("*").alias("n")).collect()}, share)
+    k, n = F.col("k"), F.coalesce("n", F.lit(0)) + F.col("k")
+    p = (k + 0.5) / (n + 1)
+    ratio = k * F.log(p / share) + (n - k) * F.log((1 - p) / (1 - share)) if share < 1 else F.lit(0.0)
+    kept = toxic.filter(k >= least).join(clean, "feature", "left").select("feature", p.alias("p"), ratio.alias("ratio"))
+    kept = kept.filter((F.col("p") > max(MIN_PRECISION, share)) & (F.col("ratio") > math.log(MARGIN * max(tested, 1))))
+    weights = {r["feature"]: r["p"] for r in kept.orderBy("feature").collect()}
 
     def make_written():
         hidden = Hidden(_words_of(weights))
 
         def step(texts: pa.Array, labels: pa.Array):
-            rows = [(w, y) for t, y in zip(texts.to_pylist(), labels.to_pylist(), strict=True) for w in {w for _, w in hidden.found((t or "").lower())}]
+            found = hidden.found([(t or "").lower() for t in texts.to_pylist()])
+            rows = [(w, y) for ws, y in zip(found, labels.to_pylist(), strict=True) for w in {w for _, w in ws}]
             return [[w for w, _ in rows], [y for _, y in rows]]
 
         return step
@@ -429,7 +513,7 @@ class Scorer:
         out = []
         for at in range(0, len(texts), 128):
             lower = [(t or "").lower() for t in texts[at : at + 128]]
-            hidden = [sorted({word for word, _ in self.hidden.found(t)}) for t in lower]
+            hidden = [sorted({word for word, _ in found}) for found in self.hidden.found(lower)]
             out += [self.score(t + " " + " ".join(r) if r else t, h) for t, r, h in zip(lower, self.restorer.restored(lower), hidden, strict=True)]
         return out
 
