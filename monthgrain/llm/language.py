@@ -7,24 +7,27 @@ of several styles isn't held to their average. The language of the nearest centr
 The score is that cosine against the best of any other language. A text farther from its centroid
 than nearly all (1 - REJECTED) labelled texts of the language is marked as rejected.
 
-Document frequencies count all labelled texts; centroids are fitted on at most MAX_LABELLED of them,
-those of the least hash of doc_id.
+Document frequencies count all labelled texts; centroids are fitted on at most MAX_LABELLED of them: of
+each language those of the least hash, and all languages get their first one before any gets another,
+so that rare ones are learned too.
 
 Defined cases: null texts and texts without a letter get `und` and score 0, and are marked rejected;
-so do all where nothing could be learned; rows with null lang or id teach nothing; repeated ids and
-rows are rows like others; other columns are ignored.
+so do all where nothing could be learned (an empty table, say); very long texts are counted whole; of
+equally near languages the first by name wins; rows with null lang or id teach nothing, and rows equal in
+id, language and text teach once; repeated ids and rows are predicted each; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, remainder
+from .common import arrow_map, cut, look_up, remainder
 from .toxicity import codes_of
 
 MAX_LABELLED = 4_000
@@ -110,6 +113,21 @@ class Model:
         return langs, np.concatenate(scores or [np.zeros(0)]).astype(float), np.concatenate(rejected or [np.zeros(0, bool)])
 
 
+def sampled(taught: DataFrame, most: int) -> DataFrame:
+    """lang and text of at most `most` rows of taught (doc_id, lang, text), as even over the languages as it
+    goes. Languages are thinned by hash before their rows are ranked, so that none is ranked whole."""
+    text_hash, draw = F.xxhash64("text"), F.xxhash64("doc_id", "lang", "text")
+    narrow = taught.select("doc_id", "lang", text_hash.alias("text_hash"), draw.alias("draw"))
+    counts = narrow.groupBy("lang").agg(F.count("*").alias("count"))
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    rates = cut(counts.select("lang", "count", F.least(F.lit(1.0), F.lit(4.0 * most) / F.col("count")).alias("rate")))
+    thinned = look_up(narrow, "lang", rates, "count", total, ["draw"]).filter(F.pmod("draw", F.lit(1 << 30)) < F.col("rate") * (1 << 30))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
+    chosen = cut(thinned.dropDuplicates(["doc_id", "lang", "text_hash"]).withColumn("rank", rank).filter(F.col("rank") <= most).orderBy("rank", "draw", "lang").limit(most).select("doc_id", "lang", "text_hash"))
+    rows = taught.withColumn("text_hash", text_hash).join(F.broadcast(chosen), ["doc_id", "lang", "text_hash"])
+    return rows.groupBy("doc_id", "lang", "text_hash").agg(F.min("text").alias("text")).select("lang", "text")
+
+
 def fit(docs: DataFrame, modulus: int = 5, held: int = 0, most: int = MAX_LABELLED) -> Model:
     taught = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang")).filter("lang IS NOT NULL").filter(remainder("doc_id", modulus) != held)
 
@@ -127,23 +145,20 @@ def fit(docs: DataFrame, modulus: int = 5, held: int = 0, most: int = MAX_LABELL
         df[cell] = n
     idf = np.log((1 + df[-1]) / (1 + df[:-1])).astype(np.float32) + 1
 
-    chosen = cut(taught.select("doc_id", "lang").orderBy(F.xxhash64("doc_id", "lang"), "doc_id", "lang").limit(most).distinct())
-    rows = taught.join(F.broadcast(chosen), ["doc_id", "lang"])
-
     def make():
         def step(langs: pa.Array, texts: pa.Array):
-            return [langs, [None if c is None else np.bincount(c, minlength=DIMENSIONS).clip(0, 65535).astype("<u2").tobytes() for c in (gram_cells(t) if t else None for t in texts.to_pylist())]]
+            return [langs, [None if c is None else zlib.compress(np.bincount(c, minlength=DIMENSIONS).astype("<u4").tobytes(), 1) for c in (gram_cells(t) if t else None for t in texts.to_pylist())]]
 
         return step
 
-    table = arrow_map(rows, make, "lang string, cells binary", ["lang", "text"]).filter("cells IS NOT NULL").toArrow()
+    table = arrow_map(sampled(taught, most), make, "lang string, cells binary", ["lang", "text"]).filter("cells IS NOT NULL").toArrow()
     by_lang: dict[str, list[bytes]] = {}
     for lang, cells in zip(table["lang"].to_pylist(), table["cells"].to_pylist(), strict=True):
-        by_lang.setdefault(lang, []).append(cells)
+        by_lang.setdefault(lang, []).append(zlib.decompress(cells))
     langs = sorted(by_lang)
     centroids, owner, least = [], [], []
     for k, lang in enumerate(langs):
-        x = normalised(np.log1p(np.frombuffer(b"".join(sorted(by_lang[lang])), "<u2").reshape(-1, DIMENSIONS).astype(np.float32)) * idf)
+        x = normalised(np.log1p(np.frombuffer(b"".join(sorted(by_lang[lang])), "<u4").reshape(-1, DIMENSIONS).astype(np.float32)) * idf)
         own = spherical_means(x, CENTROIDS)
         centroids.append(own)
         owner += [k] * len(own)

@@ -14,12 +14,14 @@ for the cap isn't passed on to others, so with weights a source near its cap may
 if more than half of it fits, so a source ends within half a document of its target.
 
 A hot source isn't ordered in one task: ratios fall in some sqrt(n) bins, sizes are summed by bin,
-and documents are ordered only within their bin.
+and documents are ordered only within their bin. Only ids and sizes are shuffled for that: what a
+source takes is all up to some ratio, so `mix` compares each document with that of its source.
 
 Defined cases: null text has size 0 and nothing is taken of it; the null source is a source of its
-own, last in order; repeated ids have equal u, and are ordered by size; repeated rows are each
-counted; an empty table gives an empty result; reruns give equal results; other columns pass through
-(`mix`) or are dropped (`decide`).
+own, last in order; very long texts count whole, and one too long for what is left is the last that is
+looked at; repeated ids have equal u, and are ordered by size; repeated rows are each counted; an empty
+table gives an empty result; reruns give equal results; other columns pass through (`mix`) or are
+dropped (`decide`).
 """
 
 from __future__ import annotations
@@ -67,33 +69,37 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_c
     )
 
 
-def _planned(rows: DataFrame, narrow: DataFrame, weights: tuple[int, ...], max_copies: int, seed: str) -> DataFrame:
-    """rows with _id, _source, _size, _weight to these and _source_size, _target, _copies."""
+def _plan(narrow: DataFrame, weights: tuple[int, ...], max_copies: int) -> DataFrame:
+    """By source (_of): its size and target, its size times weight, and into how many bins its ratios go."""
     totals = cut(narrow.groupBy("_source").agg(F.sum("_size").alias("source_size"), F.sum(F.col("_size") * F.col("_weight")).alias("_weighted"), F.count("*").alias("_n")))
     targets = source_targets(totals.select(F.col("_source").alias("source"), "source_size"), weights, max_copies)
-    plan = cut(
+    return cut(
         totals.drop("source_size").join(targets, F.col("_source").eqNullSafe(F.col("source")))
         .select(F.col("_source").alias("_of"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), "_weighted", F.ceil(F.sqrt("_n")).alias("_bins"))
     )
-    small = plan.count() <= BROADCAST_SOURCES
-
-    def with_ratio(df: DataFrame) -> DataFrame:
-        per_unit = F.when(F.col("_weighted") > 0, F.col("_target") / F.col("_weighted")).otherwise(F.lit(0.0))
-        u = uniform(F.col("_id"), seed)
-        pi = F.least(F.greatest(F.col("_expected") - F.col("_whole"), F.lit(1e-12)), F.lit(1 - 1e-12))
-        mean_pi = F.least(F.greatest(F.col("_mean") - F.floor("_mean"), F.lit(1e-12)), F.lit(1 - 1e-12))
-        scaled = F.col("_ratio") * (mean_pi / (1 - mean_pi))
-        return (
-            df.join(F.broadcast(plan) if small else plan, F.col("_source").eqNullSafe(F.col("_of")))
-            .withColumn("_expected", F.least(F.col("_weight") * per_unit, F.lit(float(max_copies))))
-            .withColumn("_mean", F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(F.lit(0.0)))
-            .withColumn("_whole", F.floor("_expected"))
-            .withColumn("_u", u)
-            .withColumn("_ratio", F.when(F.col("_whole") >= max_copies, F.lit(float("inf"))).otherwise((F.col("_u") / (1 - F.col("_u"))) / (pi / (1 - pi))))
-            .withColumn("_bin", F.when(F.col("_ratio") == float("inf"), F.col("_bins")).otherwise(F.least(F.floor(scaled / (1 + scaled) * F.col("_bins")), F.col("_bins") - 1)))
-        )
-
-    by_bin = with_ratio(narrow).groupBy("_of", "_bin").agg(F.sum("_size").alias("_bin_size"), F.sum(F.col("_size") * F.col("_whole")).alias("_bin_whole"))
+
+
+def _with_ratio(df: DataFrame, plan: DataFrame, max_copies: int, seed: str) -> DataFrame:
+    """df (_id, _source, _size, _weight) with its source's plan, _whole, _u, _ratio and _bin."""
+    per_unit = F.when(F.col("_weighted") > 0, F.col("_target") / F.col("_weighted")).otherwise(F.lit(0.0))
+    u = uniform(F.col("_id"), seed)
+    pi = F.least(F.greatest(F.col("_expected") - F.col("_whole"), F.lit(1e-12)), F.lit(1 - 1e-12))
+    mean_pi = F.least(F.greatest(F.col("_mean") - F.floor("_mean"), F.lit(1e-12)), F.lit(1 - 1e-12))
+    scaled = F.col("_ratio") * (mean_pi / (1 - mean_pi))
+    return (
+        df.join(F.broadcast(plan) if plan.count() <= BROADCAST_SOURCES else plan, F.col("_source").eqNullSafe(F.col("_of")))
+        .withColumn("_expected", F.least(F.col("_weight") * per_unit, F.lit(float(max_copies))))
+        .withColumn("_mean", F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(F.lit(0.0)))
+        .withColumn("_whole", F.floor("_expected"))
+        .withColumn("_u", u)
+        .withColumn("_ratio", F.when(F.col("_whole") >= max_copies, F.lit(float("inf"))).otherwise((F.col("_u") / (1 - F.col("_u"))) / (pi / (1 - pi))))
+        .withColumn("_bin", F.when(F.col("_ratio") == float("inf"), F.col("_bins")).otherwise(F.least(F.floor(scaled / (1 + scaled) * F.col("_bins")), F.col("_bins") - 1)))
+    )
+
+
+def _planned(rows: DataFrame, narrow: DataFrame, plan: DataFrame, max_copies: int, seed: str) -> DataFrame:
+    """rows with _id, _source, _size, _weight to these and _source_size, _target, _copies."""
+    by_bin = _with_ratio(narrow, plan, max_copies, seed).groupBy("_of", "_bin").agg(F.sum("_size").alias("_bin_size"), F.sum(F.col("_size") * F.col("_whole")).alias("_bin_whole"))
     in_order = Window.partitionBy("_of").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     edges = by_bin.select(
         F.col("_of").alias("_edge_of"), F.col("_bin").alias("_edge_bin"),
@@ -103,7 +109,7 @@ def _planned(rows: DataFrame, narrow: DataFrame, weights: tuple[int, ...], max_c
     within = Window.partitionBy("_of", "_bin").orderBy("_ratio", "_u", "_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
     reach = F.col("_before") + F.coalesce(F.sum("_size").over(within), F.lit(0)) + F.col("_size") / 2.0
     return (
-        with_ratio(rows).join(edges, F.col("_of").eqNullSafe(F.col("_edge_of")) & (F.col("_bin") == F.col("_edge_bin")))
+        _with_ratio(rows, plan, max_copies, seed).join(edges, F.col("_of").eqNullSafe(F.col("_edge_of")) & (F.col("_bin") == F.col("_edge_bin")))
         .withColumn("_reach", reach)
         .withColumn("_copies", F.when(F.col("_size") > 0, F.col("_whole") + F.when((F.col("_whole") < max_copies) & (F.col("_reach") <= F.col("_target") - F.col("_certain")), 1).otherwise(0)).otherwise(0).cast("int"))
     )
@@ -116,14 +122,24 @@ def _narrow(docs: DataFrame, size: Column, weight: Column | None) -> DataFrame:
 def decide(docs: DataFrame, size: Column, weight: Column | None = None, weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES, seed: str = SEED) -> DataFrame:
     """A row per document: doc_id, source, size, source_size, target, copies."""
     narrow = cut(_narrow(docs, size, weight))
-    planned = _planned(narrow, narrow, weights, max_copies, seed)
+    planned = _planned(narrow, narrow, _plan(narrow, weights, max_copies), max_copies, seed)
     return planned.select(F.col("_id").alias("doc_id"), F.col("_source").alias("source"), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_copies").alias("copies"))
 
 
 def mix(docs: DataFrame, size: Column, weight: Column | None = None, weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES, seed: str = SEED) -> DataFrame:
     """The documents of the mix, all their columns, each as often as it is taken."""
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"), F.col("source").alias("_source"), size.alias("_size"), (F.lit(1.0) if weight is None else weight.cast("double")).alias("_weight"))
-    planned = _planned(rows, cut(_narrow(docs, size, weight)), weights, max_copies, seed)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col("doc_id").alias("_id"), F.col("source").alias("_source"), size.alias("_size"), (F.lit(1.0) if weight is None else weight.cast("double")).alias("_weight"))
+    narrow = cut(_narrow(docs, size, weight))
+    plan = _plan(narrow, weights, max_copies)
+    decided = cut(_planned(narrow, narrow, plan, max_copies, seed).filter("_size > 0 AND _whole < " + str(max_copies)).select("_of", F.struct("_ratio", "_u", "_id", "_size").alias("_place"), (F.col("_copies") > F.col("_whole")).alias("_more")))
+    last = cut(decided.filter("_more").groupBy("_of").agg(F.max("_place").alias("_last")))
+    beyond = decided.filter("NOT _more").join(last.withColumnRenamed("_of", "_last_of"), F.col("_of").eqNullSafe(F.col("_last_of")) & (F.col("_place") <= F.col("_last")))
+    if beyond.isEmpty():
+        known = plan.join(last.withColumnRenamed("_of", "_last_of"), F.col("_of").eqNullSafe(F.col("_last_of")), "left").drop("_last_of")
+        more = F.coalesce(F.struct("_ratio", "_u", "_id", "_size") <= F.col("_last"), F.lit(False)) & (F.col("_whole") < max_copies)
+        planned = _with_ratio(rows, cut(known), max_copies, seed).withColumn("_copies", F.when(F.col("_size") > 0, F.col("_whole") + more.cast("int")).otherwise(0).cast("int"))
+    else:  # the last one that is taken has its equals, of which not all are
+        planned = _planned(rows, narrow, plan, max_copies, seed)
     taken = planned.filter(F.col("_copies") > 0).select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"))
     return taken.select("_row.*")
 

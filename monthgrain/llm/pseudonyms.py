@@ -6,16 +6,21 @@ calendar), e-mail addresses and secrets (access keys, passwords and tokens in he
 through a keyed permutation of their own format: a Feistel network over the values of their free
 characters, walked on until the outcome is valid again, with check digits made anew. So a pseudonym
 is as long and as valid as the value, equal values get equal pseudonyms in all documents, however
-they are punctuated, and only who has the key can go back.
-
-Defined cases: null texts stay null and count nothing; empty texts stay empty; values that don't
-validate are left alone; repeated ids and rows are rows like others; other columns pass
-through, but for one named pii, which is replaced.
+they are punctuated, and only who has the key can go back. Addresses of a reserved block stay in it,
+and public ones public. Dates stay within 1900 to 2099 or outside, and days and months of one digit
+stay so; only a month that is written out may get a name of another length.
+
+Defined cases: null texts stay null and count nothing; empty texts stay empty; very long texts and
+secrets are read whole; of two values that overlap the one that begins first is taken, and of those the
+first of the kinds in PATTERN; values that don't validate are left alone; repeated ids and rows are rows
+like others; an empty table gives an empty result; other columns pass through, but for one named pii,
+which is replaced.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Callable
 from datetime import date, timedelta
@@ -24,9 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import own_name
+
 ROUNDS = 10
 KINDS = ("email", "iban", "card", "phone", "ssn", "ipv4", "date", "secret")
-FIRST_DAY, LAST_DAY = date(1900, 1, 1), date(2099, 12, 31)
+FIRST_YEAR, LAST_YEAR = 1900, 2099
+#: Reserved blocks of addresses, with the bits that all of a block share.
+BLOCKS = {"0.0.0.0": 8, "10.0.0.0": 8, "100.64.0.0": 10, "127.0.0.0": 8, "169.254.0.0": 16, "172.16.0.0": 12, "192.168.0.0": 16, "224.0.0.0": 4, "240.0.0.0": 4}
 #: English month names as written in dates.
 MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
 _MONTH = "|".join(MONTHS)
@@ -36,7 +45,7 @@ PATTERN = re.compile(
     rf"""
     (?P<email>(?<![\w.+-])[A-Za-z0-9][\w.+-]*@[A-Za-z0-9][A-Za-z0-9-]*(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,24}}(?![\w-]))
   | (?P<secret>(?<![A-Za-z0-9])AKIA[A-Z0-9]{{16}}(?![A-Za-z0-9])
-      |(?i:password|passwd|token|secret|api[_-]?key)\s*[=:]\s*["']?[0-9A-Fa-f]{{12,128}}(?![0-9A-Za-z]))
+      |(?i:password|passwd|token|secret|api[_-]?key)\s*[=:]\s*["']?[0-9A-Fa-f]{{12,}}(?![0-9A-Za-z]))
   | (?P<iban>(?<![A-Za-z0-9])[A-Z]{{2}}\d{{2}}(?:\ ?[A-Z0-9]{{4}}){{2,7}}(?:\ ?[A-Z0-9]{{1,3}})?(?![A-Za-z0-9]))
   | (?P<date>(?<![\w.-])(?:\d{{4}}(?P<s1>[-/.])\d\d?(?P=s1)\d\d?|\d\d?(?P<s2>[-/.])\d\d?(?P=s2)\d{{4}})(?![\w-]|\.\d)
       |(?<!\w)(?:(?:{_MONTH})\ \d\d?,?\ \d{{4}}|\d\d?\ (?:{_MONTH})\ \d{{4}})(?!\w))
@@ -167,15 +176,27 @@ def ipv4(text: str, key: bytes) -> str | None:
     if any(p > 255 for p in parts) or any(len(x) > 1 and x[0] == "0" for x in text.split(".")):
         return None
 
-    def valid(n: int) -> bool:
-        return 0 < n >> 24 < 224 and n >> 24 not in (10, 127)
-
     value = int.from_bytes(bytes(parts), "big")
-    public = valid(value)  # public addresses stay public, and others others
+    block = block_of(value)
+    if block is not None:
+        bits = 32 - block[1]
+        return _address(block[0] | permute(value & ((1 << bits) - 1), [2] * bits, key, f"ipv4:{block[0]}"))
     value = permute(value, [256] * 4, key, "ipv4")
-    while valid(value) != public:
+    while block_of(value) is not None:
         value = permute(value, [256] * 4, key, "ipv4")
-    return ".".join(map(str, value.to_bytes(4, "big")))
+    return _address(value)
+
+
+def _address(n: int) -> str:
+    return ".".join(map(str, n.to_bytes(4, "big")))
+
+
+_BLOCKS = [(int.from_bytes(bytes(map(int, a.split("."))), "big"), n) for a, n in BLOCKS.items()]
+
+
+def block_of(address: int) -> tuple[int, int] | None:
+    """First address and shared bits of the reserved block of an address; None if it is public."""
+    return next(((a, n) for a, n in _BLOCKS if address >> (32 - n) == a >> (32 - n)), None)
 
 
 def a_date(text: str, key: bytes) -> str | None:
@@ -192,23 +213,33 @@ def a_date(text: str, key: bytes) -> str | None:
     if swapped:
         d, m = m, d
     try:
-        day_number = (date(y, m, d) - FIRST_DAY).days
+        was = date(y, m, d)
     except ValueError:
         return None
-    days = (LAST_DAY - FIRST_DAY).days + 1
-    if not 0 <= day_number < days:
-        return None
-    value = permute(day_number, [271, 271], key, "date")
-    while value >= days:
-        value = permute(value, [271, 271], key, "date")
-    new = FIRST_DAY + timedelta(value)
+    kind = lambda x: (FIRST_YEAR <= x.year <= LAST_YEAR, x.month < 10, x.day < 10)
+    new = was
+    while True:  # through all days of the calendar, to the next of the same kind
+        new = _next_day(new, FIRST_YEAR <= y <= LAST_YEAR, key)
+        if kind(new) == kind(was):
+            break
     if month:
-        return re.sub(r"[A-Z][a-z]+|\d+", lambda x: MONTHS[new.month - 1] if x[0].isalpha() else str(new.year) if len(x[0]) == 4 else str(new.day), text)
+        return re.sub(r"[A-Z][a-z]+|\d+", lambda x: MONTHS[new.month - 1] if x[0].isalpha() else f"{new.year:04d}" if len(x[0]) == 4 else f"{new.day:0{len(x[0])}d}", text)
     order = [new.year, new.month, new.day] if len(numbers[0]) == 4 else [new.month, new.day, new.year] if swapped else [new.day, new.month, new.year]
     it = iter(order)
     return re.sub(r"\d+", lambda x: f"{next(it):0{len(x[0])}d}", text)
 
 
+def _next_day(day: date, modern: bool, key: bytes) -> date:
+    """A permutation of the days of the years of FIRST_YEAR to LAST_YEAR, or of all days."""
+    first, last = (date(FIRST_YEAR, 1, 1), date(LAST_YEAR, 12, 31)) if modern else (date.min, date.max)
+    days = (last - first).days + 1
+    side = math.isqrt(days - 1) + 1
+    value = permute((day - first).days, [side, side], key, "date" if modern else "day")
+    while value >= days:
+        value = permute(value, [side, side], key, "date" if modern else "day")
+    return first + timedelta(value)
+
+
 def email(text: str, key: bytes) -> str | None:
     local, _, domain = text.rpartition("@")
     name, _, suffix = domain.rpartition(".")
@@ -258,5 +289,6 @@ def pseudonyms(docs: DataFrame, key: bytes) -> DataFrame:
                 counts[k].append(found.get(k, 0))
         return pa.StructArray.from_arrays([pa.array(new, pa.string()), *(pa.array(counts[k], pa.int32()) for k in KINDS)], names=["text", *KINDS])
 
-    done = docs.withColumn("_put", put(F.col("text").cast("string")))
-    return done.select(*(F.col("_put.text").alias("text") if c == "text" else F.col(c) for c in docs.columns if c != "pii"), F.struct(*(F.col(f"_put.{k}").alias(k) for k in KINDS)).alias("pii"))
+    name = own_name(docs, "pseudonyms")
+    done = docs.withColumn(name, put(F.col("text").cast("string")))
+    return done.select(*(F.col(f"{name}.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c != "pii"), F.struct(*(F.col(f"{name}.{k}").alias(k) for k in KINDS)).alias("pii"))

@@ -9,9 +9,11 @@ number's part in a score can be read off, and a score is a few table lookups.
 
 Labels are read from at most MAX_LABELLED rows, those of the least hash of doc_id.
 
-Defined cases: null and empty texts have all measures 0; without labelled rows every score is 0.5; a
-doc_id labelled more than once is good if one label says so; repeated ids and rows are scored each;
-other columns are ignored.
+Defined cases: null and empty texts have all measures 0; very long texts are measured whole; without
+labelled rows every score is 0.5; a doc_id labelled more than once is good if one label says so, and of
+several rows with a labelled id the one of the least hash teaches; of equally good splits the first is
+taken; repeated ids and rows are scored each, and an empty table gives an empty result; other columns
+are ignored.
 """
 
 from __future__ import annotations

@@ -478,4 +478,4 @@ def drop_near_copies(docs: DataFrame, words: int = SET_WORDS, tau: int = SET_TAU
     stars = components(set_links(hashed.select(F.col(node).alias("node"), "text"), words, tau, other_tau))
     sized = cut(rows.groupBy("node").agg(F.count("*").alias("n")).join(stars, "node", "left").select("node", "n", F.coalesce("root", "node").alias("root")))
     rooted = look_up(rows, "node", sized, "n", rows.count(), ["doc_id", "r"])
-    return _rows_of(hashed, row, _first_of_each(rooted, "root", "r"))
+    return _rows_of(hashed, row, _first_of_each(rooted, "root", "r")).drop(node)

@@ -14,12 +14,14 @@ The index has a row per record: file number, file, byte offset and length of the
 and their checksum. It serves reads in any order: seek to offset, read length bytes, `parse_frame`.
 
 Defined cases: null text is the empty text, which gives the end id alone; ids ascend, nulls first;
-repeated ids are ordered by text; repeated rows are each written; an empty table gives an empty
-folder and an empty index; other columns of the input are ignored.
+repeated ids are ordered by a hash of the text, then the text; repeated rows are each written; very long
+texts are one record; an empty table gives an empty folder and an empty index; other columns of the
+input are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -65,14 +67,29 @@ def parse_frame(data: bytes, at: int = 0) -> tuple[int | None, np.ndarray, int]:
     return None if is_null else doc_id, np.frombuffer(payload, "<u2" if width == 2 else "<u4", offset=10), end + 5
 
 
+#: Fixed value: the pre-token pattern of word_bpe tokenizers.
+WORD_BPE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def splits_at_space(path: str) -> bool:
+    """Whether a tokenizer file is of the kind whose words can be encoded one by one."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    parts = lambda key, inner: [] if not spec.get(key) else spec[key].get(inner, [spec[key]])
+    normalizers, first = [n["type"] for n in parts("normalizer", "normalizers")], next(iter(parts("pre_tokenizer", "pretokenizers")), {})
+    splits = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") and first.get("pattern", {}).get("Regex") == WORD_BPE_PATTERN
+    return bool(splits) and "Lowercase" in normalizers and set(normalizers) <= {"NFC", "Replace", "Lowercase"} and spec["model"].get("end_of_word_suffix") == "</w>"
+
+
 class WordEncoder:
-    """A library tokenizer that encodes each distinct word once.
+    """A library tokenizer that encodes each distinct word once, where that gives the same ids.
 
-    Only for tokenizers that lower-case, drop white space and split at it, with word-end marks (as
-    word_bpe does): there the ids of a text are those of its pieces between white space, one after
-    the other, and a piece may also be cut where letters meet other signs. A piece of plain letters
-    is one pre-token, whose ids end with a word-end token, so new ones are encoded by the library in
-    one joined text that is split at those ends. Any other piece is encoded by itself.
+    It does for tokenizers that lower-case, drop white space and split at it, with word-end marks (as
+    word_bpe does; `splits_at_space` reads that from the file): there the ids of a text are those of its
+    pieces between white space, one after the other, and a piece may also be cut where letters meet other
+    signs. A piece of plain letters is one pre-token, whose ids end with a word-end token, so new ones are
+    encoded by the library in one joined text that is split at those ends. Any other piece is encoded by
+    itself, and so are whole texts with all other tokenizers.
 
     Words met lately are kept in two generations of CACHE_ENTRIES at most.
     """
@@ -92,6 +109,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.by_words = splits_at_space(path)
         size = self.library.get_vocab_size(with_added_tokens=True)
         self.width = 2 if size <= 1 << 16 else 4
         self.dtype = "<u2" if self.width == 2 else "<u4"
@@ -146,18 +164,19 @@ class WordEncoder:
         for piece, runs in mixed.items():
             pieces[piece] = b"".join([pieces[r] for r in runs])
 
-    def _split(self, text: str | None) -> list[bytes] | list[str]:
+    def _split(self, text: str | None) -> list[bytes] | list[str] | None:
+        """The pieces of a text; None if it must be encoded as a whole."""
         if not text:
             return []
-        if any(s in text for s in self.special):
-            return [text]
+        if not self.by_words or any(s in text for s in self.special):
+            return None
         try:
             raw = text.encode("latin-1")
         except UnicodeEncodeError:
-            return [text] if self.SEPARATORS.search(text) else text.split()
+            return None if self.SEPARATORS.search(text) else text.split()
         kinds = raw.translate(self.KINDS)
         if b"x" in kinds:
-            return [text]
+            return None
         raw = raw.translate(self.LOWER)
         if b"+s" not in kinds and b"ss" not in kinds:  # each stop and comma is a run of signs by itself
             raw = raw.replace(b". ", b" . ").replace(b", ", b" , ")
@@ -169,12 +188,12 @@ class WordEncoder:
             split = [self._split(t) for t in texts[at : at + 512]]
             if len(self.pieces) > CACHE_ENTRIES:
                 self.older, self.pieces = self.pieces, {}
-            missing = set().union(*split).difference(self.pieces)
+            missing = set().union(*(words for words in split if words)).difference(self.pieces)
             if missing:
                 self._learn(missing)
             get = self.pieces.__getitem__
-            for words in split:
-                yield b"".join(map(get, words))
+            for words, text in zip(split, texts[at : at + 512], strict=True):
+                yield np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes() if words is None else b"".join(map(get, words))
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -203,7 +222,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -
         return step
 
     frames = arrow_map(ordered, make, "frame binary", ["doc_id", "text"])
-    frames.select(F.col("frame").cast("string").alias("value")).write.text(path)
+    frames.select(F.col("frame").cast("string").alias("value")).write.option("maxRecordsPerFile", 0).text(path)  # one file a task: its number tells its place
 
 
 def index_records(spark: SparkSession, path: str) -> DataFrame:

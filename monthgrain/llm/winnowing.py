@@ -8,13 +8,15 @@ shared run under gram code points is ever reported.
 
 Defined cases: null text is the empty text, whose fingerprint is empty; a text shorter than gram is
 one gram, one with fewer than window grams is one window; equal texts have equal fingerprints, and
-likeness 1 (two empty ones too); `neighbours` orders repeated ids by a hash of the text, then the
-text, with null ids last; other columns are ignored.
+likeness 1 (two empty ones too); very long texts are read whole; `neighbours` orders repeated ids by a
+hash of the text, then the text, with null ids last; a single document is its own neighbour, and an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -106,26 +108,30 @@ def neighbours(docs: DataFrame) -> DataFrame:
     """Deals doc_id and text out so that each document and the next one, in descending order of id
     (after the last comes the first), are neighbours in one partition.
 
-    Ranges of ids are cut at ids that exist; each range also gets, as carried rows, the highest id of
-    the range below it (the lowest range that of the highest). Within a partition rows descend by
-    (range, id), carried ones last in their range. Text is shuffled once."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    Ranges are cut at documents that exist (by id and hash of the text, so that rows of one id or without
+    any are dealt out too); each range also gets, as carried rows, the highest document of the range below
+    it (the lowest range that of the highest). Within a partition rows descend by (range, id), carried ones
+    last in their range. Text is shuffled once."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     chars = rows.agg(F.sum(F.length("text"))).first()[0]
     n = n_tasks(rows, chars, TASK_CHARS)
-    spread = rows.select("doc_id").filter("doc_id IS NOT NULL").repartitionByRange(n, "doc_id").select(F.spark_partition_id().alias("p"), "doc_id")
-    cuts = np.array(sorted({r[0] for r in spread.groupBy("p").agg(F.max("doc_id")).select("max(doc_id)").collect()}), np.int64)
-    last = len(cuts) - 1  # range i holds the ids over cuts[i-1], up to cuts[i]; null ids are in range 0
+    up = F.struct("doc_id", F.bitwise_not("tie").alias("t"))  # equal ids descend as their ties ascend
+    spread = rows.select(up.alias("up")).repartitionByRange(n, "up").select(F.spark_partition_id().alias("p"), "up")
+    lowest = -(1 << 64)
+    cuts = sorted({(lowest if r.i is None else r.i, r.t) for r in spread.groupBy("p").agg(F.max("up").alias("m")).select("m.doc_id", "m.t").toDF("i", "t").collect()})
+    last = len(cuts) - 1  # range i holds what is over cuts[i-1], up to cuts[i]
 
     @F.arrow_udf("array<int>")
-    def ranges(ids: pa.Array) -> pa.Array:
-        """The range of an id, and ~range for the one that carries it."""
-        known = ids.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
-        at = np.searchsorted(cuts, known)
-        carried = cuts[at] == known if last >= 0 else np.ones(len(known), bool)
-        return pa.array([[a, ~(a + 1 if a < last else 0)] if c else [a] for a, c in zip(at.tolist(), carried.tolist(), strict=True)], pa.list_(pa.int32()))
-
-    dealt = rows.select("doc_id", "text", F.explode(ranges(F.col("doc_id"))).alias("dealt"))
-    dealt = dealt.select("doc_id", "text", F.when(F.col("dealt") < 0, -F.col("dealt") - 1).otherwise(F.col("dealt")).alias("part"), (F.col("dealt") < 0).alias("carried"), F.xxhash64("text").alias("tie"))
+    def ranges(ids: pa.Array, ties: pa.Array) -> pa.Array:
+        """The range of a document, and ~range for the one that carries it."""
+        out = []
+        for key in zip((lowest if i is None else i for i in ids.to_pylist()), (~t for t in ties.to_pylist()), strict=True):
+            at = bisect_left(cuts, key)
+            out.append([at, ~(at + 1 if at < last else 0)] if cuts[at] == key else [at])
+        return pa.array(out, pa.list_(pa.int32()))
+
+    dealt = rows.select("doc_id", "text", "tie", F.explode(ranges(F.col("doc_id"), F.col("tie"))).alias("dealt"))
+    dealt = dealt.select("doc_id", "text", F.when(F.col("dealt") < 0, -F.col("dealt") - 1).otherwise(F.col("dealt")).alias("part"), (F.col("dealt") < 0).alias("carried"), "tie")
     return dealt.repartitionById(n, F.col("part").cast("int")).sortWithinPartitions("part", "carried", F.col("doc_id").desc_nulls_last(), "tie", "text")
 
 

@@ -81,6 +81,30 @@ def test_inclusion_is_fair(spark):
         assert sum(c for c, _ in pairs) / len(pairs) == pytest.approx(pairs[0][1], rel=0.1)
 
 
+def test_inclusion_follows_weights(spark):
+    """Over many seeds each weight class is taken about as often as its pi says."""
+    docs = spark.createDataFrame([(i, "w w w", "a" if i < 300 else "b", float(i % 4 + 1)) for i in range(400)], "doc_id long, text string, source string, importance double").cache()
+    taken, want = {}, {}
+    for seed in range(16):
+        rows = mixing.decide(docs, mixing.word_count(F.col("text")), weight=F.col("importance"), seed=f"s{seed}").collect()
+        for r in rows:
+            taken.setdefault((r.source, r.doc_id % 4), []).append(r.copies)
+            if r.source == "a":
+                want[r.source, r.doc_id % 4] = min(3.0, (r.doc_id % 4 + 1) * r.target / (3 * sum(i % 4 + 1 for i in range(300))))
+    for key, expected in want.items():
+        got = taken[key]
+        assert sum(got) / len(got) == pytest.approx(expected, abs=0.05), (key, expected)
+
+
+def test_mix_with_equal_documents(spark):
+    """Where the last one that is taken has its equals, as many of them are taken as fit."""
+    docs = spark.createDataFrame([(None, "w w", "a")] * 50 + [(i, "w w", "b") for i in range(50)], "doc_id long, text string, source string")
+    size = mixing.word_count(F.col("text"))
+    decided = mixing.decide(docs, size)
+    for s in "ab":
+        assert mixing.mix(docs, size).filter(F.col("source") == s).count() == decided.filter(F.col("source") == s).agg(F.sum("copies")).first()[0]
+
+
 def test_mixing_edges(spark, odd, none):
     size = mixing.word_count(F.col("text"))
     decided = mixing.decide(odd, size)
