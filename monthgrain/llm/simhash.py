@@ -48,7 +48,7 @@ BITS = 64
 #: Members of a run that are compared in one block; also the size of a chunk of larger ones.
 RUN = 2048
 #: Relative costs of moving a signature and of comparing two fingerprints, in microseconds.
-SIGNATURE_COST, COMPARE_COST = 1.0, 0.002
+SIGNATURE_COST, COMPARE_COST = 1.0, 0.01
 #: Signatures of a fingerprint that a group's threshold may ask for; there is always a plan with one a group.
 MAX_SIGNATURES = 3000
 #: Of texts that share most of their sets of shingles: words of a shingle, the Jaccard similarity as a fraction,
@@ -150,7 +150,7 @@ def plan(n: int, both: np.ndarray, tau: int = TAU) -> list[tuple[list[int], int]
                     continue
                 # pairs that agree on all but e bits of the group: the average over which bits those are
                 odds = np.exp(np.log(agree[bits]).mean() * (len(bits) - e))
-                row.append(float("inf") if signatures > MAX_SIGNATURES else n * signatures * SIGNATURE_COST + n * n / 2 * odds * signatures * COMPARE_COST)
+                row.append(float("inf") if signatures > MAX_SIGNATURES else n * signatures * max(1.0, n * odds / RUN) * SIGNATURE_COST + n * n / 2 * odds * signatures * COMPARE_COST)
             costs.append(row)
         least = {0: (0.0, [])}  # bits of tau + 1 dealt out so far: cost, thresholds
         for row in costs:
@@ -224,7 +224,7 @@ def links(nodes: DataFrame, tau: int = TAU, run: int = RUN, other_tau: int | Non
         pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(F.least(c, own).alias("i"), F.greatest(c, own).alias("j")))
         dealt = look_up(signed, "key", hot, "count", n * len(masks), ["fp"]).select(*carried, "key", F.explode(F.when(F.col("chunks").isNotNull(), pairs).otherwise(F.array(F.struct(F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j"))))).alias("pair"))
         signed = dealt.select(*carried, F.xxhash64("key", "pair.i", "pair.j").alias("key"))
-    runs = signed.repartition("key").sortWithinPartitions("key")
+    runs = signed.repartition("key").sortWithinPartitions("key", carried[0])  # so that one node is the hub of many runs
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def linked(batches):
@@ -440,11 +440,12 @@ def _all_within(members: DataFrame, texts: DataFrame, words: int, run: int) -> D
     return runs.select("key", "node", "set").mapInArrow(linked, "a long, b long")
 
 
-def set_links(texts: DataFrame, words: int = SET_WORDS, tau: int = SET_TAU, other_tau: int = OTHER_TAU, run: int = SET_RUN) -> DataFrame:
-    """Edges a > b that connect the nodes of texts (node, a hash of the text, and text) whose sets are alike.
+def set_groups(texts: DataFrame, words: int = SET_WORDS, tau: int = SET_TAU, other_tau: int = OTHER_TAU, run: int = SET_RUN) -> DataFrame:
+    """node and root, the least node of its group, of those nodes of texts (node, a hash of the text, and
+    text) whose sets are alike, over any number of steps, to a lesser one's.
 
-    First a forest of what the fingerprints find is held against the sets. Where a group that the
-    fingerprints connect falls apart by that, all its members are held against each other."""
+    The members of a group that the fingerprints connect are held against its root. If that leaves some
+    over, what was linked in the group is held against each other, and if it still falls apart, all of it."""
 
     def make():
         def step(ids: pa.Array, some: pa.Array):
@@ -456,17 +457,28 @@ def set_links(texts: DataFrame, words: int = SET_WORDS, tau: int = SET_TAU, othe
     prints = cut(arrow_map(texts, make, "node long, fp long, other long", ["node", "text"]).dropDuplicates(["node"]))
     swapped = prints.select("node", F.col("other").alias("fp"), F.col("fp").alias("other"))
     found = cut(links(prints, tau, other_tau=other_tau).union(links(swapped, tau, other_tau=other_tau)).distinct())
-    true = cut(_verified(found, texts, words))
-    stars = components(found).select("node", F.col("root").alias("group"))
-    rooted = stars.join(components(true), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    parted = rooted.groupBy("group").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-    # the group's least node is not in its own stars, and of two members the one has been held against the other
-    parted = cut(parted.filter((F.col("n") > 1) & ((F.col("low") < F.col("high")) | (F.col("low") != F.col("group")))).select("group", F.col("n") + 1))
-    if parted.isEmpty():
-        return true
-    parted = parted.toDF("group", "n")
-    members = stars.join(parted, "group").select("node", "group", "n").union(parted.select("group", "group", "n"))
-    return cut(true.union(_all_within(cut(members), texts, words, run)).distinct())
+    stars = components(found)
+    true = cut(_verified(stars.select(F.col("node").alias("a"), F.col("root").alias("b")), texts, words))
+    members = cut(stars.select("node", F.col("root").alias("group")).union(stars.select("root", "root").distinct()))
+    total = members.count()
+    held = members.join(true.select(F.col("a").alias("node"), F.lit(True).alias("true")), "node", "left").select("node", "group", (F.col("true").isNotNull() | (F.col("node") == F.col("group"))).alias("true"))
+    held = cut(look_up(held, "group", cut(held.groupBy("group").agg(F.count("*").alias("n"), F.every("true").alias("whole"))), "n", total, ["node"]))
+    rest = held.filter("NOT whole").select("node", "group")
+    if rest.isEmpty():
+        return stars
+    done = held.filter("whole AND node <> group").select("node", F.col("group").alias("root"))
+    within = cut(found.join(rest.select(F.col("node").alias("a"), "group"), "a").filter("b <> group").select("a", "b"))
+    edges = cut(true.join(rest.select(F.col("node").alias("a")), "a", "left_semi").union(_verified(within, texts, words)).distinct())
+    parts = components(edges)
+    rooted = rest.join(parts, "node", "left").select("node", "group", F.coalesce("root", "node").alias("root"))
+    sized = cut(rooted.groupBy("group").agg(F.count("*").alias("n"), F.count("*").alias("size"), (F.min("root") == F.max("root")).alias("whole")))
+    rooted = cut(look_up(rooted, "group", sized, "n", total, ["node"]))
+    done = done.union(rooted.filter("whole AND node <> root").select("node", "root"))
+    apart = rooted.filter("NOT whole").select("node", "group", F.col("size").alias("n"))
+    if apart.isEmpty():
+        return done
+    edges = edges.join(apart.select(F.col("node").alias("a")), "a", "left_semi").union(_all_within(apart, texts, words, run)).distinct()
+    return done.union(components(edges))
 
 
 def drop_near_copies(docs: DataFrame, words: int = SET_WORDS, tau: int = SET_TAU, other_tau: int = OTHER_TAU) -> DataFrame:
@@ -475,7 +487,7 @@ def drop_near_copies(docs: DataFrame, words: int = SET_WORDS, tau: int = SET_TAU
     row, node = own_name(docs, "row_hash"), own_name(docs, "text_hash")
     hashed = docs.withColumn(row, row_hash(docs)).withColumn(node, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     rows = cut(hashed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(row).alias("r"), F.col(node).alias("node")))
-    stars = components(set_links(hashed.select(F.col(node).alias("node"), "text"), words, tau, other_tau))
+    stars = set_groups(hashed.select(F.col(node).alias("node"), "text"), words, tau, other_tau)
     sized = cut(rows.groupBy("node").agg(F.count("*").alias("n")).join(stars, "node", "left").select("node", "n", F.coalesce("root", "node").alias("root")))
     rooted = look_up(rows, "node", sized, "n", rows.count(), ["doc_id", "r"])
     return _rows_of(hashed, row, _first_of_each(rooted, "root", "r")).drop(node)

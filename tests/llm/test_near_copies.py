@@ -41,7 +41,7 @@ def test_pipeline_stage_by_brute_force(spark, run, monkeypatch):
     """Copies about as alike as the limit, chains of them and groups with many members that aren't alike."""
     import corpus_pipeline
 
-    monkeypatch.setattr(simhash.set_links, "__defaults__", (*simhash.set_links.__defaults__[:-1], run))
+    monkeypatch.setattr(simhash.set_groups, "__defaults__", (*simhash.set_groups.__defaults__[:-1], run))
     rng = random.Random(2)
     docs = []
     for g in range(30):
