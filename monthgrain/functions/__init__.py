@@ -59,6 +59,17 @@ def town_of(area_name: Column) -> Column:
     return F.when(town == "", area_name).otherwise(town)
 
 
+def block_of(area_name: Column) -> Column:
+    """The block number of an area named so; 0 if it isn't."""
+    return F.coalesce(F.regexp_extract(area_name, r"(\d+)丁目$", 1).try_cast("int"), F.lit(0))
+
+
+def first_object(text: Column, kind: str) -> Column:
+    """The JSON object in a text, from its first to its last brace, parsed; null if there is none or it can't be."""
+    found = F.regexp_extract(text, r"(?s)(\{.*\})", 1)
+    return F.when(found != "", F.from_json(found, kind))
+
+
 def csv_cell(value: Column) -> Column:
     """A CSV cell: empty for null, quoted if it holds a quote, comma or line end."""
     text = value.cast("string")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import month_index, severity_rank, year_month
@@ -22,7 +22,7 @@ def insert_or_replace(target: DataFrame, rows: DataFrame, keys: list[str]) -> Da
 
 def mapped_files(files: DataFrame, sources: DataFrame) -> DataFrame:
     """Files with the dataset they belong to; files of sources that aren't mapped are left out."""
-    return files.join(F.broadcast(sources.select("dataset_key", "dataset", "granularity")), ["dataset", "granularity"])
+    return files.join(sources.select("dataset_key", "dataset", "granularity"), ["dataset", "granularity"])
 
 
 def refresh_periods(files: DataFrame, sources: DataFrame, datasets: DataFrame, obs5: DataFrame, obs1: DataFrame) -> DataFrame:
@@ -34,7 +34,7 @@ def refresh_periods(files: DataFrame, sources: DataFrame, datasets: DataFrame, o
     def rows(obs: DataFrame, granularity: str) -> DataFrame:
         months = obs.groupBy("muni_code", "reference_date").agg(F.count("*").alias("n"))  # before the join: rows per month are many
         owners = datasets.filter(F.col("granularity") == granularity).select("dataset_key", "muni_code")
-        return months.join(F.broadcast(owners), "muni_code").groupBy("dataset_key", "reference_date").agg(F.sum("n").alias("obs_rows"))
+        return months.join(owners, "muni_code").groupBy("dataset_key", "reference_date").agg(F.sum("n").alias("obs_rows"))
 
     keys = ["dataset_key", "reference_date"]
     base = counted.withColumn("obs_rows", F.lit(0).cast("long"))
@@ -51,17 +51,21 @@ def run_health(runs: DataFrame) -> DataFrame:
 
 def coverage(periods: DataFrame, gaps: DataFrame, datasets: DataFrame) -> DataFrame:
     """A row per dataset and month: from its first to its last month with rows, each month is ok,
-    not_loaded (files but no rows) or missing; months outside with files but no rows are not_loaded."""
+    not_loaded (files but no rows) or missing; months outside with files but no rows are not_loaded.
+
+    Expected months are put beside the known ones and grouped with them, so nothing is joined but the gaps."""
     public = datasets.filter("is_public = 1").select("dataset_key")
-    own = periods.join(F.broadcast(public), "dataset_key").withColumn("ym", year_month(F.col("reference_date")))
-    span = own.filter("obs_rows > 0").groupBy("dataset_key").agg(F.min("ym").alias("period_from"), F.max("ym").alias("period_to"))
-    day = lambda c: F.to_date(F.concat(F.col(c), F.lit("-01")))
-    calendar = span.select("dataset_key", F.explode(F.sequence(day("period_from"), day("period_to"), F.expr("INTERVAL 1 MONTH"))).alias("d")).select("dataset_key", F.date_format("d", "yyyy-MM").alias("ym"))
-    inside = calendar.join(own, ["dataset_key", "ym"], "left").select("dataset_key", "ym", F.coalesce("obs_rows", F.lit(0)).alias("obs_rows"), F.coalesce("file_count", F.lit(0)).alias("files"))
-    outside = own.filter("obs_rows = 0 AND file_count > 0").join(calendar, ["dataset_key", "ym"], "left_anti").select("dataset_key", "ym", "obs_rows", F.col("file_count").alias("files"))
+    own = periods.join(public, "dataset_key").select("dataset_key", year_month(F.col("reference_date")).alias("ym"), "obs_rows", F.col("file_count").alias("files"))
+    day = lambda c: F.to_date(F.concat(c, F.lit("-01")))
+    loaded = F.when(F.col("obs_rows") > 0, F.col("ym"))
+    span = own.groupBy("dataset_key").agg(F.min(loaded).alias("a"), F.max(loaded).alias("b")).filter("a IS NOT NULL")
+    expected = span.select("dataset_key", F.explode(F.sequence(day(F.col("a")), day(F.col("b")), F.expr("INTERVAL 1 MONTH"))).alias("d"))
+    both = own.withColumn("expected", F.lit(False)).unionByName(expected.select("dataset_key", F.date_format("d", "yyyy-MM").alias("ym"), F.lit(0).cast("long").alias("obs_rows"), F.lit(0).cast("long").alias("files"), F.lit(True).alias("expected")))
+    months = both.groupBy("dataset_key", "ym").agg(F.sum("obs_rows").alias("obs_rows"), F.sum("files").alias("files"), F.max("expected").alias("expected"))
     state = F.when(F.col("obs_rows") > 0, "ok").when(F.col("files") > 0, "not_loaded").otherwise("missing")
+    known = months.filter("expected OR (obs_rows = 0 AND files > 0)").drop("expected").withColumn("state", state)
     noted = gaps.select("dataset_key", year_month(F.col("reference_date")).alias("ym"), F.col("kind").alias("gap_kind"), F.col("reason").alias("gap_reason"))
-    return inside.unionByName(outside).withColumn("state", state).join(F.broadcast(noted), ["dataset_key", "ym"], "left")
+    return known.join(noted, ["dataset_key", "ym"], "left")
 
 
 def coverage_summary(covered: DataFrame, periods: DataFrame) -> DataFrame:
@@ -90,10 +94,42 @@ def catalog(datasets: DataFrame, periods: DataFrame, gaps: DataFrame, files: Dat
     ).orderBy("muni_code", "granularity")
 
 
+def catalog_nested(entries: DataFrame, covered: DataFrame, gaps: DataFrame, history: DataFrame) -> DataFrame:
+    """entries with lists of a dataset's months (each with its files), anomalies and gaps, all in order of
+    time. A list is no longer than a dataset has months, gaps or files."""
+    files = history.groupBy("dataset_key", "ym").agg(F.sort_array(F.collect_list(F.struct("sha256", "status", "offered"))).alias("files"))
+    month = F.struct("ym", "state", "obs_rows", "gap_kind", F.coalesce("files", F.array().cast("array<struct<sha256: string, status: string, offered: int>>")).alias("files"))
+    months = covered.drop("files").join(files, ["dataset_key", "ym"], "left").groupBy("dataset_key").agg(F.sort_array(F.collect_list(month)).alias("months"))
+    noted = gaps.groupBy("dataset_key").agg(F.sort_array(F.collect_list(F.struct("reference_date", "kind", "reason"))).alias("gaps"))
+    nested = entries.join(months, "dataset_key", "left").join(noted, "dataset_key", "left")
+    return nested.withColumn("anomalous", F.filter("months", lambda m: m["state"] != "ok"))
+
+
 def catalog_warnings(entries: DataFrame, issues: DataFrame) -> DataFrame:
     """One row: public datasets without licence, attribution or a run, and open issues."""
+    without = [F.count_if(F.col(c).isNull()).alias(n) for c, n in (("license", "no_license"), ("attribution", "no_attribution"), ("last_run_at", "no_runs"))]
+    counted = entries.agg(*without).withColumn("open_issues", F.lit(0).cast("long"))
     open_issues = issues.agg(F.count_if(F.col("resolved_at").isNull()).alias("open_issues"))
-    return entries.agg(F.count_if(F.col("license").isNull()).alias("no_license"), F.count_if(F.col("attribution").isNull()).alias("no_attribution"), F.count_if(F.col("last_run_at").isNull()).alias("no_runs")).join(F.broadcast(open_issues))
+    names = counted.columns
+    both = counted.unionByName(open_issues.select(*(F.lit(0).cast("long").alias(n) for n in names[:-1]), "open_issues"))
+    return both.agg(*(F.sum(n).alias(n) for n in names))
+
+
+def update_where(table: DataFrame, which: Column, changes: dict[str, Column]) -> DataFrame:
+    """table with columns of the rows that `which` holds for changed; all changes see the old values."""
+    return table.select(*(F.when(which, changes[c]).otherwise(F.col(c)).cast(table.schema[c].dataType).alias(c) if c in changes else F.col(c) for c in table.columns))
+
+
+def with_note(old: Column, note: str, between: str = " / ") -> Column:
+    """A note put behind what is noted already, if anything."""
+    return F.concat(F.coalesce(F.concat(old, F.lit(between)), F.lit("")), F.lit(note))
+
+
+def add_column(table: DataFrame, name: str, kind: str, default: object = None) -> DataFrame:
+    """table with one more column, which has the default in all rows so far. A name it has is an error."""
+    if name.lower() in map(str.lower, table.columns):
+        raise ValueError(f"the table has a column {name!r}")
+    return table.withColumn(name, F.lit(default).cast(kind))
 
 
 def open_issues_by_severity(issues: DataFrame) -> DataFrame:
@@ -109,7 +145,7 @@ def mark_current(files: DataFrame) -> DataFrame:
 def file_history(files: DataFrame, sources: DataFrame, datasets: DataFrame) -> DataFrame:
     """Files of public datasets, whether current, whether they may be handed out, and the one offered for
     the month: one that may be, the current one if there is a choice."""
-    rows = mapped_files(files, sources).join(F.broadcast(datasets.filter("is_public = 1").select("dataset_key")), "dataset_key")
+    rows = mapped_files(files, sources).join(datasets.filter("is_public = 1").select("dataset_key"), "dataset_key")
     rows = rows.withColumn("distributable", F.coalesce("distributable", F.lit(1))).withColumn("is_current", F.coalesce("is_current", F.lit(1)))
     w = Window.partitionBy("dataset_key", "reference_date").orderBy(F.desc("distributable"), F.desc("is_current"), "ingested_at", "sha256")
     offered = (F.row_number().over(w) == 1) & (F.col("distributable") == 1)

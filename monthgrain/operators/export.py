@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,9 +54,26 @@ def csv_chunks(df: DataFrame, chunk: int = 5000) -> Iterator[str]:
         yield "\n".join(held) + "\n"
 
 
+def page(ordered: DataFrame, chunk: int, number: int) -> DataFrame:
+    """The rows of one page of an ordered export, from 0; an empty page follows the last."""
+    return ordered.offset(chunk * number).limit(chunk)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """As part files in order, each with a header."""
-    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").csv(path)
+    """As part files in order, each with a byte order mark and a header, in the cells of `csv_lines`."""
+    head = BYTE_ORDER_MARK + ",".join(df.columns)
+
+    def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mark = pa.RecordBatch.from_pydict({"line": [head]})
+        for k, batch in enumerate(batches):
+            if k == 0:
+                yield mark.cast(batch.schema)
+                mark = None
+            yield batch
+        if mark is not None:
+            yield mark
+
+    csv_lines(df).mapInArrow(headed, "line string").write.mode("overwrite").text(path)
 
 
 def json_rows(df: DataFrame) -> DataFrame:

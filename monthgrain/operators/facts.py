@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import all_years_alike, consistency, numbers_in
+from ..schema import BREAK_DATE
+from . import families
 
 
 def strength_facts(strength: DataFrame, top: int = 20) -> DataFrame:
@@ -51,16 +53,54 @@ def facts_json(facts: DataFrame) -> DataFrame:
     return facts.select(F.to_json(F.struct(*facts.columns)).alias("facts"))
 
 
-def caveats(gaps: DataFrame, issues: DataFrame, fixed: list[str]) -> DataFrame:
-    """One row with the list of caveats: the fixed ones, gaps, and open issues."""
-    lines = gaps.select(F.concat_ws(" ", "reference_date", "kind", "reason").alias("c")).unionByName(issues.filter(F.col("resolved_at").isNull()).select(F.concat_ws(": ", "title", "detail").alias("c")))
+#: What holds for all seasonal numbers, and what for single age classes.
+FIXED_CAVEATS = (
+    "residents are counted where they are registered, which need not be where they live",
+    f"only months from {BREAK_DATE[:7]} on, when the series broke, are looked at",
+    "a calendar month has as many years as have all months around it",
+)
+
+
+def caveats(gaps: DataFrame, issues: DataFrame, fixed: Sequence[str] = FIXED_CAVEATS, since: str = BREAK_DATE) -> DataFrame:
+    """One row with the list of caveats: the fixed ones, months without data since the break, and open issues."""
+    missing = gaps.filter((F.col("kind") != "series_break") & (F.col("reference_date") >= since)).select(F.concat_ws(" ", F.substring("reference_date", 1, 7), F.lit("has no data:"), "reason").alias("c"))
+    known = issues.filter(F.col("resolved_at").isNull()).select(F.concat(F.lit("known issue: "), F.col("title")).alias("c"))
+    lines = missing.unionByName(known)
     return lines.agg(F.concat(F.array(*(F.lit(x) for x in fixed)), F.sort_array(F.collect_list("c"))).alias("caveats"))
 
 
-def bad_numbers(text: Column, facts: Column) -> Column:
-    """Numbers of text that the facts (text or JSON, keys too) don't bear out: neither given there, nor a
-    rounding of one given to a whole number or one decimal, nor from 0 to 24."""
-    allowed = F.concat(numbers_in(facts), F.sequence(F.lit(0), F.lit(24)).cast("array<double>"))
+def listed(rows: DataFrame, mode: str) -> DataFrame:
+    """One row: the rows of a seasonal query as a list of structs, in the order in which they are shown."""
+    pct, label = F.col("pct_vs_trend"), consistency(F.col("n_above"), F.col("n_years"))
+    if mode == "strength":
+        rank = F.row_number().over(Window.orderBy(F.desc("amplitude_pct"), "key_code"))  # of `top` rows at most
+        each = rows.select(F.struct(rank.alias("place"), "area_name", "amplitude_pct", "peak_month", "peak_pct", "trough_month", "trough_pct").alias("x"))
+    elif mode == "profile":
+        each = rows.select(F.struct(F.col("month").cast("int").alias("month"), pct, "n_above", "n_years", label.alias("consistency")).alias("x"))
+    else:
+        each = rows.select(F.struct("age_order", "age_class", pct, "n_above", "n_years", label.alias("consistency")).alias("x"))
+    return each.agg(F.sort_array(F.collect_list("x")).alias("rows"))
+
+
+def insight_facts(spark: SparkSession, dataset: str, mode: str = "strength", key: str | None = None, month: str = "09") -> DataFrame:
+    """One row with all that a text on a seasonal query may say: what it is about, the listed rows, what is
+    derived from them, and the caveats. No row where the query has none."""
+    result = families.seasonality(spark, dataset, mode, key, month)
+    issues = spark.table("known_issues").filter(F.col("dataset_key") == dataset)
+    area = spark.table("areas").filter(F.col("key_code") == key).agg(F.max("area_name")).scalar() if mode != "strength" else F.lit("all areas")
+    name = spark.table("datasets").filter(F.col("dataset_key") == dataset).agg(F.max("muni_name")).scalar()
+    derived = {"strength": strength_facts, "profile": profile_facts, "age": age_facts}[mode](result.df)
+    scope = F.concat_ws(" ", name, F.coalesce(area, F.lit(key)))
+    told = caveats(spark.table("dataset_gaps").filter(F.col("dataset_key") == dataset), issues)
+    out = listed(result.df, mode).select(F.lit(mode).alias("mode"), scope.alias("scope"), F.lit(month if mode == "age" else None).cast("string").alias("month"), "rows", derived.select(F.struct("*")).scalar().alias("derived"), told.scalar().alias("caveats"))
+    return out.filter(F.size("rows") > 0)
+
+
+def bad_numbers(text: Column, facts: Column, caveats: Column | None = None) -> Column:
+    """Numbers of text that the facts (text or JSON, keys too) and the caveats (a list of texts) don't bear
+    out: neither given there, nor a rounding of one given to a whole number or one decimal, nor from 0 to 24."""
+    told = facts if caveats is None else F.concat_ws("\n", facts, caveats)
+    allowed = F.concat(numbers_in(told), F.sequence(F.lit(0), F.lit(24)).cast("array<double>"))
 
     def borne_out(n: Column) -> Column:
         near = lambda a: F.abs(n - a) < 0.005
@@ -69,16 +109,19 @@ def bad_numbers(text: Column, facts: Column) -> Column:
     return F.array_distinct(F.filter(numbers_in(text), lambda n: ~borne_out(n)))
 
 
-def verify_numbers(texts: DataFrame, facts: Column) -> DataFrame:
+def verify_numbers(texts: DataFrame, facts: Column, caveats: Column | None = None) -> DataFrame:
     """texts (with a column text) and bad, ok."""
-    bad = texts.withColumn("bad", bad_numbers(F.col("text"), facts))
+    bad = texts.withColumn("bad", bad_numbers(F.col("text"), facts, caveats))
     return bad.withColumn("ok", F.size("bad") == 0)
 
 
 def insight(facts: DataFrame, writer: Callable[[str, list[str]], str], tries: int = 2) -> dict:
-    """A text of one row of facts by writer(facts, numbers that were wrong before), checked; rejected if
-    its numbers are still wrong after `tries`. writer is any callable, such as a language model."""
+    """A text of one row of facts (with its caveats, if it has any) by writer(facts, numbers that were wrong
+    before), checked; rejected if its numbers are still wrong after `tries`. writer is any callable, such as
+    a language model; without facts it isn't asked."""
     row = facts_json(facts).head()
+    if row is None:
+        return {"facts": None, "text": None, "ok": False, "bad": []}
     wrong: list[str] = []
     for _ in range(tries):
         text = writer(row.facts, wrong)

@@ -7,8 +7,11 @@ share one partitioning and order, so Spark shuffles and sorts once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable, Mapping
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import month_index
 
@@ -61,32 +64,47 @@ AREA = ("key_code", "area_name")
 AREA_AGE = ("key_code", "area_name", "age_class", "age_order")
 
 
-def population_index(views: dict[str, DataFrame], since: str) -> DataFrame:
+def population_index(views: Mapping[str, DataFrame], since: str) -> DataFrame:
     return seasonal_index(month_panel(views["v_nl_population"], "population", since))
 
 
-def household_index(views: dict[str, DataFrame], since: str) -> DataFrame:
+def household_index(views: Mapping[str, DataFrame], since: str) -> DataFrame:
     """Households have one row an area and month: nothing to sum before."""
     return seasonal_index(month_panel(views["v_households_5y"], "value", since))
 
 
-def age_index(views: dict[str, DataFrame], since: str, min_trend: float = MIN_AGE_TREND) -> DataFrame:
+def age_index(views: Mapping[str, DataFrame], since: str, min_trend: float = MIN_AGE_TREND) -> DataFrame:
     known = views["v_nl_population_by_age"].filter(F.col("age_class") != UNKNOWN_AGE)
     return seasonal_index(month_panel(known, "population", since, ("age_class", "age_order")), AREA_AGE, min_trend, strict=False)
 
 
-def all_views(views: dict[str, DataFrame], since: str) -> dict[str, DataFrame]:
-    population, households = population_index(views, since), household_index(views, since)
+def makers(views: Mapping[str, DataFrame], since: str) -> dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]]:
+    """How each seasonal view is made of the views, or of another seasonal one."""
     return {
-        "v_nl_seasonality": population,
-        "v_nl_seasonality_strength": strength(population),
-        "v_nl_seasonality_age": age_index(views, since),
-        "v_nl_seasonality_hh": households,
-        "v_nl_seasonality_hh_strength": strength(households),
+        "v_nl_seasonality": lambda own: population_index(views, since),
+        "v_nl_seasonality_strength": lambda own: strength(own["v_nl_seasonality"]),
+        "v_nl_seasonality_age": lambda own: age_index(views, since),
+        "v_nl_seasonality_hh": lambda own: household_index(views, since),
+        "v_nl_seasonality_hh_strength": lambda own: strength(own["v_nl_seasonality_hh"]),
     }
 
 
-def materialise(store_views: dict[str, DataFrame], path: str) -> None:
-    """Writes the seasonal views as Parquet, to be read many times."""
-    for name, df in store_views.items():
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
+#: Columns by which each kept view is mostly asked for, where there is one: its files are dealt out and sorted by it,
+#: so that a query for an area or month reads few of them.
+ACCESS = {"v_nl_seasonality": "key_code", "v_nl_seasonality_hh": "key_code", "v_nl_seasonality_age": "month"}
+
+
+def materialise(views: Mapping[str, DataFrame], path: str) -> None:
+    """Writes the seasonal views anew as Parquet, to be read many times: partitioned by month where queries ask
+    for a month, else sorted by area."""
+    for name, df in views.items():
+        by = ACCESS.get(name)
+        writer = df.write if by != "month" else df.repartition("month").write.partitionBy("month")
+        if by == "key_code":
+            writer = df.repartition(by).sortWithinPartitions(by).write
+        writer.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def kept_view(spark: SparkSession, path: str, name: str, schema: StructType) -> DataFrame:
+    """A view that `materialise` has written, with the columns it had; empty ones have no files."""
+    return spark.read.schema(schema).parquet(f"{path}/{name}").select(*schema.names)

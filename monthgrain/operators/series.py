@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import growth_rate
+from ..functions import block_of, growth_rate, town_of
+
+
+def _dates(rows: DataFrame) -> Column:
+    """All dates of rows in order, as one value: as many as there are months, whatever the rows behind them."""
+    return rows.agg(F.sort_array(F.collect_set("reference_date"))).scalar()
 
 
 def aligned(split: DataFrame) -> DataFrame:
-    """A row for each date and area of a split trend, null where the area has none. Dates and areas are
-    both few (distinct), whatever the rows behind them."""
-    dates, keys = split.select("reference_date").distinct(), split.groupBy("key_code").agg(F.max("area_name").alias("area_name"))
-    return dates.join(F.broadcast(keys)).join(split.select("reference_date", "key_code", "value"), ["reference_date", "key_code"], "left")
+    """A row for each date and area of a split trend, null where the area has none: every area is given all
+    dates, and what it has is matched to them."""
+    known = F.map_from_entries(F.collect_list(F.struct("reference_date", "value")))
+    areas = split.groupBy("key_code").agg(F.max("area_name").alias("area_name"), known.alias("known"))
+    dense = areas.select("key_code", "area_name", "known", F.explode(_dates(split)).alias("reference_date"))
+    return dense.select("reference_date", "key_code", "area_name", F.try_element_at("known", F.col("reference_date")).alias("value"))
 
 
 def rebased(rows: DataFrame) -> DataFrame:
@@ -37,15 +44,32 @@ def value_range(rows: DataFrame, pad: float = 0.05) -> DataFrame:
     return rows.groupBy("key_code").agg(F.round(lo - room, 4).alias("low"), F.round(hi + room, 4).alias("high"))
 
 
+def global_range(rows: DataFrame, pad: float = 0.12) -> DataFrame:
+    """One row: the range of all areas together, widened by a share of it (or 10 if there is none)."""
+    lo, hi = F.min("value"), F.max("value")
+    room = F.when(hi > lo, (hi - lo) * pad).otherwise(10.0)
+    return rows.agg(F.round(lo - room, 4).alias("low"), F.round(hi + room, 4).alias("high"))
+
+
+def greatest_distance(rows: DataFrame, column: str, *keys: str) -> DataFrame:
+    """By key the greatest distance of a column from 0, and 0 where it has no value."""
+    return rows.groupBy(*keys).agg(F.coalesce(F.max(F.abs(F.col(column))), F.lit(0)).alias(f"max_abs_{column}"))
+
+
+def towns(rows: DataFrame) -> DataFrame:
+    """By town its areas, in order of their block number, and how many they are."""
+    named = rows.select("key_code", "area_name").distinct().select(town_of(F.col("area_name")).alias("town"), block_of(F.col("area_name")).alias("block"), "key_code", "area_name")
+    listed = F.sort_array(F.collect_list(F.struct("block", "key_code", "area_name")))
+    return named.groupBy("town").agg(F.transform(listed, lambda a: a["area_name"]).alias("areas"), F.count("*").alias("n_areas"))
+
+
 def placed_gaps(gaps: DataFrame, dates: DataFrame) -> DataFrame:
     """Where notes go on an axis of dates: on their own month if it has data, else between its neighbours;
-    notes before the first month are left out. before and after are the neighbouring dates.
-
-    The notes are few: they are sent to the dates, which are aggregated in one pass."""
-    marks = F.broadcast(gaps.select(F.col("reference_date").alias("gap_date"), "kind"))
-    both = dates.select("reference_date").distinct().join(marks)
-    found = both.groupBy("gap_date", "kind").agg(F.max(F.when(F.col("reference_date") <= F.col("gap_date"), F.col("reference_date"))).alias("before_date"), F.min(F.when(F.col("reference_date") >= F.col("gap_date"), F.col("reference_date"))).alias("after_date"))
-    return found.filter("before_date IS NOT NULL").withColumn("on_month", F.col("before_date") == F.col("gap_date"))
+    notes before the first month are left out. before and after are the neighbouring dates."""
+    on = gaps.select(F.col("reference_date").alias("gap_date"), "kind", _dates(dates).alias("axis"))
+    before, after = (F.filter("axis", lambda d: d <= F.col("gap_date")), F.filter("axis", lambda d: d >= F.col("gap_date")))
+    placed = on.select("gap_date", "kind", F.array_max(before).alias("before_date"), F.array_min(after).alias("after_date"))
+    return placed.filter("before_date IS NOT NULL").withColumn("on_month", F.col("before_date") == F.col("gap_date"))
 
 
 def ranking_summary(ranked: DataFrame) -> DataFrame:

@@ -3,6 +3,8 @@ never counts anyone twice: total = sum over age classes (not total) and sexes (n
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,32 +42,32 @@ def published_totals_5y(observations: DataFrame, areas: DataFrame) -> DataFrame:
 
 
 def summed(view: DataFrame, *by: str | Column, value: str = "value", alias: str = "population") -> DataFrame:
-    return view.groupBy("key_code", "area_name", "reference_date", *by).agg(F.sum(value).alias(alias))
+    return view.groupBy(*_BASE, *by).agg(F.sum(value).alias(alias))
 
 
 def areas_with_alias(areas: DataFrame, aliases: DataFrame) -> DataFrame:
     """A row per alias of an area; one with null for an area without any."""
-    return areas.join(aliases, "key_code", "left").select("key_code", "area_name", "alias_name", "first_seen", "last_seen")
+    return areas.join(aliases, "key_code", "left").select("key_code", "muni_code", "area_name", "first_seen", "last_seen", "alias_name")
 
 
 def gaps_labelled(gaps: DataFrame, datasets: DataFrame) -> DataFrame:
-    named = datasets.select("dataset_key", "title", "granularity")
-    return gaps.join(named, "dataset_key", "left").select("dataset_key", "title", "granularity", "reference_date", "kind", "reason")
+    named = datasets.select("dataset_key", "muni_name", "grain_label")
+    return gaps.join(named, "dataset_key", "left").select("dataset_key", "muni_name", "grain_label", "reference_date", "kind", "reason")
 
 
-def all_views(obs5: DataFrame, obs1: DataFrame, areas: DataFrame, aliases: DataFrame, gaps: DataFrame, datasets: DataFrame) -> dict[str, DataFrame]:
-    v5, foreign, households = population_5y(obs5, areas), foreign_population_5y(obs5, areas), households_5y(obs5, areas)
+def makers(store) -> dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]]:
+    """How each view is made of the store's tables, or of another view."""
     return {
-        "v_population_5y": v5,
-        "v_population_1y": population_1y(obs1, areas),
-        "v_households_5y": households,
-        "v_foreign_population_5y": foreign,
-        "v_published_totals_5y": published_totals_5y(obs5, areas),
-        "v_nl_population": summed(v5),
-        "v_nl_population_by_sex": summed(v5, "sex"),
-        "v_nl_population_by_age": summed(v5, "age_class", age_order(F.col("age_class")).alias("age_order")),
-        "v_nl_foreign_population": summed(foreign, alias="foreign_population"),
-        "v_nl_households": summed(households, alias="households"),
-        "v_nl_areas": areas_with_alias(areas, aliases),
-        "v_nl_gaps": gaps_labelled(gaps, datasets),
+        "v_population_5y": lambda own: population_5y(store.observations_5y, store.areas),
+        "v_population_1y": lambda own: population_1y(store.observations_1y, store.areas),
+        "v_households_5y": lambda own: households_5y(store.observations_5y, store.areas),
+        "v_foreign_population_5y": lambda own: foreign_population_5y(store.observations_5y, store.areas),
+        "v_published_totals_5y": lambda own: published_totals_5y(store.observations_5y, store.areas),
+        "v_nl_population": lambda own: summed(own["v_population_5y"]),
+        "v_nl_population_by_sex": lambda own: summed(own["v_population_5y"], "sex"),
+        "v_nl_population_by_age": lambda own: summed(own["v_population_5y"], "age_class", age_order(F.col("age_class")).alias("age_order")),
+        "v_nl_foreign_population": lambda own: summed(own["v_foreign_population_5y"], alias="foreign_population"),
+        "v_nl_households": lambda own: summed(own["v_households_5y"], alias="households"),
+        "v_nl_areas": lambda own: areas_with_alias(store.areas, store.literal("area_aliases")),
+        "v_nl_gaps": lambda own: gaps_labelled(store.literal("dataset_gaps"), store.literal("datasets")),
     }

@@ -2,20 +2,37 @@
 
 from __future__ import annotations
 
+import uuid
+from collections import OrderedDict
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import season, views
+from ..operators import catalog, season, views
+from ..schema import BREAK_DATE
 from ..sources import literals, panel
 
-#: Month of the break in the series; seasonality starts there.
-BREAK_DATE = "1995-01-01"
+__all__ = ["BREAK_DATE", "Store", "Views"]
 
 
-_stores: dict[tuple[str, str, str], Store] = {}
-_registered: tuple | None = None
+class Views(Mapping):
+    """Relations by name, each built when it is first asked for."""
+
+    def __init__(self, makers: dict[str, Callable[[Mapping], DataFrame]]):
+        self._makers, self._made = makers, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name](self)
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
 
 
 @dataclass
@@ -25,27 +42,64 @@ class Store:
     spark: SparkSession
     sf_dir: str
     grain: str = "nation"
+    panel: panel.Panel | None = None
     _literals: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+    _written: dict[str, str] = field(default_factory=dict, repr=False)
+
+    #: Stores that `of` keeps open at most, and those it has, by application and folder: stamp, panel, stores by grain.
+    KEPT = 4
+    _open = OrderedDict()
+
+    def __post_init__(self) -> None:
+        self.panel = self.panel or panel.Panel(self.spark, self.sf_dir)
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, grain: str = "nation") -> Store:
-        """One store per application, folder and grain: plans over its views are analysed once."""
-        key = (spark.sparkContext.applicationId, sf_dir, grain)
-        if key not in _stores:
-            _stores[key] = cls(spark, sf_dir, grain)
-        return _stores[key]
+        """One store per application, folder and grain, so that plans over its views are analysed once. It is
+        made anew when the files in the folder have changed, and closed when KEPT others were used since."""
+        key, stamp = (spark.sparkContext.applicationId, sf_dir), panel.stamp(spark, sf_dir)
+        if key in cls._open and cls._open[key][0] != stamp:
+            cls._close(key)
+        if key not in cls._open:
+            cls._open[key] = (stamp, panel.Panel(spark, sf_dir), {})
+        cls._open.move_to_end(key)
+        while len(cls._open) > cls.KEPT:
+            cls._close(next(iter(cls._open)))
+        _, shared, stores = cls._open[key]
+        if grain not in stores:
+            stores[grain] = cls(spark, sf_dir, grain, shared)
+        return stores[grain]
+
+    @classmethod
+    def _close(cls, key: tuple[str, str]) -> None:
+        _, shared, stores = cls._open.pop(key)
+        if key[0] == shared.spark.sparkContext.applicationId:  # else what Spark kept is gone with its application
+            for store in stores.values():
+                store.close()
+            shared.close()
+
+    @classmethod
+    def close_all(cls) -> None:
+        for key in list(cls._open):
+            cls._close(key)
+
+    def close(self) -> None:
+        """Lets Spark drop what this store has kept; the panel's cells are dropped by their owner."""
+        for name in ("periods",):
+            if name in self.__dict__:
+                self.__dict__.pop(name).unpersist()
 
     @cached_property
     def observations_5y(self) -> DataFrame:
-        return panel.observations_5y(self.spark, self.sf_dir, self.grain)
+        return panel.observations_5y(self.panel, self.grain)
 
     @cached_property
     def observations_1y(self) -> DataFrame:
-        return panel.observations_1y(self.spark, self.sf_dir, self.grain)
+        return panel.observations_1y(self.panel, self.grain)
 
     @cached_property
     def areas(self) -> DataFrame:
-        return panel.areas(self.spark, self.sf_dir, self.grain)
+        return panel.areas(self.panel, self.grain)
 
     def literal(self, table: str) -> DataFrame:
         if table not in self._literals:
@@ -53,21 +107,36 @@ class Store:
         return self._literals[table]
 
     @cached_property
-    def views(self) -> dict[str, DataFrame]:
-        return views.all_views(self.observations_5y, self.observations_1y, self.areas, self.literal("area_aliases"), self.literal("dataset_gaps"), self.literal("datasets"))
+    def periods(self) -> DataFrame:
+        """dataset_periods as `refresh_periods` makes it: a row per dataset and month, kept until `close`."""
+        return catalog.refresh_periods(self.literal("source_files"), self.literal("dataset_sources"), self.literal("datasets"), self.observations_5y, self.observations_1y).persist()
 
     @cached_property
-    def seasonal_views(self) -> dict[str, DataFrame]:
-        return season.all_views(self.views, BREAK_DATE)
+    def views(self) -> Views:
+        return Views(views.makers(self))
+
+    @cached_property
+    def seasonal_views(self) -> Views:
+        return Views(season.makers(self.views, BREAK_DATE))
+
+    def kept(self, name: str) -> DataFrame:
+        """A seasonal view as written by `season.materialise` and read again, from the folder that the cluster
+        shares; written when it is first asked for."""
+        if name not in self._written:
+            shared = self.spark.conf.get("spark.checkpoint.dir", None) or self.spark.conf.get("spark.sql.warehouse.dir")
+            self._written[name] = f"{shared.rstrip('/')}/season-{uuid.uuid4().hex}"
+            season.materialise({name: self.seasonal_views[name]}, self._written[name])
+        return season.kept_view(self.spark, self._written[name], name, self.seasonal_views[name].schema)
 
     def register(self) -> None:
         """Every table and view as a temporary view, for SQL over them; nothing to do if they are already."""
-        global _registered
-        key = (self.spark.sparkContext.applicationId, id(self.spark), self.sf_dir, self.grain)
-        if key == _registered:
+        if Store._registered is self and Store._registered_in is self.spark:
             return
         for name, df in {"observations_5y": self.observations_5y, "observations_1y": self.observations_1y, "areas": self.areas, **self.views, **self.seasonal_views}.items():
             df.createOrReplaceTempView(name)
         for name in literals.ROWS:
             self.literal(name).createOrReplaceTempView(name)
-        _registered = key
+        Store._registered, Store._registered_in = self, self.spark
+
+    _registered = None
+    _registered_in = None

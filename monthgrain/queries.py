@@ -43,13 +43,13 @@ v_population_1y AS (SELECT o.muni_code, o.key_code, a.area_name, o.reference_dat
 v_households_5y AS (SELECT o.muni_code, o.key_code, a.area_name, o.reference_date, value, source_sha256 FROM observations_5y o LEFT JOIN areas a USING (key_code) WHERE measure = 'households'),
 v_foreign_population_5y AS (SELECT o.muni_code, o.key_code, a.area_name, o.reference_date, sex, value, source_sha256 FROM observations_5y o LEFT JOIN areas a USING (key_code) WHERE measure = 'foreign_population' AND sex <> 'total'),
 v_published_totals_5y AS (SELECT o.muni_code, o.key_code, a.area_name, o.reference_date, measure, value FROM observations_5y o LEFT JOIN areas a USING (key_code) WHERE age_class = 'total' AND sex = 'total'),
-v_nl_population AS (SELECT key_code, area_name, reference_date, CAST(sum(value) AS BIGINT) AS population FROM v_population_5y GROUP BY ALL),
-v_nl_population_by_sex AS (SELECT key_code, area_name, reference_date, sex, CAST(sum(value) AS BIGINT) AS population FROM v_population_5y GROUP BY ALL),
-v_nl_population_by_age AS (SELECT key_code, area_name, reference_date, age_class, CAST(regexp_extract(age_class, '^[0-9]+') AS INTEGER) AS age_order, CAST(sum(value) AS BIGINT) AS population FROM v_population_5y GROUP BY ALL),
-v_nl_foreign_population AS (SELECT key_code, area_name, reference_date, CAST(sum(value) AS BIGINT) AS foreign_population FROM v_foreign_population_5y GROUP BY ALL),
-v_nl_households AS (SELECT key_code, area_name, reference_date, CAST(sum(value) AS BIGINT) AS households FROM v_households_5y GROUP BY ALL),
-v_nl_areas AS (SELECT a.key_code, area_name, alias_name, first_seen, last_seen FROM areas a LEFT JOIN area_aliases USING (key_code)),
-v_nl_gaps AS (SELECT g.dataset_key, title, granularity, reference_date, kind, reason FROM dataset_gaps g LEFT JOIN datasets d USING (dataset_key))
+v_nl_population AS (SELECT muni_code, key_code, area_name, reference_date, CAST(sum(value) AS BIGINT) AS population FROM v_population_5y GROUP BY ALL),
+v_nl_population_by_sex AS (SELECT muni_code, key_code, area_name, reference_date, sex, CAST(sum(value) AS BIGINT) AS population FROM v_population_5y GROUP BY ALL),
+v_nl_population_by_age AS (SELECT muni_code, key_code, area_name, reference_date, age_class, CAST(regexp_extract(age_class, '^[0-9]+') AS INTEGER) AS age_order, CAST(sum(value) AS BIGINT) AS population FROM v_population_5y GROUP BY ALL),
+v_nl_foreign_population AS (SELECT muni_code, key_code, area_name, reference_date, CAST(sum(value) AS BIGINT) AS foreign_population FROM v_foreign_population_5y GROUP BY ALL),
+v_nl_households AS (SELECT muni_code, key_code, area_name, reference_date, CAST(sum(value) AS BIGINT) AS households FROM v_households_5y GROUP BY ALL),
+v_nl_areas AS (SELECT a.key_code, a.muni_code, area_name, first_seen, last_seen, alias_name FROM areas a LEFT JOIN area_aliases USING (key_code)),
+v_nl_gaps AS (SELECT g.dataset_key, muni_name, grain_label, reference_date, kind, reason FROM dataset_gaps g LEFT JOIN datasets d USING (dataset_key))
 """
 
 
@@ -299,7 +299,7 @@ def season_month_by_age(s: Store) -> DataFrame:
     return families.seasonality(_registered(s), "pop5", "age", "00000001").df
 
 
-@query("SELECT reference_date, kind, reason FROM dataset_gaps WHERE dataset_key = 'pop5' AND kind <> 'series_break'")
+@query(f"SELECT reference_date, kind, reason FROM dataset_gaps WHERE dataset_key = 'pop5' AND kind <> 'series_break' AND reference_date >= '{BREAK_DATE}'")
 def season_annotations(s: Store) -> DataFrame:
     return families.seasonality(_registered(s), "pop5").annotations
 
@@ -346,8 +346,7 @@ counted AS (SELECT dataset_key, reference_date, count(*) AS file_count FROM mapp
 observed AS (SELECT dataset_key, reference_date, count(*) AS obs_rows FROM observations_5y o JOIN datasets d ON d.muni_code = o.muni_code AND d.granularity = '5y' GROUP BY ALL
              UNION ALL SELECT dataset_key, reference_date, count(*) FROM observations_1y o JOIN datasets d ON d.muni_code = o.muni_code AND d.granularity = '1y' GROUP BY ALL),
 periods AS (SELECT dataset_key, reference_date, coalesce(file_count, 0) AS file_count, coalesce(obs_rows, 0) AS obs_rows FROM counted FULL JOIN observed USING (dataset_key, reference_date)),
-trimmed AS (SELECT * FROM periods WHERE NOT (reference_date BETWEEN '1998-02-01' AND '1998-04-01')),
-own AS (SELECT p.*, substr(reference_date, 1, 7) AS ym FROM trimmed p JOIN datasets d USING (dataset_key) WHERE is_public = 1),
+own AS (SELECT p.*, substr(reference_date, 1, 7) AS ym FROM periods p JOIN datasets d USING (dataset_key) WHERE is_public = 1),
 span AS (SELECT dataset_key, min(ym) AS a, max(ym) AS b FROM own WHERE obs_rows > 0 GROUP BY ALL),
 calendar AS (SELECT dataset_key, strftime(unnest(generate_series(CAST(a || '-01' AS DATE), CAST(b || '-01' AS DATE), INTERVAL 1 MONTH)), '%Y-%m') AS ym FROM span),
 unlabelled AS (SELECT dataset_key, ym, coalesce(obs_rows, 0) AS obs_rows, coalesce(file_count, 0) AS files FROM calendar LEFT JOIN own USING (dataset_key, ym)
@@ -359,7 +358,7 @@ file_health AS (SELECT dataset_key, max(ingested_at) AS last_ingested_at, count(
 run_health AS (SELECT dataset_key, max(started_at) AS last_run_at, max(started_at) FILTER (status IN ('ok', 'no_change')) AS last_ok_at FROM sync_runs GROUP BY ALL),
 entries AS (SELECT d.dataset_key, d.muni_code, d.title, d.granularity, d.license, d.attribution, period_from, period_to, coalesce(months_expected, 0) AS months_expected, coalesce(months_present, 0) AS months_present, coalesce(anomalies, 0) AS anomalies,
                    CAST(coalesce(o.n, 0) AS BIGINT) AS obs_rows, coalesce(files_total, 0) AS files_total, coalesce(files_skipped, 0) AS files_skipped, last_ingested_at, last_run_at, last_ok_at
-            FROM datasets d LEFT JOIN summary USING (dataset_key) LEFT JOIN (SELECT dataset_key, sum(obs_rows) AS n FROM trimmed GROUP BY ALL) o USING (dataset_key) LEFT JOIN file_health USING (dataset_key) LEFT JOIN run_health USING (dataset_key) WHERE is_public = 1)
+            FROM datasets d LEFT JOIN summary USING (dataset_key) LEFT JOIN (SELECT dataset_key, sum(obs_rows) AS n FROM periods GROUP BY ALL) o USING (dataset_key) LEFT JOIN file_health USING (dataset_key) LEFT JOIN run_health USING (dataset_key) WHERE is_public = 1)
 """
 
 
@@ -367,17 +366,12 @@ def _periods(s: Store) -> DataFrame:
     return catalog.refresh_periods(s.literal("source_files"), s.literal("dataset_sources"), s.literal("datasets"), s.observations_5y, s.observations_1y)
 
 
-def _trimmed(s: Store) -> DataFrame:
-    """Three months taken out, to have something missing."""
-    return _periods(s).filter(~F.col("reference_date").between("1998-02-01", "1998-04-01"))
-
-
 def _covered(s: Store) -> DataFrame:
-    return catalog.coverage(_trimmed(s), s.literal("dataset_gaps"), s.literal("datasets"))
+    return catalog.coverage(s.periods, s.literal("dataset_gaps"), s.literal("datasets"))
 
 
 def _entries(s: Store) -> DataFrame:
-    return catalog.catalog(s.literal("datasets"), _trimmed(s), s.literal("dataset_gaps"), s.literal("source_files"), s.literal("dataset_sources"), s.literal("sync_runs"))
+    return catalog.catalog(s.literal("datasets"), s.periods, s.literal("dataset_gaps"), s.literal("source_files"), s.literal("dataset_sources"), s.literal("sync_runs"))
 
 
 @query("SELECT * FROM periods", _CATALOG)
@@ -426,9 +420,9 @@ def coverage_anomalies(s: Store) -> DataFrame:
     return _covered(s).filter("state <> 'ok'")
 
 
-@query("SELECT summary.*, CAST(o.n AS BIGINT) AS obs_rows FROM summary LEFT JOIN (SELECT dataset_key, sum(obs_rows) AS n FROM trimmed GROUP BY ALL) o USING (dataset_key)", _CATALOG)
+@query("SELECT summary.*, CAST(o.n AS BIGINT) AS obs_rows FROM summary LEFT JOIN (SELECT dataset_key, sum(obs_rows) AS n FROM periods GROUP BY ALL) o USING (dataset_key)", _CATALOG)
 def coverage_summary(s: Store) -> DataFrame:
-    return catalog.coverage_summary(_covered(s), _trimmed(s))
+    return catalog.coverage_summary(_covered(s), s.periods)
 
 
 @query("SELECT dataset_key, substr(ym, 1, 4) AS year, " + ", ".join(f"max(state) FILTER (substr(ym, 6, 2) = '{m:02d}') AS m{m:02d}" for m in range(1, 13)) + " FROM covered GROUP BY ALL", _CATALOG)
@@ -438,7 +432,7 @@ def coverage_grid(s: Store) -> DataFrame:
 
 @query("SELECT dataset_key, greatest(period_from, strftime(CAST(period_to || '-01' AS DATE) - INTERVAL 11 MONTH, '%Y-%m')) AS export_from, period_to AS export_to FROM summary WHERE period_to IS NOT NULL", _CATALOG)
 def export_default_window(s: Store) -> DataFrame:
-    return catalog.default_export_window(catalog.coverage_summary(_covered(s), _trimmed(s)))
+    return catalog.default_export_window(catalog.coverage_summary(_covered(s), s.periods))
 
 
 @query("SELECT sha256, dataset, reference_date, CAST(row_number() OVER (PARTITION BY dataset, granularity, reference_date ORDER BY source_last_modified DESC NULLS LAST, ingested_at DESC NULLS LAST, sha256) = 1 AS INTEGER) AS is_current FROM source_files")
@@ -462,6 +456,53 @@ def issues_by_severity(s: Store) -> DataFrame:
     return catalog.open_issues_by_severity(s.literal("known_issues"))
 
 
+_NOTE = "the name says another month"
+
+
+@query(f"SELECT sha256, status, CASE WHEN sha256 IN ('{literals.SHA[4]}', '{literals.SHA[5]}') THEN coalesce(skip_reason || ' / ', '') || '{_NOTE}' ELSE skip_reason END AS skip_reason, CASE WHEN sha256 IN ('{literals.SHA[4]}', '{literals.SHA[5]}') THEN 0 ELSE is_current END AS is_current FROM source_files")
+def files_with_note(s: Store) -> DataFrame:
+    """Files marked as not current, with a note behind the reasons they have."""
+    changes = {"skip_reason": catalog.with_note(F.col("skip_reason"), _NOTE), "is_current": F.lit(0)}
+    return catalog.update_where(s.literal("source_files"), F.col("sha256").isin(literals.SHA[4], literals.SHA[5]), changes).select("sha256", "status", "skip_reason", F.col("is_current").cast("long").alias("is_current"))
+
+
+@query("SELECT issue_id, title, CASE WHEN title LIKE '%a%e%s' THEN 'resolved' ELSE severity END AS severity, CASE WHEN title LIKE '%a%e%s' THEN detail || ' [checked]' ELSE detail END AS detail FROM known_issues")
+def issues_resolved_by_pattern(s: Store) -> DataFrame:
+    changes = {"severity": F.lit("resolved"), "detail": F.concat("detail", F.lit(" [checked]"))}
+    return catalog.update_where(s.literal("known_issues"), F.col("title").like("%a%e%s"), changes).select("issue_id", "title", "severity", "detail")
+
+
+@query("SELECT run_id, status, CAST(1 AS BIGINT) AS attempts FROM sync_runs")
+def runs_with_new_column(s: Store) -> DataFrame:
+    return catalog.add_column(s.literal("sync_runs"), "attempts", "long", 1).select("run_id", "status", "attempts")
+
+
+@query("SELECT dataset_key, (CAST(substr(period_to, 1, 4) AS INTEGER) - CAST(substr(period_from, 1, 4) AS INTEGER)) * 12 + CAST(substr(period_to, 6, 2) AS INTEGER) - CAST(substr(period_from, 6, 2) AS INTEGER) + 1 AS months FROM summary", _CATALOG)
+def coverage_length(s: Store) -> DataFrame:
+    summary = catalog.coverage_summary(_covered(s), s.periods)
+    return summary.select("dataset_key", catalog.month_distance(F.col("period_from"), F.col("period_to")).alias("months"))
+
+
+_NESTED = f"""{_CATALOG}, history AS (
+  SELECT dataset_key, substr(reference_date, 1, 7) AS ym, sha256, status, CAST(row_number() OVER (PARTITION BY dataset_key, reference_date ORDER BY d DESC, c DESC, ingested_at, sha256) = 1 AND d = 1 AS INTEGER) AS offered
+  FROM (SELECT m.*, coalesce(distributable, 1) AS d, coalesce(is_current, 1) AS c FROM mapped m JOIN datasets USING (dataset_key) WHERE is_public = 1)),
+month_files AS (SELECT dataset_key, ym, string_agg(substr(sha256, 64) || '=' || status || offered, '+' ORDER BY sha256) AS file_list FROM history GROUP BY ALL),
+listed AS (SELECT dataset_key, ym, state, ym || ':' || state || ':' || obs_rows || ':' || coalesce(gap_kind, '') || ':' || coalesce(file_list, '') AS line FROM covered LEFT JOIN month_files USING (dataset_key, ym)),
+gap_list AS (SELECT dataset_key, string_agg(reference_date || ':' || kind, ';' ORDER BY reference_date) AS gaps FROM dataset_gaps GROUP BY ALL)"""
+
+
+@query("SELECT e.dataset_key, string_agg(line, ';' ORDER BY ym) AS months, string_agg(ym, ';' ORDER BY ym) FILTER (state <> 'ok') AS anomalous, any_value(g.gaps) AS gaps FROM entries e LEFT JOIN listed USING (dataset_key) LEFT JOIN gap_list g USING (dataset_key) GROUP BY e.dataset_key", _NESTED)
+def catalog_nested(s: Store) -> DataFrame:
+    """Each public dataset with its months (and their files), anomalies and gaps as lists, here put into texts."""
+    history = catalog.file_history(s.literal("source_files"), s.literal("dataset_sources"), s.literal("datasets"))
+    nested = catalog.catalog_nested(_entries(s), _covered(s), s.literal("dataset_gaps"), history)
+    file = lambda f: F.concat(F.substring(f["sha256"], 64, 1), F.lit("="), f["status"], f["offered"].cast("string"))
+    month = lambda m: F.concat(m["ym"], F.lit(":"), m["state"], F.lit(":"), m["obs_rows"].cast("string"), F.lit(":"), F.coalesce(m["gap_kind"], F.lit("")), F.lit(":"), F.array_join(F.transform(m["files"], file), "+"))
+    anomalous = F.array_join(F.transform("anomalous", lambda m: m["ym"]), ";")
+    gaps = F.array_join(F.transform("gaps", lambda g: F.concat(g["reference_date"], F.lit(":"), g["kind"])), ";")
+    return nested.select("dataset_key", F.array_join(F.transform("months", month), ";").alias("months"), F.nullif(anomalous, F.lit("")).alias("anomalous"), gaps.alias("gaps"))
+
+
 # --- exports and display ---------------------------------------------------------------------------
 
 _EXPORTED = "muni_code = '000001' AND reference_date BETWEEN '1996-01-01' AND '1997-12-01'"
@@ -487,12 +528,11 @@ def export_json_rows(s: Store) -> DataFrame:
     return export.json_rows(export.export_rows(_registered(s), "pop5", "published_totals", "1996-01", "1997-12").df)
 
 
-_SPLIT = f"{_PANEL}, split AS (SELECT reference_date, key_code, max(area_name) AS area_name, CAST(sum(value) AS BIGINT) AS value FROM v_population_5y WHERE muni_code = '000001' AND reference_date BETWEEN '{FROM}' AND '{TO}' AND NOT (key_code = '00000001' AND reference_date < '1996-05-01') GROUP BY reference_date, key_code), dense AS (SELECT d.reference_date, k.key_code, k.area_name, s.value FROM (SELECT DISTINCT reference_date FROM split) d CROSS JOIN (SELECT DISTINCT key_code, area_name FROM split) k LEFT JOIN split s USING (reference_date, key_code))"
+_SPLIT = f"{_PANEL}, split AS (SELECT reference_date, key_code, max(area_name) AS area_name, CAST(sum(value) AS BIGINT) AS value FROM v_population_5y WHERE muni_code = '000001' AND reference_date BETWEEN '{FROM}' AND '{TO}' GROUP BY reference_date, key_code), dense AS (SELECT d.reference_date, k.key_code, k.area_name, s.value FROM (SELECT DISTINCT reference_date FROM split) d CROSS JOIN (SELECT DISTINCT key_code, area_name FROM split) k LEFT JOIN split s USING (reference_date, key_code))"
 
 
 def _split(s: Store) -> DataFrame:
-    """A split trend in which one area begins late."""
-    return families.trend(_registered(s), "pop5", FROM, TO, split=True).df.filter("NOT (key_code = '00000001' AND reference_date < '1996-05-01')")
+    return families.trend(_registered(s), "pop5", FROM, TO, split=True).df
 
 
 @query("SELECT * FROM dense", _SPLIT)
@@ -517,10 +557,51 @@ def trend_value_range(s: Store) -> DataFrame:
 
 @query("""SELECT g.reference_date AS gap_date, kind, (SELECT max(reference_date) FROM dates d WHERE d.reference_date <= g.reference_date) AS before_date, (SELECT min(reference_date) FROM dates d WHERE d.reference_date >= g.reference_date) AS after_date,
           g.reference_date IN (SELECT reference_date FROM dates) AS on_month FROM dataset_gaps g WHERE g.reference_date >= (SELECT min(reference_date) FROM dates)""",
-       f"{_PANEL}, dates AS (SELECT DISTINCT reference_date FROM v_nl_population WHERE substr(reference_date, 6, 2) IN ('01', '07') AND reference_date >= '1996-07-01')")
+       f"{_PANEL}, dates AS (SELECT DISTINCT reference_date FROM v_nl_population)")
 def gap_placement(s: Store) -> DataFrame:
-    dates = s.views["v_nl_population"].filter("substr(reference_date, 6, 2) IN ('01', '07') AND reference_date >= '1996-07-01'")
-    return series.placed_gaps(s.literal("dataset_gaps"), dates)
+    return series.placed_gaps(s.literal("dataset_gaps"), s.views["v_nl_population"])
+
+
+@query("SELECT round(min(value) - CASE WHEN max(value) > min(value) THEN (max(value) - min(value)) * 0.12 ELSE 10.0 END, 4) AS low, round(max(value) + CASE WHEN max(value) > min(value) THEN (max(value) - min(value)) * 0.12 ELSE 10.0 END, 4) AS high FROM split", _SPLIT)
+def trend_global_range(s: Store) -> DataFrame:
+    return series.global_range(_split(s))
+
+
+@seasonal("SELECT key_code, max(abs(pct_vs_trend)) AS max_abs_pct_vs_trend FROM v_nl_seasonality GROUP BY key_code")
+def season_greatest_distance(s: Store) -> DataFrame:
+    return series.greatest_distance(s.seasonal_views["v_nl_seasonality"], "pct_vs_trend", "key_code")
+
+
+_TOWNS = "named(key_code, area_name) AS (VALUES " + ", ".join(map(str, literals.TOWNS)) + "), parted AS (SELECT *, CASE WHEN regexp_extract(area_name, '^(.+?)(\\d+)丁目$', 1) = '' THEN area_name ELSE regexp_extract(area_name, '^(.+?)(\\d+)丁目$', 1) END AS town, coalesce(TRY_CAST(regexp_extract(area_name, '(\\d+)丁目$', 1) AS INTEGER), 0) AS block FROM named)"
+
+
+@query("SELECT town, string_agg(area_name, ',' ORDER BY block, key_code) AS areas, count(*) AS n_areas FROM parted GROUP BY town", _TOWNS)
+def town_groups(s: Store) -> DataFrame:
+    named = s.spark.createDataFrame(literals.TOWNS, "key_code string, area_name string")
+    return series.towns(named).withColumn("areas", F.array_join("areas", ","))
+
+
+@query(f"SELECT * FROM v_population_5y WHERE {_EXPORTED} ORDER BY reference_date, key_code, age_class, sex LIMIT 200 OFFSET 400")
+def export_third_page(s: Store) -> DataFrame:
+    return export.page(export.export_rows(_registered(s), "pop5", "population", "1996-01", "1997-12").df, 200, 2)
+
+
+_SHOWN = "shown(id, v) AS (VALUES " + ", ".join(f"({i}, {'NULL' if v is None else v})" for i, v in literals.SHOWN) + ")"
+
+
+@query("SELECT CAST(id AS BIGINT) AS id, format('{:,}', v) AS number, CASE WHEN v > 0 THEN '+' ELSE '' END || format('{:,}', v) AS change, CASE WHEN v IS NULL OR v = 0 THEN '—' ELSE CAST(CAST(floor(v / 1024.0 + 0.5) AS BIGINT) AS VARCHAR) || ' KB' END AS kilobytes FROM shown", _SHOWN)
+def shown_numbers(s: Store) -> DataFrame:
+    rows = s.spark.createDataFrame(literals.SHOWN, "id long, v long")
+    return rows.select("id", fn.shown_number(F.col("v")).alias("number"), fn.shown_change(F.col("v")).alias("change"), fn.shown_kilobytes(F.col("v")).alias("kilobytes"))
+
+
+_REPLIES = "replies(id, reply) AS (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in literals.REPLIES) + "), found AS (SELECT *, regexp_extract(reply, '(?s)\\{.*\\}') AS o FROM replies)"
+
+
+@query("SELECT CAST(id AS BIGINT) AS id, CASE WHEN o <> '' THEN o->>'limits' END AS limits, CASE WHEN o <> '' THEN CAST(o->>'n' AS BIGINT) END AS n FROM found", _REPLIES)
+def object_in_text(s: Store) -> DataFrame:
+    rows = s.spark.createDataFrame(literals.REPLIES, "id long, reply string")
+    return rows.withColumn("o", fn.first_object(F.col("reply"), "limits string, n long")).select("id", "o.limits", "o.n")
 
 
 # --- facts -----------------------------------------------------------------------------------------
@@ -551,6 +632,58 @@ def facts_age(s: Store) -> DataFrame:
     return facts.age_facts(s.seasonal_views["v_nl_seasonality_age"], "key_code", "month")
 
 
+@seasonal("SELECT * FROM v_nl_seasonality_age WHERE month = '09'")
+def season_kept_view(s: Store) -> DataFrame:
+    """A view that was written by month and read again: of its files only those of the month are read."""
+    return s.kept("v_nl_seasonality_age").filter(F.col("month") == "09")
+
+
+_CAVEATS = "told AS (SELECT " + "{fixed} || ".replace("{fixed}", "list_value(" + ", ".join(f"'{c}'" for c in facts.FIXED_CAVEATS) + ")") + f"""(SELECT list(c ORDER BY c) FROM (
+    SELECT substr(reference_date, 1, 7) || ' has no data: ' || reason AS c FROM dataset_gaps WHERE dataset_key = 'pop5' AND kind <> 'series_break' AND reference_date >= '{BREAK_DATE}'
+    UNION ALL SELECT 'known issue: ' || title FROM known_issues WHERE dataset_key = 'pop5' AND resolved_at IS NULL)) AS caveats)"""
+
+
+@query("SELECT array_to_string(caveats, '|') AS caveats FROM told", f"{_PANEL},{_CAVEATS}")
+def caveats(s: Store) -> DataFrame:
+    rows = lambda t: s.literal(t).filter("dataset_key = 'pop5'")
+    return facts.caveats(rows("dataset_gaps"), rows("known_issues")).select(F.array_join("caveats", "|").alias("caveats"))
+
+
+def insight_query(sql: str):
+    return query(sql, f"{_PANEL},{_SEASON},{_CAVEATS}")
+
+
+def _insight(s: Store, mode: str, fields: list[str], *of: str) -> DataFrame:
+    """The facts of one query, with the fields of its listed rows put into a text."""
+    row = facts.insight_facts(_registered(s), "pop5", mode, *of)
+    lines = F.transform("rows", lambda r: F.concat_ws(":", *(r[f].cast("string") for f in fields)))
+    return row.select("mode", "scope", "month", F.array_join(lines, ";").alias("rows"), "derived.*", F.array_join("caveats", "|").alias("caveats"))
+
+
+@insight_query("""SELECT 'strength' AS mode, 'America all areas' AS scope, CAST(NULL AS VARCHAR) AS month, string_agg(concat_ws(':', p, area_name, amplitude_pct, peak_month, trough_month), ';' ORDER BY p) AS rows,
+  max(area_name) FILTER (p = 1) AS top_area, max(amplitude_pct) FILTER (p = 1) AS top_pct, max(area_name) FILTER (p = 2) AS second_area, max(amplitude_pct) FILTER (p = 2) AS second_pct, count(*) AS n_listed,
+  (SELECT array_to_string(caveats, '|') FROM told) AS caveats
+  FROM (SELECT s.*, row_number() OVER (ORDER BY amplitude_pct DESC, s.key_code) AS p FROM v_nl_seasonality_strength s JOIN areas a ON a.key_code = s.key_code WHERE a.muni_code = '000001') WHERE p <= 20 HAVING count(*) > 0""")
+def insight_strength(s: Store) -> DataFrame:
+    return _insight(s, "strength", ["place", "area_name", "amplitude_pct", "peak_month", "trough_month"])
+
+
+@insight_query(f"""SELECT 'profile' AS mode, 'America ' || (SELECT max(area_name) FROM areas WHERE key_code = '00000001') AS scope, CAST(NULL AS VARCHAR) AS month, string_agg(concat_ws(':', m, pct_vs_trend, n_above, n_years, {_ALIKE}), ';' ORDER BY m) AS rows,
+  max(m) FILTER (hi = 1) AS high_month, max(pct_vs_trend) AS high_pct, max(m) FILTER (lo = 1) AS low_month, min(pct_vs_trend) AS low_pct, round(max(pct_vs_trend) - min(pct_vs_trend), 2) AS amplitude_pct,
+  coalesce(string_agg(CAST(m AS VARCHAR), ',' ORDER BY m) FILTER (n_above = 0 OR n_above = n_years), '') AS firm_months, (SELECT array_to_string(caveats, '|') FROM told) AS caveats
+  FROM (SELECT *, CAST(month AS INTEGER) AS m, row_number() OVER (ORDER BY pct_vs_trend DESC, month) AS hi, row_number() OVER (ORDER BY pct_vs_trend, month DESC) AS lo FROM v_nl_seasonality WHERE key_code = '00000001') HAVING count(*) > 0""")
+def insight_profile(s: Store) -> DataFrame:
+    return _insight(s, "profile", ["month", "pct_vs_trend", "n_above", "n_years", "consistency"], "00000001")
+
+
+@insight_query(f"""SELECT 'age' AS mode, 'America ' || (SELECT max(area_name) FROM areas WHERE key_code = '00000001') AS scope, '09' AS month, string_agg(concat_ws(':', age_class, pct_vs_trend, n_above, n_years, {_ALIKE}), ';' ORDER BY age_order) AS rows,
+  arg_min(age_class, pct_vs_trend * 100000 + age_order) AS worst_class, min(pct_vs_trend) AS worst_pct, coalesce(string_agg(age_class, ',' ORDER BY age_order) FILTER (abs(pct_vs_trend) >= 5), '') AS big_classes,
+  count(*) FILTER (abs(pct_vs_trend) < 1) AS n_flat, count(*) AS n_classes, coalesce(string_agg(age_class, ',' ORDER BY age_order) FILTER (n_above = 0 OR n_above = n_years), '') AS firm_classes, (SELECT array_to_string(caveats, '|') FROM told) AS caveats
+  FROM v_nl_seasonality_age WHERE key_code = '00000001' AND month = '09' HAVING count(*) > 0""")
+def insight_age(s: Store) -> DataFrame:
+    return _insight(s, "age", ["age_class", "pct_vs_trend", "n_above", "n_years", "consistency"], "00000001")
+
+
 _TEXTS = "texts(id, text) AS (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in literals.TEXTS) + f"), allowed AS (SELECT CAST(unnest(regexp_extract_all('{literals.FACTS}', '-?[0-9]+(?:\\.[0-9]+)?')) AS DOUBLE) AS f UNION ALL SELECT CAST(unnest(generate_series(0, 24)) AS DOUBLE)), found AS (SELECT id, CAST(unnest(regexp_extract_all(text, '-?[0-9]+(?:\\.[0-9]+)?')) AS DOUBLE) AS n FROM texts)"
 
 

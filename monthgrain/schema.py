@@ -31,6 +31,8 @@ TABLES = {
     "known_issues": _table("issue_id:l dataset_key:s title:s detail:s severity:s resolved_at:s"),
 }
 
+#: Month of the break in the series: seasonality, and the gaps that bear on it, start there.
+BREAK_DATE = "1995-01-01"
 GAP_KINDS = ("upstream_missing", "ingest_failed", "pending_fix", "series_break")
 RUN_STATUSES = ("ok", "no_change", "error")
 FILE_STATUSES = ("ingested", "skipped")
@@ -47,15 +49,16 @@ class Measure:
     view: str
     why: str
     has_age: bool = False
+    has_sex: bool = False
 
 
 _MEASURES = {
     "5y": {
-        "population": Measure("population", "population", "persons", "v_population_5y", "leaf rows by age class and sex", True),
+        "population": Measure("population", "population", "persons", "v_population_5y", "leaf rows by age class and sex", True, True),
         "households": Measure("households", "households", "households", "v_households_5y", "one row per area and month"),
-        "foreign_population": Measure("foreign_population", "foreign population", "persons", "v_foreign_population_5y", "leaf rows by sex, no age classes"),
+        "foreign_population": Measure("foreign_population", "foreign population", "persons", "v_foreign_population_5y", "leaf rows by sex, no age classes", has_sex=True),
     },
-    "1y": {"population": Measure("population", "population", "persons", "v_population_1y", "leaf rows by year of age and sex", True)},
+    "1y": {"population": Measure("population", "population", "persons", "v_population_1y", "leaf rows by year of age and sex", True, True)},
 }
 
 #: Columns and view of each export by granularity and measure.

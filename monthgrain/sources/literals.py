@@ -17,6 +17,7 @@ ROWS: dict[str, list[tuple]] = {
     ],
     "dataset_sources": [("pop5", "reg-archive", "5y", "archive"), ("pop5", "reg-latest", "5y", "latest"), ("pop1", "reg-single", "1y", "latest"), ("asia5", "asia", "5y", "latest")],
     "dataset_gaps": [
+        ("pop5", "1994-06-01", "upstream_missing", "before the break", "2020-01-01"),
         ("pop5", "1996-03-01", "upstream_missing", "never published", "2020-01-01"),
         ("pop5", "1997-07-01", "series_break", "definition changed", "2020-01-01"),
         ("pop5", "1999-11-01", "ingest_failed", "file damaged", "2020-01-02"),
@@ -56,6 +57,10 @@ TEXTS = [
     (4, "No figures here."),
 ]
 FACTS = '{"peak": 12.35, "trough": -3.1, "label": "seen 1234 times"}'
+#: Areas named by town and block; texts with and without an object; numbers to be shown.
+TOWNS = [("101", "本町2丁目"), ("102", "本町10丁目"), ("103", "本町1丁目"), ("104", "港"), ("105", "3丁目"), ("106", "東町1丁目")]
+REPLIES = [(1, 'Here it is: {"limits": "few years", "n": 3} as asked.'), (2, "no object"), (3, '{"limits": "cut off'), (4, '```\n{"n": 5}\n```')]
+SHOWN = [(1, 1234567), (2, -1500), (3, 0), (4, None), (5, 900)]
 SERIES = [("a", 1990 * 12 + 1 + i, 100 + (i * 7) % 12 + i) for i in range(60) if i != 20] + [("tie", 1990 * 12 + 1 + i, 100 + (5 if i % 12 in (3, 8) else 0)) for i in range(60)]
 
 

@@ -7,52 +7,68 @@ to the leaf rows, as publishers do, for the views to keep out of sums.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_kept: dict[tuple[str, str], DataFrame] = {}
+TABLES = ("lineitem", "orders", "customer", "part", "nation", "region")
+
+
+def stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the files behind the panel: another stamp means other rows."""
+    conf, found = spark.sparkContext._jsc.hadoopConfiguration(), []
+    for table in TABLES:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
+        found += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in path.getFileSystem(conf).listStatus(path)]
+    return tuple(sorted(found))
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+@dataclass
+class Panel:
+    """The tables aggregated to cells, of which all grains are made: at most nations x months x sizes x 2 rows
+    of lines, and nations x months of orders. They are kept by Spark until `close`."""
 
+    spark: SparkSession
+    sf_dir: str
 
-def leaf_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quantity by nation, month, size and line status: the one pass over the lines that all panels share.
+    def read(self, table: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
 
-    It is aggregated to at most nations x months x sizes x 2 rows, however many lines there are, and
-    kept for the session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _kept:
+    @cached_property
+    def lines(self) -> DataFrame:
+        """Quantity by nation, month, size and line status, in one pass over the lines."""
         orders = (
-            _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM-01").alias("reference_date"))
-            .join(_read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
+            self.read("orders").select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM-01").alias("reference_date"))
+            .join(self.read("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
             .select("o_orderkey", "reference_date", "c_nationkey")
         )
-        lines = _read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_quantity", "l_linestatus", "l_returnflag")
-        sizes = _read(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_size")
+        lines = self.read("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_quantity", "l_linestatus", "l_returnflag")
+        sizes = self.read("part").select(F.col("p_partkey").alias("l_partkey"), "p_size")
         cells = (
-            lines.join(sizes, "l_partkey").join(orders, "o_orderkey")
+            lines.join(orders, "o_orderkey").join(sizes, "l_partkey")
             .groupBy("c_nationkey", "reference_date", F.col("p_size").alias("age"), F.when(F.col("l_linestatus") == "F", "female").otherwise("male").alias("sex"))
             .agg(F.sum("l_quantity").alias("quantity"), F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0)).alias("returned"))
         )
-        _kept[key] = cells.select("c_nationkey", "reference_date", "age", "sex", F.col("quantity").cast("long").alias("value"), F.col("returned").cast("long").alias("foreign_value")).persist()
-    return _kept[key]
+        return cells.select("c_nationkey", "reference_date", "age", "sex", F.col("quantity").cast("long").alias("value"), F.col("returned").cast("long").alias("foreign_value")).persist()
 
+    @cached_property
+    def orders(self) -> DataFrame:
+        """Orders by nation and month: the households of the panel."""
+        customers = self.read("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+        orders = self.read("orders").select("o_custkey", F.date_format("o_orderdate", "yyyy-MM-01").alias("reference_date"))
+        return orders.join(customers, "o_custkey").groupBy("c_nationkey", "reference_date").agg(F.count("*").alias("value")).persist()
 
-def order_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders by nation and month: the households of the panel."""
-    key = (spark.sparkContext.applicationId, f"{sf_dir}#orders")
-    if key not in _kept:
-        customers = _read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-        orders = _read(spark, sf_dir, "orders").select("o_custkey", F.date_format("o_orderdate", "yyyy-MM-01").alias("reference_date"))
-        _kept[key] = orders.join(customers, "o_custkey").groupBy("c_nationkey", "reference_date").agg(F.count("*").alias("value")).persist()
-    return _kept[key]
+    def close(self) -> None:
+        for name in ("lines", "orders"):
+            if name in self.__dict__:
+                self.__dict__.pop(name).unpersist()
 
 
-def nations(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
+def nations(panel: Panel, grain: str = "nation") -> DataFrame:
     """c_nationkey with its municipality, area and name; at region grain the area is the region too."""
-    joined = _read(spark, sf_dir, "nation").join(_read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    joined = panel.read("nation").join(panel.read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     area, name = (F.col("n_nationkey"), F.col("n_name")) if grain == "nation" else (F.col("r_regionkey"), F.col("r_name"))
     pad = lambda c, n: F.lpad(c.cast("string"), n, "0")
     return joined.select(F.col("n_nationkey").alias("c_nationkey"), pad(F.col("r_regionkey"), 6).alias("muni_code"), pad(area, 8).alias("key_code"), name.alias("area_name"))
@@ -67,14 +83,14 @@ def _file_of(granularity: str) -> Column:
     return F.sha2(F.concat(F.col("reference_date"), F.lit(f":{granularity}")), 256)
 
 
-def observations_5y(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
-    areas = F.broadcast(nations(spark, sf_dir, grain))  # a row per nation
+def observations_5y(panel: Panel, grain: str = "nation") -> DataFrame:
+    areas = nations(panel, grain)
     keys = ["muni_code", "key_code", "reference_date"]
-    cells = leaf_cells(spark, sf_dir).join(areas, "c_nationkey")
+    cells = panel.lines.join(areas, "c_nationkey")
     by = lambda measure, age, sex, value, rows=cells: (
         rows.groupBy(*keys, age.alias("age_class"), sex.alias("sex")).agg(F.sum(value).alias("value")).withColumn("measure", F.lit(measure))
     )
-    total, households = F.lit("total"), order_cells(spark, sf_dir).join(areas, "c_nationkey")
+    total, households = F.lit("total"), panel.orders.join(areas, "c_nationkey")
     parts = [
         by("population", five_year_class(F.col("age")), F.col("sex"), "value"),
         by("population", total, total, "value"),
@@ -88,14 +104,14 @@ def observations_5y(spark: SparkSession, sf_dir: str, grain: str = "nation") ->
     return out.select(*keys, "measure", "age_class", "sex", "value", _file_of("5y").alias("source_sha256"))
 
 
-def observations_1y(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
-    cells = leaf_cells(spark, sf_dir).join(F.broadcast(nations(spark, sf_dir, grain)), "c_nationkey")
+def observations_1y(panel: Panel, grain: str = "nation") -> DataFrame:
+    cells = panel.lines.join(nations(panel, grain), "c_nationkey")
     keys = ["muni_code", "key_code", "reference_date"]
     leaves = cells.groupBy(*keys, F.col("age").cast("string").alias("age_class"), "sex").agg(F.sum("value").alias("value"))
     totals = cells.groupBy(*keys).agg(F.sum("value").alias("value")).select(*keys, F.lit("total").alias("age_class"), F.lit("total").alias("sex"), "value")
     return leaves.unionByName(totals).select(*keys, "age_class", "sex", "value", _file_of("1y").alias("source_sha256"))
 
 
-def areas(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
-    seen = order_cells(spark, sf_dir).join(F.broadcast(nations(spark, sf_dir, grain)), "c_nationkey")
+def areas(panel: Panel, grain: str = "nation") -> DataFrame:
+    seen = panel.orders.join(nations(panel, grain), "c_nationkey")
     return seen.groupBy("key_code", "muni_code", "area_name").agg(F.min("reference_date").alias("first_seen"), F.max("reference_date").alias("last_seen"))

@@ -19,7 +19,7 @@ class NotAvailable(Exception):
 def raw_file_entry(files: DataFrame, sources: DataFrame, datasets: DataFrame, sha256: str) -> DataFrame:
     """The entry of a file that belongs to a public dataset; at most one row."""
     public = datasets.filter("is_public = 1").select("dataset_key", "title", "license", "attribution")
-    mapped = files.filter(F.col("sha256") == a_sha(sha256)).join(F.broadcast(sources), ["dataset", "granularity"]).join(F.broadcast(public), "dataset_key")
+    mapped = files.filter(F.col("sha256") == a_sha(sha256)).join(sources, ["dataset", "granularity"]).join(public, "dataset_key")
     return mapped.select("sha256", "dataset_key", "r2_key", "source_file", "license", "attribution", F.coalesce("distributable", F.lit(1)).alias("distributable"), "hold_reason").limit(1)
 
 

@@ -7,37 +7,43 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-
 def replace_months(stream: DataFrame, target: str, checkpoint: str, keys: tuple[str, ...] = ("muni_code", "reference_date")) -> StreamingQuery:
     """Takes observation rows as they arrive; each batch replaces all of the (municipality, month) slices
-    it holds rows of, in the Parquet table target. A version is written beside the old one and read from
-    `current`, so a repeated batch gives the same table."""
+    it holds rows of, in the Parquet table target.
+
+    A batch writes a whole version of the table, and then one row that says so, among the `done` rows. What
+    has such a row is complete: a version that is still being written, or was left by a batch that
+    failed, is never read, and a repeated batch gives the same table. Those rows also tell a batch which
+    version is the one before."""
     spark = stream.sparkSession
 
     def apply(batch: DataFrame, version: int) -> None:
         if batch.isEmpty():
             return
-        paths = f"{target}/version={version}"
-        older = [v for v in range(version - 1, -1, -1) if _exists(spark, f"{target}/version={v}")]
-        known = spark.read.parquet(f"{target}/version={older[0]}") if older else batch.limit(0)
+        before = _last(spark, target, version)
+        known = batch.limit(0) if before is None else spark.read.parquet(f"{target}/version={before}")
         kept = known.join(batch.select(*keys).distinct(), list(keys), "left_anti").select(*batch.columns)
-        kept.unionByName(batch).write.mode("overwrite").parquet(paths)
+        kept.unionByName(batch).write.mode("overwrite").parquet(f"{target}/version={version}")
+        spark.range(1).select(F.lit(version).cast("long").alias("version")).write.mode("append").parquet(f"{target}/done")
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _last(spark: SparkSession, target: str, below: int | None = None) -> int | None:
+    """The last complete version, below one if that is given."""
+    done = spark.read.schema("version long").option("ignoreMissingFiles", True)
     try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
+        rows = done.parquet(f"{target}/done")
     except Exception as e:
         if "PATH_NOT_FOUND" in str(e):
-            return False
+            return None
         raise
+    return rows.filter(F.lit(True) if below is None else F.col("version") < below).agg(F.max("version")).first()[0]
 
 
 def current(spark: SparkSession, target: str) -> DataFrame:
-    """The latest version of a table kept by replace_months."""
-    versions = spark.read.parquet(target)
-    latest = versions.agg(F.max("version")).first()[0]
-    return versions.filter(F.col("version") == latest).drop("version")
+    """The latest complete version of a table kept by replace_months."""
+    version = _last(spark, target)
+    if version is None:
+        raise ValueError(f"no complete version in {target}")
+    return spark.read.parquet(f"{target}/version={version}")

@@ -95,10 +95,10 @@ def test_families_refuse_and_explain(store):
     with pytest.raises(ValueError):
         families.seasonality(s, "pop5", "profile")
     r = families.trend(s, "pop5", "1996-01-01", "1997-01-01", ["00000001"])
-    assert s.sql(r.sql, args=r.params).collect() == r.df.collect() and any("1 areas" in n for n in r.notes)
+    assert s.sql(r.sql, args=r.params).collect() == r.df.collect() and "areas: 1" in r.notes and r.notes[0].startswith("view: v_population_5y")
     assert families.seasonality(s, "pop5", "age", "00000001", measure="households").df.isEmpty()
     ranked = families.ranking(s, "pop5", "1996-01-01", "2000-06-01")
-    assert ranked.extra["safe_from"] == "1997-07-01" and any("definition changed" in n for n in ranked.notes)
+    assert ranked.extra["safe_from"].first()[0] == "1997-07-01" and s.sql(ranked.sql, args=ranked.params).collect() == ranked.df.collect()
 
 
 def test_growth_from_nothing(spark):
@@ -131,7 +131,12 @@ def test_exports(store, tmp_path):
     dates = [x.split(",")[3] for x in text.splitlines()[1:]]
     assert dates == sorted(dates)
     export.write_csv(r.df, str(tmp_path / "csv"))
-    assert s.read.option("header", True).csv(str(tmp_path / "csv")).count() == r.df.count()
+    parts = sorted((tmp_path / "csv").glob("part-*"))
+    lines = [p.read_text(encoding="utf-8").splitlines() for p in parts]
+    assert all(x[0] == "\ufeffmuni_code,key_code,area_name,reference_date,measure,value" for x in lines)
+    assert [y for x in lines for y in x[1:]] == text.splitlines()[1:]
+    pages = [export.page(r.df, 100, n).collect() for n in range(9)]
+    assert [x for p in pages for x in p] == r.df.collect() and pages[-1] == []
 
 
 def test_raw_files(spark, tmp_path):
@@ -167,8 +172,58 @@ def test_insight_retries_once_and_rejects(spark):
 
 
 def test_caveats(spark):
-    got = facts.caveats(literals.frame(spark, "dataset_gaps").limit(1), literals.frame(spark, "known_issues"), ["fixed"]).first().caveats
-    assert got[0] == "fixed" and len(got) == 6
+    got = facts.caveats(literals.frame(spark, "dataset_gaps").filter("dataset_key = 'pop5'"), literals.frame(spark, "known_issues"), ["fixed"]).first().caveats
+    assert got[0] == "fixed" and len(got) == 7 and not any("1994" in c for c in got)
+
+
+def test_numbers_of_caveats_may_be_used(spark):
+    texts = spark.createDataFrame([("since 1995 and 12.5",), ("since 1995 and 77.7",)], "text string")
+    told = F.array(F.lit("only months from 1995-01 on"))
+    assert [r.ok for r in facts.verify_numbers(texts, F.lit('{"pct": 12.5}'), told).collect()] == [True, False]
+    assert [r.ok for r in facts.verify_numbers(texts, F.lit('{"pct": 12.5}')).collect()] == [False, False]
+
+
+def test_coverage_with_holes(spark):
+    """Months within the span without rows are missing, or not loaded if there are files; outside only the latter count."""
+    periods = spark.createDataFrame([("pop5", f"1998-{m:02d}-01", f, n) for m, f, n in ((1, 1, 0), (2, 1, 5), (3, 0, 0), (5, 2, 0), (6, 0, 7), (9, 0, 0))], "dataset_key string, reference_date string, file_count long, obs_rows long")
+    gaps = spark.createDataFrame([("pop5", "1998-04-01", "upstream_missing", "x", "t")], literals.frame(spark, "dataset_gaps").schema)
+    covered = catalog.coverage(periods, gaps, literals.frame(spark, "datasets"))
+    assert [(r.ym, r.state, r.files, r.gap_kind) for r in covered.orderBy("ym").collect()] == [
+        ("1998-01", "not_loaded", 1, None), ("1998-02", "ok", 1, None), ("1998-03", "missing", 0, None),
+        ("1998-04", "missing", 0, "upstream_missing"), ("1998-05", "not_loaded", 2, None), ("1998-06", "ok", 0, None),
+    ]
+
+
+def test_dense_rows_and_places_of_notes(spark):
+    split = spark.createDataFrame([("2000-01-01", "a", "A", 1), ("2000-03-01", "a", "A", None), ("2000-03-01", "b", "B", 4)], "reference_date string, key_code string, area_name string, value long")
+    assert sorted((r.key_code, r.reference_date, r.value) for r in series.aligned(split).collect()) == [("a", "2000-01-01", 1), ("a", "2000-03-01", None), ("b", "2000-01-01", None), ("b", "2000-03-01", 4)]
+    notes = spark.createDataFrame([("1999-12-01", "k"), ("2000-02-01", "k"), ("2000-03-01", "k"), ("2000-04-01", "k")], "reference_date string, kind string")
+    got = {r.gap_date: (r.before_date, r.after_date, r.on_month) for r in series.placed_gaps(notes, split).collect()}
+    assert got == {"2000-02-01": ("2000-01-01", "2000-03-01", False), "2000-03-01": ("2000-03-01", "2000-03-01", True), "2000-04-01": ("2000-03-01", None, False)}
+
+
+def test_stores_see_new_files_and_are_closed(spark, small, tmp_path):
+    import shutil
+
+    for t in ("lineitem", "orders", "customer", "part", "nation", "region"):
+        shutil.copy(f"{small}/{t}.parquet", tmp_path / f"{t}.parquet")
+    total = lambda: Store.of(spark, str(tmp_path)).views["v_population_5y"].agg(F.sum("value")).first()[0]
+    before, first = total(), Store.of(spark, str(tmp_path))
+    assert first.panel.lines.is_cached and Store.of(spark, str(tmp_path)) is first
+    half = spark.read.parquet(f"{small}/lineitem.parquet").filter("l_orderkey % 2 = 0").toPandas()
+    (tmp_path / "lineitem.parquet").unlink()
+    half.to_parquet(tmp_path / "lineitem.parquet", coerce_timestamps="us")
+    assert total() < before and "lines" not in first.panel.__dict__
+    for i in range(Store.KEPT + 1):
+        Store.of(spark, small if i % 2 else str(tmp_path))
+    assert len(Store._open) <= Store.KEPT
+
+
+def test_changes_to_catalog_tables(spark):
+    runs = literals.frame(spark, "sync_runs")
+    with pytest.raises(ValueError):
+        catalog.add_column(runs, "Status", "string")
+    assert catalog.add_column(runs, "note", "string").filter("note IS NULL").count() == runs.count()
 
 
 def test_refresh_is_idempotent(store):
@@ -193,3 +248,9 @@ def test_late_files_replace_their_months(spark, tmp_path):
 def test_seasonal_views_can_be_kept(store, tmp_path):
     season.materialise({"s": store.seasonal_views["v_nl_seasonality"]}, str(tmp_path))
     assert store.spark.read.parquet(str(tmp_path / "s")).count() == store.seasonal_views["v_nl_seasonality"].count()
+    kept = store.kept("v_nl_seasonality_age")
+    assert kept.schema.names == store.seasonal_views["v_nl_seasonality_age"].schema.names and sorted(kept.collect()) == sorted(store.seasonal_views["v_nl_seasonality_age"].collect())
+    rows = store.spark.createDataFrame([("k", "A", "0-4", 0, f"{m:02d}", 1.0, 0.5, 1, 2) for m in range(1, 13)], kept.schema)
+    season.materialise({"v_nl_seasonality_age": rows}, str(tmp_path))
+    one = season.kept_view(store.spark, str(tmp_path), "v_nl_seasonality_age", kept.schema).filter("month = '09'")
+    assert "PartitionFilters: [isnotnull(month" in one._jdf.queryExecution().executedPlan().toString() and one.count() == 1 and one.first().month == "09"
