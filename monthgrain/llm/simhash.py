@@ -58,7 +58,7 @@ SET_TAU, OTHER_TAU = 13, 22
 #: Sets of shingles that are compared in one block.
 SET_RUN = 1024
 #: Members of a component over which its hub counts as hot.
-HUB = 100_000
+HUB = 5_000
 
 
 def fingerprint(text: str | None, words: int = WORDS) -> int:
@@ -265,8 +265,8 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     Large-star and small-star rounds in turn: every node's neighbours are hung on the least of them,
     until all hang on the least node. Each round is cut off in the shared folder. Where a node has over
     HUB neighbours, those look up the least of them by `look_up` rather than by a join on the node."""
-    e, before = cut(edges), None
-    n, busiest = e.count(), 0
+    e = cut(edges)
+    n, state, busiest = _state(e)
     for _ in range(rounds):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"), "n")
@@ -276,13 +276,20 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select(F.col("a").alias("u"), "m", "n")
         small = _least_of(large, least, n, busiest).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
         e = cut(small.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct())
-        n, state, busiest = e.select(F.col("b").alias("u"), F.xxhash64("a", "b").cast("decimal(38,0)").alias("h")).groupBy("u").agg(F.count("*").alias("n"), F.sum("h").alias("h")).agg(F.sum("n"), F.sum("h"), F.max("n")).first()
+        before = n, state
+        n, state, busiest = _state(e)
         if (n, state) == before:
             return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before, n, busiest = (n, state), n or 0, busiest or 0
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
+def _state(e: DataFrame) -> tuple[int, int | None, int]:
+    """How many edges there are, a sum of their hashes, and the most that hang on one node."""
+    ends = e.select(F.explode(F.array("a", "b")).alias("u"), F.xxhash64("a", "b").cast("decimal(38,0)").alias("h"))
+    n, state, busiest = ends.groupBy("u").agg(F.count("*").alias("n"), F.sum("h").alias("h")).agg(F.sum("n"), F.sum("h"), F.max("n")).first()
+    return (n or 0) // 2, state, busiest or 0
+
+
 def _least_of(edges: DataFrame, least: DataFrame, n: int, busiest: int) -> DataFrame:
     """edges with m, the least neighbour of a."""
     if busiest <= HUB:

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from monthgrain.llm import simhash, winnowing
@@ -136,6 +137,28 @@ def test_all_links_are_found(spark):
         assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(want.values()))
 
 
+@pytest.mark.parametrize("hub", [simhash.HUB, 3])
+def test_components_by_brute_force(spark, hub, monkeypatch):
+    """Chains, hubs that are least, greatest and in between, and edges between hubs; keys of many rows broadcast or not."""
+    monkeypatch.setattr(simhash, "HUB", hub)
+    rng = random.Random(6)
+    edges = [(i + 1, i) for i in range(100, 130)] + [(i, 200) for i in range(201, 1900, 2)] + [(5000, i) for i in range(2000, 3500)] + [(6000 + i, 6500) if i > 500 else (6500, 6000 + i) for i in range(900) if i != 500]
+    edges += [(rng.randrange(7001, 7400), rng.randrange(7000, 7001 + i)) for i in range(300)] + [(2500, 205)]
+    edges = [(max(e), min(e)) for e in edges if e[0] != e[1]]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    got = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: root(x) for x in list(parent) if root(x) != x}
+
+
 def test_plans_are_complete():
     """Thresholds plus one add up to tau plus one, and correlated bits share a group."""
     rng = np.random.default_rng(1)
@@ -145,6 +168,8 @@ def test_plans_are_complete():
     for n in (10, 10**5, 10**8, 10**11):
         groups = simhash.plan(n, both * (n / 4000), 4)
         assert sum(t + 1 for _, t in groups) == 5 and len({b for g, _ in groups for b in g}) == sum(len(g) for g, _ in groups)
+        groups = simhash.plan(n, both * (n / 4000), 13)  # thresholds that leave bits to agree, in every group
+        assert sum(t + 1 for _, t in groups) == 14 and all(t < len(g) for g, t in groups)
     assert any({3, 40} <= set(g) for g in simhash.group_bits(4000, both, 4))
 
 
