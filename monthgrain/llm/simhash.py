@@ -56,7 +56,7 @@ MAX_SIGNATURES = 3000
 SET_WORDS, SIMILARITY = 5, (4, 5)
 SET_TAU, OTHER_TAU = 13, 22
 #: Sets of shingles that are compared in one block.
-SET_RUN = 1024
+SET_RUN = 2048
 #: Members of a component over which its hub counts as hot.
 HUB = 5_000
 
@@ -256,7 +256,14 @@ def links(nodes: DataFrame, tau: int = TAU, run: int = RUN, other_tau: int | Non
         if len(a):
             yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], schema=schema)
 
-    return runs.select("key", *carried).mapInArrow(linked, "a long, b long").filter("a <> b").distinct()
+    return hung(runs.select("key", *carried).mapInArrow(linked, "a long, b long"))
+
+
+def hung(edges: DataFrame) -> DataFrame:
+    """Edges a > b that connect the same nodes: each node and those below it that it is linked to hang on the
+    least of these. A node has no more links here than there are runs that it was in."""
+    below = edges.filter("a <> b").groupBy("a").agg(F.collect_set("b").alias("below"), F.min("b").alias("m"))
+    return below.select(F.explode(F.array_append("below", F.col("a"))).alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
@@ -447,12 +454,33 @@ def _all_within(members: DataFrame, texts: DataFrame, words: int, run: int) -> D
     return runs.select("key", "node", "set").mapInArrow(linked, "a long, b long")
 
 
+def _centres(members: DataFrame, total: int) -> DataFrame:
+    """group and centre, the member whose fingerprint is nearest to the majority of the group's, bit by bit;
+    members has node, group and fp."""
+
+    def make():
+        def step(groups: pa.Array, fp: pa.Array):
+            own, at = np.unique(groups.to_numpy(), return_inverse=True)
+            counts = np.zeros((len(own), BITS), np.int64)
+            np.add.at(counts, at, np.unpackbits(fp.to_numpy().view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int64) * 2 - 1)
+            return [np.repeat(own, BITS), np.tile(np.arange(BITS), len(own)), counts.ravel()]
+
+        return step
+
+    votes = arrow_map(members, make, "group long, bit long, n long", ["group", "fp"]).groupBy("group", "bit").agg(F.sum("n").alias("n"))
+    middle = votes.groupBy("group").agg(F.bit_or(F.when(F.col("n") > 0, F.expr("shiftleft(1L, CAST(bit AS INT))")).otherwise(F.lit(0).cast("long"))).alias("middle"))
+    sized = members.groupBy("group").agg(F.count("*").alias("n")).join(middle, "group")
+    near = look_up(members, "group", cut(sized), "n", total, ["node"]).select("node", "group", F.bit_count(F.col("fp").bitwiseXOR(F.col("middle"))).alias("d"))
+    return near.groupBy("group").agg(F.min(F.struct("d", "node"))["node"].alias("centre"), F.count("*").alias("n"))
+
+
 def set_groups(texts: DataFrame, words: int = SET_WORDS, tau: int = SET_TAU, other_tau: int = OTHER_TAU, run: int = SET_RUN) -> DataFrame:
     """node and root, the least node of its group, of those nodes of texts (node, a hash of the text, and
     text) whose sets are alike, over any number of steps, to a lesser one's.
 
-    The members of a group that the fingerprints connect are held against its root. If that leaves some
-    over, what was linked in the group is held against each other, and if it still falls apart, all of it."""
+    The members of a group that the fingerprints connect are held against the one in its centre. If that
+    leaves some over, what was linked in the group is held against each other, and if it still falls apart,
+    all of it."""
 
     def make():
         def step(ids: pa.Array, some: pa.Array):
@@ -463,19 +491,22 @@ def set_groups(texts: DataFrame, words: int = SET_WORDS, tau: int = SET_TAU, oth
 
     prints = cut(arrow_map(texts, make, "node long, fp long, other long", ["node", "text"]).dropDuplicates(["node"]))
     swapped = prints.select("node", F.col("other").alias("fp"), F.col("fp").alias("other"))
-    found = cut(links(prints, tau, other_tau=other_tau).union(links(swapped, tau, other_tau=other_tau)).distinct())
+    found = cut(hung(links(prints, tau, other_tau=other_tau).union(links(swapped, tau, other_tau=other_tau))))
     stars = components(found)
-    true = cut(_verified(stars.select(F.col("node").alias("a"), F.col("root").alias("b")), texts, words))
-    members = cut(stars.select("node", F.col("root").alias("group")).union(stars.select("root", "root").distinct()))
+    members = stars.select("node", F.col("root").alias("group")).union(stars.select("root", "root").distinct())
+    members = cut(members.join(prints.select("node", "fp"), "node"))
     total = members.count()
-    held = members.join(true.select(F.col("a").alias("node"), F.lit(True).alias("true")), "node", "left").select("node", "group", (F.col("true").isNotNull() | (F.col("node") == F.col("group"))).alias("true"))
+    centred = cut(look_up(members.drop("fp"), "group", cut(_centres(members, total)), "n", total, ["node"]))
+    true = cut(_verified(centred.filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")), texts, words))
+    held = centred.join(true.select(F.col("a").alias("node"), F.lit(True).alias("true")), "node", "left").select("node", "group", (F.col("true").isNotNull() | (F.col("node") == F.col("centre"))).alias("true"))
     held = cut(look_up(held, "group", cut(held.groupBy("group").agg(F.count("*").alias("n"), F.every("true").alias("whole"))), "n", total, ["node"]))
     rest = held.filter("NOT whole").select("node", "group")
     if rest.isEmpty():
         return stars
+    down = lambda df: df.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     done = held.filter("whole AND node <> group").select("node", F.col("group").alias("root"))
-    within = cut(found.join(rest.select(F.col("node").alias("a"), "group"), "a").filter("b <> group").select("a", "b"))
-    edges = cut(true.join(rest.select(F.col("node").alias("a")), "a", "left_semi").union(_verified(within, texts, words)).distinct())
+    within = found.join(rest.select(F.col("node").alias("a")), "a", "left_semi").join(true.select("a", "b").union(true.select("b", "a")), ["a", "b"], "left_anti")
+    edges = cut(down(true.join(rest.select(F.col("node").alias("a")), "a", "left_semi")).union(_verified(cut(within), texts, words)).distinct())
     parts = components(edges)
     rooted = rest.join(parts, "node", "left").select("node", "group", F.coalesce("root", "node").alias("root"))
     sized = cut(rooted.groupBy("group").agg(F.count("*").alias("n"), F.count("*").alias("size"), (F.min("root") == F.max("root")).alias("whole")))
