@@ -119,15 +119,24 @@ class Store:
     def seasonal_views(self) -> Views:
         return Views(season.makers(self.views, BREAK_DATE))
 
+    def _folder(self, name: str) -> str:
+        """A new folder in the one that the cluster shares."""
+        shared = self.spark.conf.get("spark.checkpoint.dir", None) or self.spark.conf.get("spark.sql.warehouse.dir")
+        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
     def kept(self, name: str) -> DataFrame:
-        """A seasonal view as written by `season.materialise` and read again, from the folder that the cluster
-        shares; written when it is first asked for."""
+        """A seasonal view as written by `season.materialise` and read again; written when it is first asked for."""
         if name not in self._written:
-            shared = self.spark.conf.get("spark.checkpoint.dir", None) or self.spark.conf.get("spark.sql.warehouse.dir")
-            self._written[name] = f"{shared.rstrip('/')}/season-{uuid.uuid4().hex}"
+            self._written[name] = self._folder("season")
             season.materialise({name: self.seasonal_views[name]}, self._written[name])
         return season.kept_view(self.spark, self._written[name], name, self.seasonal_views[name].schema)
 
+    def rebuilt_periods(self) -> DataFrame:
+        """dataset_periods as a table: all rows of the one before go, and the refreshed ones are written."""
+        path = self._written.setdefault("dataset_periods", self._folder("dataset-periods"))
+        self.periods.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(self.periods.schema).parquet(path)
+
     def register(self) -> None:
         """Every table and view as a temporary view, for SQL over them; nothing to do if they are already."""
         if Store._registered is self and Store._registered_in is self.spark:

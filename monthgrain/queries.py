@@ -379,6 +379,13 @@ def catalog_periods(s: Store) -> DataFrame:
     return _periods(s)
 
 
+@query("SELECT * FROM periods", _CATALOG)
+def catalog_periods_rebuilt(s: Store) -> DataFrame:
+    """The table of periods, written anew over an older one and read again."""
+    s.rebuilt_periods()
+    return s.rebuilt_periods()
+
+
 @query("SELECT dataset_key, reference_date, coalesce(n.file_count, o.file_count, 0) AS file_count, coalesce(o.obs_rows, 0) AS obs_rows FROM dataset_periods o FULL JOIN counted n USING (dataset_key, reference_date)", _CATALOG)
 def catalog_upsert(s: Store) -> DataFrame:
     """New file counts merged into known periods; their row counts stay."""
