@@ -173,7 +173,7 @@ def test_line_dedup_by_definition(spark, odd, none):
         at = rng.randrange(len(lines) + 1)
         lines[at:at] = passage[rng.randrange(4) :] if i % 3 == 0 else [rng.choice(pool) for _ in range(rng.randrange(4))] if i % 3 == 1 else []
         docs.append((i // 2 if i % 10 == 0 else i, rng.choice("\n  ").join(lines)))
-    docs += [(None, docs[0][1]), (900, None), (901, ""), (7, docs[7][1]), (902, "\n\n"), (903, "\t. ? \n.\n\r\n ."), (904, "same. " * 50 + "x" * 5000), (905, "same. " * 50)]
+    docs += [(None, docs[0][1]), (900, None), (901, ""), (7, docs[7][1]), (902, "\n\n"), (903, "\t. ? \n.\n\r\n ."), (904, "same. " * 50 + "x" * 5000), (905, "same. " * 50), (906, "a." * 50_000 + "\n" + "b! c" * 9000), (907, "x" * 300_000 + " " + "." * 99_999)]
     got = line_chunks.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"))
     key = lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or "")
     assert sorted(((r.doc_id, r.text, r.removed_lines) for r in got.collect()), key=key) == sorted(_dedup(docs), key=key)
