@@ -18,7 +18,7 @@ found by the hash of their words at every word of a text, and compared.
 
 The items' index goes to every task, in slices of at most MAX_ITEM_WORDS words, each of which is one
 more pass over the documents. So what the driver, a message to tasks and a task hold is bounded
-whatever their number: some 600 bytes a word of a slice (or of a single longer item).
+whatever their number: some 500 bytes a word of a slice (or of a single longer item).
 
 Defined cases: null and empty texts are clean; items that are null or have no word match nothing; equal
 items each match, and of equally close stretches the first is given; very long texts and items are
@@ -43,7 +43,7 @@ from .common import arrow_map, own_name, scratch_path, sliced
 SIMILARITY = 0.8
 MIN_WORDS = 5
 LONGEST_WINDOW = 64
-WALKS, TABLES, STEPS = 8, 12, 4
+WALKS, TABLES, STEPS = 7, 10, 4
 MAX_ITEM_WORDS = 100_000
 SEED = 20
 _STRIP = bytes(32 if chr(i) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else i for i in range(256))

@@ -394,9 +394,8 @@ def _sets(texts: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     return cut(arrow_map(once.join(nodes, "node", "left_semi"), make, "node long, set binary", ["node", "text"]))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """Those of pairs (a > b) whose sets are alike."""
-    sets = _sets(texts, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), words)
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of pairs (a, b) whose sets are alike."""
 
     def make():
         def step(a: pa.Array, b: pa.Array, x: pa.Array, y: pa.Array):
@@ -411,13 +410,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     return arrow_map(pairs.join(left, "a").join(right, "b"), make, "a long, b long", ["a", "b", "x", "y"])
 
 
-def _all_within(members: DataFrame, texts: DataFrame, words: int, run: int) -> DataFrame:
+def _all_within(members: DataFrame, sets: DataFrame, run: int) -> DataFrame:
     """Edges that connect all alike sets of a group; members has node, group and n, the members of the group.
     A group is dealt out as all pairs of chunks of run members."""
     chunks, own = F.ceil(F.col("n") / run), F.pmod(F.xxhash64("node", F.lit("chunk")), F.ceil(F.col("n") / run))
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), chunks - 1), lambda c: F.struct(F.least(c, own).alias("i"), F.greatest(c, own).alias("j")))
     dealt = members.select("node", "group", F.explode(pairs).alias("pair")).select("node", F.xxhash64("group", "pair.i", "pair.j").alias("key"))
-    sets = _sets(texts, members.select("node").distinct(), words)
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def edges(nodes: list[int], sets: list[np.ndarray]):
@@ -495,9 +493,9 @@ def set_groups(texts: DataFrame, words: int = SET_WORDS, tau: int = SET_TAU, oth
     stars = components(found)
     members = stars.select("node", F.col("root").alias("group")).union(stars.select("root", "root").distinct())
     members = cut(members.join(prints.select("node", "fp"), "node"))
-    total = members.count()
+    total, sets = members.count(), _sets(texts, members.select("node"), words)
     centred = cut(look_up(members.drop("fp"), "group", cut(_centres(members, total)), "n", total, ["node"]))
-    true = cut(_verified(centred.filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")), texts, words))
+    true = cut(_verified(centred.filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")), sets))
     held = centred.join(true.select(F.col("a").alias("node"), F.lit(True).alias("true")), "node", "left").select("node", "group", (F.col("true").isNotNull() | (F.col("node") == F.col("centre"))).alias("true"))
     held = cut(look_up(held, "group", cut(held.groupBy("group").agg(F.count("*").alias("n"), F.every("true").alias("whole"))), "n", total, ["node"]))
     rest = held.filter("NOT whole").select("node", "group")
@@ -506,7 +504,7 @@ def set_groups(texts: DataFrame, words: int = SET_WORDS, tau: int = SET_TAU, oth
     down = lambda df: df.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     done = held.filter("whole AND node <> group").select("node", F.col("group").alias("root"))
     within = found.join(rest.select(F.col("node").alias("a")), "a", "left_semi").join(true.select("a", "b").union(true.select("b", "a")), ["a", "b"], "left_anti")
-    edges = cut(down(true.join(rest.select(F.col("node").alias("a")), "a", "left_semi")).union(_verified(cut(within), texts, words)).distinct())
+    edges = cut(down(true.join(rest.select(F.col("node").alias("a")), "a", "left_semi")).union(_verified(cut(within), sets)).distinct())
     parts = components(edges)
     rooted = rest.join(parts, "node", "left").select("node", "group", F.coalesce("root", "node").alias("root"))
     sized = cut(rooted.groupBy("group").agg(F.count("*").alias("n"), F.count("*").alias("size"), (F.min("root") == F.max("root")).alias("whole")))
@@ -515,7 +513,7 @@ def set_groups(texts: DataFrame, words: int = SET_WORDS, tau: int = SET_TAU, oth
     apart = rooted.filter("NOT whole").select("node", "group", F.col("size").alias("n"))
     if apart.isEmpty():
         return done
-    edges = edges.join(apart.select(F.col("node").alias("a")), "a", "left_semi").union(_all_within(apart, texts, words, run)).distinct()
+    edges = edges.join(apart.select(F.col("node").alias("a")), "a", "left_semi").union(_all_within(apart, sets, run)).distinct()
     return done.union(components(edges))
 
 
