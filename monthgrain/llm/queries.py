@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, line_chunks, mixing, pseudonyms, quality, simhash, toxicity, winnowing
+from . import decontamination, language, line_chunks, mixing, pseudonyms, quality, simhash, spelling, toxicity, winnowing
 from .common import documents, remainder
 from .token_records import token_records
 
@@ -82,6 +82,10 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_chunks.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(spelling.damaged(documents(spark, sf_dir))))
+
+
 QUERIES = {
     "op1_winnowing": op1_winnowing,
     "op2_simhash": op2_simhash,
@@ -93,9 +97,11 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_pseudonyms": op9_pseudonyms,
     "op10_line_chunks": op10_line_chunks,
+    "op11_spelling": op11_spelling,
 }
 
 ORACLES: dict[str, str] = {
     "op4_mixing": mixing.SQL,
     "op10_line_chunks": line_chunks.SQL,
+    "op11_spelling": spelling.SQL,
 }
