@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, line_chunks, mixing, pseudonyms, quality, simhash, spelling, toxicity, winnowing
+from . import conversations, decontamination, language, line_chunks, mixing, pseudonyms, quality, quality_votes, simhash, spelling, toxicity, winnowing
 from .common import documents, remainder
 from .token_records import token_records
 
@@ -86,6 +86,15 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.vocabulary(spelling.damaged(documents(spark, sf_dir))))
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_digests(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_votes.judged(documents(spark, sf_dir))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("probability", 6).alias("probability"))
+
+
 QUERIES = {
     "op1_winnowing": op1_winnowing,
     "op2_simhash": op2_simhash,
@@ -98,10 +107,13 @@ QUERIES = {
     "op9_pseudonyms": op9_pseudonyms,
     "op10_line_chunks": op10_line_chunks,
     "op11_spelling": op11_spelling,
+    "op12_conversations": op12_conversations,
+    "op13_quality_votes": op13_quality_votes,
 }
 
 ORACLES: dict[str, str] = {
     "op4_mixing": mixing.SQL,
     "op10_line_chunks": line_chunks.SQL,
     "op11_spelling": spelling.SQL,
+    "op12_conversations": conversations.SQL,
 }
