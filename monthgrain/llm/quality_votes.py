@@ -228,16 +228,17 @@ STEPS = 500
 AT_FIRST = 0.9
 
 
-def fit(patterns: list[tuple[list[int], int]], steps: int = STEPS) -> Model:
+def fit(patterns: list[tuple[list[int], int]], n_rules: int = len(RULES), steps: int = STEPS) -> Model:
     """Expectation-maximisation over patterns of votes with their numbers of documents. It begins with the filter
     that it replaces, where one bad vote is enough (so that `good` is what passes all rules, whichever rules agree
     most often), and ends when nothing moves by a billionth, or after `steps`."""
+    if not patterns:
+        return Model(0.5, [RIGHT / (RIGHT + WRONG)] * n_rules, [RIGHT / (RIGHT + WRONG)] * n_rules)
     patterns = sorted(patterns)
-    votes = np.array([p for p, _ in patterns], np.int64).reshape(len(patterns), -1)
+    votes = np.array([p for p, _ in patterns], np.int64)
     n = np.array([c for _, c in patterns], float)
     good, bad = votes == 1, votes == 0
     p = np.where(bad.any(1), 1 - AT_FIRST, np.where(good.any(1), AT_FIRST, 0.5))
-    model = None
     for _ in range(steps):
         w, v = n * p, n * (1 - p)
         prior = (w.sum() + 1) / (n.sum() + 2)
@@ -246,17 +247,17 @@ def fit(patterns: list[tuple[list[int], int]], steps: int = STEPS) -> Model:
         model = Model(float(prior), a.tolist(), b.tolist())
         odds = math.log(prior / (1 - prior)) + good @ np.log(a / (1 - b)) + bad @ np.log((1 - a) / b)
         after = 1 / (1 + np.exp(-odds))
-        moved, p = np.abs(after - p).max(initial=0), after
+        moved, p = np.abs(after - p).max(), after
         if moved < 1e-9:
             break
-    return model or Model(0.5, [RIGHT / (RIGHT + WRONG)] * votes.shape[1], [RIGHT / (RIGHT + WRONG)] * votes.shape[1])
+    return model
 
 
 def judged(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     """doc_id, COUNTS, votes, probability (that it is good), base_failed, kept."""
     counts = cut(voted(counted(docs), rules))
     patterns = [(r.votes, r.n) for r in counts.groupBy("votes").agg(F.count("*").alias("n")).collect()]  # 3 ** rules at most
-    model = fit(patterns)
+    model = fit(patterns, len(rules))
     # log odds are added up as the model does, from constants; the table of patterns needs no join
     odds = F.lit(math.log(model.prior / (1 - model.prior)))
     for i, (a, b) in enumerate(zip(model.on_good, model.on_bad, strict=True)):
@@ -266,3 +267,45 @@ def judged(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
     out = counts.withColumn("probability", probability).withColumn("base_failed", failed)
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("probability") >= KEPT_FROM))
+
+
+# --- the query in SQL --------------------------------------------------------------------------------
+
+
+def _vote_sql(r: Rule) -> str:
+    good, bad = round(r.good * 1000), round(r.bad * 1000)
+    low, high = ("<=", ">=") if good < bad else (">=", "<=")
+    return f"CASE WHEN n_words = 0 OR {r.of} = 0 THEN -1 WHEN {r.part} * 1000 {high} {r.of} * {bad} THEN 0 WHEN {r.part} * 1000 {low} {r.of} * {good} THEN 1 ELSE -1 END"
+
+
+def _total(what: str) -> str:
+    return f"list_sum(list_transform(range(1, len(n) + 1), lambda i: {what}))"
+
+
+_J = f"range(1, {len(RULES)} + 1)"
+SQL = rf"""WITH RECURSIVE
+texts AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS d, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+          list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+windows AS (SELECT d, i, array_to_string(w[i : i + {WINDOW - 1}], ' ') AS g FROM (SELECT d, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM texts)),
+again AS (SELECT d, i FROM (SELECT d, i, count(*) OVER (PARTITION BY d, g) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT d, count(DISTINCT place) AS n FROM (SELECT d, unnest(range(i, i + {WINDOW})) AS place FROM again) GROUP BY d),
+counts AS MATERIALIZED (SELECT doc_id, d, 1 AS one, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars, length(t) - length(translate(t, '{SYMBOLS}', '')) AS n_symbols,
+          len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, len(lines) AS n_lines, len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_letter_words,
+          len(list_filter(lines, lambda l: regexp_matches(l, '[.!?:"][\x20\x09-\x0D]*$'))) AS n_ended_lines, length(regexp_replace(t, '[^\p{{Lu}}]', '', 'g')) AS n_capitals, length(regexp_replace(t, '[^\p{{L}}]', '', 'g')) AS n_letters
+          FROM texts LEFT JOIN covered c USING (d)),
+voted AS MATERIALIZED (SELECT *, [{", ".join(map(_vote_sql, RULES))}] AS votes FROM counts),
+patterns AS (SELECT votes, count(*) AS c FROM voted GROUP BY votes),
+listed AS MATERIALIZED (SELECT list(votes ORDER BY votes) AS v, list(CAST(c AS DOUBLE) ORDER BY votes) AS n FROM patterns),
+steps AS (
+  SELECT v, n, list_transform(v, lambda x: CASE WHEN list_contains(x, 0) THEN {1 - AT_FIRST:.1f} WHEN list_contains(x, 1) THEN {AT_FIRST} ELSE 0.5 END::DOUBLE) AS p, 1.0::DOUBLE AS moved, 0 AS step FROM listed
+  UNION ALL
+  SELECT v, n, after, list_max(list_transform(range(1, len(n) + 1), lambda i: abs(after[i] - p[i]))), step + 1 FROM (
+    SELECT v, n, p, step, list_transform(v, lambda x: 1 / (1 + exp(-(ln(prior / (1 - prior)) + list_sum(list_transform({_J}, lambda j: CASE x[j] WHEN 1 THEN ln(a[j] / (1 - b[j])) WHEN 0 THEN ln((1 - a[j]) / b[j]) ELSE 0.0::DOUBLE END)))))) AS after FROM (
+      SELECT v, n, p, step, ({_total("n[i] * p[i]")} + 1) / (list_sum(n) + 2) AS prior,
+        list_transform({_J}, lambda j: ({_total("CASE WHEN v[i][j] = 1 THEN n[i] * p[i] ELSE 0.0::DOUBLE END")} + {RIGHT}) / ({_total("CASE WHEN v[i][j] >= 0 THEN n[i] * p[i] ELSE 0.0::DOUBLE END")} + {RIGHT + WRONG})) AS a,
+        list_transform({_J}, lambda j: ({_total("CASE WHEN v[i][j] = 0 THEN n[i] * (1 - p[i]) ELSE 0.0::DOUBLE END")} + {RIGHT}) / ({_total("CASE WHEN v[i][j] >= 0 THEN n[i] * (1 - p[i]) ELSE 0.0::DOUBLE END")} + {RIGHT + WRONG})) AS b
+      FROM steps WHERE step < {STEPS} AND moved >= 1e-9))),
+final AS (SELECT unnest(v) AS votes, unnest(p) AS p FROM (SELECT * FROM steps ORDER BY step DESC LIMIT 1))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words) AS base_failed,
+       NOT (n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words) AND p >= {KEPT_FROM} AS kept, round(p, 6) AS probability
+FROM voted JOIN final USING (votes)"""

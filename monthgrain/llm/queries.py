@@ -116,4 +116,5 @@ ORACLES: dict[str, str] = {
     "op10_line_chunks": line_chunks.SQL,
     "op11_spelling": spelling.SQL,
     "op12_conversations": conversations.SQL,
+    "op13_quality_votes": quality_votes.SQL,
 }
