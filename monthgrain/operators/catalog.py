@@ -25,20 +25,27 @@ def mapped_files(files: DataFrame, sources: DataFrame) -> DataFrame:
     return files.join(sources.select("dataset_key", "dataset", "granularity"), ["dataset", "granularity"])
 
 
+def rows_by_month(observations: DataFrame) -> DataFrame:
+    """How many observation rows a municipality has in a month, total rows too."""
+    return observations.groupBy("muni_code", "reference_date").agg(F.count("*").alias("n"))
+
+
 def refresh_periods(files: DataFrame, sources: DataFrame, datasets: DataFrame, obs5: DataFrame, obs1: DataFrame) -> DataFrame:
     """dataset_periods from scratch: ingested files by month, then observation rows by month.
 
     Rows count for every dataset of their municipality and granularity, total rows too."""
-    counted = mapped_files(files, sources).filter("status = 'ingested' AND reference_date IS NOT NULL").groupBy("dataset_key", "reference_date").agg(F.count("*").alias("file_count"))
+    rows = [rows_by_month(obs).withColumn("granularity", F.lit(g)) for obs, g in ((obs5, "5y"), (obs1, "1y"))]
+    return periods_of(files, sources, datasets, rows[0].unionByName(rows[1]))
 
-    def rows(obs: DataFrame, granularity: str) -> DataFrame:
-        months = obs.groupBy("muni_code", "reference_date").agg(F.count("*").alias("n"))  # before the join: rows per month are many
-        owners = datasets.filter(F.col("granularity") == granularity).select("dataset_key", "muni_code")
-        return months.join(owners, "muni_code").groupBy("dataset_key", "reference_date").agg(F.sum("n").alias("obs_rows"))
 
+def periods_of(files: DataFrame, sources: DataFrame, datasets: DataFrame, rows: DataFrame) -> DataFrame:
+    """`refresh_periods` of rows that are counted already (muni_code, granularity, reference_date, n)."""
+    counted = mapped_files(files, sources).filter("status = 'ingested' AND reference_date IS NOT NULL").groupBy("dataset_key", "reference_date").agg(F.count("*").alias("file_count"))
+
+    owned = rows.join(datasets.select("dataset_key", "muni_code", "granularity"), ["muni_code", "granularity"]).groupBy("dataset_key", "reference_date").agg(F.sum("n").alias("obs_rows"))
     keys = ["dataset_key", "reference_date"]
     base = counted.withColumn("obs_rows", F.lit(0).cast("long"))
-    return merge_upsert(base, rows(obs5, "5y").unionByName(rows(obs1, "1y")), keys, {"file_count": 0, "obs_rows": 0})
+    return merge_upsert(base, owned, keys, {"file_count": 0, "obs_rows": 0})
 
 
 def file_health(files: DataFrame, sources: DataFrame) -> DataFrame:
@@ -49,31 +56,69 @@ def run_health(runs: DataFrame) -> DataFrame:
     return runs.groupBy("dataset_key").agg(F.max("started_at").alias("last_run_at"), F.max(F.when(F.col("status").isin("ok", "no_change"), F.col("started_at"))).alias("last_ok_at"))
 
 
+def _has(bits: Column, month: Column) -> Column:
+    """Whether a bitmap of month indices has a month."""
+    at = F.bitmap_bit_position(month)
+    byte = F.conv(F.hex(F.substring(bits, (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
+def month_sets(periods: DataFrame, datasets: DataFrame) -> DataFrame:
+    """By public dataset: its loaded months and those with files alone as bitmaps of month indices (32,768 bits, so
+    up to the year 2730), the first and the last loaded one, and what is known of each month as a map. One aggregation."""
+    public = datasets.filter("is_public = 1").select("dataset_key")
+    month = month_index(F.col("reference_date"))
+    own = periods.join(public, "dataset_key").select("dataset_key", month.alias("m"), "obs_rows", F.col("file_count").alias("files"))
+    by_month = own.groupBy("dataset_key", "m").agg(F.sum("obs_rows").alias("obs_rows"), F.sum("files").alias("files"))
+    bits = lambda which: F.bitmap_construct_agg(F.when(which, F.bitmap_bit_position("m")))
+    loaded, filed = F.col("obs_rows") > 0, (F.col("obs_rows") == 0) & (F.col("files") > 0)
+    return by_month.groupBy("dataset_key").agg(
+        bits(loaded).alias("loaded"), bits(filed).alias("filed"), F.min(F.when(loaded, F.col("m"))).alias("first"), F.max(F.when(loaded, F.col("m"))).alias("last"),
+        F.min(F.when(filed, F.col("m"))).alias("first_filed"), F.max(F.when(filed, F.col("m"))).alias("last_filed"),
+        F.map_from_entries(F.collect_list(F.struct("m", F.struct("obs_rows", "files")))).alias("known"), F.sum("obs_rows").alias("all_rows"),
+    )
+
+
+def _outside(sets: DataFrame) -> Column:
+    """Months with files alone that lie outside the first and last loaded month."""
+    span = F.sequence("first_filed", "last_filed")
+    out = F.filter(span, lambda m: _has(F.col("filed"), m) & (F.col("first").isNull() | (m < F.col("first")) | (m > F.col("last"))))
+    return F.when(F.col("first_filed").isNull(), F.array().cast("array<int>")).otherwise(out)
+
+
+def _expected(sets: DataFrame) -> Column:
+    inside = F.when(F.col("first").isNull(), F.array().cast("array<int>")).otherwise(F.sequence("first", "last"))
+    return F.concat(inside, _outside(sets))
+
+
+def _ym(m: Column) -> Column:
+    """YYYY-MM of a month index."""
+    month = (m - 1) % 12 + 1
+    return F.concat(F.lpad(((m - month) / 12).cast("int").cast("string"), 4, "0"), F.lit("-"), F.lpad(month.cast("string"), 2, "0"))
+
+
 def coverage(periods: DataFrame, gaps: DataFrame, datasets: DataFrame) -> DataFrame:
     """A row per dataset and month: from its first to its last month with rows, each month is ok,
     not_loaded (files but no rows) or missing; months outside with files but no rows are not_loaded.
 
-    Expected months are put beside the known ones and grouped with them, so nothing is joined but the gaps."""
-    public = datasets.filter("is_public = 1").select("dataset_key")
-    own = periods.join(public, "dataset_key").select("dataset_key", year_month(F.col("reference_date")).alias("ym"), "obs_rows", F.col("file_count").alias("files"))
-    day = lambda c: F.to_date(F.concat(c, F.lit("-01")))
-    loaded = F.when(F.col("obs_rows") > 0, F.col("ym"))
-    span = own.groupBy("dataset_key").agg(F.min(loaded).alias("a"), F.max(loaded).alias("b")).filter("a IS NOT NULL")
-    expected = span.select("dataset_key", F.explode(F.sequence(day(F.col("a")), day(F.col("b")), F.expr("INTERVAL 1 MONTH"))).alias("d"))
-    both = own.withColumn("expected", F.lit(False)).unionByName(expected.select("dataset_key", F.date_format("d", "yyyy-MM").alias("ym"), F.lit(0).cast("long").alias("obs_rows"), F.lit(0).cast("long").alias("files"), F.lit(True).alias("expected")))
-    months = both.groupBy("dataset_key", "ym").agg(F.sum("obs_rows").alias("obs_rows"), F.sum("files").alias("files"), F.max("expected").alias("expected"))
-    state = F.when(F.col("obs_rows") > 0, "ok").when(F.col("files") > 0, "not_loaded").otherwise("missing")
-    known = months.filter("expected OR (obs_rows = 0 AND files > 0)").drop("expected").withColumn("state", state)
+    States are bits of a dataset's month sets, so months are neither joined nor grouped again; only gaps are joined."""
+    sets = month_sets(periods, datasets)
+    months = sets.select("dataset_key", "loaded", "filed", "known", F.explode(_expected(sets)).alias("m"))
+    found = F.try_element_at("known", F.col("m"))
+    state = F.when(_has(F.col("loaded"), F.col("m")), "ok").when(_has(F.col("filed"), F.col("m")), "not_loaded").otherwise("missing")
+    zero = F.lit(0).cast("long")
+    known = months.select("dataset_key", _ym(F.col("m")).alias("ym"), F.coalesce(found["obs_rows"], zero).alias("obs_rows"), F.coalesce(found["files"], zero).alias("files"), state.alias("state"))
     noted = gaps.select("dataset_key", year_month(F.col("reference_date")).alias("ym"), F.col("kind").alias("gap_kind"), F.col("reason").alias("gap_reason"))
     return known.join(noted, ["dataset_key", "ym"], "left")
 
 
-def coverage_summary(covered: DataFrame, periods: DataFrame) -> DataFrame:
-    months = covered.groupBy("dataset_key").agg(
-        F.min(F.when(F.col("state") == "ok", F.col("ym"))).alias("period_from"), F.max(F.when(F.col("state") == "ok", F.col("ym"))).alias("period_to"),
-        F.count("*").alias("months_expected"), F.count_if(F.col("state") == "ok").alias("months_present"), F.count_if(F.col("state") != "ok").alias("anomalies"),
-    )
-    return months.join(periods.groupBy("dataset_key").agg(F.sum("obs_rows").alias("obs_rows")), "dataset_key", "left")
+def coverage_summary(periods: DataFrame, datasets: DataFrame) -> DataFrame:
+    """By public dataset with rows or files: its period, months expected and present, anomalies and rows; counted in the sets."""
+    sets = month_sets(periods, datasets)
+    expected = F.coalesce((F.col("last") - F.col("first") + 1).cast("long"), F.lit(0).cast("long")) + F.size(_outside(sets))
+    present = F.bitmap_count("loaded")
+    counted = sets.select("dataset_key", _ym(F.col("first")).alias("period_from"), _ym(F.col("last")).alias("period_to"), expected.alias("months_expected"), present.alias("months_present"), (expected - present).alias("anomalies"), F.col("all_rows").alias("obs_rows"))
+    return counted.filter("months_expected > 0")
 
 
 def coverage_grid(covered: DataFrame) -> DataFrame:
@@ -85,11 +130,11 @@ def coverage_grid(covered: DataFrame) -> DataFrame:
 
 def catalog(datasets: DataFrame, periods: DataFrame, gaps: DataFrame, files: DataFrame, sources: DataFrame, runs: DataFrame) -> DataFrame:
     """A row per public dataset: coverage, file and run health. One plan; months stay in `coverage`."""
-    summary = coverage_summary(coverage(periods, gaps, datasets), periods)
+    summary = coverage_summary(periods, datasets)
     joined = datasets.filter("is_public = 1").join(summary, "dataset_key", "left").join(file_health(files, sources), "dataset_key", "left").join(run_health(runs), "dataset_key", "left")
     zero = ("months_expected", "months_present", "anomalies", "obs_rows", "files_total", "files_skipped")
     return joined.select(
-        "dataset_key", "muni_code", "title", "granularity", "license", "attribution", "period_from", "period_to",
+        "dataset_key", "muni_code", "muni_name", "domain", "title", "granularity", "grain_label", "source_site", "source_url", "license", "attribution", "notes", "period_from", "period_to",
         *(F.coalesce(z, F.lit(0)).alias(z) for z in zero), "last_ingested_at", "last_run_at", "last_ok_at",
     ).orderBy("muni_code", "granularity")
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import csv_cell
@@ -59,6 +60,52 @@ def page(ordered: DataFrame, chunk: int, number: int) -> DataFrame:
     return ordered.offset(chunk * number).limit(chunk)
 
 
+@dataclass
+class PageIndex:
+    """Where the pages of an ordered export begin: the keys of each page's first row, a row a page."""
+
+    rows: DataFrame
+    order: list[str]
+    starts: DataFrame
+
+    @classmethod
+    def of(cls, rows: DataFrame, order: list[str], chunk: int = 5000) -> PageIndex:
+        """order: columns by which the rows are ordered, without nulls; rows that are equal in all of them come on one page.
+
+        Keys are dealt out in ranges and sorted there, and written once to the shared folder; a range's rows are
+        counted, and so each key's place is known without a sort of all in one task."""
+        spark = rows.sparkSession
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch")
+        keys = rows.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
+        placed = keys.withColumn("_id", F.monotonically_increasing_id()).checkpoint(eager=True)
+        part, at = F.call_function("shiftright", F.col("_id"), F.lit(33)), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+        sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+        before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # a row a range
+        offsets = sizes.select("part", F.coalesce(before, F.lit(0)).alias("before"))
+        numbered = placed.withColumn("part", part).join(F.broadcast(offsets), "part").withColumn("place", F.col("before") + at)
+        starts = numbered.filter(F.col("place") % chunk == 0).select((F.col("place") / chunk).cast("long").alias("page"), *order)
+        return cls(rows, order, starts)
+
+    def page(self, number: int) -> DataFrame:
+        """The rows of one page, from 0, in order: those from its first key to the next page's. An empty page follows the last."""
+        found = {r.page: r for r in self.starts.filter(F.col("page").isin(number, number + 1)).collect()}
+        if number not in found:
+            return self.rows.limit(0)
+        within = self._from(found[number])
+        if number + 1 in found:
+            within = within & ~self._from(found[number + 1])
+            within = within & (F.col(self.order[0]) <= found[number + 1][self.order[0]])
+        return self.rows.filter(within).orderBy(*self.order)
+
+    def _from(self, row) -> Column:
+        """Keys at or after a row's. The first key's bound stands alone too, so that it reaches the scan."""
+        after = F.lit(True)
+        for c in reversed(self.order):
+            after = (F.col(c) > row[c]) | ((F.col(c) == row[c]) & after)
+        return (F.col(self.order[0]) >= row[self.order[0]]) & after
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """As part files in order, each with a byte order mark and a header, in the cells of `csv_lines`."""
     head = BYTE_ORDER_MARK + ",".join(df.columns)

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import all_years_alike, consistency, numbers_in
-from ..schema import BREAK_DATE
-from . import families
+from ..schema import BREAK_DATE, Measure
+from . import families, season
 
 
 def strength_facts(strength: DataFrame, top: int = 20) -> DataFrame:
@@ -53,20 +53,19 @@ def facts_json(facts: DataFrame) -> DataFrame:
     return facts.select(F.to_json(F.struct(*facts.columns)).alias("facts"))
 
 
-#: What holds for all seasonal numbers, and what for single age classes.
-FIXED_CAVEATS = (
-    "residents are counted where they are registered, which need not be where they live",
-    f"only months from {BREAK_DATE[:7]} on, when the series broke, are looked at",
-    "a calendar month has as many years as have all months around it",
-)
+def stated(measure: Measure, mode: str, since: str = BREAK_DATE) -> list[str]:
+    """What a query's own terms leave open, as `name: value`: its months, its measure, and what ages are of."""
+    lines = [f"months: {since[:7]} and later, each with all {season.FULL_WINDOW} months around it", f"measure: {measure.unit} by area of registration"]
+    return lines + ([f"age classes: of {measure.key}; other measures have none"] if mode == "age" else [])
 
 
-def caveats(gaps: DataFrame, issues: DataFrame, fixed: Sequence[str] = FIXED_CAVEATS, since: str = BREAK_DATE) -> DataFrame:
-    """One row with the list of caveats: the fixed ones, months without data since the break, and open issues."""
-    missing = gaps.filter((F.col("kind") != "series_break") & (F.col("reference_date") >= since)).select(F.concat_ws(" ", F.substring("reference_date", 1, 7), F.lit("has no data:"), "reason").alias("c"))
-    known = issues.filter(F.col("resolved_at").isNull()).select(F.concat(F.lit("known issue: "), F.col("title")).alias("c"))
-    lines = missing.unionByName(known)
-    return lines.agg(F.concat(F.array(*(F.lit(x) for x in fixed)), F.sort_array(F.collect_list("c"))).alias("caveats"))
+def caveats(gaps: DataFrame, issues: DataFrame, fixed: Sequence[str] = (), since: str = BREAK_DATE) -> DataFrame:
+    """One row with the list of caveats: those given, then months without data since the break and open issues, in order."""
+    missing = gaps.filter((F.col("kind") != "series_break") & (F.col("reference_date") >= since))
+    gap = F.concat(F.lit("gap "), F.substring("reference_date", 1, 7), F.lit(" ("), "kind", F.lit("): "), "reason")
+    issue = F.concat(F.lit("open issue, "), "severity", F.lit(": "), "title")
+    lines = missing.select(gap.alias("c")).unionByName(issues.filter(F.col("resolved_at").isNull()).select(issue.alias("c")))
+    return lines.agg(F.concat(F.array(*(F.lit(x) for x in fixed)).cast("array<string>"), F.sort_array(F.collect_list("c"))).alias("caveats"))
 
 
 def listed(rows: DataFrame, mode: str) -> DataFrame:
@@ -91,7 +90,7 @@ def insight_facts(spark: SparkSession, dataset: str, mode: str = "strength", key
     name = spark.table("datasets").filter(F.col("dataset_key") == dataset).agg(F.max("muni_name")).scalar()
     derived = {"strength": strength_facts, "profile": profile_facts, "age": age_facts}[mode](result.df)
     scope = F.concat_ws(" ", name, F.coalesce(area, F.lit(key)))
-    told = caveats(spark.table("dataset_gaps").filter(F.col("dataset_key") == dataset), issues)
+    told = caveats(spark.table("dataset_gaps").filter(F.col("dataset_key") == dataset), issues, stated(result.extra["measure"], mode))
     out = listed(result.df, mode).select(F.lit(mode).alias("mode"), scope.alias("scope"), F.lit(month if mode == "age" else None).cast("string").alias("month"), "rows", derived.select(F.struct("*")).scalar().alias("derived"), told.scalar().alias("caveats"))
     return out.filter(F.size("rows") > 0)
 

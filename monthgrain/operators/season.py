@@ -17,6 +17,8 @@ from ..functions import month_index
 
 UNKNOWN_AGE = "unknown"
 MIN_AGE_TREND = 20
+#: Months that a trend takes in: six on each side and its own.
+FULL_WINDOW = 13
 
 
 def month_panel(view: DataFrame, value: str, since: str, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -31,7 +33,7 @@ def ratios(panel: DataFrame, keys: tuple[str, ...], min_trend: float = 0.0, stri
     trend = (F.avg("value").over(w.rangeBetween(-6, 5)) + F.avg("value").over(w.rangeBetween(-5, 6))) / 2.0
     rows = panel.withColumn("trend", trend).withColumn("win_n", F.count("*").over(w.rangeBetween(-6, 6)))
     enough = F.col("trend") > min_trend if strict else F.col("trend") >= min_trend
-    return rows.filter((F.col("win_n") == 13) & enough).withColumn("ratio", F.col("value") / F.col("trend"))
+    return rows.filter((F.col("win_n") == FULL_WINDOW) & enough).withColumn("ratio", F.col("value") / F.col("trend"))
 
 
 def raw_index(ratio_rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -41,7 +43,12 @@ def raw_index(ratio_rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 
 def seasonal_index(panel: DataFrame, keys: tuple[str, ...] = ("key_code", "area_name"), min_trend: float = 0.0, strict: bool = True) -> DataFrame:
     """The index, normalised to a mean of 1 over each key's months."""
-    raw = raw_index(ratios(panel, keys, min_trend, strict), keys)
+    return index_of(ratios(panel, keys, min_trend, strict), keys)
+
+
+def index_of(ratio_rows: DataFrame, keys: tuple[str, ...] = ("key_code", "area_name")) -> DataFrame:
+    """The index of ratios that are known."""
+    raw = raw_index(ratio_rows, keys)
     mean = F.avg("raw_index").over(Window.partitionBy(*keys))
     return raw.select(*keys, "month", F.round(F.col("raw_index") / mean, 5).alias("seasonal_index"), F.round((F.col("raw_index") / mean - 1) * 100, 2).alias("pct_vs_trend"), "n_above", "n_years")
 

@@ -63,13 +63,43 @@ def towns(rows: DataFrame) -> DataFrame:
     return named.groupBy("town").agg(F.transform(listed, lambda a: a["area_name"]).alias("areas"), F.count("*").alias("n_areas"))
 
 
+def as_of(notes: DataFrame, dates: DataFrame, time: str, by: tuple[str, ...] = (), stretch: Column | None = None) -> DataFrame:
+    """notes with before and after: of the times that dates has for the same keys, the nearest at or before a note's and the
+    nearest at or after it; null where there is none. A note without a time has neither.
+
+    Notes and times are put in one order and read once in each direction, so the work grows with both, not with their product.
+    stretch (by default the year of the time) parts the order, so that neither a key with most of the rows nor
+    having no keys at all puts it in one task; what a stretch gets from those before and after it is one time
+    each, carried over a table with a row a stretch."""
+    own, of = [F.col(k).alias(f"_by{i}") for i, k in enumerate(by)], [f"_by{i}" for i in range(len(by))]
+    part = F.substring(F.col("_at").cast("string"), 1, 4) if stretch is None else stretch
+    kind = dates.schema[time].dataType
+    axis = dates.select(*own, F.col(time).alias("_at")).filter("_at IS NOT NULL").distinct().withColumn("_part", part)
+    told = notes.select(*own, F.col(time).cast(kind).alias("_at"), F.struct(*(F.col(f"`{c}`") for c in notes.columns)).alias("_note")).withColumn("_part", part)
+    ends = axis.groupBy(*of, "_part").agg(F.min("_at").alias("lo"), F.max("_at").alias("hi"))
+    noted = told.select(*of, "_part").distinct().withColumns({"lo": F.lit(None).cast(kind), "hi": F.lit(None).cast(kind)})
+    stretches = ends.unionByName(noted).groupBy(*of, "_part").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    earlier = Window.partitionBy(*of).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*of).orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)
+    carried = stretches.select(*of, "_part", F.max("hi").over(earlier).alias("_before"), F.min("lo").over(later).alias("_after"))
+    both = axis.withColumn("_known", F.col("_at")).unionByName(told.withColumn("_known", F.lit(None).cast(kind)), allowMissingColumns=True)
+    up = Window.partitionBy(*of, "_part").orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    down = Window.partitionBy(*of, "_part").orderBy(F.desc("_at")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    near = both.withColumn("_up", F.max("_known").over(up)).withColumn("_down", F.min("_known").over(down)).filter("_note IS NOT NULL")
+    same = F.lit(True)
+    for k in [*of, "_part"]:
+        same = same & near[k].eqNullSafe(carried[k])
+    joined = near.join(carried, same, "left")
+    known = F.col("_at").isNotNull()
+    return joined.select("_note.*", F.when(known, F.coalesce("_up", "_before")).alias("before"), F.when(known, F.coalesce("_down", "_after")).alias("after"))
+
+
 def placed_gaps(gaps: DataFrame, dates: DataFrame) -> DataFrame:
     """Where notes go on an axis of dates: on their own month if it has data, else between its neighbours;
     notes before the first month are left out. before and after are the neighbouring dates."""
-    on = gaps.select(F.col("reference_date").alias("gap_date"), "kind", _dates(dates).alias("axis"))
-    before, after = (F.filter("axis", lambda d: d <= F.col("gap_date")), F.filter("axis", lambda d: d >= F.col("gap_date")))
-    placed = on.select("gap_date", "kind", F.array_max(before).alias("before_date"), F.array_min(after).alias("after_date"))
-    return placed.filter("before_date IS NOT NULL").withColumn("on_month", F.col("before_date") == F.col("gap_date"))
+    placed = as_of(gaps.select("reference_date", "kind"), dates.select("reference_date"), "reference_date")
+    out = placed.filter("before IS NOT NULL").select(F.col("reference_date").alias("gap_date"), "kind", F.col("before").alias("before_date"), F.col("after").alias("after_date"))
+    return out.withColumn("on_month", F.col("before_date") == F.col("gap_date"))
 
 
 def ranking_summary(ranked: DataFrame) -> DataFrame:

@@ -63,7 +63,7 @@ def makers(store) -> dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]]:
         "v_households_5y": lambda own: households_5y(store.observations_5y, store.areas),
         "v_foreign_population_5y": lambda own: foreign_population_5y(store.observations_5y, store.areas),
         "v_published_totals_5y": lambda own: published_totals_5y(store.observations_5y, store.areas),
-        "v_nl_population": lambda own: summed(own["v_population_5y"]),
+        "v_nl_population": lambda own: store.area_months.select(*_BASE, "population"),
         "v_nl_population_by_sex": lambda own: summed(own["v_population_5y"], "sex"),
         "v_nl_population_by_age": lambda own: summed(own["v_population_5y"], "age_class", age_order(F.col("age_class")).alias("age_order")),
         "v_nl_foreign_population": lambda own: summed(own["v_foreign_population_5y"], alias="foreign_population"),

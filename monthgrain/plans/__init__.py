@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections import OrderedDict
 from collections.abc import Callable, Iterator, Mapping
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import catalog, season, views
 from ..schema import BREAK_DATE
 from ..sources import literals, panel
+from .versions import Folder
 
 __all__ = ["BREAK_DATE", "Store", "Views"]
 
@@ -53,6 +55,10 @@ class Store:
     def __post_init__(self) -> None:
         self.panel = self.panel or panel.Panel(self.spark, self.sf_dir)
 
+    @classmethod
+    def _panel(cls, spark: SparkSession, sf_dir: str) -> panel.Panel:
+        return panel.Panel(spark, sf_dir)
+
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, grain: str = "nation") -> Store:
         """One store per application, folder and grain, so that plans over its views are analysed once. It is
@@ -61,7 +67,7 @@ class Store:
         if key in cls._open and cls._open[key][0] != stamp:
             cls._close(key)
         if key not in cls._open:
-            cls._open[key] = (stamp, panel.Panel(spark, sf_dir), {})
+            cls._open[key] = (stamp, cls._panel(spark, sf_dir), {})
         cls._open.move_to_end(key)
         while len(cls._open) > cls.KEPT:
             cls._close(next(iter(cls._open)))
@@ -85,9 +91,14 @@ class Store:
 
     def close(self) -> None:
         """Lets Spark drop what this store has kept; the panel's cells are dropped by their owner."""
-        for name in ("periods",):
-            if name in self.__dict__:
-                self.__dict__.pop(name).unpersist()
+        self.__dict__.pop("periods", None)
+        if "area_months" in self.__dict__:
+            self.__dict__.pop("area_months").unpersist()
+        for path in self._written.values():
+            Folder(self.spark, path).delete()
+        self._written.clear()
+        if Store._registered is self:
+            Store._registered = None
 
     @cached_property
     def observations_5y(self) -> DataFrame:
@@ -101,6 +112,11 @@ class Store:
     def areas(self) -> DataFrame:
         return panel.areas(self.panel, self.grain)
 
+    @cached_property
+    def area_months(self) -> DataFrame:
+        """Sums of the population by area and month, kept until `close`: what seasonality starts from."""
+        return panel.area_months(self.panel, self.grain).persist()
+
     def literal(self, table: str) -> DataFrame:
         if table not in self._literals:
             self._literals[table] = literals.frame(self.spark, table)
@@ -108,8 +124,13 @@ class Store:
 
     @cached_property
     def periods(self) -> DataFrame:
-        """dataset_periods as `refresh_periods` makes it: a row per dataset and month, kept until `close`."""
-        return catalog.refresh_periods(self.literal("source_files"), self.literal("dataset_sources"), self.literal("datasets"), self.observations_5y, self.observations_1y).persist()
+        """dataset_periods as `refresh_periods` makes it: a row per dataset and month, written once and read until `close`."""
+
+        def write(path: str) -> None:
+            made.write.parquet(path)
+
+        made = catalog.periods_of(self.literal("source_files"), self.literal("dataset_sources"), self.literal("datasets"), panel.row_counts(self.panel, self.grain))
+        return self.spark.read.schema(made.schema).parquet(self.once("periods", write))
 
     @cached_property
     def views(self) -> Views:
@@ -119,10 +140,17 @@ class Store:
     def seasonal_views(self) -> Views:
         return Views(season.makers(self.views, BREAK_DATE))
 
+    @staticmethod
+    def _new_folder(spark: SparkSession, name: str) -> str:
+        """A new folder in the one that the cluster shares. A cluster that names none is an error: a folder on
+        the driver's machine would be of no use to the others."""
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not re.match(r"local(\[|$)", spark.sparkContext.master) and "spark.sql.warehouse.dir" not in dict(spark.sparkContext.getConf().getAll()):
+            raise ValueError("set spark.checkpoint.dir (or spark.sql.warehouse.dir) to a folder that all machines see")
+        return f"{(shared or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
     def _folder(self, name: str) -> str:
-        """A new folder in the one that the cluster shares."""
-        shared = self.spark.conf.get("spark.checkpoint.dir", None) or self.spark.conf.get("spark.sql.warehouse.dir")
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        return self._new_folder(self.spark, name)
 
     def kept(self, name: str) -> DataFrame:
         """A seasonal view as written by `season.materialise` and read again; written when it is first asked for."""
@@ -137,6 +165,14 @@ class Store:
         self.periods.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(self.periods.schema).parquet(path)
 
+    def once(self, name: str, write: Callable[[str], None]) -> str:
+        """A folder that write has filled, the first time it is asked for; it goes with the store."""
+        if name not in self._written:
+            path = self._folder(name)
+            write(path)
+            self._written[name] = path
+        return self._written[name]
+
     def register(self) -> None:
         """Every table and view as a temporary view, for SQL over them; nothing to do if they are already."""
         if Store._registered is self and Store._registered_in is self.spark:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import functions as fn
 from .operators import catalog, export, facts, families, season, series
 from .plans import BREAK_DATE, Store
+from .schema import resolve_measure
 from .sources import literals, raw
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -356,7 +357,7 @@ covered AS (SELECT u.dataset_key, u.ym, u.obs_rows, u.files, CASE WHEN obs_rows
 summary AS (SELECT dataset_key, min(ym) FILTER (state = 'ok') AS period_from, max(ym) FILTER (state = 'ok') AS period_to, count(*) AS months_expected, count(*) FILTER (state = 'ok') AS months_present, count(*) FILTER (state <> 'ok') AS anomalies FROM covered GROUP BY ALL),
 file_health AS (SELECT dataset_key, max(ingested_at) AS last_ingested_at, count(*) AS files_total, count(*) FILTER (status = 'skipped') AS files_skipped FROM mapped GROUP BY ALL),
 run_health AS (SELECT dataset_key, max(started_at) AS last_run_at, max(started_at) FILTER (status IN ('ok', 'no_change')) AS last_ok_at FROM sync_runs GROUP BY ALL),
-entries AS (SELECT d.dataset_key, d.muni_code, d.title, d.granularity, d.license, d.attribution, period_from, period_to, coalesce(months_expected, 0) AS months_expected, coalesce(months_present, 0) AS months_present, coalesce(anomalies, 0) AS anomalies,
+entries AS (SELECT d.dataset_key, d.muni_code, d.muni_name, d.domain, d.title, d.granularity, d.grain_label, d.source_site, d.source_url, d.license, d.attribution, d.notes, period_from, period_to, coalesce(months_expected, 0) AS months_expected, coalesce(months_present, 0) AS months_present, coalesce(anomalies, 0) AS anomalies,
                    CAST(coalesce(o.n, 0) AS BIGINT) AS obs_rows, coalesce(files_total, 0) AS files_total, coalesce(files_skipped, 0) AS files_skipped, last_ingested_at, last_run_at, last_ok_at
             FROM datasets d LEFT JOIN summary USING (dataset_key) LEFT JOIN (SELECT dataset_key, sum(obs_rows) AS n FROM periods GROUP BY ALL) o USING (dataset_key) LEFT JOIN file_health USING (dataset_key) LEFT JOIN run_health USING (dataset_key) WHERE is_public = 1)
 """
@@ -429,7 +430,7 @@ def coverage_anomalies(s: Store) -> DataFrame:
 
 @query("SELECT summary.*, CAST(o.n AS BIGINT) AS obs_rows FROM summary LEFT JOIN (SELECT dataset_key, sum(obs_rows) AS n FROM periods GROUP BY ALL) o USING (dataset_key)", _CATALOG)
 def coverage_summary(s: Store) -> DataFrame:
-    return catalog.coverage_summary(_covered(s), s.periods)
+    return catalog.coverage_summary(s.periods, s.literal("datasets"))
 
 
 @query("SELECT dataset_key, substr(ym, 1, 4) AS year, " + ", ".join(f"max(state) FILTER (substr(ym, 6, 2) = '{m:02d}') AS m{m:02d}" for m in range(1, 13)) + " FROM covered GROUP BY ALL", _CATALOG)
@@ -439,7 +440,7 @@ def coverage_grid(s: Store) -> DataFrame:
 
 @query("SELECT dataset_key, greatest(period_from, strftime(CAST(period_to || '-01' AS DATE) - INTERVAL 11 MONTH, '%Y-%m')) AS export_from, period_to AS export_to FROM summary WHERE period_to IS NOT NULL", _CATALOG)
 def export_default_window(s: Store) -> DataFrame:
-    return catalog.default_export_window(catalog.coverage_summary(_covered(s), s.periods))
+    return catalog.default_export_window(catalog.coverage_summary(s.periods, s.literal("datasets")))
 
 
 @query("SELECT sha256, dataset, reference_date, CAST(row_number() OVER (PARTITION BY dataset, granularity, reference_date ORDER BY source_last_modified DESC NULLS LAST, ingested_at DESC NULLS LAST, sha256) = 1 AS INTEGER) AS is_current FROM source_files")
@@ -486,7 +487,7 @@ def runs_with_new_column(s: Store) -> DataFrame:
 
 @query("SELECT dataset_key, (CAST(substr(period_to, 1, 4) AS INTEGER) - CAST(substr(period_from, 1, 4) AS INTEGER)) * 12 + CAST(substr(period_to, 6, 2) AS INTEGER) - CAST(substr(period_from, 6, 2) AS INTEGER) + 1 AS months FROM summary", _CATALOG)
 def coverage_length(s: Store) -> DataFrame:
-    summary = catalog.coverage_summary(_covered(s), s.periods)
+    summary = catalog.coverage_summary(s.periods, s.literal("datasets"))
     return summary.select("dataset_key", catalog.month_distance(F.col("period_from"), F.col("period_to")).alias("months"))
 
 
@@ -645,19 +646,21 @@ def season_kept_view(s: Store) -> DataFrame:
     return s.kept("v_nl_seasonality_age").filter(F.col("month") == "09")
 
 
-_CAVEATS = "told AS (SELECT " + "{fixed} || ".replace("{fixed}", "list_value(" + ", ".join(f"'{c}'" for c in facts.FIXED_CAVEATS) + ")") + f"""(SELECT list(c ORDER BY c) FROM (
-    SELECT substr(reference_date, 1, 7) || ' has no data: ' || reason AS c FROM dataset_gaps WHERE dataset_key = 'pop5' AND kind <> 'series_break' AND reference_date >= '{BREAK_DATE}'
-    UNION ALL SELECT 'known issue: ' || title FROM known_issues WHERE dataset_key = 'pop5' AND resolved_at IS NULL)) AS caveats)"""
+def _caveats_sql(mode: str) -> str:
+    fixed = ", ".join(f"'{c}'" for c in facts.stated(resolve_measure("5y", "population"), mode))
+    return f"""told AS (SELECT list_concat([{fixed}], (SELECT list(c ORDER BY c) FROM (
+    SELECT 'gap ' || substr(reference_date, 1, 7) || ' (' || kind || '): ' || reason AS c FROM dataset_gaps WHERE dataset_key = 'pop5' AND kind <> 'series_break' AND reference_date >= '{BREAK_DATE}'
+    UNION ALL SELECT 'open issue, ' || severity || ': ' || title FROM known_issues WHERE dataset_key = 'pop5' AND resolved_at IS NULL))) AS caveats)"""
 
 
-@query("SELECT array_to_string(caveats, '|') AS caveats FROM told", f"{_PANEL},{_CAVEATS}")
+@query("SELECT array_to_string(caveats, '|') AS caveats FROM told", f"{_PANEL},{_caveats_sql('profile')}")
 def caveats(s: Store) -> DataFrame:
     rows = lambda t: s.literal(t).filter("dataset_key = 'pop5'")
-    return facts.caveats(rows("dataset_gaps"), rows("known_issues")).select(F.array_join("caveats", "|").alias("caveats"))
+    return facts.caveats(rows("dataset_gaps"), rows("known_issues"), facts.stated(resolve_measure("5y", "population"), "profile")).select(F.array_join("caveats", "|").alias("caveats"))
 
 
-def insight_query(sql: str):
-    return query(sql, f"{_PANEL},{_SEASON},{_CAVEATS}")
+def insight_query(sql: str, mode: str):
+    return query(sql, f"{_PANEL},{_SEASON},{_caveats_sql(mode)}")
 
 
 def _insight(s: Store, mode: str, fields: list[str], *of: str) -> DataFrame:
@@ -670,7 +673,7 @@ def _insight(s: Store, mode: str, fields: list[str], *of: str) -> DataFrame:
 @insight_query("""SELECT 'strength' AS mode, 'America all areas' AS scope, CAST(NULL AS VARCHAR) AS month, string_agg(concat_ws(':', p, area_name, amplitude_pct, peak_month, trough_month), ';' ORDER BY p) AS rows,
   max(area_name) FILTER (p = 1) AS top_area, max(amplitude_pct) FILTER (p = 1) AS top_pct, max(area_name) FILTER (p = 2) AS second_area, max(amplitude_pct) FILTER (p = 2) AS second_pct, count(*) AS n_listed,
   (SELECT array_to_string(caveats, '|') FROM told) AS caveats
-  FROM (SELECT s.*, row_number() OVER (ORDER BY amplitude_pct DESC, s.key_code) AS p FROM v_nl_seasonality_strength s JOIN areas a ON a.key_code = s.key_code WHERE a.muni_code = '000001') WHERE p <= 20 HAVING count(*) > 0""")
+  FROM (SELECT s.*, row_number() OVER (ORDER BY amplitude_pct DESC, s.key_code) AS p FROM v_nl_seasonality_strength s JOIN areas a ON a.key_code = s.key_code WHERE a.muni_code = '000001') WHERE p <= 20 HAVING count(*) > 0""", "strength")
 def insight_strength(s: Store) -> DataFrame:
     return _insight(s, "strength", ["place", "area_name", "amplitude_pct", "peak_month", "trough_month"])
 
@@ -678,7 +681,7 @@ def insight_strength(s: Store) -> DataFrame:
 @insight_query(f"""SELECT 'profile' AS mode, 'America ' || (SELECT max(area_name) FROM areas WHERE key_code = '00000001') AS scope, CAST(NULL AS VARCHAR) AS month, string_agg(concat_ws(':', m, pct_vs_trend, n_above, n_years, {_ALIKE}), ';' ORDER BY m) AS rows,
   max(m) FILTER (hi = 1) AS high_month, max(pct_vs_trend) AS high_pct, max(m) FILTER (lo = 1) AS low_month, min(pct_vs_trend) AS low_pct, round(max(pct_vs_trend) - min(pct_vs_trend), 2) AS amplitude_pct,
   coalesce(string_agg(CAST(m AS VARCHAR), ',' ORDER BY m) FILTER (n_above = 0 OR n_above = n_years), '') AS firm_months, (SELECT array_to_string(caveats, '|') FROM told) AS caveats
-  FROM (SELECT *, CAST(month AS INTEGER) AS m, row_number() OVER (ORDER BY pct_vs_trend DESC, month) AS hi, row_number() OVER (ORDER BY pct_vs_trend, month DESC) AS lo FROM v_nl_seasonality WHERE key_code = '00000001') HAVING count(*) > 0""")
+  FROM (SELECT *, CAST(month AS INTEGER) AS m, row_number() OVER (ORDER BY pct_vs_trend DESC, month) AS hi, row_number() OVER (ORDER BY pct_vs_trend, month DESC) AS lo FROM v_nl_seasonality WHERE key_code = '00000001') HAVING count(*) > 0""", "profile")
 def insight_profile(s: Store) -> DataFrame:
     return _insight(s, "profile", ["month", "pct_vs_trend", "n_above", "n_years", "consistency"], "00000001")
 
@@ -686,7 +689,7 @@ def insight_profile(s: Store) -> DataFrame:
 @insight_query(f"""SELECT 'age' AS mode, 'America ' || (SELECT max(area_name) FROM areas WHERE key_code = '00000001') AS scope, '09' AS month, string_agg(concat_ws(':', age_class, pct_vs_trend, n_above, n_years, {_ALIKE}), ';' ORDER BY age_order) AS rows,
   arg_min(age_class, pct_vs_trend * 100000 + age_order) AS worst_class, min(pct_vs_trend) AS worst_pct, coalesce(string_agg(age_class, ',' ORDER BY age_order) FILTER (abs(pct_vs_trend) >= 5), '') AS big_classes,
   count(*) FILTER (abs(pct_vs_trend) < 1) AS n_flat, count(*) AS n_classes, coalesce(string_agg(age_class, ',' ORDER BY age_order) FILTER (n_above = 0 OR n_above = n_years), '') AS firm_classes, (SELECT array_to_string(caveats, '|') FROM told) AS caveats
-  FROM v_nl_seasonality_age WHERE key_code = '00000001' AND month = '09' HAVING count(*) > 0""")
+  FROM v_nl_seasonality_age WHERE key_code = '00000001' AND month = '09' HAVING count(*) > 0""", "age")
 def insight_age(s: Store) -> DataFrame:
     return _insight(s, "age", ["age_class", "pct_vs_trend", "n_above", "n_years", "consistency"], "00000001")
 
@@ -699,3 +702,6 @@ def verify_numbers(s: Store) -> DataFrame:
     texts = s.spark.createDataFrame(literals.TEXTS, "id long, text string")
     checked = facts.verify_numbers(texts, F.lit(literals.FACTS))
     return checked.select("id", F.array_join(F.transform(F.sort_array("bad"), lambda x: x.cast("string")), ",").alias("bad"), "ok")
+
+
+from . import written_queries  # noqa: E402, F401  registers its own

@@ -7,7 +7,7 @@ to the leaf rows, as publishers do, for the views to keep out of sums.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,8 +33,13 @@ class Panel:
     spark: SparkSession
     sf_dir: str
 
+    _frames: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        """A table; its footers are read once."""
+        if table not in self._frames:
+            self._frames[table] = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        return self._frames[table]
 
     @cached_property
     def lines(self) -> DataFrame:
@@ -112,6 +117,31 @@ def observations_1y(panel: Panel, grain: str = "nation") -> DataFrame:
     return leaves.unionByName(totals).select(*keys, "age_class", "sex", "value", _file_of("1y").alias("source_sha256"))
 
 
+def area_months(panel: Panel, grain: str = "nation") -> DataFrame:
+    """Population by area and month: what the leaf rows of the five-year table add up to, from the cells in one aggregation."""
+    cells = panel.lines.join(nations(panel, grain), "c_nationkey")
+    return cells.groupBy("muni_code", "key_code", "area_name", "reference_date").agg(F.sum("value").alias("population"))
+
+
+def row_counts(panel: Panel, grain: str = "nation") -> DataFrame:
+    """muni_code, reference_date, granularity, n: how many rows the two observation tables have, without making them. Which age
+    classes and sexes an area has in a month is a set of bits."""
+    keys = ["muni_code", "key_code", "reference_date"]
+    joined = panel.lines.join(nations(panel, grain), "c_nationkey")
+    sex = F.when(F.col("sex") == "female", 1).otherwise(0)
+    band = F.least(F.floor(F.col("age") / 5), F.lit(10)).cast("int")
+    one = F.lit(1).cast("long")
+    leaf = F.bit_or(F.call_function("shiftleft", one, band * 2 + sex))
+    sexes = F.bit_or(F.call_function("shiftleft", one, sex))
+    cells = joined.groupBy(*keys).agg(leaf.alias("leaves"), sexes.alias("sexes"), F.count_distinct("age", "sex").alias("ages"))
+    # beside the leaves a total of the population, one row of foreign population a sex and a total; single years have a total
+    of_lines = cells.select(*keys, (F.bit_count("leaves") + F.bit_count("sexes") + 2).cast("long").alias("n5"), (F.col("ages") + 1).alias("n1"))
+    of_orders = panel.orders.join(nations(panel, grain), "c_nationkey").select(*keys).distinct().select(*keys, one.alias("n5"), F.lit(0).cast("long").alias("n1"))
+    both = of_lines.unionByName(of_orders).groupBy("muni_code", "reference_date").agg(F.sum("n5").alias("n5"), F.sum("n1").alias("n1"))
+    each = F.explode(F.array(*(F.struct(F.lit(g).alias("granularity"), F.col(n).alias("n")) for g, n in (("5y", "n5"), ("1y", "n1"))))).alias("each")
+    return both.select("muni_code", "reference_date", each).select("muni_code", "reference_date", "each.*").filter("n > 0")
+
+
 def areas(panel: Panel, grain: str = "nation") -> DataFrame:
     seen = panel.orders.join(nations(panel, grain), "c_nationkey")
     return seen.groupBy("key_code", "muni_code", "area_name").agg(F.min("reference_date").alias("first_seen"), F.max("reference_date").alias("last_seen"))

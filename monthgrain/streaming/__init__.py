@@ -3,47 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..plans.versions import VersionedTable
 
-def replace_months(stream: DataFrame, target: str, checkpoint: str, keys: tuple[str, ...] = ("muni_code", "reference_date")) -> StreamingQuery:
+
+def replace_months(stream: DataFrame, target: str, checkpoint: str, keys: tuple[str, ...] = ("muni_code", "reference_date"), by: str = "reference_date", keep: int = 2) -> StreamingQuery:
     """Takes observation rows as they arrive; each batch replaces all of the (municipality, month) slices
-    it holds rows of, in the Parquet table target.
+    it holds rows of, in the VersionedTable target, which is partitioned by month.
 
-    A batch writes a whole version of the table, and then one row that says so, among the `done` rows. What
-    has such a row is complete: a version that is still being written, or was left by a batch that
-    failed, is never read, and a repeated batch gives the same table. Those rows also tell a batch which
-    version is the one before."""
+    Only partitions that a batch has rows of are read and written, and a batch is seen whole or not at all. Its number is noted in the
+    manifest, so a batch that is repeated after a failure changes nothing more. Versions before the last `keep` are deleted."""
     spark = stream.sparkSession
+    table = VersionedTable(spark, target, stream.schema, by)
 
-    def apply(batch: DataFrame, version: int) -> None:
-        if batch.isEmpty():
+    def apply(batch: DataFrame, number: int) -> None:
+        done = table.manifest()["note"]
+        if (done is not None and int(done) >= number) or batch.isEmpty():
             return
-        before = _last(spark, target, version)
-        known = batch.limit(0) if before is None else spark.read.parquet(f"{target}/version={before}")
-        kept = known.join(batch.select(*keys).distinct(), list(keys), "left_anti").select(*batch.columns)
-        kept.unionByName(batch).write.mode("overwrite").parquet(f"{target}/version={version}")
-        spark.range(1).select(F.lit(version).cast("long").alias("version")).write.mode("append").parquet(f"{target}/done")
+        table.replace(batch, list(keys), note=str(number))
+        table.vacuum(keep)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _last(spark: SparkSession, target: str, below: int | None = None) -> int | None:
-    """The last complete version, below one if that is given."""
-    done = spark.read.schema("version long").option("ignoreMissingFiles", True)
-    try:
-        rows = done.parquet(f"{target}/done")
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return None
-        raise
-    return rows.filter(F.lit(True) if below is None else F.col("version") < below).agg(F.max("version")).first()[0]
-
-
-def current(spark: SparkSession, target: str) -> DataFrame:
-    """The latest complete version of a table kept by replace_months."""
-    version = _last(spark, target)
-    if version is None:
-        raise ValueError(f"no complete version in {target}")
-    return spark.read.parquet(f"{target}/version={version}")
+def current(spark: SparkSession, target: str, by: str = "reference_date") -> DataFrame:
+    """The latest version of a table kept by replace_months."""
+    return VersionedTable.open(spark, target, by).read()
