@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import catalog, season, views
 from ..schema import BREAK_DATE
-from ..sources import literals, panel
+from ..sources import literals, panel, records
 from .versions import Folder
 
-__all__ = ["BREAK_DATE", "Store", "Views"]
+__all__ = ["BREAK_DATE", "RecordStore", "Store", "Views"]
 
 
 class Views(Mapping):
@@ -185,3 +185,14 @@ class Store:
 
     _registered = None
     _registered_in = None
+
+
+class RecordStore(Store):
+    """A Store whose catalog tables are drawn from the test tables rather than literal."""
+
+    _open = OrderedDict()
+
+    def literal(self, table: str) -> DataFrame:
+        if table not in self._literals:
+            self._literals[table] = records.frame(self.panel, table)
+        return self._literals[table]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +10,9 @@ from pyspark.sql import functions as F
 
 from . import functions as fn
 from .operators import catalog, export, facts, families, season, series
-from .plans import BREAK_DATE, Store
+from .plans import BREAK_DATE, RecordStore, Store
 from .schema import resolve_measure
-from .sources import literals, raw
+from .sources import literals, raw, records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,8 +20,9 @@ ORACLES: dict[str, str] = {}
 FROM, TO, LATE = "1996-01-01", "1999-12-01", "2000-06-01"
 KEYS = ["00000001", "00000002", "00000003"]
 
-#: The panel, its views and the catalog tables in DuckDB's SQL.
-_PANEL = f"""
+def _panel_sql(tables: dict[str, str]) -> str:
+    """The panel, its views and the given catalog tables in DuckDB's SQL."""
+    return f"""
 nations AS (SELECT n_nationkey, lpad(CAST(r_regionkey AS VARCHAR), 6, '0') AS muni_code, lpad(CAST(n_nationkey AS VARCHAR), 8, '0') AS key_code, n_name AS area_name
             FROM nation JOIN region ON n_regionkey = r_regionkey),
 cells AS (SELECT muni_code, key_code, area_name, strftime(o_orderdate, '%Y-%m-01') AS reference_date, p_size AS age,
@@ -38,7 +40,7 @@ observations_1y AS (
   SELECT muni_code, key_code, reference_date, CAST(age AS VARCHAR) AS age_class, sex, CAST(sum(q) AS BIGINT) AS value, sha256(reference_date || ':1y') AS source_sha256 FROM cells GROUP BY ALL
   UNION ALL SELECT muni_code, key_code, reference_date, 'total', 'total', CAST(sum(q) AS BIGINT), sha256(reference_date || ':1y') FROM cells GROUP BY ALL),
 areas AS (SELECT key_code, muni_code, area_name, min(reference_date) AS first_seen, max(reference_date) AS last_seen FROM houses GROUP BY ALL),
-{", ".join(f"{t} AS ({literals.values_sql(t)})" for t in literals.ROWS)},
+{", ".join(f"{t} AS ({sql})" for t, sql in tables.items())},
 v_population_5y AS (SELECT o.muni_code, o.key_code, a.area_name, o.reference_date, age_class, sex, value, source_sha256 FROM observations_5y o LEFT JOIN areas a USING (key_code) WHERE measure = 'population' AND age_class <> 'total' AND sex <> 'total'),
 v_population_1y AS (SELECT o.muni_code, o.key_code, a.area_name, o.reference_date, age_class, sex, value, source_sha256 FROM observations_1y o LEFT JOIN areas a USING (key_code) WHERE age_class <> 'total' AND sex <> 'total'),
 v_households_5y AS (SELECT o.muni_code, o.key_code, a.area_name, o.reference_date, value, source_sha256 FROM observations_5y o LEFT JOIN areas a USING (key_code) WHERE measure = 'households'),
@@ -54,6 +56,10 @@ v_nl_gaps AS (SELECT g.dataset_key, muni_name, grain_label, reference_date, kind
 """
 
 
+#: With literal catalog tables, and with those drawn from the test tables.
+_PANEL, _RECORDED = _panel_sql({t: literals.values_sql(t) for t in literals.ROWS}), _panel_sql(records.SQL)
+
+
 def _season_sql(name: str, source: str, value: str, keys: str = "key_code, area_name", gate: str = "trend > 0", where: str = "TRUE") -> str:
     """CTEs name_ratio and name (the index) for one view."""
     return f"""
@@ -91,6 +97,17 @@ def query(sql: str | None = None, needs: str = _PANEL):
     return register
 
 
+def recorded(sql: str, needs: str = _RECORDED):
+    """Registers a function of a RecordStore."""
+
+    def register(f: Callable[[Store], DataFrame]):
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(RecordStore.of(spark, sf_dir))
+        ORACLES[f.__name__] = f"WITH {needs} {sql}"
+        return f
+
+    return register
+
+
 def seasonal(sql: str):
     return query(sql, f"{_PANEL},{_SEASON}")
 
@@ -105,6 +122,8 @@ def _registered(s: Store) -> SparkSession:
 for _name in ("v_population_5y", "v_population_1y", "v_households_5y", "v_foreign_population_5y", "v_published_totals_5y", "v_nl_population", "v_nl_population_by_sex", "v_nl_population_by_age", "v_nl_foreign_population", "v_nl_households", "v_nl_areas", "v_nl_gaps"):
     QUERIES[_name.replace("v_", "view_", 1)] = lambda spark, sf_dir, n=_name: Store.of(spark, sf_dir).views[n]
     ORACLES[_name.replace("v_", "view_", 1)] = f"WITH {_PANEL} SELECT * FROM {_name}"
+QUERIES["view_nl_gaps"] = lambda spark, sf_dir: RecordStore.of(spark, sf_dir).views["v_nl_gaps"]
+ORACLES["view_nl_gaps"] = f"WITH {_RECORDED} SELECT * FROM v_nl_gaps"
 for _name in ("v_nl_seasonality", "v_nl_seasonality_strength", "v_nl_seasonality_age", "v_nl_seasonality_hh", "v_nl_seasonality_hh_strength"):
     QUERIES[_name.replace("v_", "view_", 1)] = lambda spark, sf_dir, n=_name: Store.of(spark, sf_dir).seasonal_views[n]
     ORACLES[_name.replace("v_", "view_", 1)] = f"WITH {_PANEL},{_SEASON} SELECT * FROM {_name}"
@@ -148,9 +167,9 @@ def meta_areas_latest(s: Store) -> DataFrame:
     return families.meta(_registered(s), "pop5")["areas"]
 
 
-@query("SELECT reference_date, kind, reason FROM dataset_gaps WHERE dataset_key = 'pop5'")
+@recorded("SELECT reference_date, kind, reason FROM dataset_gaps WHERE dataset_key = 'r1_5y'")
 def meta_gaps(s: Store) -> DataFrame:
-    return families.meta(_registered(s), "pop5")["gaps"]
+    return families.meta(_registered(s), "r1_5y")["gaps"]
 
 
 @query(f"SELECT reference_date, CAST(sum(value) AS BIGINT) AS value, count(DISTINCT key_code) AS areas FROM v_population_5y WHERE muni_code = '000001' AND reference_date BETWEEN '{FROM}' AND '{TO}' GROUP BY ALL")
@@ -183,10 +202,10 @@ def trend_single_years(s: Store) -> DataFrame:
     return families.trend(_registered(s), "pop1", FROM, TO).df
 
 
-@query(f"SELECT reference_date, kind, reason FROM dataset_gaps WHERE dataset_key = 'pop5' AND reference_date BETWEEN '1996-03-01' AND '{TO}'")
+@recorded(f"SELECT reference_date, kind, reason FROM dataset_gaps WHERE dataset_key = 'r1_5y' AND reference_date BETWEEN '1996-03-01' AND '{TO}'")
 def trend_annotations(s: Store) -> DataFrame:
     """Gaps of a trend's period, its first month included."""
-    return families.trend(_registered(s), "pop5", "1996-03-01", TO).annotations
+    return families.trend(_registered(s), "r1_5y", "1996-03-01", TO).annotations
 
 
 @query(f"SELECT age_class, sex, CAST(sum(value) AS BIGINT) AS value FROM v_population_5y WHERE muni_code = '000001' AND reference_date = '{FROM}' GROUP BY ALL")
@@ -241,15 +260,15 @@ def ranking_summary(s: Store) -> DataFrame:
     return series.ranking_summary(families.ranking(_registered(s), "pop5", FROM, LATE).df)
 
 
-@query(f"SELECT reference_date, kind, reason FROM dataset_gaps WHERE dataset_key = 'pop5' AND reference_date > '1996-03-01' AND reference_date <= '{LATE}'")
+@recorded(f"SELECT reference_date, kind, reason FROM dataset_gaps WHERE dataset_key = 'r1_5y' AND reference_date > '1996-03-01' AND reference_date <= '{LATE}'")
 def ranking_annotations(s: Store) -> DataFrame:
     """Gaps of a ranking's period, its first month not included."""
-    return families.ranking(_registered(s), "pop5", "1996-03-01", LATE).annotations
+    return families.ranking(_registered(s), "r1_5y", "1996-03-01", LATE).annotations
 
 
-@query(f"SELECT max(reference_date) AS safe_from FROM dataset_gaps WHERE dataset_key = 'pop5' AND kind = 'series_break' AND reference_date > '{FROM}' AND reference_date <= '{LATE}'")
+@recorded(f"SELECT max(reference_date) AS safe_from FROM dataset_gaps WHERE dataset_key = 'r1_5y' AND kind = 'series_break' AND reference_date > '{FROM}' AND reference_date <= '{LATE}'")
 def safe_from(s: Store) -> DataFrame:
-    return families.safe_from(families.gaps_between(s.literal("dataset_gaps"), "pop5", FROM, LATE, after_start=True))
+    return families.safe_from(families.gaps_between(s.literal("dataset_gaps"), "r1_5y", FROM, LATE, after_start=True))
 
 
 # --- seasonality -----------------------------------------------------------------------------------
@@ -300,14 +319,14 @@ def season_month_by_age(s: Store) -> DataFrame:
     return families.seasonality(_registered(s), "pop5", "age", "00000001").df
 
 
-@query(f"SELECT reference_date, kind, reason FROM dataset_gaps WHERE dataset_key = 'pop5' AND kind <> 'series_break' AND reference_date >= '{BREAK_DATE}'")
+@recorded(f"SELECT reference_date, kind, reason FROM dataset_gaps WHERE dataset_key = 'r1_5y' AND kind <> 'series_break' AND reference_date >= '{BREAK_DATE}'")
 def season_annotations(s: Store) -> DataFrame:
-    return families.seasonality(_registered(s), "pop5").annotations
+    return families.seasonality(_registered(s), "r1_5y").annotations
 
 
-@query("SELECT title, detail, severity FROM known_issues WHERE dataset_key = 'pop5' AND resolved_at IS NULL")
+@recorded("SELECT title, detail, severity FROM known_issues WHERE dataset_key = 'r1_5y' AND resolved_at IS NULL")
 def season_issues(s: Store) -> DataFrame:
-    return families.seasonality(_registered(s), "pop5").extra["issues"]
+    return families.seasonality(_registered(s), "r1_5y").extra["issues"]
 
 
 @seasonal("SELECT p.key_code, p.area_name, p.amplitude_pct AS population_pct, h.amplitude_pct AS household_pct FROM v_nl_seasonality_strength p JOIN v_nl_seasonality_hh_strength h USING (key_code)")
@@ -324,24 +343,22 @@ def season_months_side_by_side(s: Store) -> DataFrame:
     return rows.agg(at("03").alias("march_pct"), at("04").alias("april_pct")).filter("march_pct IS NOT NULL AND april_pct IS NOT NULL")
 
 
-_SERIES = "panel0(key_code, month_index, value) AS (VALUES " + ", ".join(map(str, literals.SERIES)) + "), series AS (SELECT key_code, key_code AS area_name, lpad(CAST((month_index - 1) // 12 AS VARCHAR), 4, '0') || '-' || lpad(CAST((month_index - 1) % 12 + 1 AS VARCHAR), 2, '0') || '-01' AS reference_date, value FROM panel0)"
-
-
-def _series(s: Store) -> DataFrame:
-    rows = s.spark.createDataFrame(literals.SERIES, "key_code string, i int, value long")
-    date = F.format_string("%04d-%02d-01", ((F.col("i") - 1) / 12).cast("int"), (F.col("i") - 1) % 12 + 1)
-    return rows.select("key_code", F.col("key_code").alias("area_name"), date.alias("reference_date"), "value")
+_SERIES = "series AS (SELECT c_nationkey || '-' || left(o_orderpriority, 1) AS key_code, c_nationkey || '-' || left(o_orderpriority, 1) AS area_name, strftime(o_orderdate, '%Y-%m-01') AS reference_date, count(*) AS value FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)"
 
 
 @query("SELECT * FROM gapped_strength", f"{_SERIES},{_season_sql('gapped', 'series', 'value').replace(BREAK_DATE, '1900-01-01')},{_strength_sql('gapped_strength', 'gapped')}")
 def season_gap_and_ties(s: Store) -> DataFrame:
-    """A series with a missing month, and one whose greatest months are equal: the earliest is meant."""
-    return season.strength(season.seasonal_index(season.month_panel(_series(s), "value", "1900-01-01")))
+    """Orders by nation and priority: small counts with missing months and equal greatest months, of which the earliest is meant."""
+    orders = s.panel.read("orders").join(s.panel.read("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
+    key = F.concat(F.col("c_nationkey").cast("string"), F.lit("-"), F.left("o_orderpriority", F.lit(1)))
+    rows = orders.groupBy(key.alias("key_code"), key.alias("area_name"), F.date_format("o_orderdate", "yyyy-MM-01").alias("reference_date")).agg(F.count("*").alias("value"))
+    return season.strength(season.seasonal_index(season.month_panel(rows, "value", "1900-01-01")))
 
 
 # --- catalog ---------------------------------------------------------------------------------------
 
-_CATALOG = f"""{_PANEL},
+def _catalog_sql(panel: str) -> str:
+    return f"""{panel},
 mapped AS (SELECT f.*, s.dataset_key FROM source_files f JOIN dataset_sources s ON s.dataset = f.dataset AND s.granularity = f.granularity),
 counted AS (SELECT dataset_key, reference_date, count(*) AS file_count FROM mapped WHERE status = 'ingested' AND reference_date IS NOT NULL GROUP BY ALL),
 observed AS (SELECT dataset_key, reference_date, count(*) AS obs_rows FROM observations_5y o JOIN datasets d ON d.muni_code = o.muni_code AND d.granularity = '5y' GROUP BY ALL
@@ -363,6 +380,9 @@ entries AS (SELECT d.dataset_key, d.muni_code, d.muni_name, d.domain, d.title, d
 """
 
 
+_CATALOG, _RECORDED_CATALOG = _catalog_sql(_PANEL), _catalog_sql(_RECORDED)
+
+
 def _periods(s: Store) -> DataFrame:
     return catalog.refresh_periods(s.literal("source_files"), s.literal("dataset_sources"), s.literal("datasets"), s.observations_5y, s.observations_1y)
 
@@ -387,7 +407,7 @@ def catalog_periods_rebuilt(s: Store) -> DataFrame:
     return s.rebuilt_periods()
 
 
-@query("SELECT dataset_key, reference_date, coalesce(n.file_count, o.file_count, 0) AS file_count, coalesce(o.obs_rows, 0) AS obs_rows FROM dataset_periods o FULL JOIN counted n USING (dataset_key, reference_date)", _CATALOG)
+@recorded("SELECT dataset_key, reference_date, coalesce(n.file_count, o.file_count, 0) AS file_count, coalesce(o.obs_rows, 0) AS obs_rows FROM dataset_periods o FULL JOIN counted n USING (dataset_key, reference_date)", _RECORDED_CATALOG)
 def catalog_upsert(s: Store) -> DataFrame:
     """New file counts merged into known periods; their row counts stay."""
     files = catalog.mapped_files(s.literal("source_files"), s.literal("dataset_sources")).filter("status = 'ingested'")
@@ -395,14 +415,17 @@ def catalog_upsert(s: Store) -> DataFrame:
     return catalog.merge_upsert(s.literal("dataset_periods"), counts, ["dataset_key", "reference_date"], {"file_count": 0, "obs_rows": 0})
 
 
-@query("SELECT * FROM dataset_gaps WHERE (dataset_key, reference_date) <> ('pop5', '1996-03-01') UNION ALL SELECT 'pop5', '1996-03-01', 'pending_fix', 'found since', '2021-01-01'")
+@recorded(f"""SELECT dataset_key, reference_date, kind, reason, noted_at FROM dataset_gaps WHERE kind <> 'upstream_missing'
+  UNION ALL SELECT dataset_key, reference_date, 'pending_fix', 'found since', '2021-01-01' FROM dataset_gaps WHERE kind = 'upstream_missing'
+  UNION ALL SELECT dataset_key, reference_date, 'pending_fix', 'found since', '2021-01-01' FROM dataset_periods p WHERE obs_rows = 0 AND NOT EXISTS (SELECT 1 FROM dataset_gaps g WHERE g.dataset_key = p.dataset_key AND g.reference_date = p.reference_date)""")
 def catalog_insert_or_replace(s: Store) -> DataFrame:
-    gaps = s.literal("dataset_gaps")
-    new = s.spark.createDataFrame([("pop5", "1996-03-01", "pending_fix", "found since", "2021-01-01")], gaps.schema)
-    return catalog.insert_or_replace(gaps, new, ["dataset_key", "reference_date"])
+    """Gaps of one kind and months without rows, noted anew: those that are known are replaced, the others put in."""
+    gaps, keys = s.literal("dataset_gaps"), ["dataset_key", "reference_date"]
+    found = gaps.filter("kind = 'upstream_missing'").select(*keys).unionByName(s.literal("dataset_periods").filter("obs_rows = 0").select(*keys).join(gaps.filter("kind <> 'upstream_missing'"), keys, "left_anti")).distinct()
+    return catalog.insert_or_replace(gaps, found.select(*keys, F.lit("pending_fix").alias("kind"), F.lit("found since").alias("reason"), F.lit("2021-01-01").alias("noted_at")), keys)
 
 
-@query("SELECT d.dataset_key, last_ingested_at, files_total, files_skipped, last_run_at, last_ok_at FROM datasets d LEFT JOIN file_health USING (dataset_key) LEFT JOIN run_health USING (dataset_key)", _CATALOG)
+@recorded("SELECT d.dataset_key, last_ingested_at, files_total, files_skipped, last_run_at, last_ok_at FROM datasets d LEFT JOIN file_health USING (dataset_key) LEFT JOIN run_health USING (dataset_key)", _RECORDED_CATALOG)
 def catalog_health(s: Store) -> DataFrame:
     joined = s.literal("datasets").select("dataset_key").join(catalog.file_health(s.literal("source_files"), s.literal("dataset_sources")), "dataset_key", "left")
     return joined.join(catalog.run_health(s.literal("sync_runs")), "dataset_key", "left")
@@ -443,23 +466,27 @@ def export_default_window(s: Store) -> DataFrame:
     return catalog.default_export_window(catalog.coverage_summary(s.periods, s.literal("datasets")))
 
 
-@query("SELECT sha256, dataset, reference_date, CAST(row_number() OVER (PARTITION BY dataset, granularity, reference_date ORDER BY source_last_modified DESC NULLS LAST, ingested_at DESC NULLS LAST, sha256) = 1 AS INTEGER) AS is_current FROM source_files")
+@recorded("SELECT sha256, dataset, reference_date, CAST(row_number() OVER (PARTITION BY dataset, granularity, reference_date ORDER BY source_last_modified DESC NULLS LAST, ingested_at DESC NULLS LAST, sha256) = 1 AS INTEGER) AS is_current FROM source_files")
 def file_current_version(s: Store) -> DataFrame:
     return catalog.mark_current(s.literal("source_files")).select("sha256", "dataset", "reference_date", "is_current")
 
 
-@query("""SELECT dataset_key, substr(reference_date, 1, 7) AS ym, sha256, status, d AS distributable, c AS is_current, CAST(row_number() OVER (PARTITION BY dataset_key, reference_date ORDER BY d DESC, c DESC, ingested_at, sha256) = 1 AND d = 1 AS INTEGER) AS offered
-          FROM (SELECT m.*, CAST(coalesce(distributable, 1) AS INTEGER) AS d, CAST(coalesce(is_current, 1) AS INTEGER) AS c FROM mapped m JOIN datasets USING (dataset_key) WHERE is_public = 1)""", _CATALOG)
+@recorded("""SELECT dataset_key, substr(reference_date, 1, 7) AS ym, sha256, status, d AS distributable, c AS is_current, CAST(row_number() OVER (PARTITION BY dataset_key, reference_date ORDER BY d DESC, c DESC, ingested_at, sha256) = 1 AND d = 1 AS INTEGER) AS offered
+          FROM (SELECT m.*, CAST(coalesce(distributable, 1) AS INTEGER) AS d, CAST(coalesce(is_current, 1) AS INTEGER) AS c FROM mapped m JOIN datasets USING (dataset_key) WHERE is_public = 1)""", _RECORDED_CATALOG)
 def file_history(s: Store) -> DataFrame:
     return catalog.file_history(s.literal("source_files"), s.literal("dataset_sources"), s.literal("datasets"))
 
 
-@query(f"SELECT sha256, m.dataset_key, r2_key, source_file, license, attribution, CAST(coalesce(distributable, 1) AS INTEGER) AS distributable, hold_reason FROM mapped m JOIN datasets d USING (dataset_key) WHERE is_public = 1 AND sha256 = '{literals.SHA[1]}'", _CATALOG)
+#: A file that is there at all sizes.
+_SHA = hashlib.sha256(b"file:1:1996-01-01:1-URGENT").hexdigest()
+
+
+@recorded(f"SELECT sha256, m.dataset_key, r2_key, source_file, license, attribution, CAST(coalesce(distributable, 1) AS INTEGER) AS distributable, hold_reason FROM mapped m JOIN datasets d USING (dataset_key) WHERE is_public = 1 AND sha256 = '{_SHA}'", _RECORDED_CATALOG)
 def raw_file_entry(s: Store) -> DataFrame:
-    return raw.raw_file_entry(s.literal("source_files"), s.literal("dataset_sources"), s.literal("datasets"), literals.SHA[1])
+    return raw.raw_file_entry(s.literal("source_files"), s.literal("dataset_sources"), s.literal("datasets"), _SHA)
 
 
-@query("SELECT issue_id, dataset_key, title, severity, CAST(CASE severity WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END AS INTEGER) AS severity_rank FROM known_issues WHERE resolved_at IS NULL")
+@recorded("SELECT issue_id, dataset_key, title, severity, CAST(CASE severity WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END AS INTEGER) AS severity_rank FROM known_issues WHERE resolved_at IS NULL")
 def issues_by_severity(s: Store) -> DataFrame:
     return catalog.open_issues_by_severity(s.literal("known_issues"))
 
@@ -467,20 +494,20 @@ def issues_by_severity(s: Store) -> DataFrame:
 _NOTE = "the name says another month"
 
 
-@query(f"SELECT sha256, status, CASE WHEN sha256 IN ('{literals.SHA[4]}', '{literals.SHA[5]}') THEN coalesce(skip_reason || ' / ', '') || '{_NOTE}' ELSE skip_reason END AS skip_reason, CASE WHEN sha256 IN ('{literals.SHA[4]}', '{literals.SHA[5]}') THEN 0 ELSE is_current END AS is_current FROM source_files")
+@recorded(f"SELECT sha256, status, CASE WHEN row_count % 10 = 1 THEN coalesce(skip_reason || ' / ', '') || '{_NOTE}' ELSE skip_reason END AS skip_reason, CAST(CASE WHEN row_count % 10 = 1 THEN 0 ELSE is_current END AS BIGINT) AS is_current FROM source_files")
 def files_with_note(s: Store) -> DataFrame:
     """Files marked as not current, with a note behind the reasons they have."""
     changes = {"skip_reason": catalog.with_note(F.col("skip_reason"), _NOTE), "is_current": F.lit(0)}
-    return catalog.update_where(s.literal("source_files"), F.col("sha256").isin(literals.SHA[4], literals.SHA[5]), changes).select("sha256", "status", "skip_reason", F.col("is_current").cast("long").alias("is_current"))
+    return catalog.update_where(s.literal("source_files"), F.col("row_count") % 10 == 1, changes).select("sha256", "status", "skip_reason", F.col("is_current").cast("long").alias("is_current"))
 
 
-@query("SELECT issue_id, title, CASE WHEN title LIKE '%a%e%s' THEN 'resolved' ELSE severity END AS severity, CASE WHEN title LIKE '%a%e%s' THEN detail || ' [checked]' ELSE detail END AS detail FROM known_issues")
+@recorded("SELECT issue_id, title, CASE WHEN title LIKE '%a%e%s' THEN 'resolved' ELSE severity END AS severity, CASE WHEN title LIKE '%a%e%s' THEN detail || ' [checked]' ELSE detail END AS detail FROM known_issues")
 def issues_resolved_by_pattern(s: Store) -> DataFrame:
     changes = {"severity": F.lit("resolved"), "detail": F.concat("detail", F.lit(" [checked]"))}
     return catalog.update_where(s.literal("known_issues"), F.col("title").like("%a%e%s"), changes).select("issue_id", "title", "severity", "detail")
 
 
-@query("SELECT run_id, status, CAST(1 AS BIGINT) AS attempts FROM sync_runs")
+@recorded("SELECT run_id, status, CAST(1 AS BIGINT) AS attempts FROM sync_runs")
 def runs_with_new_column(s: Store) -> DataFrame:
     return catalog.add_column(s.literal("sync_runs"), "attempts", "long", 1).select("run_id", "status", "attempts")
 
@@ -580,12 +607,20 @@ def season_greatest_distance(s: Store) -> DataFrame:
     return series.greatest_distance(s.seasonal_views["v_nl_seasonality"], "pct_vs_trend", "key_code")
 
 
-_TOWNS = "named(key_code, area_name) AS (VALUES " + ", ".join(map(str, literals.TOWNS)) + "), parted AS (SELECT *, CASE WHEN regexp_extract(area_name, '^(.+?)(\\d+)丁目$', 1) = '' THEN area_name ELSE regexp_extract(area_name, '^(.+?)(\\d+)丁目$', 1) END AS town, coalesce(TRY_CAST(regexp_extract(area_name, '(\\d+)丁目$', 1) AS INTEGER), 0) AS block FROM named)"
+_TOWNS = """named AS (SELECT DISTINCT c_mktsegment || c_nationkey || '.' || CASE WHEN c_custkey % 7 = 0 THEN 'x' ELSE CAST(c_custkey % 40 AS VARCHAR) END AS key_code,
+  c_mktsegment || CASE WHEN c_custkey % 7 = 0 THEN '' ELSE (c_custkey % 40) || '丁目' END AS area_name FROM customer WHERE c_nationkey = 3 OR c_custkey % 7 <> 0),
+parted AS (SELECT *, CASE WHEN regexp_extract(area_name, '^(.+?)(\\d+)丁目$', 1) = '' THEN area_name ELSE regexp_extract(area_name, '^(.+?)(\\d+)丁目$', 1) END AS town, coalesce(TRY_CAST(regexp_extract(area_name, '(\\d+)丁目$', 1) AS INTEGER), 0) AS block FROM named)"""
 
 
 @query("SELECT town, string_agg(area_name, ',' ORDER BY block, key_code) AS areas, count(*) AS n_areas FROM parted GROUP BY town", _TOWNS)
 def town_groups(s: Store) -> DataFrame:
-    named = s.spark.createDataFrame(literals.TOWNS, "key_code string, area_name string")
+    """Customers' segments as towns, with blocks by number; some areas have none."""
+    no_block = F.col("c_custkey") % 7 == 0
+    block = (F.col("c_custkey") % 40).cast("string")
+    named = s.panel.read("customer").filter((F.col("c_nationkey") == 3) | ~no_block).select(
+        F.concat("c_mktsegment", F.col("c_nationkey").cast("string"), F.lit("."), F.when(no_block, "x").otherwise(block)).alias("key_code"),
+        F.concat("c_mktsegment", F.when(no_block, "").otherwise(F.concat(block, F.lit("丁目")))).alias("area_name"),
+    )
     return series.towns(named).withColumn("areas", F.array_join("areas", ","))
 
 
@@ -594,22 +629,27 @@ def export_third_page(s: Store) -> DataFrame:
     return export.page(export.export_rows(_registered(s), "pop5", "population", "1996-01", "1997-12").df, 200, 2)
 
 
-_SHOWN = "shown(id, v) AS (VALUES " + ", ".join(f"({i}, {'NULL' if v is None else v})" for i, v in literals.SHOWN) + ")"
+_SHOWN = "shown AS (SELECT c_nationkey || ' ' || strftime(o_orderdate, '%Y-%m') AS id, CASE WHEN count(*) % 5 = 0 THEN NULL ELSE (count(*) - 8) * 777 END AS v FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey, strftime(o_orderdate, '%Y-%m'))"
 
 
-@query("SELECT CAST(id AS BIGINT) AS id, format('{:,}', v) AS number, CASE WHEN v > 0 THEN '+' ELSE '' END || format('{:,}', v) AS change, CASE WHEN v IS NULL OR v = 0 THEN '—' ELSE CAST(CAST(floor(v / 1024.0 + 0.5) AS BIGINT) AS VARCHAR) || ' KB' END AS kilobytes FROM shown", _SHOWN)
+@query("SELECT id, format('{:,}', v) AS number, CASE WHEN v > 0 THEN '+' ELSE '' END || format('{:,}', v) AS change, CASE WHEN v IS NULL OR v = 0 THEN '—' ELSE CAST(CAST(floor(v / 1024.0 + 0.5) AS BIGINT) AS VARCHAR) || ' KB' END AS kilobytes FROM shown", _SHOWN)
 def shown_numbers(s: Store) -> DataFrame:
-    rows = s.spark.createDataFrame(literals.SHOWN, "id long, v long")
+    """Numbers of orders by nation and month, less and more than nothing, as they are shown."""
+    v = F.when(F.col("value") % 5 == 0, F.lit(None).cast("long")).otherwise((F.col("value") - 8) * 777)
+    rows = s.panel.orders.select(F.concat_ws(" ", F.col("c_nationkey").cast("string"), F.substring("reference_date", 1, 7)).alias("id"), v.alias("v"))
     return rows.select("id", fn.shown_number(F.col("v")).alias("number"), fn.shown_change(F.col("v")).alias("change"), fn.shown_kilobytes(F.col("v")).alias("kilobytes"))
 
 
-_REPLIES = "replies(id, reply) AS (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in literals.REPLIES) + "), found AS (SELECT *, regexp_extract(reply, '(?s)\\{.*\\}') AS o FROM replies)"
+_REPLIES = "replies AS (SELECT event_id AS id, CASE event_id % 4 WHEN 0 THEN 'Here it is: ' || props || ' as asked.' WHEN 1 THEN 'no object' WHEN 2 THEN left(props, 4) ELSE '```' || chr(10) || props || chr(10) || '```' END AS reply FROM events), found AS (SELECT *, regexp_extract(reply, '(?s)\\{.*\\}') AS o FROM replies)"
 
 
-@query("SELECT CAST(id AS BIGINT) AS id, CASE WHEN o <> '' THEN o->>'limits' END AS limits, CASE WHEN o <> '' THEN CAST(o->>'n' AS BIGINT) END AS n FROM found", _REPLIES)
+@query("SELECT id, CASE WHEN o <> '' THEN CAST(o->>'k' AS BIGINT) END AS k FROM found", _REPLIES)
 def object_in_text(s: Store) -> DataFrame:
-    rows = s.spark.createDataFrame(literals.REPLIES, "id long, reply string")
-    return rows.withColumn("o", fn.first_object(F.col("reply"), "limits string, n long")).select("id", "o.limits", "o.n")
+    """The object in texts around events' properties: whole, absent, or cut off."""
+    rows = s.panel.read("events").select(F.col("event_id").alias("id"), "props", (F.col("event_id") % 4).alias("way"))
+    whole, fenced = F.concat(F.lit("Here it is: "), "props", F.lit(" as asked.")), F.concat(F.lit("```\n"), "props", F.lit("\n```"))
+    reply = F.when(F.col("way") == 0, whole).when(F.col("way") == 1, "no object").when(F.col("way") == 2, F.left("props", F.lit(4))).otherwise(fenced)
+    return rows.select("id", fn.first_object(reply, "k long")["k"].alias("k"))
 
 
 # --- facts -----------------------------------------------------------------------------------------
@@ -653,9 +693,9 @@ def _caveats_sql(mode: str) -> str:
     UNION ALL SELECT 'open issue, ' || severity || ': ' || title FROM known_issues WHERE dataset_key = 'pop5' AND resolved_at IS NULL))) AS caveats)"""
 
 
-@query("SELECT array_to_string(caveats, '|') AS caveats FROM told", f"{_PANEL},{_caveats_sql('profile')}")
+@recorded("SELECT array_to_string(caveats, '|') AS caveats FROM told", f"{_RECORDED},{_caveats_sql('profile').replace('pop5', 'r1_5y')}")
 def caveats(s: Store) -> DataFrame:
-    rows = lambda t: s.literal(t).filter("dataset_key = 'pop5'")
+    rows = lambda t: s.literal(t).filter("dataset_key = 'r1_5y'")
     return facts.caveats(rows("dataset_gaps"), rows("known_issues"), facts.stated(resolve_measure("5y", "population"), "profile")).select(F.array_join("caveats", "|").alias("caveats"))
 
 
@@ -694,13 +734,20 @@ def insight_age(s: Store) -> DataFrame:
     return _insight(s, "age", ["age_class", "pct_vs_trend", "n_above", "n_years", "consistency"], "00000001")
 
 
-_TEXTS = "texts(id, text) AS (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in literals.TEXTS) + f"), allowed AS (SELECT CAST(unnest(regexp_extract_all('{literals.FACTS}', '-?[0-9]+(?:\\.[0-9]+)?')) AS DOUBLE) AS f UNION ALL SELECT CAST(unnest(generate_series(0, 24)) AS DOUBLE)), found AS (SELECT id, CAST(unnest(regexp_extract_all(text, '-?[0-9]+(?:\\.[0-9]+)?')) AS DOUBLE) AS n FROM texts)"
+_TEXTS = """told AS (SELECT event_id AS id, '{"value":' || value || ',"user":' || user_id || '}' AS facts, 'The value is ' || CASE event_id % 3 WHEN 0 THEN CAST(value AS VARCHAR) WHEN 1 THEN CAST(floor(value + 0.5) AS VARCHAR) ELSE CAST(value AS VARCHAR) || '1' END || ' for user ' || (user_id + event_id % 2) AS text FROM events),
+allowed AS (SELECT id, CAST(unnest(regexp_extract_all(facts, '-?[0-9]+(?:\\.[0-9]+)?')) AS DOUBLE) AS f FROM told UNION ALL SELECT id, CAST(unnest(generate_series(0, 24)) AS DOUBLE) FROM told),
+found AS (SELECT id, CAST(unnest(regexp_extract_all(text, '-?[0-9]+(?:\\.[0-9]+)?')) AS DOUBLE) AS n FROM told),
+wrong AS (SELECT DISTINCT id, n FROM found q WHERE NOT EXISTS (SELECT 1 FROM allowed a WHERE a.id = q.id AND (abs(n - f) < 0.005 OR n = floor(f + 0.5) OR abs(n - round(f, 1)) < 0.005)))"""
 
 
-@query("SELECT CAST(id AS BIGINT) AS id, coalesce(string_agg(CAST(n AS VARCHAR), ',' ORDER BY n) FILTER (n IS NOT NULL), '') AS bad, count(n) = 0 AS ok FROM texts LEFT JOIN (SELECT DISTINCT id, n FROM found WHERE NOT EXISTS (SELECT 1 FROM allowed WHERE abs(n - f) < 0.005 OR n = floor(f + 0.5) OR abs(n - round(f, 1)) < 0.005)) USING (id) GROUP BY id", _TEXTS)
+@query("SELECT id, coalesce(string_agg(CAST(n AS VARCHAR), ',' ORDER BY n) FILTER (n IS NOT NULL), '') AS bad, count(n) = 0 AS ok FROM told LEFT JOIN wrong USING (id) GROUP BY id", _TEXTS)
 def verify_numbers(s: Store) -> DataFrame:
-    texts = s.spark.createDataFrame(literals.TEXTS, "id long, text string")
-    checked = facts.verify_numbers(texts, F.lit(literals.FACTS))
+    """Texts on events held against each event's own facts: with its value, a rounding of it, or one that it hasn't."""
+    value, way = F.col("value").cast("string"), F.col("event_id") % 3
+    shown = F.when(way == 0, value).when(way == 1, F.floor(F.col("value") + 0.5).cast("double").cast("string")).otherwise(F.concat(value, F.lit("1")))
+    text = F.concat(F.lit("The value is "), shown, F.lit(" for user "), (F.col("user_id") + F.col("event_id") % 2).cast("string"))
+    texts = s.panel.read("events").select(F.col("event_id").alias("id"), text.alias("text"), F.to_json(F.struct("value", F.col("user_id").alias("user"))).alias("facts"))
+    checked = facts.verify_numbers(texts, F.col("facts"))
     return checked.select("id", F.array_join(F.transform(F.sort_array("bad"), lambda x: x.cast("string")), ",").alias("bad"), "ok")
 
 
