@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -130,3 +132,41 @@ def insight(facts: DataFrame, writer: Callable[[str, list[str]], str], tries: in
             return {"facts": row.facts, "text": text, "ok": True, "bad": []}
         wrong = [f"{x:g}" for x in checked.bad]
     return {"facts": row.facts, "text": None, "ok": False, "bad": wrong}
+
+
+def area_facts(profile: DataFrame, told: DataFrame, *keys: str) -> DataFrame:
+    """A row a key with all that a text on it may say: its months in order, what follows from them, and the caveats (a
+    row with a list, for all)."""
+    label = consistency(F.col("n_above"), F.col("n_years"))
+    month = F.struct(F.col("month").cast("int").alias("month"), "pct_vs_trend", "n_above", "n_years", label.alias("consistency"))
+    rows = profile.groupBy(*keys).agg(F.sort_array(F.collect_list(month)).alias("rows"))  # twelve at most
+    derived = profile_facts(profile, *keys)
+    return derived.join(rows, list(keys)).withColumn("caveats", told.scalar())
+
+
+def insights(facts: DataFrame, writer: Callable[[str, list[str]], str], tries: int = 2) -> DataFrame:
+    """facts with told (their JSON), text, ok, bad and tries: for each row a text by writer(told, numbers that were wrong
+    before). A text is kept if its numbers are borne out, and else written again, `tries` times in all; then it's null.
+
+    writer runs in tasks, on a batch of rows at a time; each pass works on the rows that the one before it rejected. What a pass
+    has written is checkpointed, since a text model may write something else if it is asked again."""
+    spark = facts.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch")
+
+    @F.pandas_udf("string")
+    def written(told: pd.Series, wrong: pd.Series) -> pd.Series:
+        return pd.Series([writer(t, [f"{x:g}" for x in w]) for t, w in zip(told, wrong, strict=True)], dtype=object)
+
+    columns = facts.columns
+    left = facts.withColumn("told", F.to_json(F.struct(*columns))).withColumn("bad", F.array().cast("array<double>"))
+    done: list[DataFrame] = []
+    for n in range(1, tries + 1):
+        texts = left.withColumn("text", written("told", "bad"))
+        checked = texts.withColumn("bad", bad_numbers(F.col("text"), F.col("told"))).withColumn("tries", F.lit(n)).checkpoint(eager=True)
+        ok = F.size("bad") == 0
+        done.append(checked.filter(ok))
+        left = checked.filter(~ok).drop("text", "tries")
+    done.append(left.withColumns({"text": F.lit(None).cast("string"), "tries": F.lit(tries)}))
+    out = reduce(DataFrame.unionByName, done)
+    return out.select(*columns, "told", "text", F.col("text").isNotNull().alias("ok"), "bad", "tries")

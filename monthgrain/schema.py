@@ -87,6 +87,12 @@ class Result:
     annotations: DataFrame | None = None
     extra: dict = field(default_factory=dict)
 
+    def plan_notes(self) -> list[str]:
+        """What the rows' own plan reads, filters, groups and gates, as `name: value`."""
+        from .operators.explain import plan_notes
+
+        return plan_notes(self.df, [t.name for t in self.df.sparkSession.catalog.listTables() if t.isTemporary])
+
 
 def _match(pattern: str, text: str | None, what: str) -> str:
     if not re.fullmatch(pattern, text or ""):
