@@ -13,8 +13,9 @@ all fingerprints. Any choice finds all links; it only sets the work.
 
 Only distinct fingerprints are linked, so exact copies cost nothing. Rows of one signature come
 together in sorted runs; links are verified in blocks of a run, of which only a spanning forest
-leaves the task. A signature that more than RUN fingerprints share is dealt out as all pairs of
-chunks of them, so that no task holds more than two chunks at once, and no pair is left out.
+leaves the task. Of a signature that more than RUN fingerprints share, those within TAU bits of one of them, its
+hub, are linked by it; the rest go to each chunk of these, or, if they are many, all are dealt out as all
+pairs of chunks. So no task holds more than two chunks at once, and no link is left out but between what is linked already.
 
 `drop_near_copies` puts the same search to texts of which most word shingles are the same (Jaccard): two
 fingerprints of a text's set of shingles, from independent hashes, are searched in turn, and what is
@@ -37,7 +38,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, cut, look_up, own_name, row_hash
@@ -57,6 +58,8 @@ SET_WORDS, SIMILARITY = 5, (4, 5)
 SET_TAU, OTHER_TAU = 13, 22
 #: Sets of shingles that are compared in one block.
 SET_RUN = 2048
+#: Keys of many rows that are few enough to be broadcast, with some 50 bytes each.
+FEW_KEYS = 50_000
 #: Members of a component over which its hub counts as hot.
 HUB = 5_000
 
@@ -219,11 +222,9 @@ def links(nodes: DataFrame, tau: int = TAU, run: int = RUN, other_tau: int | Non
     key = F.xxhash64(F.col("mask"), F.col("fp").bitwiseAND(F.col("mask")))
     signed = nodes.select(*carried, F.explode(F.array(*(F.lit(m).cast("long") for m in masks))).alias("mask")).select(*carried, key.alias("key"))
     hot = cut(signed.groupBy("key").count().filter(F.col("count") > run).select("key", "count", F.ceil(F.col("count") / run).cast("int").alias("chunks")))
+    by_hub = None
     if not hot.isEmpty():
-        own = F.pmod(F.xxhash64("fp", F.lit("chunk")), F.col("chunks"))
-        pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(F.least(c, own).alias("i"), F.greatest(c, own).alias("j")))
-        dealt = look_up(signed, "key", hot, "count", n * len(masks), ["fp"]).select(*carried, "key", F.explode(F.when(F.col("chunks").isNotNull(), pairs).otherwise(F.array(F.struct(F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j"))))).alias("pair"))
-        signed = dealt.select(*carried, F.xxhash64("key", "pair.i", "pair.j").alias("key"))
+        signed, by_hub = _dealt(signed, hot, n * len(masks), carried, tau, other_tau, run)
     runs = signed.repartition("key").sortWithinPartitions("key", carried[0])  # so that one node is the hub of many runs
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -256,7 +257,45 @@ def links(nodes: DataFrame, tau: int = TAU, run: int = RUN, other_tau: int | Non
         if len(a):
             yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], schema=schema)
 
-    return hung(runs.select("key", *carried).mapInArrow(linked, "a long, b long"))
+    found = runs.select("key", *carried).mapInArrow(linked, "a long, b long")
+    return hung(found if by_hub is None else found.union(by_hub))
+
+
+def _beside(signed: DataFrame, hot: DataFrame, total: int) -> DataFrame:
+    """signed with the columns of hot (a row per key, with the key's count among total) beside each row of its keys."""
+    if hot.count() <= FEW_KEYS:
+        return signed.join(F.broadcast(hot.drop("count")), "key", "left")
+    return look_up(signed, "key", hot, "count", total, ["fp"])
+
+
+def _dealt(signed: DataFrame, hot: DataFrame, total: int, carried: list[str], tau: int, other_tau: int | None, run: int) -> tuple[DataFrame, DataFrame]:
+    """signed with the rows of hot keys dealt out under keys of their own, and the edges that link rows of these to a hub.
+
+    A hot key's hub is one of its rows. What is within the bits of it is linked by it, and needn't be compared with each other.
+    The rest must be compared with all: if it is no larger than a run, it goes to each chunk of the others, and else
+    all rows are dealt out as all pairs of chunks. Where there is no rest, no row is left to compare."""
+    at = _beside(signed, hot, total).filter("chunks IS NOT NULL")
+    first = at.groupBy("key").agg(F.min(F.struct(F.xxhash64("fp").alias("h"), *carried)).alias("hub"))
+    hubs = cut(first.join(hot, "key").select("key", "count", "chunks", *(F.col(f"hub.{c}").alias(f"hub_{c}") for c in carried)))
+
+    def close() -> Column:
+        near = F.bit_count(F.col("fp").bitwiseXOR(F.col("hub_fp"))) <= tau
+        return near if other_tau is None else near & (F.bit_count(F.col("other").bitwiseXOR(F.col("hub_other"))) <= other_tau)
+
+    hung_on = _beside(signed, hubs, total).filter("chunks IS NOT NULL").withColumn("close", close())
+    rest = hung_on.groupBy("key").agg(F.count_if(~F.col("close")).alias("rest"))
+    known = cut(hubs.join(rest, "key"))
+    node, hub = carried[0], f"hub_{carried[0]}"
+    by_hub = hung_on.filter(F.col("close") & (F.col(node) != F.col(hub))).select(F.greatest(node, hub).alias("a"), F.least(node, hub).alias("b")).distinct()
+    own = F.pmod(F.xxhash64("fp", F.lit("chunk")), F.col("chunks"))
+    every = F.sequence(F.lit(0).cast("long"), (F.col("chunks") - 1).cast("long"))
+    pair = lambda i, j: F.struct(i.cast("long").alias("i"), j.cast("long").alias("j"))
+    one, all_chunks = F.array(pair(own, F.lit(-1))), F.transform(every, lambda c: pair(c, F.lit(-1)))
+    all_pairs = F.transform(every, lambda c: pair(F.least(c, own), F.greatest(c, own)))
+    hot_pairs = F.when(F.col("rest") == 0, F.array().cast("array<struct<i: bigint, j: bigint>>")).when(F.col("rest") > run, all_pairs).when(close(), one).otherwise(all_chunks)
+    pairs = F.when(F.col("chunks").isNull(), F.array(pair(F.lit(0), F.lit(0)))).otherwise(hot_pairs)
+    dealt = _beside(signed, known, total).select(*carried, "key", F.explode(pairs).alias("pair"))
+    return dealt.select(*carried, F.xxhash64("key", "pair.i", "pair.j").alias("key")), by_hub
 
 
 def hung(edges: DataFrame) -> DataFrame:

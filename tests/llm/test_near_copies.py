@@ -64,3 +64,53 @@ def test_pipeline_stage_on_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     kept = dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, docs, "")
     assert {r.doc_id for r in kept.select(F.col("doc_id")).collect()} == _firsts([(r.doc_id, r.text) for r in docs.collect()])
+
+
+@pytest.mark.parametrize("two", [False, True])
+@pytest.mark.parametrize("few", [simhash.FEW_KEYS, 0])
+def test_hot_signatures_lose_no_link(spark, monkeypatch, two, few):
+    """Runs of more than three: groups around a middle, chains away from it, and rows that only share bits. Components are those of all pairs."""
+    monkeypatch.setattr(simhash, "FEW_KEYS", few)
+    rng = random.Random(8)
+    flip = lambda x, k: x ^ sum(1 << b for b in rng.sample(range(64), k))
+    rows = set()
+    for g in range(6):
+        fp, other = rng.getrandbits(64), rng.getrandbits(64)
+        for i in range(40 if g < 2 else 12):
+            rows.add((flip(fp, rng.randrange(6)), flip(other, rng.randrange(9) if g % 2 else rng.randrange(30))))
+            if g % 3 == 0 and i % 5 == 0:
+                fp = flip(fp, 3)
+    rows |= {(x ^ (1 << 63 if i % 2 else 0), rng.getrandbits(64)) for i, x in enumerate(rng.sample(sorted(r[0] for r in rows), 20))}
+    rows = sorted({fp: other for fp, other in rows}.items())
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    nodes = [(signed(fp) if not two else i, signed(fp), signed(other)) for i, (fp, other) in enumerate(rows)]
+    tau, other_tau = 5, 12 if two else None
+    parent = {n[0]: n[0] for n in nodes}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    linked = 0
+    for i, (a, fp, other) in enumerate(nodes):
+        for b, fq, oq in nodes[:i]:
+            if bin((fp ^ fq) & (2**64 - 1)).count("1") <= tau and (not two or bin((other ^ oq) & (2**64 - 1)).count("1") <= other_tau):
+                linked += 1
+                ra, rb = root(a), root(b)
+                parent[max(ra, rb)] = min(ra, rb)
+    frame = spark.createDataFrame(nodes, "node long, fp long, other long")
+    found = simhash.links(frame if two else frame.select("fp"), tau, run=3, other_tau=other_tau).collect()
+    for a, b in found:
+        assert root(a) == root(b) and a > b
+    got = {x: x for x in parent}
+
+    def top(x):
+        while got[x] != x:
+            x = got[x]
+        return x
+
+    for a, b in found:
+        ra, rb = top(a), top(b)
+        got[max(ra, rb)] = min(ra, rb)
+    assert linked > 200 and all(top(x) == root(x) for x in parent)
