@@ -60,6 +60,19 @@ def test_op1_on_whole_documents(spark, small):
         assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
 
 
+def test_op1_likenesses_by_definition(spark, small):
+    """The share of chosen hashes that both texts have, as sets."""
+    rows = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{small}/documents.parquet").orderBy(F.desc("doc_id")).collect()]
+    chosen = lambda text: set(winnowing.winnow(text)[0].tolist())
+    share = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    want = {}
+    for k, (i, text) in enumerate(rows):
+        following, half = rows[(k + 1) % len(rows)][1], len(text) // 2
+        want[i] = share(chosen(text), chosen(text[: len(text) - half] + following[:half])), share(chosen(text), chosen(following))
+    got = {r.doc_id: (r.near_edited, r.near_next) for r in QUERIES["op1_winnowing"](spark, small).collect()}
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i], abs=1e-12) for i in want)
+
+
 def test_op1_over_many_ranges(spark, odd, none):
     spark.conf.set("spark.sql.shuffle.partitions", "7")
     try:
