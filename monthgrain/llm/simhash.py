@@ -60,6 +60,8 @@ SET_TAU, OTHER_TAU = 13, 22
 SET_RUN = 2048
 #: Keys of many rows that are few enough to be broadcast, with some 50 bytes each.
 FEW_KEYS = 50_000
+#: The same of texts' hashes, and of the bytes of sets.
+FEW_NODES, FEW_BYTES = 1_000_000, 32 << 20
 #: Members of a component over which its hub counts as hot.
 HUB = 5_000
 
@@ -429,12 +431,15 @@ def _sets(texts: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     def make():
         return lambda ids, some: [ids, [shingle_set(t, words).tobytes() for t in some.to_pylist()]]
 
+    if nodes.count() <= FEW_NODES:  # else all texts are shuffled to meet them
+        texts = texts.join(F.broadcast(nodes), "node", "left_semi")
     once = texts.groupBy("node").agg(F.first("text").alias("text"))
     return cut(arrow_map(once.join(nodes, "node", "left_semi"), make, "node long, set binary", ["node", "text"]))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of pairs (a, b) whose sets are alike."""
+    """Those of pairs (a, b) whose sets are alike. A node's set is sent once, with all that it is to be held against (no more than
+    there are signatures); sets of the other side are broadcast if their bytes are counted and few, and else sent to each pair."""
 
     def make():
         def step(a: pa.Array, b: pa.Array, x: pa.Array, y: pa.Array):
@@ -446,7 +451,11 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         return step
 
     left, right = sets.select(F.col("node").alias("a"), F.col("set").alias("x")), sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
-    return arrow_map(pairs.join(left, "a").join(right, "b"), make, "a long, b long", ["a", "b", "x", "y"])
+    right = right.join(pairs.select("b").distinct(), "b", "left_semi")
+    if (right.agg(F.sum(F.length("y") + 64)).first()[0] or 0) <= FEW_BYTES:
+        right = F.broadcast(right)
+    each = pairs.groupBy("a").agg(F.collect_set("b").alias("bs")).join(left, "a").select("a", "x", F.explode("bs").alias("b"))
+    return arrow_map(each.join(right, "b"), make, "a long, b long", ["a", "b", "x", "y"])
 
 
 def _all_within(members: DataFrame, sets: DataFrame, run: int) -> DataFrame:

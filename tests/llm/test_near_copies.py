@@ -114,3 +114,12 @@ def test_hot_signatures_lose_no_link(spark, monkeypatch, two, few):
         ra, rb = top(a), top(b)
         got[max(ra, rb)] = min(ra, rb)
     assert linked > 200 and all(top(x) == root(x) for x in parent)
+
+
+def test_few_or_many_sets(spark, monkeypatch):
+    """Where sets and hashes are too many to be broadcast, the same groups are found."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    few = {r.doc_id for r in simhash.drop_near_copies(docs).select("doc_id").collect()}
+    for name in ("FEW_KEYS", "FEW_NODES", "FEW_BYTES"):
+        monkeypatch.setattr(simhash, name, 0)
+    assert {r.doc_id for r in simhash.drop_near_copies(docs).select("doc_id").collect()} == few and 0 < len(few) < docs.count()
