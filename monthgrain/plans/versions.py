@@ -106,12 +106,17 @@ class VersionedTable:
         slices = list(slices or [self.by])
 
         def without(old: DataFrame) -> DataFrame:
-            return rows if slices == [self.by] else old.join(rows.select(*slices).distinct(), slices, "left_anti").select(*self.schema.names).unionByName(rows.select(*self.schema.names))
+            if slices == [self.by]:
+                return rows
+            held = rows.select(*(F.col(c).alias(f"_{c}") for c in slices)).distinct()
+            same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in slices))
+            return old.join(held, same, "left_anti").select(*self.schema.names).unionByName(rows.select(*self.schema.names))
 
         return self._change(rows, without, note, partitions)
 
     def merge(self, changes: DataFrame, defaults: dict | None = None, note: str | None = None) -> int:
-        """The version with changes merged in by the keys: their columns win, the others keep their values or get a default."""
+        """The version with changes merged in by the keys (which hold no nulls): their columns win, the others keep their values or
+        get a default."""
         return self._change(changes, lambda old: merge_upsert(old, changes, self.keys, defaults or {}), note)
 
     def _change(self, rows: DataFrame, make, note: str | None, partitions: Sequence | None = None) -> int:

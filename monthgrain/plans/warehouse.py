@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import uuid
 from collections import OrderedDict
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -82,12 +83,13 @@ class BucketedPanel(panel.Panel):
 
 @dataclass(frozen=True)
 class Grain:
-    """A kept sum of a view: its name, the columns it is grouped by, and where it is."""
+    """A kept sum of a view: the columns it is grouped by, its name, its rows when it was first made, and what it is made from."""
 
     view: str
     columns: tuple[str, ...]
     name: str
     n_rows: int
+    source: str
 
     def covers(self, view: str, columns: set[str]) -> bool:
         return self.view == view and columns <= set(self.columns)
@@ -107,28 +109,42 @@ def grain_name(view: str, columns: tuple[str, ...]) -> str:
     return f"{view}_by_" + "_".join(c.removesuffix("_code").removesuffix("_date") for c in columns if c != "area_name")
 
 
+def _summed(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return rows.groupBy(*columns).agg(F.sum("value").alias("value"), F.sum("n_rows").alias("n_rows"))
+
+
 @dataclass
 class Routes:
-    """Which relation answers a query. Grains are kept as tables, partitioned by month."""
+    """Which relation answers a query. Grains are VersionedTables, partitioned by month."""
 
     spark: SparkSession
-    views: dict
+    views: Mapping[str, DataFrame]
     root: str
     grains: list[Grain] = field(default_factory=list)
     frames: dict[str, DataFrame] = field(default_factory=dict)
+    tables: dict[str, VersionedTable] = field(default_factory=dict)
 
     def build(self) -> Routes:
         for view, wanted in GRAINS.items():
             for columns in wanted:
-                name = grain_name(view, columns)
-                source = self.smallest(view, set(columns))
-                summed = self._frame(source).groupBy(*columns).agg(F.sum("value").alias("value"), F.sum("n_rows").alias("n_rows"))
-                path = f"{self.root}/{name}"
-                summed.hint("rebalance", F.col("reference_date")).write.partitionBy("reference_date").parquet(path)
-                self.frames[name] = self.spark.read.schema(summed.schema).parquet(path)
-                self.grains.append(Grain(view, columns, name, self.frames[name].count()))
+                self._keep(view, columns)
         return self
 
+    def refresh(self, months: Sequence[str]) -> None:
+        """Makes the months of every grain anew, each grain from the one that it was made from; other months aren't read."""
+        for grain in self.grains:
+            table, source = self.tables[grain.name], self._frame(grain.source).filter(F.col("reference_date").isin(*months))
+            table.replace(_summed(source, grain.columns), partitions=months)
+            self.frames[grain.name] = table.read()
+
+    def _keep(self, view: str, columns: tuple[str, ...]) -> None:
+        name, source = grain_name(view, columns), self.smallest(view, set(columns))
+        summed = _summed(self._frame(source), columns)
+        table = VersionedTable(self.spark, f"{self.root}/{name}", summed.schema, "reference_date", columns)
+        table.replace(summed)
+        self.tables[name], self.frames[name] = table, table.read()
+        self.grains.append(Grain(view, columns, name, self.frames[name].count(), source))
+
     def _frame(self, name: str) -> DataFrame:
         return self.frames[name] if name in self.frames else self.views[name].withColumn("n_rows", F.lit(1).cast("long"))
 
@@ -158,12 +174,30 @@ class WrittenStore(Store):
         self.panel = self.panel or self._panel(self.spark, self.sf_dir)
         self._root = self._folder("observations")
 
+    def table(self, name: str) -> VersionedTable:
+        return VersionedTable(self.spark, f"{self._root}/{name}", TABLES[name], "reference_date", [c for c in TABLES[name].names if c not in ("value", "source_sha256")])
+
     def _table(self, name: str, make) -> DataFrame:
-        table = VersionedTable(self.spark, f"{self._root}/{name}", TABLES[name], "reference_date", [c for c in TABLES[name].names if c not in ("value", "source_sha256")])
+        table = self.table(name)
         if not table.versions():
             table.replace(make(self.panel, self.grain), note="first load")
         return table.read()
 
+    def deliver(self, rows: DataFrame, name: str = "observations_5y", slices: Sequence[str] = ("muni_code", "reference_date")) -> list[str]:
+        """Takes a late delivery: its rows stand for all that an observation table has of their slices. That table's months, and
+        these months of every kept sum, are made anew; the months. Views are read anew after that."""
+        getattr(self, name)
+        months = sorted(r[0] for r in rows.select("reference_date").distinct().collect())  # a row a month
+        self.table(name).replace(rows, slices, note="delivered")
+        for made in (name, "views", "seasonal_views", "area_months"):
+            self.__dict__.pop(made, None)
+        if "routes" in self.__dict__:
+            self.routes.views = self.views
+            self.routes.refresh(months)
+        if Store._registered is self:
+            Store._registered = None
+        return months
+
     @cached_property
     def observations_5y(self) -> DataFrame:
         return self._table("observations_5y", panel.observations_5y)

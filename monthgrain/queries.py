@@ -751,4 +751,27 @@ def verify_numbers(s: Store) -> DataFrame:
     return checked.select("id", F.array_join(F.transform(F.sort_array("bad"), lambda x: x.cast("string")), ",").alias("bad"), "ok")
 
 
+# --- the catalog as drawn from the test tables -------------------------------------------------------
+
+
+@recorded("SELECT * FROM entries", _RECORDED_CATALOG)
+def recorded_catalog_entries(s: Store) -> DataFrame:
+    return _entries(s)
+
+
+@recorded("SELECT * FROM covered", _RECORDED_CATALOG)
+def recorded_coverage(s: Store) -> DataFrame:
+    return _covered(s)
+
+
+@recorded("SELECT summary.*, CAST(o.n AS BIGINT) AS obs_rows FROM summary LEFT JOIN (SELECT dataset_key, sum(obs_rows) AS n FROM periods GROUP BY ALL) o USING (dataset_key)", _RECORDED_CATALOG)
+def recorded_coverage_summary(s: Store) -> DataFrame:
+    return catalog.coverage_summary(s.periods, s.literal("datasets"))
+
+
+@recorded("SELECT (SELECT count(*) FROM entries WHERE license IS NULL) AS no_license, (SELECT count(*) FROM entries WHERE attribution IS NULL) AS no_attribution, (SELECT count(*) FROM entries WHERE last_run_at IS NULL) AS no_runs, (SELECT count(*) FROM known_issues WHERE resolved_at IS NULL) AS open_issues", _RECORDED_CATALOG)
+def recorded_warnings(s: Store) -> DataFrame:
+    return catalog.catalog_warnings(_entries(s), s.literal("known_issues"))
+
+
 from . import written_queries  # noqa: E402, F401  registers its own

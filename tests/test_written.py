@@ -390,3 +390,23 @@ def test_gaps_since_a_later_break(spark, small):
     early = season.month_panel(s.views["v_nl_population"], "population", BREAK_DATE)
     late = season.month_panel(s.views["v_nl_population"], "population", "1997-07-01")
     assert late.count() < early.count() and late.agg(F.min("reference_date")).first()[0] >= "1997-07-01"
+
+
+def test_a_delivery_touches_its_month_alone(spark, small):
+    own = WrittenStore(spark, small)
+    try:
+        before = {g.name: own.routes.tables[g.name].manifest()["partitions"] for g in own.routes.grains}
+        late = own.observations_5y.filter("reference_date = '1997-03-01' AND muni_code = '000001'")
+        assert own.deliver(late.withColumn("value", F.col("value") + 7)) == ["1997-03-01"]
+        assert {k: v.partition("-")[0] for k, v in own.table("observations_5y").manifest()["partitions"].items()}["reference_date=1997-03-01"] == "2"
+        for g in own.routes.grains:
+            now = own.routes.tables[g.name].manifest()["partitions"]
+            assert {k for k in now if now[k] != before[g.name][k]} <= {"reference_date=1997-03-01"} and now.keys() == before[g.name].keys()
+            fresh = own.views[g.view].withColumn("n_rows", F.lit(1).cast("long")).groupBy(*g.columns).agg(F.sum("value").alias("value"), F.sum("n_rows").alias("n_rows"))
+            assert sorted(own.routes.frames[g.name].select(*fresh.columns).collect()) == sorted(fresh.collect())
+        changed = own.views["v_nl_population"].filter("reference_date = '1997-03-01' AND muni_code = '000001'").agg(F.sum("population")).first()[0]
+        leaves = own.views["v_population_5y"].filter("reference_date = '1997-03-01' AND muni_code = '000001'").agg(F.sum("value")).first()[0]
+        assert changed == leaves
+    finally:
+        own.close()
+        own.panel.close()
