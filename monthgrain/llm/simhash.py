@@ -56,6 +56,8 @@ MAX_SIGNATURES = 3000
 #: so that the comparison is exact, and the bits by which one fingerprint and the other may differ.
 SET_WORDS, SIMILARITY = 5, (4, 5)
 SET_TAU, OTHER_TAU = 13, 22
+#: Texts that a task is made for where groups of them are worked on.
+NODES_A_TASK = 20_000
 #: Sets of shingles that are compared in one block.
 SET_RUN = 2048
 #: Keys of many rows that are few enough to be broadcast, with some 50 bytes each.
@@ -307,23 +309,24 @@ def hung(edges: DataFrame) -> DataFrame:
     return below.select(F.explode(F.array_append("below", F.col("a"))).alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 50, few: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """node and root, the least node of its component, for each node in edges (a > b).
 
     Large-star and small-star rounds in turn: every node's neighbours are hung on the least of them,
     until all hang on the least node. Each round is cut off in the shared folder. Where a node has over
-    HUB neighbours, those look up the least of them by `look_up` rather than by a join on the node."""
-    e = cut(edges)
+    HUB neighbours, those look up the least of them by `look_up` rather than by a join on the node. few may put
+    what a step gives on fewer tasks."""
+    e = cut(few(edges))
     n, state, busiest = _state(e)
     for _ in range(rounds):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"), "n")
-        large = _least_of(both.filter("b > a"), least, 2 * n, busiest).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
+        least = few(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))).select(F.col("a").alias("u"), F.least("a", "m").alias("m"), "n")
+        large = few(_least_of(both.filter("b > a"), least, 2 * n, busiest).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct())
         if busiest > HUB:
             large = cut(large)
-        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select(F.col("a").alias("u"), "m", "n")
-        small = _least_of(large, least, n, busiest).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
-        e = cut(small.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct())
+        least = few(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))).select(F.col("a").alias("u"), "m", "n")
+        small = few(_least_of(large, least, n, busiest).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b"))
+        e = cut(few(small.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()))
         before = n, state
         n, state, busiest = _state(e)
         if (n, state) == before:
@@ -424,7 +427,7 @@ def alike(shared: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return SIMILARITY[1] * shared >= SIMILARITY[0] * (a + b - shared)
 
 
-def _sets(texts: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+def _sets(texts: DataFrame, nodes: DataFrame, words: int, few: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """node and set, its shingles as bytes, of each of nodes (column node). Equal texts are one before they
     are shuffled to meet the nodes."""
 
@@ -434,7 +437,7 @@ def _sets(texts: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     if nodes.count() <= FEW_NODES:  # else all texts are shuffled to meet them
         texts = texts.join(F.broadcast(nodes), "node", "left_semi")
     once = texts.groupBy("node").agg(F.first("text").alias("text"))
-    return cut(arrow_map(once.join(nodes, "node", "left_semi"), make, "node long, set binary", ["node", "text"]))
+    return cut(few(arrow_map(once.join(nodes, "node", "left_semi"), make, "node long, set binary", ["node", "text"])))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -536,33 +539,39 @@ def set_groups(texts: DataFrame, words: int = SET_WORDS, tau: int = SET_TAU, oth
         return step
 
     prints = cut(arrow_map(texts, make, "node long, fp long, other long", ["node", "text"]).dropDuplicates(["node"]))
+    tasks = max(8, -(-prints.count() // NODES_A_TASK))
+
+    def few(df: DataFrame) -> DataFrame:
+        """On tasks for the number of texts: each task of a small table would leave files of its own in every shuffle."""
+        return df.coalesce(tasks)
+
     swapped = prints.select("node", F.col("other").alias("fp"), F.col("fp").alias("other"))
-    found = cut(hung(links(prints, tau, other_tau=other_tau).union(links(swapped, tau, other_tau=other_tau))))
-    stars = components(found)
+    found = cut(few(hung(links(prints, tau, other_tau=other_tau).union(links(swapped, tau, other_tau=other_tau)))))
+    stars = components(found, few=few)
     members = stars.select("node", F.col("root").alias("group")).union(stars.select("root", "root").distinct())
-    members = cut(members.join(prints.select("node", "fp"), "node"))
-    total, sets = members.count(), _sets(texts, members.select("node"), words)
-    centred = cut(look_up(members.drop("fp"), "group", cut(_centres(members, total)), "n", total, ["node"]))
-    true = cut(_verified(centred.filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")), sets))
+    members = cut(few(members.join(prints.select("node", "fp"), "node")))
+    total, sets = members.count(), _sets(texts, members.select("node"), words, few)
+    centred = cut(few(look_up(members.drop("fp"), "group", cut(few(_centres(members, total))), "n", total, ["node"])))
+    true = cut(few(_verified(centred.filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")), sets)))
     held = centred.join(true.select(F.col("a").alias("node"), F.lit(True).alias("true")), "node", "left").select("node", "group", (F.col("true").isNotNull() | (F.col("node") == F.col("centre"))).alias("true"))
-    held = cut(look_up(held, "group", cut(held.groupBy("group").agg(F.count("*").alias("n"), F.every("true").alias("whole"))), "n", total, ["node"]))
+    held = cut(few(look_up(held, "group", cut(few(held.groupBy("group").agg(F.count("*").alias("n"), F.every("true").alias("whole")))), "n", total, ["node"])))
     rest = held.filter("NOT whole").select("node", "group")
     if rest.isEmpty():
         return stars
     down = lambda df: df.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     done = held.filter("whole AND node <> group").select("node", F.col("group").alias("root"))
     within = found.join(rest.select(F.col("node").alias("a")), "a", "left_semi").join(true.select("a", "b").union(true.select("b", "a")), ["a", "b"], "left_anti")
-    edges = cut(down(true.join(rest.select(F.col("node").alias("a")), "a", "left_semi")).union(_verified(cut(within), sets)).distinct())
-    parts = components(edges)
+    edges = cut(down(true.join(rest.select(F.col("node").alias("a")), "a", "left_semi")).union(_verified(cut(few(within)), sets)).distinct())
+    parts = components(edges, few=few)
     rooted = rest.join(parts, "node", "left").select("node", "group", F.coalesce("root", "node").alias("root"))
-    sized = cut(rooted.groupBy("group").agg(F.count("*").alias("n"), F.count("*").alias("size"), (F.min("root") == F.max("root")).alias("whole")))
-    rooted = cut(look_up(rooted, "group", sized, "n", total, ["node"]))
+    sized = cut(few(rooted.groupBy("group").agg(F.count("*").alias("n"), F.count("*").alias("size"), (F.min("root") == F.max("root")).alias("whole"))))
+    rooted = cut(few(look_up(rooted, "group", sized, "n", total, ["node"])))
     done = done.union(rooted.filter("whole AND node <> root").select("node", "root"))
     apart = rooted.filter("NOT whole").select("node", "group", F.col("size").alias("n"))
     if apart.isEmpty():
         return done
     edges = edges.join(apart.select(F.col("node").alias("a")), "a", "left_semi").union(_all_within(apart, sets, run)).distinct()
-    return done.union(components(edges))
+    return done.union(components(edges, few=few))
 
 
 def drop_near_copies(docs: DataFrame, words: int = SET_WORDS, tau: int = SET_TAU, other_tau: int = OTHER_TAU) -> DataFrame:
