@@ -26,8 +26,8 @@ from . import Store
 from .versions import Folder, VersionedTable
 
 
-#: Bytes of the lines' files that a bucket is made for.
-BUCKET_BYTES = 128 << 20
+#: Bytes of the lines' files that a bucket is made for; a task sorts a bucket of lines, of some ten times as many bytes.
+BUCKET_BYTES = 32 << 20
 
 
 class BucketedPanel(panel.Panel):
