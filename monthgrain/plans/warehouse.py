@@ -48,7 +48,7 @@ class BucketedPanel(panel.Panel):
 
     @cached_property
     def bucketed_lines(self) -> str:
-        sizes = self.read("part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_size").alias("age"))
+        sizes = self.dimension("part", F.col("p_partkey").alias("l_partkey"), F.col("p_size").alias("age"))
         lines = self.read("lineitem").join(sizes, "l_partkey")
         returned = F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0)
         sex = F.when(F.col("l_linestatus") == "F", "female").otherwise("male")
@@ -56,7 +56,7 @@ class BucketedPanel(panel.Panel):
 
     @cached_property
     def bucketed_orders(self) -> str:
-        customers = self.read("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+        customers = self.dimension("customer", F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey"))
         orders = self.read("orders").join(customers, "o_custkey")
         return self._bucketed("orders", orders.select("o_orderkey", "c_nationkey", F.date_format("o_orderdate", "yyyy-MM-01").alias("reference_date")), "o_orderkey")
 

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 TABLES = ("lineitem", "orders", "customer", "part", "nation", "region")
 
+#: Rows of a dimension that may be sent to all tasks through the driver.
+FEW_ROWS = 200_000
+
 
 def stamp(spark: SparkSession, sf_dir: str) -> tuple:
     """Names, sizes and times of the files behind the panel: another stamp means other rows."""
@@ -41,16 +44,22 @@ class Panel:
             self._frames[table] = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
         return self._frames[table]
 
+    def dimension(self, table: str, *columns: Column) -> DataFrame:
+        """Columns of a table to be joined by its key. Spark judges by the size of its files, which says little of its rows;
+        these are counted from the footers, and a table of more than FEW_ROWS is shuffled rather than broadcast."""
+        rows = self.read(table).select(*columns)
+        return rows if self.read(table).count() <= FEW_ROWS else rows.hint("merge")
+
     @cached_property
     def lines(self) -> DataFrame:
         """Quantity by nation, month, size and line status, in one pass over the lines."""
         orders = (
             self.read("orders").select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM-01").alias("reference_date"))
-            .join(self.read("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
+            .join(self.dimension("customer", F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey")), "o_custkey")
             .select("o_orderkey", "reference_date", "c_nationkey")
         )
         lines = self.read("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_quantity", "l_linestatus", "l_returnflag")
-        sizes = self.read("part").select(F.col("p_partkey").alias("l_partkey"), "p_size")
+        sizes = self.dimension("part", F.col("p_partkey").alias("l_partkey"), F.col("p_size"))
         cells = (
             lines.join(sizes, "l_partkey").join(orders, "o_orderkey")
             .groupBy("c_nationkey", "reference_date", F.col("p_size").alias("age"), F.when(F.col("l_linestatus") == "F", "female").otherwise("male").alias("sex"))
@@ -61,7 +70,7 @@ class Panel:
     @cached_property
     def orders(self) -> DataFrame:
         """Orders by nation and month: the households of the panel."""
-        customers = self.read("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+        customers = self.dimension("customer", F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey"))
         orders = self.read("orders").select("o_custkey", F.date_format("o_orderdate", "yyyy-MM-01").alias("reference_date"))
         return orders.join(customers, "o_custkey").groupBy("c_nationkey", "reference_date").agg(F.count("*").alias("value")).persist()
 
