@@ -68,11 +68,11 @@ class BucketedPanel(panel.Panel):
 
     @cached_property
     def lines(self) -> DataFrame:
-        return self.cells().persist()
+        return self.cells().repartition(panel.CELL_PARTS).persist()
 
     @cached_property
     def orders(self) -> DataFrame:
-        return self.spark.table(self.bucketed_orders).groupBy("c_nationkey", "reference_date").agg(F.count("*").alias("value")).persist()
+        return self.spark.table(self.bucketed_orders).groupBy("c_nationkey", "reference_date").agg(F.count("*").alias("value")).repartition(panel.CELL_PARTS).persist()
 
     def close(self) -> None:
         super().close()

@@ -17,6 +17,8 @@ TABLES = ("lineitem", "orders", "customer", "part", "nation", "region")
 
 #: Rows of a dimension that may be sent to all tasks through the driver.
 FEW_ROWS = 200_000
+#: Partitions in which cells are kept: there are no more of them than nations x months x sizes x 2, however many lines.
+CELL_PARTS = 8
 
 
 def stamp(spark: SparkSession, sf_dir: str) -> tuple:
@@ -65,14 +67,14 @@ class Panel:
             .groupBy("c_nationkey", "reference_date", F.col("p_size").alias("age"), F.when(F.col("l_linestatus") == "F", "female").otherwise("male").alias("sex"))
             .agg(F.sum("l_quantity").alias("quantity"), F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0)).alias("returned"))
         )
-        return cells.select("c_nationkey", "reference_date", "age", "sex", F.col("quantity").cast("long").alias("value"), F.col("returned").cast("long").alias("foreign_value")).persist()
+        return cells.select("c_nationkey", "reference_date", "age", "sex", F.col("quantity").cast("long").alias("value"), F.col("returned").cast("long").alias("foreign_value")).repartition(CELL_PARTS).persist()
 
     @cached_property
     def orders(self) -> DataFrame:
         """Orders by nation and month: the households of the panel."""
         customers = self.dimension("customer", F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey"))
         orders = self.read("orders").select("o_custkey", F.date_format("o_orderdate", "yyyy-MM-01").alias("reference_date"))
-        return orders.join(customers, "o_custkey").groupBy("c_nationkey", "reference_date").agg(F.count("*").alias("value")).persist()
+        return orders.join(customers, "o_custkey").groupBy("c_nationkey", "reference_date").agg(F.count("*").alias("value")).repartition(CELL_PARTS).persist()
 
     def close(self) -> None:
         for name in ("lines", "orders"):
