@@ -62,8 +62,8 @@ NODES_A_TASK = 20_000
 SET_RUN = 2048
 #: Keys of many rows that are few enough to be broadcast, with some 50 bytes each.
 FEW_KEYS = 50_000
-#: The same of texts' hashes, and of the bytes of sets.
-FEW_NODES, FEW_BYTES = 1_000_000, 32 << 20
+#: The same of texts' hashes, and of the bytes of sets; what is broadcast passes through the driver, several times as large there.
+FEW_NODES, FEW_BYTES = 250_000, 4 << 20
 #: Members of a component over which its hub counts as hot.
 HUB = 5_000
 
@@ -442,7 +442,8 @@ def _sets(texts: DataFrame, nodes: DataFrame, words: int, few: Callable[[DataFra
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of pairs (a, b) whose sets are alike. A node's set is sent once, with all that it is to be held against (no more than
-    there are signatures); sets of the other side are broadcast if their bytes are counted and few, and else sent to each pair."""
+    there are signatures); sets of the other side are broadcast if their bytes are counted and few, and else looked up: those
+of many pairs by broadcast, all others by shuffle."""
 
     def make():
         def step(a: pa.Array, b: pa.Array, x: pa.Array, y: pa.Array):
@@ -453,12 +454,13 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
         return step
 
-    left, right = sets.select(F.col("node").alias("a"), F.col("set").alias("x")), sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
-    right = right.join(pairs.select("b").distinct(), "b", "left_semi")
-    if (right.agg(F.sum(F.length("y") + 64)).first()[0] or 0) <= FEW_BYTES:
-        right = F.broadcast(right)
+    left = sets.select(F.col("node").alias("a"), F.col("set").alias("x"))
     each = pairs.groupBy("a").agg(F.collect_set("b").alias("bs")).join(left, "a").select("a", "x", F.explode("bs").alias("b"))
-    return arrow_map(each.join(right, "b"), make, "a long, b long", ["a", "b", "x", "y"])
+    counts = cut(pairs.groupBy("b").agg(F.count_distinct("a").alias("n")))
+    right = sets.select(F.col("node").alias("b"), F.col("set").alias("y")).join(counts, "b")
+    size, total = right.agg(F.sum(F.length("y") + 64), F.sum("n")).first()
+    met = each.join(F.broadcast(right.drop("n")), "b") if (size or 0) <= FEW_BYTES else look_up(each, "b", right, "n", total, ["a"])
+    return arrow_map(met, make, "a long, b long", ["a", "b", "x", "y"])
 
 
 def _all_within(members: DataFrame, sets: DataFrame, run: int) -> DataFrame:
