@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, look_up, own_name, row_hash
+from .common import arrow_map, cut, look_up, not_sent, own_name, row_hash
 
 WORDS = 4
 TAU = 4
@@ -280,7 +280,7 @@ def _dealt(signed: DataFrame, hot: DataFrame, total: int, carried: list[str], ta
     all rows are dealt out as all pairs of chunks. Where there is no rest, no row is left to compare."""
     at = _beside(signed, hot, total).filter("chunks IS NOT NULL")
     first = at.groupBy("key").agg(F.min(F.struct(F.xxhash64("fp").alias("h"), *carried)).alias("hub"))
-    hubs = cut(first.join(hot, "key").select("key", "count", "chunks", *(F.col(f"hub.{c}").alias(f"hub_{c}") for c in carried)))
+    hubs = cut(first.join(not_sent(hot), "key").select("key", "count", "chunks", *(F.col(f"hub.{c}").alias(f"hub_{c}") for c in carried)))
 
     def close() -> Column:
         near = F.bit_count(F.col("fp").bitwiseXOR(F.col("hub_fp"))) <= tau
@@ -288,7 +288,7 @@ def _dealt(signed: DataFrame, hot: DataFrame, total: int, carried: list[str], ta
 
     hung_on = _beside(signed, hubs, total).filter("chunks IS NOT NULL").withColumn("close", close())
     rest = hung_on.groupBy("key").agg(F.count_if(~F.col("close")).alias("rest"))
-    known = cut(hubs.join(rest, "key"))
+    known = cut(hubs.join(not_sent(rest), "key"))
     node, hub = carried[0], f"hub_{carried[0]}"
     by_hub = hung_on.filter(F.col("close") & (F.col(node) != F.col(hub))).select(F.greatest(node, hub).alias("a"), F.least(node, hub).alias("b")).distinct()
     own = F.pmod(F.xxhash64("fp", F.lit("chunk")), F.col("chunks"))
@@ -344,7 +344,7 @@ def _state(e: DataFrame) -> tuple[int, int | None, int]:
 def _least_of(edges: DataFrame, least: DataFrame, n: int, busiest: int) -> DataFrame:
     """edges with m, the least neighbour of a."""
     if busiest <= HUB:
-        return edges.join(least, F.col("a") == F.col("u"))
+        return edges.join(not_sent(least), F.col("a") == F.col("u"))
     return look_up(edges, "a", cut(least).withColumnRenamed("u", "a"), "n", n, ["b"])
 
 
@@ -356,7 +356,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, tau: int = TAU, keep: l
     found, total = cut(links(nodes.select("fp"), tau)), fps.count()
     if not found.isEmpty():
         stars = components(found)
-        rooted = cut(nodes.join(stars, F.col("fp") == F.col("node"), "left").select("fp", "least_id", "n", F.coalesce("root", "fp").alias("root")))
+        rooted = cut(nodes.join(not_sent(stars), F.col("fp") == F.col("node"), "left").select("fp", "least_id", "n", F.coalesce("root", "fp").alias("root")))
         lowest = cut(rooted.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count("*").alias("size")))
         nodes = cut(look_up(rooted, "root", lowest, "size", nodes.count(), ["fp"]).select("fp", "root", "component_id", "n"))
     else:
@@ -375,7 +375,7 @@ def _rows_of(docs: DataFrame, row: str, chosen: DataFrame) -> DataFrame:
     """The rows of docs (with the column row) that are chosen (i, r), each once."""
     i, r = own_name(docs, "chosen_id"), own_name(docs, "chosen_row")
     keys = chosen.select(F.col("i").alias(i), F.col("r").alias(r))
-    kept = docs.join(keys, F.col("doc_id").cast("long").eqNullSafe(F.col(i)) & (F.col(row) == F.col(r)), "left_semi")
+    kept = docs.join(not_sent(keys), F.col("doc_id").cast("long").eqNullSafe(F.col(i)) & (F.col(row) == F.col(r)), "left_semi")
     return kept.dropDuplicates(["doc_id", row]).drop(row)
 
 
@@ -437,7 +437,7 @@ def _sets(texts: DataFrame, nodes: DataFrame, words: int, few: Callable[[DataFra
     if nodes.count() <= FEW_NODES:  # else all texts are shuffled to meet them
         texts = texts.join(F.broadcast(nodes), "node", "left_semi")
     once = texts.groupBy("node").agg(F.first("text").alias("text"))
-    return cut(few(arrow_map(once.join(nodes, "node", "left_semi"), make, "node long, set binary", ["node", "text"])))
+    return cut(few(arrow_map(once.join(not_sent(nodes), "node", "left_semi"), make, "node long, set binary", ["node", "text"])))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -455,9 +455,9 @@ of many pairs by broadcast, all others by shuffle."""
         return step
 
     left = sets.select(F.col("node").alias("a"), F.col("set").alias("x"))
-    each = pairs.groupBy("a").agg(F.collect_set("b").alias("bs")).join(left, "a").select("a", "x", F.explode("bs").alias("b"))
+    each = pairs.groupBy("a").agg(F.collect_set("b").alias("bs")).join(not_sent(left), "a").select("a", "x", F.explode("bs").alias("b"))
     counts = cut(pairs.groupBy("b").agg(F.count_distinct("a").alias("n")))
-    right = sets.select(F.col("node").alias("b"), F.col("set").alias("y")).join(counts, "b")
+    right = sets.select(F.col("node").alias("b"), F.col("set").alias("y")).join(not_sent(counts), "b")
     size, total = right.agg(F.sum(F.length("y") + 64), F.sum("n")).first()
     met = each.join(F.broadcast(right.drop("n")), "b") if (size or 0) <= FEW_BYTES else look_up(each, "b", right, "n", total, ["a"])
     return arrow_map(met, make, "a long, b long", ["a", "b", "x", "y"])
@@ -501,7 +501,7 @@ def _all_within(members: DataFrame, sets: DataFrame, run: int) -> DataFrame:
         if nodes:
             yield from edges(nodes, held)
 
-    runs = dealt.join(sets, "node").repartition("key").sortWithinPartitions("key")
+    runs = dealt.join(not_sent(sets), "node").repartition("key").sortWithinPartitions("key")
     return runs.select("key", "node", "set").mapInArrow(linked, "a long, b long")
 
 
@@ -520,7 +520,7 @@ def _centres(members: DataFrame, total: int) -> DataFrame:
 
     votes = arrow_map(members, make, "group long, bit long, n long", ["group", "fp"]).groupBy("group", "bit").agg(F.sum("n").alias("n"))
     middle = votes.groupBy("group").agg(F.bit_or(F.when(F.col("n") > 0, F.expr("shiftleft(1L, CAST(bit AS INT))")).otherwise(F.lit(0).cast("long"))).alias("middle"))
-    sized = members.groupBy("group").agg(F.count("*").alias("n")).join(middle, "group")
+    sized = members.groupBy("group").agg(F.count("*").alias("n")).join(not_sent(middle), "group")
     near = look_up(members, "group", cut(sized), "n", total, ["node"]).select("node", "group", F.bit_count(F.col("fp").bitwiseXOR(F.col("middle"))).alias("d"))
     return near.groupBy("group").agg(F.min(F.struct("d", "node"))["node"].alias("centre"), F.count("*").alias("n"))
 
@@ -551,28 +551,28 @@ def set_groups(texts: DataFrame, words: int = SET_WORDS, tau: int = SET_TAU, oth
     found = cut(few(hung(links(prints, tau, other_tau=other_tau).union(links(swapped, tau, other_tau=other_tau)))))
     stars = components(found, few=few)
     members = stars.select("node", F.col("root").alias("group")).union(stars.select("root", "root").distinct())
-    members = cut(few(members.join(prints.select("node", "fp"), "node")))
+    members = cut(few(members.join(not_sent(prints.select("node", "fp")), "node")))
     total, sets = members.count(), _sets(texts, members.select("node"), words, few)
     centred = cut(few(look_up(members.drop("fp"), "group", cut(few(_centres(members, total))), "n", total, ["node"])))
     true = cut(few(_verified(centred.filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")), sets)))
-    held = centred.join(true.select(F.col("a").alias("node"), F.lit(True).alias("true")), "node", "left").select("node", "group", (F.col("true").isNotNull() | (F.col("node") == F.col("centre"))).alias("true"))
+    held = centred.join(not_sent(true.select(F.col("a").alias("node"), F.lit(True).alias("true"))), "node", "left").select("node", "group", (F.col("true").isNotNull() | (F.col("node") == F.col("centre"))).alias("true"))
     held = cut(few(look_up(held, "group", cut(few(held.groupBy("group").agg(F.count("*").alias("n"), F.every("true").alias("whole")))), "n", total, ["node"])))
     rest = held.filter("NOT whole").select("node", "group")
     if rest.isEmpty():
         return stars
     down = lambda df: df.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     done = held.filter("whole AND node <> group").select("node", F.col("group").alias("root"))
-    within = found.join(rest.select(F.col("node").alias("a")), "a", "left_semi").join(true.select("a", "b").union(true.select("b", "a")), ["a", "b"], "left_anti")
-    edges = cut(down(true.join(rest.select(F.col("node").alias("a")), "a", "left_semi")).union(_verified(cut(few(within)), sets)).distinct())
+    within = found.join(not_sent(rest.select(F.col("node").alias("a"))), "a", "left_semi").join(not_sent(true.select("a", "b").union(true.select("b", "a"))), ["a", "b"], "left_anti")
+    edges = cut(down(true.join(not_sent(rest.select(F.col("node").alias("a"))), "a", "left_semi")).union(_verified(cut(few(within)), sets)).distinct())
     parts = components(edges, few=few)
-    rooted = rest.join(parts, "node", "left").select("node", "group", F.coalesce("root", "node").alias("root"))
+    rooted = rest.join(not_sent(parts), "node", "left").select("node", "group", F.coalesce("root", "node").alias("root"))
     sized = cut(few(rooted.groupBy("group").agg(F.count("*").alias("n"), F.count("*").alias("size"), (F.min("root") == F.max("root")).alias("whole"))))
     rooted = cut(few(look_up(rooted, "group", sized, "n", total, ["node"])))
     done = done.union(rooted.filter("whole AND node <> root").select("node", "root"))
     apart = rooted.filter("NOT whole").select("node", "group", F.col("size").alias("n"))
     if apart.isEmpty():
         return done
-    edges = edges.join(apart.select(F.col("node").alias("a")), "a", "left_semi").union(_all_within(apart, sets, run)).distinct()
+    edges = edges.join(not_sent(apart.select(F.col("node").alias("a"))), "a", "left_semi").union(_all_within(apart, sets, run)).distinct()
     return done.union(components(edges, few=few))
 
 
@@ -583,6 +583,6 @@ def drop_near_copies(docs: DataFrame, words: int = SET_WORDS, tau: int = SET_TAU
     hashed = docs.withColumn(row, row_hash(docs)).withColumn(node, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     rows = cut(hashed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(row).alias("r"), F.col(node).alias("node")))
     stars = set_groups(hashed.select(F.col(node).alias("node"), "text"), words, tau, other_tau)
-    sized = cut(rows.groupBy("node").agg(F.count("*").alias("n")).join(stars, "node", "left").select("node", "n", F.coalesce("root", "node").alias("root")))
+    sized = cut(rows.groupBy("node").agg(F.count("*").alias("n")).join(not_sent(stars), "node", "left").select("node", "n", F.coalesce("root", "node").alias("root")))
     rooted = look_up(rows, "node", sized, "n", rows.count(), ["doc_id", "r"])
     return _rows_of(hashed, row, _first_of_each(rooted, "root", "r")).drop(node)

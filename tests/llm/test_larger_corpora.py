@@ -1,5 +1,7 @@
 """What must not grow with the corpus: bytes sent through the driver, texts that are shuffled, memory that workers keep."""
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -17,6 +19,20 @@ def test_many_bytes_of_sets_are_not_broadcast_whole(spark, monkeypatch):
     assert found == {(a, b) for b in range(12) for a in range(b + 1, 12) if a % 3 == b % 3} and calls == ["b"]
 
 
+def test_near_copies_broadcast_only_what_is_bounded(spark, monkeypatch):
+    for name in ("FEW_KEYS", "FEW_NODES", "FEW_BYTES"):
+        monkeypatch.setattr(simhash, name, 0)
+    words = [f"w{i}" for i in range(300)]
+    docs = spark.createDataFrame([(i, " ".join(words[i // 4 * 9 :][:60] + [str(i % 4)])) for i in range(40)], "doc_id long, text string")
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    assert simhash.drop_near_copies(docs).count() == 10
+    ran = store.executionsList(before, 1000)
+    plans = [ran.apply(i).physicalPlanDescription() for i in range(ran.size())]
+    keys = [k for p in plans for k in re.findall(r"BroadcastHashJoin.*\nLeft keys.*\nRight keys \[\d+\]: \[(\w+)", p)]
+    assert keys and set(keys) == {"_hot_key"}
+
+
 def test_no_text_of_a_line_is_shuffled_to_count_it(spark):
     docs = spark.createDataFrame([(1, "one line\ntwo lines\n"), (2, "two lines\nthree\n")], "doc_id long, text string")
     repeated = line_chunks.repeated_lines(docs)
