@@ -2,8 +2,10 @@
 
 import re
 
+import duckdb
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from monthgrain.llm import common, line_chunks, simhash
@@ -46,6 +48,21 @@ def test_lines_of_one_hash_are_told_apart(spark, monkeypatch):
     assert [(r.h, r["count"]) for r in line_chunks.repeated_lines(docs).collect()] == [(3, 2)]
 
 
+@pytest.mark.parametrize("few", [line_chunks.FEW_CLASHES, 0])
+def test_lines_of_one_hash_are_deduped_like_others(spark, monkeypatch, few):
+    """By the SQL, which knows of no hashes of lines, where most hashes stand for several lines."""
+    monkeypatch.setattr(line_chunks, "_line_hash", lambda line: F.length(line).cast("long"))
+    monkeypatch.setattr(line_chunks, "FEW_CLASHES", few)
+    passages = ["one line\ntwo more\nnow three\n", "own line\ntwo more\nnew three\n", "a\nbc\ndef\nghij\n", "x\nyz\ndef\nklmn\nopqrs\n"]
+    rows = [(i, f"begin {i * 7}.\n{passages[i % 4]}{passages[i % 3]}end {i}") for i in range(24)]
+    rows += [rows[3], (None, rows[5][1]), (30, None), (31, ""), (4, rows[8][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    documents = docs.toPandas().astype({"doc_id": "Int64"})  # which DuckDB finds by its name
+    want = duckdb.sql(line_chunks.SQL).fetchall()
+    got = [tuple(r) for r in line_chunks.dedup_lines(docs).select("doc_id", "text", "n_lines", "removed_lines").collect()]
+    assert len(documents) == len(got) and sorted(got, key=repr) == sorted(want, key=repr) and sum(r[3] for r in got) > 100
+
+
 class _Captured:
     def select(self, *_):
         return self
